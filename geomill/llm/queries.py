@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from geomill.llm import chat_format, exact_dedup, line_clean, source_mix
+from geomill.llm import chat_format, chunk_bpe, exact_dedup, line_clean, near_dedup, source_mix, token_output
 
-MODULES = (exact_dedup, source_mix, line_clean, chat_format)
+MODULES = (token_output, exact_dedup, chunk_bpe, source_mix, line_clean, near_dedup, chat_format)
 
 
 def queries() -> dict:
