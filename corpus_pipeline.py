@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geomill.llm import exact_dedup, line_clean, source_mix
+from geomill.llm import chunk_bpe, exact_dedup, line_clean, near_dedup, source_mix
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,12 +17,30 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.keep_first(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id."""
+    return near_dedup.keep_one(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its Poisson draw says, in shuffled order."""
     return source_mix.mix_sources(docs).select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_copies), ("source_mix", mix)]
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every copy in the mix, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256 and chunk counts."""
+    import public_tokenizers
+
+    return chunk_bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.json"), chunk_bpe.digests, chunk_bpe.DIGESTS)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_copies),
+    ("near_dedup", near_copies),
+    ("source_mix", mix),
+    ("chunk_bpe", token_ids),
+]
 #: Near-duplicate components, BPE ids and the mix's inverted distribution over them are no SQL: brute force in tests.
 ORACLE_SQL = None
 

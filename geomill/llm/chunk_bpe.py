@@ -185,6 +185,7 @@ def encode_texts(docs: DataFrame, tokenizer: str, reduce, schema: str) -> DataFr
     return rows.select("doc_id", "digest").join(assembled, "digest").drop("digest")
 
 
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 _decimal: list[str] = []
 
 
@@ -200,4 +201,4 @@ def digests(model: bpe.Bpe, ids: np.ndarray) -> tuple[int, str, str]:
 def op3_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode_texts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encode_texts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), digests, DIGESTS)
