@@ -20,10 +20,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_folder.setdefault(app, tempfile.mkdtemp(prefix="spark-geomill-"))
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """`df` written once as a table in the shared folder and read back: survives lost executors, cuts lineage."""
+LEAST_FILES = 12
+
+
+def files_for(rows: int, per_file: int) -> int:
+    """How many files (and so tasks) to write about `rows` rows with: in proportion, a dozen at least."""
+    return max(LEAST_FILES, -(-rows // per_file))
+
+
+def staged(df: DataFrame, label: str, files: int | None = None) -> DataFrame:
+    """`df` written once as a table in the shared folder and read back: survives lost executors, cuts lineage. `files`, where
+    the size is known, keeps many shuffle partitions from writing as many small files."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

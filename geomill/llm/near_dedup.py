@@ -4,11 +4,13 @@ A document's set is its distinct 5-word shingles (64-bit hashes). MINIMA univers
 BANDS bands of ROWS minima give the buckets in which documents meet (two documents of similarity 0.75 miss each
 other in all 32 bands with probability 5e-6). Nobody emits all pairs of a bucket:
 
-1. every member is paired with the bucket's smallest doc_id only; pairs of equal sets are links at once, others
-   must agree in enough minima (MARGIN standard deviations below the threshold) and are then confirmed on full sets;
-2. components of these links are found; buckets whose members are still in different components are compared
-   again, signature against signature, in blocks of BLOCK members (a block pair is one group), and only pairs across
-   components that agree in enough minima go on to be confirmed on full sets;
+1. every member is paired with the bucket's hub only, the member that meets most documents over all its buckets (the
+   original of a group of copies, as a rule); pairs of equal sets are links at once, others must agree in enough minima
+   (MARGIN standard deviations below the threshold) and are then confirmed on full sets;
+2. components of these links are found; buckets whose members are still in different components are compared on full sets,
+   in blocks of BLOCK members (a block pair is one group): intersections of all pairs come from one matrix product,
+   and of the pairs that reach the threshold only those that join two components leave the task, so its output is never more
+   than its members. Buckets with the same members are compared once;
 3. components of all links come from alternating large-star and small-star rounds until no edge changes.
 
 Defined cases: a null text or one without words has an empty set and is linked with nothing; with fewer than five words
@@ -26,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomill.llm.common import documents, staged
+from geomill.llm.common import documents, files_for, staged, text_of
 from geomill.llm.words import shingles, word_hashes
 
 SIZE, THRESHOLD = 5, 75  # words of a shingle, per cent of the union
 BANDS, ROWS = 32, 4
-MINIMA, MARGIN, BLOCK, SHARE = BANDS * ROWS, 5.5, 512, 256
+MINIMA, MARGIN, BLOCK, COLUMNS, SHARE = BANDS * ROWS, 5.5, 512, 4096, 256
+ROWS_PER_FILE, DOCS_PER_FILE = 500_000, 20_000
 LEAST = int(MINIMA * (THRESHOLD / 100 - MARGIN * (THRESHOLD / 100 * (1 - THRESHOLD / 100) / MINIMA) ** 0.5))  # equal minima
 
 _rng = np.random.Generator(np.random.PCG64(40_031))
@@ -79,15 +82,16 @@ def _tally(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) of every node with an edge (u, v), by large-star and small-star."""
-    edges = staged(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct(), "edges")
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct()
     before = _tally(edges)
+    files = files_for(before[0], ROWS_PER_FILE)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-        edges = staged(small.filter("u != v").distinct(), "edges")
+        edges = staged(small.filter("u != v").distinct(), "edges", files)
         after = _tally(edges)
         if after == before:
             break
@@ -120,11 +124,9 @@ def _confirmed(members: pa.Table, hubs: pa.Table) -> pa.Table:
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold, as edges (u, v). Members meet their partner b in shares of
     SHARE, b's text going to each share."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = staged(texts.select("doc_id", "text").join(wanted, "doc_id"), "near-texts")
     counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
     members = pairs.join(counts, "b").withColumn("share", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int"))
-    members = members.join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "share", "text")
+    members = members.join(texts.select(F.col("doc_id").alias("a"), "text"), "a").select("a", "b", "share", "text")
     hubs = counts.select(F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("hub_share"))
     hubs = hubs.join(texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text")), "hub").select("hub", "hub_share", "hub_text")
     return members.groupBy("b", "share").cogroup(hubs.groupBy("hub", "hub_share")).applyInArrow(_confirmed, "u long, v long")
@@ -136,65 +138,96 @@ def _agreeing_pairs(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a long, b long").distinct()
 
 
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set: a product of 0/1 matrices, COLUMNS items at a time."""
+    items, place, often = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
+    useful = often[place] > 1  # an item of one set only is shared with none
+    order = np.argsort(place[useful], kind="stable")
+    place, rows = place[useful][order], rows[useful][order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(items), COLUMNS):
+        a, b = np.searchsorted(place, [at, at + COLUMNS])
+        if a < b:
+            columns, own = np.unique(place[a:b], return_inverse=True)
+            marks = np.zeros((len(left) + len(right), len(columns)), np.float32)
+            marks[rows[a:b], own] = 1
+            out += marks[: len(left)] @ marks[len(left) :].T
+    return out.astype(np.int32)
+
+
 def _across(group: pa.Table) -> pa.Table:
-    """Pairs of a block pair's two sides, of different components, whose signatures agree enough."""
+    """Links that join the components of a block pair's two sides (one side: a block with itself)."""
     side, doc, part = (group[c].to_numpy() for c in ("side", "doc_id", "component"))
-    sig = np.frombuffer(b"".join(group["signature"].to_pylist()), "<u4").reshape(-1, MINIMA)
+    sets = [shingles(word_hashes(t), SIZE) for t in group["text"].to_pylist()]
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    a, b = [], []
-    for i in left:
-        far = right[(part[right] != part[i]) & (doc[right] != doc[i])]
-        near = far[(sig[far] == sig[i]).sum(axis=1) >= LEAST]
-        a.append(np.maximum(doc[near], doc[i]))
-        b.append(np.minimum(doc[near], doc[i]))
-    join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-    return pa.table({"a": pa.array(join(a), pa.int64()), "b": pa.array(join(b), pa.int64())})
-
-
-def open_pairs(buckets: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs across components in buckets that the links so far leave apart, compared block by block."""
+    right = right if group["low"][0].as_py() != group["high"][0].as_py() else left
+    u, v = [], []
+    if len(left) and len(right):
+        sizes = np.array(list(map(len, sets)))
+        both = shared_counts([sets[i] for i in left], [sets[i] for i in right])
+        far = part[left][:, None] != part[right][None, :]
+        i, j = np.nonzero(far & (both > 0) & (100 * both >= THRESHOLD * (sizes[left][:, None] + sizes[right][None, :] - both)))
+        names, place = np.unique(part, return_inverse=True)
+        _, one = np.unique(place[left[i]] * len(names) + place[right[j]], return_index=True)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for k in one.tolist():
+            a, b = find(part[left[i[k]]]), find(part[right[j[k]]])
+            if a != b:
+                root[a] = b
+                u.append(doc[left[i[k]]])
+                v.append(doc[right[j[k]]])
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def open_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, files: int) -> DataFrame:
+    """Links across components in buckets that the links so far leave apart, found block by block."""
     named = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    apart = named.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("n > 2 AND low < high")
-    left = staged(named.join(apart.select("key", "n"), "key"), "open-buckets")
-    if left.isEmpty():
-        return left.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+    members = F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("members")
+    apart = named.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), members).filter("n > 2 AND low < high")
+    once = apart.groupBy("n", "members").agg(F.min("key").alias("key"))
+    left = staged(named.join(once, "key").select("key", "n", "doc_id", "component"), "open-buckets", files)
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    left = left.join(signed.select("doc_id", "signature"), "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
+    left = left.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
     mates = F.transform(
         F.sequence(F.lit(0), blocks - 1),
         lambda k: F.struct(F.least(F.col("block"), k).alias("low"), F.greatest(F.col("block"), k).alias("high"), F.when(F.col("block") <= k, 0).otherwise(1).alias("side")),
     )
-    dealt = left.withColumn("mate", F.explode(mates)).select("key", "mate.low", "mate.high", "mate.side", "doc_id", "component", "signature")
-    own = dealt.filter("low = high").withColumn("side", F.lit(1))
-    return dealt.unionByName(own).groupBy("key", "low", "high").applyInArrow(_across, "a long, b long").distinct()
+    dealt = left.withColumn("mate", F.explode(mates)).select("key", "mate.low", "mate.high", "mate.side", "doc_id", "component")
+    return dealt.join(texts, "doc_id").groupBy("key", "low", "high").applyInArrow(_across, "u long, v long")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
-    signed = staged(signatures(docs), "signatures")
+    n = docs.count()
+    light, heavy = files_for(n * BANDS, 16 * ROWS_PER_FILE), 2 * files_for(n, DOCS_PER_FILE)
+    signed = staged(signatures(docs), "signatures", heavy)
     known = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("signature", k * (4 * ROWS) + 1, F.lit(4 * ROWS))))
     banded = known.select("doc_id", F.explode(keys).alias("key")).distinct()
-    hubs = banded.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    buckets = staged(banded.join(hubs.select("key", "hub"), "key"), "buckets")
-    pairs = buckets.filter("doc_id != hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    met = staged(known.join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "met")
+    crowds = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = staged(banded.join(crowds, "key"), "buckets", light)
+    degrees = buckets.groupBy("doc_id").agg(F.sum("n").alias("degree"))
+    hubs = buckets.join(degrees, "doc_id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("less"))).alias("hub")).select("key", (-F.col("hub.less")).alias("hub"))
+    pairs = buckets.join(hubs, "key").filter("doc_id != hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
+    met = staged(known.join(degrees.select("doc_id"), "doc_id", "left_semi"), "met", light)
 
     equal = met.join(met.groupBy("set_key").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).filter("n > 1"), "set_key")
-    equal = staged(equal.filter("doc_id != v").select(F.col("doc_id").alias("u"), "v").distinct(), "equal-sets")
-    first = met.select("doc_id", "set_key").join(equal.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").select("doc_id").distinct()
+    equal = staged(equal.filter("doc_id != v").select(F.col("doc_id").alias("u"), "v").distinct(), "equal-sets", light)
+    first = met.select("doc_id").distinct().join(equal.select(F.col("u").alias("doc_id")), "doc_id", "left_anti")
     for side in ("a", "b"):  # one document stands for all of an equal set
         pairs = pairs.join(equal.select(F.col("u").alias(side), F.col("v").alias("_v")), side, "left").withColumn(side, F.coalesce("_v", side)).drop("_v")
-    pairs = pairs.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    near = staged(_agreeing_pairs(pairs, met), "near-pairs")
-    links = staged(equal.unionByName(confirmed(near, docs)), "links")
-    labels = components(links)
-
-    stands = buckets.select("key", "doc_id").join(first, "doc_id", "left_semi")
-    more = open_pairs(stands, labels, met)
-    more = staged(more.join(near, ["a", "b"], "left_anti"), "open-pairs")
-    if not more.isEmpty():
-        labels = components(links.unionByName(confirmed(more, docs)))
+    near = staged(_agreeing_pairs(pairs.filter("a != b").distinct(), met), "near-pairs", light)
+    texts = staged(docs.select("doc_id", text_of().alias("text")).join(first, "doc_id"), "met-texts", heavy)
+    links = staged(equal.unionByName(confirmed(near, texts)), "links", heavy)
+    more = staged(open_links(buckets.select("key", "doc_id").join(first, "doc_id", "left_semi"), components(links), texts, light), "more-links", heavy)
+    labels = components(links.unionByName(more))
     named = signed.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return named.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
