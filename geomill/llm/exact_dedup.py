@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomill.llm.common import documents, staged, text_of
+from geomill.llm.common import documents, files_for, staged, text_of
 
 PER_BUCKET = 32_768  # digests a filter is built for
+ROWS_PER_FILE, DOCS_PER_FILE = 1_000_000, 20_000
 SHARE = 2_048  # members of a group compared with one copy of its text
 U64 = np.uint64
 
@@ -129,13 +130,13 @@ def _build(group: pa.Table) -> pa.Table:
     return pa.table({"bucket": group["bucket"].slice(0, 1), "seed": pa.array([seed], pa.int64()), "segment": pa.array([segment], pa.int64()), "span": pa.array([span], pa.int64()), "fingerprints": pa.array([table.tobytes()], pa.binary())})
 
 
-def build_snapshot(rows: DataFrame) -> Snapshot:
+def build_snapshot(rows: DataFrame, files: int | None = None) -> Snapshot:
     """From rows (digest, doc_id, copies)."""
-    groups = staged(_grouped(rows), "snapshot-groups")
+    groups = staged(_grouped(rows), "snapshot-groups", files)
     n_buckets = max(1, math.ceil(groups.count() / PER_BUCKET))
     exact = _bucketed(groups, n_buckets)
     filters = exact.select("bucket", "digest").groupBy("bucket").applyInArrow(_build, "bucket int, seed long, segment long, span long, fingerprints binary")
-    return Snapshot(exact, staged(filters, "snapshot-filters"), n_buckets)
+    return Snapshot(exact, staged(filters, "snapshot-filters", files), n_buckets)
 
 
 def _screen(asked: pa.Table, filters: pa.Table) -> pa.Table:
@@ -178,20 +179,21 @@ def _differing(docs: DataFrame, members: DataFrame, digest) -> DataFrame:
 
 def exact_dedup(batch: DataFrame, held: DataFrame | None = None, digest=digest_of) -> DataFrame:
     """One row per row of `batch` and of `held` (the rows of the snapshot): doc_id, keep_id, group_size, kept, digest."""
-    new = staged(_rows(batch, digest), "batch-rows")
-    old = staged(_rows(held if held is not None else batch.limit(0), digest), "held-rows")
-    snapshot = build_snapshot(old)
-    groups = staged(_grouped(new), "batch-groups")
+    files = files_for(batch.count(), ROWS_PER_FILE)
+    new = staged(_rows(batch, digest), "batch-rows", files)
+    old = staged(_rows(held if held is not None else batch.limit(0), digest), "held-rows", files)
+    snapshot = build_snapshot(old, files)
+    groups = staged(_grouped(new), "batch-groups", files)
     positive = screened(groups, snapshot)
     matched = groups.join(positive, "digest", "left_semi").join(snapshot.exact.select("digest", F.col("keep_id").alias("held_id"), F.col("group_size").alias("held_size")), "digest")
-    matched = staged(matched.select("digest", F.greatest("keep_id", "held_id").alias("keep_id"), (F.col("group_size") + F.col("held_size")).alias("group_size")), "matched")
+    matched = staged(matched.select("digest", F.greatest("keep_id", "held_id").alias("keep_id"), (F.col("group_size") + F.col("held_size")).alias("group_size")), "matched", files)
     only_new = groups.join(matched, "digest", "left_anti")
     only_old = snapshot.exact.select("digest", "keep_id", "group_size").join(matched, "digest", "left_anti")
     answer = matched.unionByName(only_new).unionByName(only_old)
-    rows = staged(new.unionByName(old).groupBy("digest", "doc_id").agg(F.sum("copies").alias("copies")).join(answer, "digest"), "dedup-rows")
+    rows = staged(new.unionByName(old).groupBy("digest", "doc_id").agg(F.sum("copies").alias("copies")).join(answer, "digest"), "dedup-rows", files)
 
     docs = batch.select("doc_id", "text") if held is None else batch.select("doc_id", "text").unionByName(held.select("doc_id", "text"))
-    differ = staged(_differing(docs, rows.filter("group_size > 1").select("doc_id", "digest", "keep_id", "group_size"), digest), "differing")
+    differ = staged(_differing(docs, rows.filter("group_size > 1").select("doc_id", "digest", "keep_id", "group_size"), digest), "differing", 2 * files_for(batch.count(), DOCS_PER_FILE))
     if not differ.isEmpty():  # digests of unequal texts met: their groups are formed by the texts
         texts = docs.select("doc_id", text_of().alias("text"), digest(text_of()).alias("digest")).join(differ, "digest", "left_semi")
         texts = texts.groupBy("digest", "text", "doc_id").agg(F.count("*").alias("copies"))
@@ -214,7 +216,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     own = docs.withColumn("_own", digest_of(text_of()))
     stays = own.join(verdict, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
     repeated = F.count("*").alias("n")
-    twice = staged(docs.groupBy("doc_id").agg(repeated).filter("n > 1"), "repeated-ids")
+    twice = staged(docs.groupBy("doc_id").agg(repeated).filter("n > 1"), "repeated-ids", files_for(0, 1))
     if twice.isEmpty():
         return stays.drop("_own")
     return stays.dropDuplicates(["doc_id", "_own"]).drop("_own")
