@@ -57,8 +57,8 @@ class Alphabet:
 
 
 def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """The transitions [state, symbol] of the automaton of all substrings, -1 where there is none; 0 is the start. PAD
-    stays in any state."""
+    """The transitions [state, symbol] of the automaton of all substrings, -1 where there is none; 0 is the start. The last
+    state has no transitions: there any symbol begins a phrase. PAD stays in any state."""
     goes, link, length, last = [{}], [-1], [0], 0
     for c in symbols:
         new = len(goes)
@@ -83,26 +83,26 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    table = np.full((len(goes), alphabet), -1, np.int32)
+    table = np.full((len(goes) + 1, alphabet), -1, np.int32)
     for state, moves in enumerate(goes):
         for c, to in moves.items():
             table[state, c] = to
-    table[:, PAD] = np.arange(len(goes))
+    table[:, PAD] = np.arange(len(table))
     table[:, OTHER] = -1
     return table
 
 
 def phrase_counts(segments: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Phrases of each row of symbols (PAD only at its end), all rows walked side by side."""
-    flat, width = table.ravel(), table.shape[1]
-    again = np.maximum(table[0], 0)
-    state, count = np.zeros(len(segments), np.int32), (segments[:, 0] != PAD).astype(np.int64)
+    flat, width, fresh = table.ravel(), table.shape[1], len(table) - 1
+    again = np.where(table[0] < 0, fresh, table[0])  # an unknown symbol is a phrase of its own
+    state, count = np.full(len(segments), fresh, np.int32), np.zeros(len(segments), np.int64)
     for column in np.ascontiguousarray(segments.T):
         to = flat[state * width + column]
         missed = to < 0
         count += missed
         state = np.where(missed, again[column], to)
-    return count - (table[0, segments[:, 0]] < 0)  # an unknown first symbol opens the first phrase
+    return count
 
 
 # ---- fitting and prediction ----
