@@ -9,7 +9,7 @@ Weights default to each source's share of characters to the power `temperature`.
 characters of the corpus.
 
 Defined cases: a null source is a source of its own (named `""` in `weights`); a null text is empty; a source that `weights`
-leaves out gets no copies; sources without characters get rate 1; repeated rows draw alike; an empty table gives
+leaves out gets no copies; other sources without characters get rate 1; repeated rows draw alike; an empty table gives
 an empty result. Rates go to the documents by a broadcast join while there are at most MAX_BROADCAST sources
 (the only switch: it picks the join, not the rows), and by a join over salted keys beyond.
 """
@@ -40,7 +40,8 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float] | None = None, t
         given = spark.createDataFrame(list(weights.items()), "source_key string, weight double")
         weighted = sizes.join(given, "source_key", "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
     totals = weighted.agg(F.sum("chars").alias("all_chars"), F.sum("weight").alias("all_weight"))
-    rate = F.when(F.col("chars") == 0, 1.0).otherwise(F.col("weight") / F.col("all_weight") * F.col("all_chars") * epochs / F.col("chars"))
+    asked = F.lit(True) if weights is None else F.col("weight") > 0
+    rate = F.when(F.col("chars") == 0, F.when(asked, 1.0).otherwise(0.0)).otherwise(F.col("weight") / F.col("all_weight") * F.col("all_chars") * epochs / F.col("chars"))
     rates = weighted.crossJoin(F.broadcast(totals)).select("source_key", rate.alias("rate"))  # totals: one row
     most = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 30).cast("int")
     logs = F.transform(F.sequence(F.lit(1), most), lambda k: F.log("rate") - F.log(k.cast("double")))  # of p(k) / p(k - 1)
