@@ -311,4 +311,25 @@ def lm_scores(docs: DataFrame, learn: Column) -> tuple[DataFrame, int]:
 def op5_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     scored, n = lm_scores(docs, remainder("doc_id", 5) != 1)
-    return scored.select("doc_id", (remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    return scored.select("doc_id", (remainder("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), F.round("base_score", 6).alias("base_score"), "score")
+
+
+ORACLE = rf"""
+WITH RECURSIVE bits AS (
+  SELECT doc_id, doc_id::VARCHAR AS s, 0 AS k, 4294967295::UBIGINT AS crc FROM documents
+  UNION ALL
+  SELECT doc_id, s, k + 1, CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END
+  FROM (SELECT doc_id, s, k, CASE WHEN k % 8 = 0 THEN xor(crc, ascii(substr(s, k // 8 + 1, 1))::UBIGINT) ELSE crc END AS x FROM bits WHERE k < 8 * length(s))
+),
+h AS (SELECT doc_id, xor(crc, 4294967295::UBIGINT) % 5 = 1 AS held_out FROM bits WHERE k = 8 * length(s)),
+w AS (SELECT doc_id, list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS words FROM documents),
+p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+t AS (SELECT doc_id, held_out, word, lag(word, 1, '  ') OVER (PARTITION BY doc_id ORDER BY i) AS before FROM p JOIN h USING (doc_id)),
+c AS (SELECT word, count(*) AS c FROM t WHERE NOT held_out GROUP BY word),
+b AS (SELECT before, word, count(*) AS b FROM t WHERE NOT held_out GROUP BY before, word),
+n AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c),
+x AS (SELECT doc_id, held_out, c, coalesce(c, 0) AS k, coalesce(b, 0) AS b, n, (coalesce(c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (v + 1)) AS u FROM t LEFT JOIN c USING (word) LEFT JOIN b USING (before, word), n)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, n AS train_tokens, round(sum(log10(u)), 6) AS base_score,
+  sum(round(log10(b + {STRENGTH} * u) * {GRID}) + round(-log10(k + {STRENGTH}::DOUBLE) * {GRID})) / {GRID} AS score
+FROM x GROUP BY doc_id, held_out, n
+"""
