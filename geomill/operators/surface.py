@@ -155,5 +155,5 @@ def combo_stats(df: DataFrame, combos: DataFrame) -> DataFrame:
     key: Column = F.concat_ws(";", named("ad_sector_names=", F.col("sectors")), named("donors=", F.col("donors")))
     return kept.select(
         F.array_join("sectors", "|").alias("sectors"), F.array_join("donors", "|").alias("donors"), "count", "adjusted",
-        (F.floor(100000 * F.col("adjusted") / F.col("total")) / 1000).alias("percentage"), F.sha1(key.cast("binary")).alias("hash"),
+        (F.floor(F.round(100000 * F.col("adjusted") / F.col("total"), 6)) / 1000).alias("percentage"), F.sha1(key.cast("binary")).alias("hash"),
     )

