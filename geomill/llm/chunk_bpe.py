@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geomill.llm import bpe
-from geomill.llm.common import documents, text_of
+from geomill.llm.common import documents, staged, text_of
 
 WINDOW, SHORTEST, LONGEST, CUT_BITS = 32, 256, 16_384, 10
 _KEY = 16  # bytes of a chunk's digest
@@ -113,89 +113,116 @@ def joined_ids(model: bpe.Bpe, data: bytes, ends: list[int], chunk_ids: list[np.
 # ---- the plan ----
 
 
-def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """digest, packed text, chunk digests."""
-    pack = zstandard.ZstdCompressor(3)
+def _chunk_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """digest, digests of the text's chunks in order."""
     for batch in batches:
-        packed, keys = [], []
+        keys = []
         for text in batch["text"].to_pylist():
             data, start, own = text.encode(), 0, []
             for end in cuts(data):
                 own.append(hashlib.blake2b(data[start:end], digest_size=_KEY).digest())
                 start = end
-            packed.append(pack.compress(data))
             keys.append(own)
-        yield pa.RecordBatch.from_arrays([batch["digest"], pa.array(packed, pa.binary()), pa.array(keys, pa.list_(pa.binary()))], ["digest", "packed", "chunks"])
+        yield pa.RecordBatch.from_arrays([batch["digest"], pa.array(keys, pa.list_(pa.binary()))], ["digest", "chunks"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(3)
+    for batch in batches:
+        packed = [pack.compress(t.as_py().encode()) for t in batch["text"]]
+        yield pa.RecordBatch.from_arrays([batch["digest"], pa.array(packed, pa.binary())], ["digest", "packed"])
+
+
+class _Encoder:
+    """What both passes do with one text in a task."""
+
+    def __init__(self, tokenizer: str, reduce, schema: list[tuple[str, pa.DataType]]) -> None:
+        self.model, self.reduce = bpe.load(tokenizer), reduce
+        self.unpack, self.pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(3)
+        self.schema = pa.schema(schema)
 
+    def chunk(self, data: bytes, ends: list[int], at: int) -> np.ndarray:
+        return self.model.encode(data[ends[at - 1] if at else 0 : ends[at]].decode())
 
-def _owned(tokenizer: str):
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, unpack, pack = bpe.load(tokenizer), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(3)
+    def result(self, digest: bytes, data: bytes, ends: list[int], known: dict[int, np.ndarray]) -> dict:
+        ids = [known[k] if k in known else self.chunk(data, ends, k) for k in range(len(ends))]
+        return {"digest": digest, "n_chunks": len(ends), "n_shared_chunks": len(known)} | self.reduce(self.model, joined_ids(self.model, data, ends, ids))
+
+
+def _first_pass(tokenizer: str, reduce, schema: list[tuple[str, pa.DataType]]):
+    """A result for every text all of whose chunks are its own; the ids of the shared chunks that a text owns; and the
+    texts that wait for chunks of others, as they came."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _Encoder(tokenizer, reduce, schema)
         for batch in batches:
-            chunk, ids = [], []
-            for packed, own in zip(batch["packed"], batch["own"].to_pylist(), strict=True):
-                data = unpack.decompress(packed.as_py())
+            out = []
+            for digest, packed, marks in zip(batch["digest"].to_pylist(), batch["packed"], batch["marks"].to_pylist(), strict=True):
+                packed, marks = packed.as_py(), marks or []
+                data = encoder.unpack.decompress(packed)
                 ends = cuts(data)
-                for o in own:
-                    begin = ends[o["at"] - 1] if o["at"] else 0
-                    chunk.append(o["chunk"])
-                    ids.append(pack.compress(model.encode(data[begin : ends[o["at"]]].decode()).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.binary()), pa.array(ids, pa.binary())], ["chunk", "ids"])
+                known = {m["at"]: encoder.chunk(data, ends, m["at"]) for m in marks if m["owned"]}
+                out += [{"chunk": m["chunk"], "ids": encoder.pack.compress(known[m["at"]].tobytes())} for m in marks if m["owned"]]
+                out.append({"digest": digest, "packed": packed} if len(known) < len(marks) else encoder.result(digest, data, ends, known))
+            yield pa.RecordBatch.from_pylist(out, schema=encoder.schema)
 
-    return encode
+    return run
 
 
-def _assembled(tokenizer: str, reduce, names: list[str], kinds: list[pa.DataType]):
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, unpack = bpe.load(tokenizer), zstandard.ZstdDecompressor()
+def _second_pass(tokenizer: str, reduce, schema: list[tuple[str, pa.DataType]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _Encoder(tokenizer, reduce, schema)
         for batch in batches:
             out = []
-            for digest, packed, shared in zip(batch["digest"], batch["packed"], batch["shared"].to_pylist(), strict=True):
-                data = unpack.decompress(packed.as_py())
-                ends, start, ids = cuts(data), 0, []
-                given = {s["at"]: s["ids"] for s in shared or ()}
-                for k, end in enumerate(ends):
-                    ids.append(np.frombuffer(unpack.decompress(given[k]), model.dtype) if k in given else model.encode(data[start:end].decode()))
-                    start = end
-                out.append((digest.as_py(), *reduce(model, joined_ids(model, data, ends, ids)), len(ends), len(given)))
-            columns = list(zip(*out, strict=True)) if out else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            for digest, packed, shared in zip(batch["digest"].to_pylist(), batch["packed"], batch["shared"].to_pylist(), strict=True):
+                data = encoder.unpack.decompress(packed.as_py())
+                known = {s["at"]: np.frombuffer(encoder.unpack.decompress(s["ids"]), encoder.model.dtype) for s in shared}
+                out.append(encoder.result(digest, data, cuts(data), known))
+            yield pa.RecordBatch.from_pylist(out, schema=encoder.schema)
 
-    return assemble
+    return run
 
 
 def encode_texts(docs: DataFrame, tokenizer: str, reduce, schema: str) -> DataFrame:
-    """One row per row of `docs`: doc_id, the columns that `reduce(model, ids)` gives for the text's ids (named and typed
-    by `schema`), n_chunks and n_shared_chunks."""
+    """One row per row of `docs`: doc_id, the columns that `reduce(model, ids)` gives as a dict for the text's ids (named and
+    typed by `schema`), n_chunks and n_shared_chunks.
+
+    Texts are shuffled once, packed, by digest; only those that wait for a chunk of another text (they hold one that is
+    shared and not theirs) are shuffled again. Chunk digests, not chunks, are grouped to find what is shared."""
     rows = docs.select("doc_id", text_of().alias("text"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    ready = rows.select("digest", "text").mapInArrow(_prepared, "digest binary, packed binary, chunks array<binary>")
-    texts = ready.groupBy("digest").agg(F.first("packed").alias("packed"), F.first("chunks").alias("chunks"))
-
-    places = texts.select("digest", F.posexplode("chunks").alias("at", "chunk"))
+    lists = rows.select("digest", "text").mapInArrow(_chunk_keys, "digest binary, chunks array<binary>").groupBy("digest").agg(F.first("chunks").alias("chunks"))
+    places = staged(lists, "chunk-lists").select("digest", F.posexplode("chunks").alias("at", "chunk"))
     shared = places.groupBy("chunk").agg(F.count("*").alias("n"), F.min(F.struct("digest", "at")).alias("owner")).filter("n > 1")
-    owned = shared.select("owner.digest", F.struct(F.col("owner.at").alias("at"), "chunk").alias("own")).groupBy("digest").agg(F.collect_list("own").alias("own"))
-    encoded = texts.select("digest", "packed").join(owned, "digest").select("packed", "own").mapInArrow(_owned(tokenizer), "chunk binary, ids binary")
-    given = places.join(encoded, "chunk").groupBy("digest").agg(F.collect_list(F.struct("at", "ids")).alias("shared"))
-
-    out = f"digest binary, {schema}, n_chunks long, n_shared_chunks long"
-    fields = [c.split() for c in out.split(", ")]
-    kinds = [{"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}[k] for _, k in fields]
-    assembled = texts.select("digest", "packed").join(given, "digest", "left").mapInArrow(_assembled(tokenizer, reduce, [n for n, _ in fields], kinds), out)
-    return rows.select("doc_id", "digest").join(assembled, "digest").drop("digest")
+    owned = (F.col("owner.digest") == F.col("digest")) & (F.col("owner.at") == F.col("at"))
+    marks = places.join(shared, "chunk").groupBy("digest").agg(F.collect_list(F.struct("at", "chunk", owned.alias("owned"))).alias("marks"))
+    texts = rows.select("digest", "text").mapInArrow(_packed, "digest binary, packed binary").groupBy("digest").agg(F.first("packed").alias("packed"))
+
+    results = f"digest binary, n_chunks long, n_shared_chunks long, {schema}"
+    kinds = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}
+    typed = lambda s: [(n, kinds[k]) for n, k in map(str.split, s.split(", "))]
+    extra = "packed binary, chunk binary, ids binary"
+    first = texts.join(marks, "digest", "left").mapInArrow(_first_pass(tokenizer, reduce, typed(f"{results}, {extra}")), f"{results}, {extra}")
+    first = staged(first, "first-pass")
+    given = places.join(first.filter("chunk IS NOT NULL").select("chunk", "ids"), "chunk").groupBy("digest").agg(F.collect_list(F.struct("at", "ids")).alias("shared"))
+    second = first.filter("packed IS NOT NULL").select("digest", "packed").join(given, "digest").mapInArrow(_second_pass(tokenizer, reduce, typed(results)), results)
+    done = first.filter("n_chunks IS NOT NULL").select(*second.columns).unionByName(second)
+    named = [n for n, _ in typed(schema)]
+    return rows.select("doc_id", "digest").join(done, "digest").select("doc_id", *named, "n_chunks", "n_shared_chunks")
 
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 _decimal: list[str] = []
 
 
-def digests(model: bpe.Bpe, ids: np.ndarray) -> tuple[int, str, str]:
+def digests(model: bpe.Bpe, ids: np.ndarray) -> dict:
     """n_tokens, SHA-256 of the ids in decimal joined by commas, SHA-256 of the decoded text."""
     if len(_decimal) < model.size:
         _decimal[:] = map(str, range(model.size))
     listed = ids.tolist()
     decimal = ",".join(map(_decimal.__getitem__, listed))
-    return len(listed), hashlib.sha256(decimal.encode()).hexdigest(), hashlib.sha256(model.decode(listed).encode()).hexdigest()
+    decoded = model.decode(listed)
+    return {"n_tokens": len(listed), "ids_sha256": hashlib.sha256(decimal.encode()).hexdigest(), "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest()}
 
 
 def op3_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
