@@ -18,7 +18,7 @@ _RESOURCES = """SELECT dataset, path, bytes, mask, CASE WHEN mask = 'None' THEN
   CASE WHEN mask = 'None' THEN 'none' WHEN mask = 'ds_YYYY.tif' THEN 'year' WHEN mask LIKE '%MM%' THEN 'year month' ELSE 'year day' END AS type FROM {files}"""
 
 
-@query("cat_resources", f'SELECT dataset, name, path, bytes, s AS "start", e AS "end", type, NULL AS problem FROM ({_RESOURCES}) AS r')
+@query("cat_resources", f'SELECT dataset, name, path, bytes, s AS "start", e AS "end", type, NULL::VARCHAR AS problem FROM ({_RESOURCES}) AS r')
 def cat_resources(v: Views) -> DataFrame:
     return C.build_resources(v.files.drop("name"))
 

@@ -60,7 +60,7 @@ def geo_cell_of_point(v: Views) -> DataFrame:
     return v.locations.select("project_location_id", G.cell_of(F.col("longitude"), F.col("latitude"), **GRID).alias("c")).select("project_location_id", "c.*")
 
 
-WEIGHTS_SQL = """SELECT asdf_id, r AS grid_row, c AS grid_col, (least(sc1, 10 * c + 10) - greatest(sc0, 10 * c)) * (least(sr1, 10 * r + 10) - greatest(sr0, 10 * r)) AS cover FROM {features},
+WEIGHTS_SQL = """SELECT asdf_id, r::INT AS grid_row, c::INT AS grid_col, (least(sc1, 10 * c + 10) - greatest(sc0, 10 * c)) * (least(sr1, 10 * r + 10) - greatest(sr0, 10 * r)) AS cover FROM {features},
   (SELECT unnest(range(60)) AS r) AS rr, (SELECT unnest(range(120)) AS c) AS cc WHERE least(sc1, 10 * c + 10) > greatest(sc0, 10 * c) AND least(sr1, 10 * r + 10) > greatest(sr0, 10 * r)"""
 
 

@@ -162,7 +162,7 @@ def _money(v: Views) -> DataFrame:
 
 
 _GEOM = "'RG' || CAST(floor((longitude + 180) / 72) AS INT)"
-_CELLS = "SELECT iso3 AS geom, r AS grid_row, c AS grid_col FROM {adm0}, (SELECT unnest(range(60)) AS r) AS rr, (SELECT unnest(range(120)) AS c) AS cc WHERE 10 * c >= sc0 AND 10 * c < sc1"
+_CELLS = "SELECT iso3 AS geom, r::INT AS grid_row, c::INT AS grid_col FROM {adm0}, (SELECT unnest(range(60)) AS r) AS rr, (SELECT unnest(range(120)) AS c) AS cc WHERE 10 * c >= sc0 AND 10 * c < sc1"
 
 
 @query("msr_spread", f"SELECT geom, grid_row, grid_col, round(value / 1440, 3) AS value FROM (SELECT {_GEOM} AS geom, sum(split_dollars_pp) AS value FROM ({_SPLIT}) AS s GROUP BY 1) AS m JOIN ({_CELLS}) AS c USING (geom)")
