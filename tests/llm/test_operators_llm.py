@@ -271,6 +271,7 @@ def test_line_rules(docs):
         tokens = [r.choice((b"a", b"b", b"c", b"dd", b"e")) for _ in range(n)]
         assert line_clean.repeated_words(tokens) == brute_repeats(tokens)
     assert line_clean.line_fails("Home | About | Contact | Login", 7) and line_clean.line_fails("Licensed under CC BY 4.0.", 5) and line_clean.line_fails("a line that never ends", 5)
+    assert not line_clean.line_fails("words without end. " * 15 + "and so", 47) and line_clean.line_fails("words without end " * 15, 45)
     assert not line_clean.line_fails("A plain sentence, that is all.", 6) and not line_clean.line_fails("Heading", 1)
     clean, figures = line_clean.clean_text("Good words stand here today.\nHome | A | B | C |\nGood words stand here today.")
     assert clean.count("\n") == 1 and figures[3] == 1 and figures[6] == 1
