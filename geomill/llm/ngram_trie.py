@@ -40,8 +40,8 @@ from geomill.llm.common import documents, remainder, staged, text_of
 from geomill.llm.words import mix, word_hashes
 
 STRENGTH, GRID = 64.0, 2048
-SHARDS, SHARD_BYTES = 64, 16 << 20  # at least so many; bytes of text for each
-BATCH_BYTES, BATCH_DOCS = 12 << 20, 32_000
+SHARDS, SHARD_BYTES = 96, 8 << 20  # at least so many; bytes of text for each
+BATCH_BYTES, BATCH_DOCS = 8 << 20, 32_000
 START, END = np.uint64(0x1D8AF066F5B7B3C1), np.uint64(0x8E9D5C3FD1A26B47)
 LEARNED = np.uint16(0x8000)  # marks a learned document's place in its batch
 U64 = np.uint64
