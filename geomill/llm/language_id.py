@@ -2,8 +2,8 @@
 
 For every language a suffix automaton over a sample of its labelled text knows all substrings of the sample. A text
 is parsed left to right into phrases, each the longest match that the automaton can follow; the language that
-needs the fewest phrases, normalised by the length of its sample, wins. Letters are lower-cased; a run of anything
-else is one space. Texts are parsed whole, in segments of SEGMENT symbols side by side (a phrase ends with its segment).
+needs the fewest phrases, normalised by the length of its sample, wins. Letters are lower-cased; every letter of any
+sample is a symbol of its own, in any script; a run of anything else is one space. Texts are parsed whole, in segments of SEGMENT symbols side by side (a phrase ends with its segment).
 
 Fitting takes a bounded sample, by hash order and alike at every size: up to DOCS labelled documents of each language
 (200 to 20,000 characters), of which the first CHARS symbols in total are learned, fewer when there are over
@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,36 +30,44 @@ from pyspark.sql import functions as F
 from geomill.llm.common import documents, remainder, staged
 
 DOCS, CHARS, CHARS_ALL, SHORT, LONG = 256, 30_000, 240_000, 200, 20_000
-SYMBOLS, SEGMENT, AT_ONCE, MAX_BROADCAST = 94, 256, 1_000_000, 100_000
+SEGMENT, AT_ONCE, MAX_BROADCAST = 256, 1_000_000, 100_000
 SPACE, OTHER, PAD = 0, 1, 2  # symbols; letters of the alphabet follow
 UNKNOWN = "und"
 
 
+def fold(char: str) -> str:
+    return char.lower()[0]  # one letter where lower case has a mark after it
+
+
 class Alphabet:
-    """The most frequent letters of the samples; every other letter is OTHER, anything else SPACE."""
+    """The letters of the samples; a letter that no sample has is OTHER, anything else SPACE."""
 
     def __init__(self, letters: str) -> None:
         place = {c: k + 3 for k, c in enumerate(letters)}
         self.size = len(letters) + 3
-        self.of = np.full(0x10000, SPACE, np.uint8)
-        for code in range(0x10000):
-            char = chr(code)
+        self.of = np.full(0x110000, SPACE, np.int32)
+        for code, char in enumerate(map(chr, range(0x110000))):
             if char.isalpha():
-                self.of[code] = place.get(char.lower(), OTHER)
+                self.of[code] = place.get(fold(char), OTHER)
 
     def symbols(self, text: str) -> np.ndarray:
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-        out = self.of[np.minimum(codes, 0xFFFF)]
-        for at in np.flatnonzero(codes > 0xFFFF):
-            out[at] = OTHER if chr(codes[at]).isalpha() else SPACE
+        out = self.of[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
         keep = np.ones(len(out), bool)
         keep[1:] = (out[1:] != SPACE) | (out[:-1] != SPACE)
         return out[keep]
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """The transitions [state, symbol] of the automaton of all substrings, -1 where there is none; 0 is the start. The last
-    state has no transitions: there any symbol begins a phrase. PAD stays in any state."""
+class Automaton(NamedTuple):
+    """The transitions of all states laid into one array: that of a state by a symbol is at state + symbol, as state << 32 | next
+    state; another state's number there, or -1, means none."""
+
+    table: np.ndarray
+    again: np.ndarray  # by symbol: the state after a phrase begins with it
+    fresh: int  # the state without transitions: there any symbol begins a phrase
+
+
+def suffix_automaton(symbols: list[int], alphabet: int) -> Automaton:
+    """The automaton of all substrings."""
     goes, link, length, last = [{}], [-1], [0], 0
     for c in symbols:
         new = len(goes)
@@ -83,25 +92,52 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    table = np.full((len(goes) + 1, alphabet), -1, np.int32)
-    for state, moves in enumerate(goes):
+    for moves in goes:
+        moves.pop(OTHER, None)
+    return laid_out([*goes, {}], alphabet)
+
+
+def laid_out(goes: list[dict[int, int]], alphabet: int) -> Automaton:
+    """States (0 the start, the last one without transitions) numbered by the first place where all their transitions are free."""
+    number, taken, used, low = [0] * len(goes), bytearray(2 * alphabet), bytearray(2 * alphabet), 0
+    for state in sorted(range(len(goes)), key=lambda s: -len(goes[s])):
+        first, *others = sorted(goes[state]) or [0]
+        at, tries = max(low, first), 0
+        while True:
+            at = (taken if goes[state] else used).find(0, at)
+            if at < 0 or at + alphabet >= len(taken):
+                at = len(taken) - alphabet if at < 0 else at
+                taken.extend(bytes(len(taken)))
+                used.extend(bytes(len(used)))
+                continue
+            if not used[at - first] and not any(taken[at - first + c] for c in others):
+                break
+            at, tries = at + 1, tries + 1
+            if tries % 16 == 0:  # the places at the low end are hardly ever free together
+                low = taken.find(0, low) + 1
+        number[state] = at - first
+        used[at - first] = 1
+        for c in goes[state]:
+            taken[at - first + c] = 1
+    table = np.full(max(number) + alphabet, -1, np.int64)
+    for state, moves in zip(number, goes, strict=True):
         for c, to in moves.items():
-            table[state, c] = to
-    table[:, PAD] = np.arange(len(table))
-    table[:, OTHER] = -1
-    return table
+            table[state + c] = state << 32 | number[to]
+    again = np.full(alphabet, number[-1], np.int64)  # an unknown symbol is a phrase of its own
+    for c, to in goes[0].items():
+        again[c] = number[to]
+    return Automaton(table, again, number[-1])
 
 
-def phrase_counts(segments: np.ndarray, table: np.ndarray) -> np.ndarray:
+def phrase_counts(segments: np.ndarray, automaton: Automaton) -> np.ndarray:
     """Phrases of each row of symbols (PAD only at its end), all rows walked side by side."""
-    flat, width, fresh = table.ravel(), table.shape[1], len(table) - 1
-    again = np.where(table[0] < 0, fresh, table[0])  # an unknown symbol is a phrase of its own
-    state, count = np.full(len(segments), fresh, np.int32), np.zeros(len(segments), np.int64)
+    table, again, fresh = automaton
+    state, count = np.full(len(segments), fresh, np.int64), -(segments == PAD).sum(axis=1)  # PAD never goes on
     for column in np.ascontiguousarray(segments.T):
-        to = flat[state * width + column]
-        missed = to < 0
+        entry = table[state + column]
+        missed = entry >> 32 != state
         count += missed
-        state = np.where(missed, again[column], to)
+        state = np.where(missed, again[column], entry & 0xFFFFFFFF)
     return count
 
 
@@ -119,20 +155,20 @@ def sample(docs: DataFrame) -> DataFrame:
     return fit.join(F.broadcast(chosen) if few else chosen, ["lang", "doc_id"]).select("lang", "place", "text")
 
 
-def fit_languages(docs: DataFrame) -> tuple[list[str], Alphabet, list[np.ndarray], list[float]]:
+def fit_languages(docs: DataFrame) -> tuple[list[str], Alphabet, list[Automaton], list[float]]:
     """(languages, alphabet, automata, log2 of the sample lengths); the driver holds the bounded sample only."""
     drawn = sample(docs)
     names = sorted(r.lang for r in drawn.select("lang").distinct().collect())
     chars = min(CHARS, CHARS_ALL // max(1, len(names)))
     prefix = F.aggregate(F.array_sort(F.collect_list(F.struct("place", "text"))), F.lit(""), lambda a, x: F.when(F.length(a) < chars, F.concat(a, F.lit(" "), x["text"])).otherwise(a))
     texts = {r.lang: r.text[: 2 * chars] for r in drawn.groupBy("lang").agg(prefix.alias("text")).collect()}
-    letters = Counter(c for t in texts.values() for c in t.lower() if c.isalpha() and ord(c) < 0x10000)
-    alphabet = Alphabet("".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:SYMBOLS]))
+    letters = Counter(fold(c) for t in texts.values() for c in t if c.isalpha())
+    alphabet = Alphabet("".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))))
     learned = [alphabet.symbols(texts[n])[:chars] for n in names]
     return names, alphabet, [suffix_automaton(s.tolist(), alphabet.size) for s in learned], [math.log2(len(s) + 2) for s in learned]
 
 
-def predict(docs: DataFrame, names: list[str], alphabet: Alphabet, automata: list[np.ndarray], logs: list[float]) -> DataFrame:
+def predict(docs: DataFrame, names: list[str], alphabet: Alphabet, automata: list[Automaton], logs: list[float]) -> DataFrame:
     """doc_id, lang_pred, score, n_phrases (of the winner)."""
     shared = docs.sparkSession.sparkContext.broadcast((names, alphabet, automata, logs))  # bounded by CHARS_ALL
 
@@ -141,7 +177,7 @@ def predict(docs: DataFrame, names: list[str], alphabet: Alphabet, automata: lis
         symbols = [alphabet.symbols(t or "") for t in texts]
         letters = [bool((s != SPACE).any()) for s in symbols]
         lines = [-(-len(s) // SEGMENT) for s in symbols]
-        grid = np.full((sum(lines), SEGMENT), PAD, np.uint8)
+        grid = np.full((sum(lines), SEGMENT), PAD, np.int32)
         at = 0
         for s, n in zip(symbols, lines, strict=True):
             grid[at : at + n].reshape(-1)[: len(s)] = s

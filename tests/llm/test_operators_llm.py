@@ -389,6 +389,43 @@ def test_language_id(spark, docs):
     assert {x.lang_pred for x in language_id.predict(held, *nothing).collect()} == {"und"}
 
 
+def test_phrases_over_many_letters():
+    r = random.Random(18)
+    sample = [r.choice((0, *range(3, 2000))) if r.random() < 0.5 else r.choice((3, 4, 5)) for _ in range(3000)]
+    rows = [[x for _ in range(20) for at in [r.randrange(2990)] for x in (*sample[at : at + r.randint(1, 9)], r.randrange(3, 2100))] for _ in range(40)]
+    grid = np.full((40, max(map(len, rows))), language_id.PAD, np.int32)
+    for k, row in enumerate(rows):
+        grid[k, : len(row)] = row
+    chars = lambda x: "".join(map(chr, x))
+    text = chars(sample)
+
+    def brute(row):
+        n, at = 0, 0
+        while at < len(row):
+            stop = at + 1
+            while stop < len(row) and chars(row[at : stop + 1]) in text:
+                stop += 1
+            n, at = n + 1, stop
+        return n
+
+    assert language_id.phrase_counts(grid, language_id.suffix_automaton(sample, 2100)).tolist() == list(map(brute, rows))
+
+
+def test_language_id_of_many_scripts(spark):
+    """The two Han languages, and the two beyond 16 bits, have the same letters and differ in their words only."""
+    r = random.Random(88)
+    span = lambda a, n: [chr(a + k) for k in range(n)]
+    han, gothic = span(0x4E00, 1500), span(0x10330, 17)
+    scripts = {"zh": han, "yue": han, "ja": span(0x3042, 80) + span(0x30A2, 80) + han[:200], "ko": span(0xAC00, 900), "ru": span(0x430, 32), "uk": span(0x430, 32), "el": span(0x3B1, 25), "fr": list("abcdefghijklmnopqrstuvwxyzéèçàù"), "ar": span(0x628, 18), "x1": gothic, "x2": gothic}
+    known = {lang: ["".join(r.choice(letters) for _ in range(r.randint(2, 5))) for _ in range(300)] for lang, letters in scripts.items()}
+    rows = [(k, " ".join(r.choice(known[lang]) for _ in range(120)), lang) for k, lang in enumerate(list(scripts) * 40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, alphabet, *model = language_id.fit_languages(table)
+    assert names == sorted(scripts) and alphabet.size > 1500
+    got = {x.doc_id: x.lang_pred for x in language_id.predict(table, names, alphabet, *model).collect()}
+    assert sum(got[k] == lang for k, _, lang in rows) >= 0.99 * len(rows)
+
+
 # ---- 9: quality rules ----
 
 
