@@ -267,7 +267,7 @@ def _shard(n: int, v: int, frequent: np.ndarray, frequent_counts: np.ndarray):
             value = trie.find(rank, (key & U64(0xFFFFFFFF)).astype(np.uint32)).astype(np.int64) + trie.context[rank]
             docs, doc = np.unique(np.frombuffer(r["places"], "<u2") & ~LEARNED, return_inverse=True)
             sums = [np.bincount(doc, np.repeat(x, each)) for x in (value, base[rank], counts[rank] > 0)]
-            out.append({"batch": r["batch"], "shard": r["shard"], "places": docs.astype("<u2").tobytes(), "model": sums[0].astype("<i4").tobytes(), "base": sums[1].astype("<f8").tobytes(), "known": sums[2].astype("<u4").tobytes()})
+            out.append({"batch": r["batch"], "shard": r["shard"], "places": docs.astype("<u2").tobytes(), "model": sums[0].astype("<i8").tobytes(), "base": sums[1].astype("<f8").tobytes(), "known": sums[2].astype("<u4").tobytes()})
         return pa.Table.from_pylist(out, schema=SUMS_ARROW)
 
     return score
@@ -282,7 +282,7 @@ def _added(n: int, v: int):
         for r in rows:
             if r["doc_ids"] is None:
                 at = np.frombuffer(r["places"], "<u2")
-                model[at] += np.frombuffer(r["model"], "<i4")
+                model[at] += np.frombuffer(r["model"], "<i8")
                 base[at] += np.frombuffer(r["base"], "<f8")
                 known[at] += np.frombuffer(r["known"], "<u4")
         tokens = np.frombuffer(docs["n_tokens"], "<u8").astype(np.int64)

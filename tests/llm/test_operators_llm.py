@@ -255,6 +255,18 @@ def test_lm_learns_from_nothing(docs):
     assert ngram_trie.lm_scores(docs.limit(0), F.lit(True))[0].count() == 0
 
 
+def test_lm_scores_a_long_run_of_an_unseen_word(spark):
+    """Its terms in one shard add up to over 2**31 grid units."""
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    taught = [i for i in range(100, 130) if zlib.crc32(str(i).encode()) % 5 != 1]
+    rows = [(held, "zzq " * 300_000), *((i, words(i, 300)) for i in taught)]
+    scored, _ = ngram_trie.lm_scores(spark.createDataFrame(rows, "doc_id long, text string"), common.remainder("doc_id", 5) != 1)
+    got, want = {r.doc_id: r for r in scored.collect()}, {w[0]: w for w in brute_lm(rows)}
+    assert got[held].n_known == 1 and want[held][4] * ngram_trie.GRID < -(2**31)
+    for i, _ in rows:
+        assert abs(got[i].score - want[i][4]) <= 1e-3 * want[i][1]
+
+
 # ---- 6: line rules ----
 
 
