@@ -5,9 +5,9 @@ is parsed left to right into phrases, each the longest match that the automaton
 needs the fewest phrases, normalised by the length of its sample, wins. Letters are lower-cased; every letter of any
 sample is a symbol of its own, in any script; a run of anything else is one space. Texts are parsed whole, in segments of SEGMENT symbols side by side (a phrase ends with its segment).
 
-Fitting takes a bounded sample, by hash order and alike at every size: up to DOCS labelled documents of each language
-(200 to 20,000 characters), of which the first CHARS symbols in total are learned, fewer when there are over
-CHARS_ALL / CHARS languages. score is 1 - phrases of the winner / phrases of the runner-up (1 where there is one
+Fitting takes a bounded sample, by hash order and alike at every size: of each language, whatever their number, the labelled
+documents with a letter in turn, those of 200 to 20,000 characters first, then all others (short ones join, of a long one
+counts the beginning of 20,000 characters), until 2 * CHARS characters; of these the first CHARS symbols are learned. score is 1 - phrases of the winner / phrases of the runner-up (1 where there is one
 language only).
 
 Defined cases: a text that is null or has no letter is `und` with score 0, as is every text when nothing could be
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from geomill.llm.common import documents, remainder, staged
 
-DOCS, CHARS, CHARS_ALL, SHORT, LONG = 256, 30_000, 240_000, 200, 20_000
+CHARS, SHORT, LONG = 30_000, 200, 20_000
 SEGMENT, AT_ONCE, MAX_BROADCAST = 256, 1_000_000, 100_000
 SPACE, OTHER, PAD = 0, 1, 2  # symbols; letters of the alphabet follow
 UNKNOWN = "und"
@@ -144,33 +144,45 @@ def phrase_counts(segments: np.ndarray, automaton: Automaton) -> np.ndarray:
 # ---- fitting and prediction ----
 
 
+PLACES = 40  # bits of a document's place in the order
+
+
 def sample(docs: DataFrame) -> DataFrame:
-    """lang, place, text: at most DOCS documents of each language, those of the smallest hash in each of DOCS shares."""
-    fit = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (remainder("doc_id", 4) != 2))
-    fit = fit.filter(F.length("text").between(SHORT, LONG)).select("doc_id", "lang", "text")
-    place = F.xxhash64("doc_id")
-    chosen = fit.groupBy("lang", F.pmod(place, F.lit(DOCS)).alias("share")).agg(F.min(F.struct(place.alias("place"), "doc_id")).alias("c"))
-    chosen = staged(chosen.select("lang", "c.place", "c.doc_id"), "language-sample")
+    """lang, rank, place, text: of each language documents in the order of (rank, place) that hold 2 * CHARS characters, or all
+    where there are fewer, and some twice as many at most on average. The rank is the length of the place in bits, after
+    the in-band documents' for others, so each rank doubles those before it and counts per rank tell where to stop."""
+    fit = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & (remainder("doc_id", 4) != 2) & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
+    sizes = fit.groupBy("lang", "doc_id").agg(F.min(F.length("text")).alias("size"))  # a repeated row counts once
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << PLACES))
+    rank = F.length(F.bin(place)) + F.when(F.col("size").between(SHORT, LONG), 0).otherwise(PLACES + 1)
+    sizes = staged(sizes.select("lang", "doc_id", place.alias("place"), rank.cast("int").alias("rank"), F.least("size", F.lit(LONG)).alias("size")), "language-sizes")
+    last, held = {}, Counter()
+    for r in sorted(sizes.groupBy("lang", "rank").agg(F.sum("size").alias("size")).collect(), key=lambda r: r["rank"]):  # at most 2 * (PLACES + 1) of a language
+        if held[r["lang"]] < 2 * CHARS:
+            last[r["lang"]] = r["rank"]
+        held[r["lang"]] += r["size"]
+    stops = F.broadcast(docs.sparkSession.createDataFrame(list(last.items()), "lang string, stop int"))
+    chosen = staged(sizes.join(stops, "lang").filter("rank <= stop").select("lang", "doc_id", "rank", "place"), "language-sample")
     few = chosen.count() <= MAX_BROADCAST
-    return fit.join(F.broadcast(chosen) if few else chosen, ["lang", "doc_id"]).select("lang", "place", "text")
+    found = fit.join(F.broadcast(chosen) if few else chosen, ["lang", "doc_id"]).withColumn("text", F.substring("text", 1, LONG))
+    return found.groupBy("lang", "doc_id", "rank", "place").agg(F.min("text").alias("text")).select("lang", "rank", "place", "text")
 
 
 def fit_languages(docs: DataFrame) -> tuple[list[str], Alphabet, list[Automaton], list[float]]:
     """(languages, alphabet, automata, log2 of the sample lengths); the driver holds the bounded sample only."""
     drawn = sample(docs)
     names = sorted(r.lang for r in drawn.select("lang").distinct().collect())
-    chars = min(CHARS, CHARS_ALL // max(1, len(names)))
-    prefix = F.aggregate(F.array_sort(F.collect_list(F.struct("place", "text"))), F.lit(""), lambda a, x: F.when(F.length(a) < chars, F.concat(a, F.lit(" "), x["text"])).otherwise(a))
-    texts = {r.lang: r.text[: 2 * chars] for r in drawn.groupBy("lang").agg(prefix.alias("text")).collect()}
+    prefix = F.aggregate(F.array_sort(F.collect_list(F.struct("rank", "place", "text"))), F.lit(""), lambda a, x: F.when(F.length(a) < 2 * CHARS, F.concat(a, F.lit(" "), x["text"])).otherwise(a))
+    texts = {r.lang: r.text[: 2 * CHARS] for r in drawn.groupBy("lang").agg(prefix.alias("text")).collect()}
     letters = Counter(fold(c) for t in texts.values() for c in t if c.isalpha())
     alphabet = Alphabet("".join(c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))))
-    learned = [alphabet.symbols(texts[n])[:chars] for n in names]
+    learned = [alphabet.symbols(texts[n])[:CHARS] for n in names]
     return names, alphabet, [suffix_automaton(s.tolist(), alphabet.size) for s in learned], [math.log2(len(s) + 2) for s in learned]
 
 
 def predict(docs: DataFrame, names: list[str], alphabet: Alphabet, automata: list[Automaton], logs: list[float]) -> DataFrame:
     """doc_id, lang_pred, score, n_phrases (of the winner)."""
-    shared = docs.sparkSession.sparkContext.broadcast((names, alphabet, automata, logs))  # bounded by CHARS_ALL
+    shared = docs.sparkSession.sparkContext.broadcast((names, alphabet, automata, logs))  # some 1 MB of each language
 
     def parse(texts: list[str | None]) -> list[tuple]:
         names, alphabet, automata, logs = shared.value

@@ -438,6 +438,24 @@ def test_language_id_of_many_scripts(spark):
     assert sum(got[k] == lang for k, _, lang in rows) >= 0.99 * len(rows)
 
 
+def test_language_id_learns_from_texts_of_any_length(spark):
+    """Twelve languages: of posts, of books, and of one book and one in-band text; each learns CHARS symbols where it has them."""
+    r = random.Random(89)
+    letters = "abcdefghijklmnop"
+    known = {f"l{k:02}": ["".join(r.choice(letters) for _ in range(r.randint(3, 7))) for _ in range(200)] for k in range(12)}
+    text = lambda lang, n: " ".join(r.choice(known[lang]) for _ in range(n))
+    rows = []
+    for k, lang in enumerate(known):
+        lengths = [8] * 1500 if k % 3 == 0 else [6000] * 6 if k % 3 == 1 else [8000, 60, 60, 60, 8000, 8000]
+        rows += [(len(rows) + i, text(lang, n), lang) for i, n in enumerate(lengths)]
+    rows += rows[:1] * 50
+    names, *model = language_id.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert names == sorted(known) and all(2**log - 2 >= 0.99 * language_id.CHARS for log in model[2])
+    asked = [(k, text(lang, 60), lang) for k, lang in enumerate(list(known) * 5)]
+    got = {x.doc_id: x.lang_pred for x in language_id.predict(spark.createDataFrame(asked, "doc_id long, text string, lang string"), names, *model).collect()}
+    assert [got[k] for k, *_ in asked] == [lang for *_, lang in asked]
+
+
 # ---- 9: quality rules ----
 
 
