@@ -1,23 +1,28 @@
-"""Operator 5: language-model scoring with Elias-Fano n-gram tries.
+"""Operator 5: language-model scoring with Elias-Fano n-gram tries of order three.
 
-The model is a bigram model with Dirichlet smoothing: p(w | h) = (c(h w) + M * u(w)) / (c(h) + M), where
-u(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)), c, N and V being counts over the learned documents' tokens, and M = STRENGTH. Its
-logarithm is a sum of a term of the pair (h, w) and a term of the context's own count, so each word's terms can be
-looked up where that word's counts are, and a document's score is the sum of what all shards add.
+The model adds the counts of three orders with fixed weights:
+p(w | g h) = (c(g h w) + BACK * (c(h w) + PRIOR * u(w))) / (c(g h) + BACK * (c(h) + PRIOR)), where
+u(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)), c, N and V being counts over the learned documents' tokens. It sums to one over the
+learned words and one unseen one. Its logarithm is a term of (g, h, w) and a term of the context (g, h); the first needs
+counts of n-grams that end with w, the second of those that end with h, so each is found where its last word's counts
+are, and a document's score is the sum of what all shards add.
 
 1. Distinct words with counts go to shards by hash range: sorted word hashes in Elias-Fano code with their counts (N
    and V are their sums).
-2. Every batch of texts sends each shard its distinct words, for each the distinct words before it (32-bit ids
-   relative to the word), and the documents they stand in. Words with over 1 / (4 * shards) of all tokens (at most 4 *
-   shards of them) are dealt over all shards by the word before, so no shard holds a frequent word alone.
-3. A shard builds its trie from the learned documents' pairs: level one the words, monotone Elias-Fano pointers into
-   level two, and per word the sorted ids of the words before it, each with its smoothed logarithm quantised to
-   1 / GRID. The levels are one flat buffer, used in place from memory or a memory-mapped file. Pairs are looked up by
-   successor search inside the word's range; those not found get the word's smoothed unigram term.
+2. Every batch of texts sends each shard its distinct words, for each the distinct words before it, for each of these the
+   words before that, and for each the documents and how often. Words with over 1 / (4 * shards) of all tokens, learned or
+   not, are dealt over all shards by the word before. They are at most MOST_SPLIT (the share is 1 / MOST_SPLIT at least),
+   so what is broadcast has a fixed bound.
+3. A shard builds its trie from the learned n-grams, writes it to an unlinked scratch file of the task and maps it. Levels:
+   words; names (the words before, as sorted 40-bit hashes); children of words and children of pairs, each stored
+   as parent * names + rank of the child among the names, which is monotone; monotone pointers to where each parent's
+   children begin; smoothed logarithms quantised to 1 / GRID in 16 bits. All sequences are in Elias-Fano code and are
+   queried as they are: a child is found by successor search inside its parent's range, never by expanding a level. What
+   is not found takes the term of the shorter n-gram.
 4. The sums of each document are added over shards, batch by batch.
 
-Tokens: words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased (64-bit hashes), then one end, which is a token. The first
-word's context is the start of the text.
+Tokens: words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased (64-bit hashes), then one end, which is a token. Two starts stand
+before the first word.
 
 Defined cases: a null text is empty (its end alone); rows with a null id are learned from; repeated rows count and are
 scored each by itself; with nothing to learn from all scores are 0; an empty table gives an empty result; other columns
@@ -28,10 +33,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,20 +46,34 @@ from pyspark.sql import functions as F
 from geomill.llm.common import documents, remainder, staged, text_of
 from geomill.llm.words import mix, word_hashes
 
-STRENGTH, GRID = 64.0, 2048
-SHARDS, SHARD_BYTES = 96, 8 << 20  # at least so many; bytes of text for each
+BACK, PRIOR, GRID = 1 / 128, 256.0, 2048
+SHARDS, SHARD_BYTES, MOST_SPLIT = 96, 8 << 20, 1 << 20  # at least so many shards; bytes of text for each
 BATCH_BYTES, BATCH_DOCS = 8 << 20, 32_000
 START, END = np.uint64(0x1D8AF066F5B7B3C1), np.uint64(0x8E9D5C3FD1A26B47)
-LEARNED = np.uint16(0x8000)  # marks a learned document's place in its batch
+LEARNED = 0x8000  # marks a learned document's place in its batch
 U64 = np.uint64
 
 
-# ---- Elias-Fano code and the trie ----
+# ---- Elias-Fano code ----
+
+_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
+_PLACES = np.array([[k for k in range(8) if b >> k & 1] + [8] * (8 - bin(b).count("1")) for b in range(256)], np.uint8)
+
+
+def _select(words: np.ndarray, before: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    """Places of the nth (from 0) set bits of packed 64-bit words; `before` counts the set bits before each word."""
+    at = np.searchsorted(before, nth, "right") - 1
+    left = nth - before[at]
+    octets = words[at].view(np.uint8).reshape(-1, 8)
+    sums = np.cumsum(_ONES[octets], axis=1, dtype=np.uint8)
+    byte, rows = (sums <= left[:, None]).sum(axis=1), np.arange(len(at))
+    left = left - np.where(byte > 0, sums[rows, byte - 1], 0)
+    return 64 * at + 8 * byte + _PLACES[octets[rows, byte], left]
 
 
 class EliasFano:
-    """A monotone sequence: the low bytes as they are, the rest in unary steps. Packed: low width, count, bytes of the upper
-    part, upper part, low bytes."""
+    """A monotone sequence as it is coded: the low bytes of the values as they are; of each next value a set bit after as many
+    clear bits as the rest grew; and a count of set bits before every 64 of these."""
 
     @staticmethod
     def pack(values: np.ndarray) -> bytes:
@@ -61,68 +82,168 @@ class EliasFano:
         width = 0
         while width < 7 and (top >> (8 * width)) > 4 * n + 64:
             width += 1
-        high = (values >> U64(8 * width)).astype(np.int64)
-        bits = np.zeros((int(high[-1]) if n else 0) + n + 1, np.uint8)
+        high, last = (values >> U64(8 * width)).astype(np.int64), top >> (8 * width)
+        bits = np.zeros(-(-(last + n + 2) // 64) * 64, np.uint8)
         bits[high + np.arange(n)] = 1
-        upper = np.packbits(bits).tobytes()
+        upper = np.packbits(bits, bitorder="little")
+        sums = np.cumsum(_ONES[upper].reshape(-1, 8).sum(axis=1))
+        before = np.append(0, sums[:-1]).astype("<u8")
         low = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(n, 8)[:, :width]).tobytes()
-        return np.array([width, n, len(upper)], "<u8").tobytes() + upper + low
+        return np.array([width, n, last, len(before)], "<u8").tobytes() + upper.tobytes() + before.tobytes() + low + bytes(-len(low) % 8)
 
-    @staticmethod
-    def unpack(buffer: np.ndarray) -> tuple[np.ndarray, int]:
-        """(the values, bytes used)."""
-        width, n, size = (int(x) for x in np.frombuffer(buffer[:24].tobytes(), "<u8"))
-        ones = np.flatnonzero(np.unpackbits(buffer[24 : 24 + size]))[:n]
-        low = np.zeros((n, 8), np.uint8)
-        low[:, :width] = buffer[24 + size : 24 + size + n * width].reshape(n, width)
-        return (ones - np.arange(n)).astype(np.uint64) << U64(8 * width) | low.reshape(-1).view("<u8"), 24 + size + n * width
+    def __init__(self, buffer: np.ndarray) -> None:
+        """From the head of a buffer of bytes, of which `used` are its own; nothing is copied or expanded."""
+        self.width, self.size, self.last, n = np.frombuffer(buffer[:32], "<u8").astype(int).tolist()
+        self.upper, self.before = np.frombuffer(buffer[32 : 32 + 8 * n], "<u8"), np.frombuffer(buffer[32 + 8 * n : 32 + 16 * n], "<u8")
+        at = 32 + 16 * n
+        self.low = buffer[at : at + self.size * self.width].reshape(self.size, self.width)
+        self.used = at + -(-self.size * self.width // 8) * 8
+
+    def _low(self, at: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(at), 8), np.uint8)
+        out[:, : self.width] = self.low[at]
+        return out.view("<u8").ravel()
+
+    def values(self, at: np.ndarray) -> np.ndarray:
+        at = np.asarray(at, np.int64)
+        high = _select(self.upper, self.before.astype(np.int64), at) - at
+        return high.astype(np.uint64) << U64(8 * self.width) | self._low(at)
+
+    def _first(self, high: np.ndarray) -> np.ndarray:
+        """How many values have a smaller high part."""
+        zeros = 64 * np.arange(len(self.before), dtype=np.int64) - self.before.astype(np.int64)
+        return np.where(high > 0, _select(~self.upper, zeros, np.maximum(high - 1, 0)) - high + 1, 0)
+
+    def find(self, keys: np.ndarray, low: np.ndarray | int = 0, stop: np.ndarray | int | None = None) -> np.ndarray:
+        """Where each key stands among the places low..stop - 1, or -1: the successor there, if it is the key itself."""
+        keys = np.asarray(keys, np.uint64)
+        high = np.minimum(keys >> U64(8 * self.width), U64(self.last + 1)).astype(np.int64)
+        a, end = np.maximum(self._first(high), low), np.minimum(self._first(high + 1), self.size if stop is None else stop)
+        b, rest = end.copy(), keys & U64((1 << 8 * self.width) - 1)
+        open_ = np.flatnonzero(a < b)
+        while len(open_):
+            middle = (a[open_] + b[open_]) >> 1
+            less = self._low(middle) < rest[open_]
+            a[open_[less]] = middle[less] + 1
+            b[open_[~less]] = middle[~less]
+            open_ = open_[a[open_] < b[open_]]
+        inside = np.flatnonzero((a < end) & (keys >> U64(8 * self.width) <= U64(self.last)))
+        out = np.full(len(keys), -1, np.int64)
+        met = inside[self._low(a[inside]) == rest[inside]]
+        out[met] = a[met]
+        return out
+
+
+# ---- the trie ----
+
+
+def quantise(logarithm: np.ndarray) -> np.ndarray:
+    return np.round(logarithm * GRID).astype("<i2")
 
 
 class Trie:
     """The levels of a shard over one flat buffer of bytes (an array in memory or a numpy.memmap)."""
 
+    CODES = ("words", "names", "children", "pairs", "grandchildren", "triples")
+    VALUES = ("unigram", "after_word", "bigram", "after_pair", "trigram")
+
     @staticmethod
-    def pack(words: np.ndarray, unigram: np.ndarray, context: np.ndarray, pairs: np.ndarray, quantised: np.ndarray) -> bytes:
-        """words: sorted hashes; unigram, context: their quantised terms; pairs: sorted rank << 32 | id of the word before."""
-        pointers = np.searchsorted(pairs >> U64(32), np.arange(len(words) + 1, dtype=np.uint64))
-        before = (pairs & U64(0xFFFFFFFF)).astype("<u4")
-        parts = [EliasFano.pack(words), EliasFano.pack(pointers), unigram.astype("<i4").tobytes(), context.astype("<i4").tobytes(), before.tobytes(), quantised.astype("<i4").tobytes()]
-        return b"".join(parts)
+    def pack(words: np.ndarray, names: np.ndarray, pairs: np.ndarray, triples: np.ndarray, values: list[np.ndarray]) -> bytes:
+        """words, names: sorted; pairs: sorted place of the word * names + place of the name; triples: the same over places of
+        pairs; values: the quantised terms in the order of VALUES."""
+        n = max(1, len(names))
+        children = np.searchsorted(pairs // U64(n), np.arange(len(words) + 1, dtype=np.uint64))
+        grandchildren = np.searchsorted(triples // U64(n), np.arange(len(pairs) + 1, dtype=np.uint64))
+        parts = [EliasFano.pack(x) for x in (words, names, children, pairs, grandchildren, triples)]
+        return b"".join([*parts, *(v.astype("<i2").tobytes() for v in values)])
 
     def __init__(self, buffer: np.ndarray) -> None:
-        self.words, at = EliasFano.unpack(buffer)
-        pointers, used = EliasFano.unpack(buffer[at:])
-        self.pointers, at, n = pointers.astype(np.int64), at + used, len(self.words)
-        views, sizes = [], (n, n, int(pointers[-1]), int(pointers[-1]))
-        for size, kind in zip(sizes, ("<i4", "<i4", "<u4", "<i4"), strict=True):
-            views.append(np.frombuffer(buffer[at : at + 4 * size], kind))
-            at += 4 * size
-        self.unigram, self.context, self.before, self.quantised = views
-
-    def find(self, rank: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """The quantised term of each pair: successor search for `before` among the ids of the word's range."""
-        low, stop = self.pointers[rank], self.pointers[rank + 1]
-        high, open_ = stop.copy(), np.flatnonzero(low < stop)
-        while len(open_):
-            middle = (low[open_] + high[open_]) >> 1
-            less = self.before[middle] < before[open_]
-            low[open_[less]] = middle[less] + 1
-            high[open_[~less]] = middle[~less]
-            open_ = open_[low[open_] < high[open_]]
-        out = self.unigram[rank].copy()
-        inside = np.flatnonzero(low < stop)
-        met = inside[self.before[low[inside]] == before[inside]]
-        out[met] = self.quantised[low[met]]
+        at = 0
+        for name in self.CODES:
+            setattr(self, name, code := EliasFano(buffer[at:]))
+            at += code.used
+        for name, size in zip(self.VALUES, (self.words.size, self.words.size, self.pairs.size, self.pairs.size, self.triples.size), strict=True):
+            setattr(self, name, np.frombuffer(buffer[at : at + 2 * size], "<i2"))
+            at += 2 * size
+
+    def _child(self, code: EliasFano, pointers: EliasFano, parent: np.ndarray, name: np.ndarray) -> np.ndarray:
+        out, ask = np.full(len(parent), -1, np.int64), np.flatnonzero((parent >= 0) & (name >= 0))
+        if len(ask):
+            owners, back = np.unique(parent[ask], return_inverse=True)
+            low, stop = (pointers.values(owners + k).astype(np.int64)[back] for k in (0, 1))
+            keys = parent[ask].astype(np.uint64) * U64(max(1, self.names.size)) + name[ask].astype(np.uint64)
+            out[ask] = code.find(keys, low, stop)
         return out
 
-
-def quantise(logarithm: np.ndarray) -> np.ndarray:
-    return np.round(logarithm * GRID).astype(np.int64)
+    def find(self, words: np.ndarray, ids: np.ndarray, pair_word: np.ndarray, pair_id: np.ndarray, triple_pair: np.ndarray, triple_id: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For n-grams given as places in `words` and `ids` (pairs) and in the pairs (triples): the terms of the triples, and
+        of the contexts that the pairs are."""
+        word, name = self.words.find(words), self.names.find(ids)
+        owner = word[pair_word]
+        pair = self._child(self.pairs, self.children, owner, name[pair_id])
+        triple = self._child(self.triples, self.grandchildren, pair[triple_pair], name[triple_id])
+        term, context = self.unigram[owner], self.after_word[owner]
+        known = np.flatnonzero(pair >= 0)
+        term[known], context[known] = self.bigram[pair[known]], self.after_pair[pair[known]]
+        terms, seen = term[triple_pair], np.flatnonzero(triple >= 0)
+        terms[seen] = self.trigram[triple[seen]]
+        return terms.astype(np.int64), context.astype(np.int64)
+
+
+def build_trie(words: np.ndarray, counts: np.ndarray, ids: np.ndarray, pairs: tuple, triples: tuple, n: int, v: int) -> bytes:
+    """words (sorted) with their counts (0: not learned); ids (sorted); pairs (place in words, place in ids, count) and
+    triples (place in pairs, place in ids, count), both sorted and learned (count 1 or more)."""
+    (pair_word, pair_id, pair_count), (triple_pair, triple_id, triple_count) = pairs, triples
+    used = np.zeros(len(ids), bool)
+    used[pair_id] = used[triple_id] = True
+    names, rank = ids[used], np.cumsum(used) - 1
+    size = max(1, len(names))
+    unigram = PRIOR * (counts + 0.5) / (n + 0.5 * (v + 1))
+    bigram = BACK * (pair_count + unigram[pair_word])
+    trigram = triple_count + bigram[triple_pair]
+    whole = BACK * (counts + PRIOR)
+    pair_whole = pair_count + whole[pair_word]
+    end = words == END  # its context is that of the first word: the two starts, which occur as often as ends
+    whole[end] += counts[end]
+    at_end = end[pair_word]
+    pair_whole[at_end] = whole[pair_word[at_end]]
+    terms = [quantise(np.log10(x)) for x in (BACK * unigram, 1 / whole, bigram, 1 / pair_whole, trigram)]
+    return Trie.pack(words, names, pair_word.astype(np.uint64) * U64(size) + rank[pair_id].astype(np.uint64), triple_pair.astype(np.uint64) * U64(size) + rank[triple_id].astype(np.uint64), terms)
 
 
 # ---- what batches of texts send ----
 
 
+def squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays of unsigned numbers, byte by byte of equal weight, as few bytes as the largest needs, compressed."""
+    heads, planes = [], []
+    for a in arrays:
+        width = max(1, -(-int(a.max()).bit_length() // 8)) if len(a) else 1
+        heads += [len(a), width]
+        planes.append(np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes())
+    return zstandard.ZstdCompressor(1).compress(np.array([len(arrays), *heads], "<u4").tobytes() + b"".join(planes))
+
+
+def loosened(packed: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    count = int(np.frombuffer(raw[:4], "<u4")[0])
+    heads, at, out = np.frombuffer(raw, "<u4", 2 * count, 4).tolist(), 4 + 8 * count, []
+    for n, width in zip(heads[0::2], heads[1::2], strict=True):
+        a = np.zeros((n, 8), np.uint8)
+        a[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
+        out.append(a.view("<u8").ravel())
+        at += n * width
+    return out
+
+
+def zigzag(x: np.ndarray) -> np.ndarray:
+    return ((x << 1) ^ (x >> 63)).view(np.uint64)
+
+
+def unzigzag(x: np.ndarray) -> np.ndarray:
+    return (x >> U64(1)).astype(np.int64) ^ -(x & U64(1)).astype(np.int64)
+
+
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(batch key, doc_ids, learned, tokens of each) of about BATCH_BYTES of text."""
     held, size, nth = [], 0, 0
@@ -149,126 +270,154 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _vocabulary(shards: int):
+    """Per shard the batch's distinct words, and how often learned and other documents have them."""
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, learned, tokens in _batches(batches):
-            own = [t for t, yes in zip(tokens, learned, strict=True) if yes]
-            if own:
-                words, counts = np.unique(np.concatenate(own), return_counts=True)
-                ends = np.searchsorted(shard_of(words, shards), np.arange(shards + 1, dtype=np.uint64))
-                rows = [k for k in range(shards) if ends[k] < ends[k + 1]]
-                cut = lambda x, kind, k: x[ends[k] : ends[k + 1]].astype(kind).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([cut(words, "<u8", k) for k in rows], pa.binary()), pa.array([cut(counts, "<u4", k) for k in rows], pa.binary())], ["shard", "words", "counts"])
+            words, place = np.unique(np.concatenate(tokens), return_inverse=True)
+            marks = np.repeat(learned, list(map(len, tokens)))
+            taught, others = np.bincount(place[marks], minlength=len(words)), np.bincount(place[~marks], minlength=len(words))
+            ends = np.searchsorted(shard_of(words, shards), np.arange(shards + 1, dtype=np.uint64))
+            rows = [k for k in range(shards) if ends[k] < ends[k + 1]]
+            packed = [squeezed(*(x[ends[k] : ends[k + 1]] for x in (words, taught, others))) for k in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(packed, pa.binary())], ["shard", "packed"])
 
     return send
 
 
 def _level_one(group: pa.Table) -> pa.Table:
-    words = np.frombuffer(b"".join(group["words"].to_pylist()), "<u8")
-    counts = np.frombuffer(b"".join(group["counts"].to_pylist()), "<u4")
+    words, taught, others = (np.concatenate(x) for x in zip(*(loosened(p.as_py()) for p in group["packed"]), strict=True))
     distinct, place = np.unique(words, return_inverse=True)
-    total = np.bincount(place, counts).astype("<u8")
-    return pa.table({"shard": group["shard"].slice(0, 1), "n_words": pa.array([len(distinct)], pa.int64()), "n_tokens": pa.array([int(total.sum())], pa.int64()), "words": pa.array([EliasFano.pack(distinct)], pa.binary()), "counts": pa.array([total.tobytes()], pa.binary())})
+    counts, rest = (np.bincount(place, x, len(distinct)).astype(np.uint64) for x in (taught, others))
+    figures = [int((counts > 0).sum()), int(counts.sum()), int(rest.sum())]
+    return pa.table({"shard": group["shard"].slice(0, 1)} | {c: pa.array([x], pa.int64()) for c, x in zip(("n_words", "n_tokens", "n_others"), figures, strict=True)} | {"words": pa.array([EliasFano.pack(distinct)], pa.binary()), "counts": pa.array([squeezed(counts, rest)], pa.binary())})
+
+
+LEVEL = "shard int, n_words long, n_tokens long, n_others long, words binary, counts binary"
+
+
+def _coded(packed: bytes) -> EliasFano:
+    return EliasFano(np.frombuffer(packed, np.uint8))
 
 
 def _frequent(least: int):
+    """The words with over `least` tokens, and how often learned documents have them."""
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for packed, counts in zip(batch["words"], batch["counts"], strict=True):
-                counts = np.frombuffer(counts.as_py(), "<u8")
-                words, _ = EliasFano.unpack(np.frombuffer(packed.as_py(), np.uint8))
-                yes = counts > least
-                yield pa.RecordBatch.from_arrays([pa.array(words[yes].view(np.int64)), pa.array(counts[yes].astype(np.int64))], ["word", "n"])
+                counts, rest = loosened(counts.as_py())
+                often = np.flatnonzero(counts + rest > least)
+                yield pa.RecordBatch.from_arrays([pa.array(_coded(packed.as_py()).values(often).view(np.int64)), pa.array(counts[often].astype(np.int64))], ["word", "n"])
 
     return find
 
 
-PAIRS = "shard int, batch long, words binary, pairs binary, before binary, places_of binary, places binary, doc_ids array<long>, n_tokens binary"
+SENT = "shard int, batch long, packed binary, doc_ids array<long>, n_tokens binary"
+SENT_ARROW = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), ("packed", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.binary())])
+
 
+def _name(words: np.ndarray) -> np.ndarray:
+    """The 40-bit id of a word as context."""
+    return mix(words ^ U64(0xA5A5A5A5)) >> U64(24)
 
-def _pairs(shards: int, frequent: np.ndarray):
+
+def _runs(new: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    """How many marks of `inner` each run that begins at a mark of `new` has."""
+    return np.add.reduceat(inner, np.flatnonzero(new), dtype=np.int64)
+
+
+def _ngrams(shards: int, shared):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), *((c, pa.binary()) for c in ("words", "pairs", "before", "places_of", "places")), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.binary())])
+        frequent = shared.value[0]
         for key, doc_ids, learned, tokens in _batches(batches):
             sizes = np.array(list(map(len, tokens)))
-            word = np.concatenate(tokens)
-            before = np.empty_like(word)
-            before[1:] = word[:-1]
-            before[np.cumsum(sizes) - sizes] = START
-            place = np.repeat(np.arange(len(sizes), dtype=np.uint16) | np.where(learned, LEARNED, np.uint16(0)), sizes)
-            before = mix(before ^ U64(0xA5A5A5A5)) >> U64(32)
+            word, begins = np.concatenate(tokens), np.cumsum(sizes) - sizes
+            h, g = np.empty_like(word), np.empty_like(word)
+            h[1:] = word[:-1]
+            h[begins] = START
+            g[1:] = h[:-1]
+            g[begins] = START
+            place = np.repeat(np.arange(len(sizes)) | np.where(learned, LEARNED, 0), sizes).astype(np.uint64)
+            h, g = _name(h), _name(g)
             shard = shard_of(word, shards)
             if len(frequent):
                 often = frequent[np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)] == word
-                shard[often] = shard_of(mix(word[often] ^ before[often]), shards)
-            order = np.lexsort((before, word, shard)) if len(frequent) else np.lexsort((before, word))
-            word, before, place, shard = word[order], before[order].astype("<u4"), place[order].astype("<u2"), shard[order]
+                shard[often] = shard_of(mix(word[often] ^ h[often]), shards)
+            order = np.argsort(word, kind="stable")
+            order = order[np.argsort(shard[order].astype(np.uint32), kind="stable")]
+            word, h, g, place, shard = word[order], h[order], g[order], place[order], shard[order]
+            head = np.append(True, (word[1:] != word[:-1]) | (shard[1:] != shard[:-1]))
+            order = np.lexsort((g << U64(16) | place, h, np.cumsum(head)))
+            h, g, place = h[order], g[order], place[order]
+            pair = head | np.append(True, h[1:] != h[:-1])
+            triple = pair | np.append(True, g[1:] != g[:-1])
+            entry = triple | np.append(True, place[1:] != place[:-1])
             ends, rows = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64)), []
             for k in range(shards):
-                a, b = ends[k], ends[k + 1]
-                if a == b:
-                    continue
-                w, h = word[a:b], before[a:b]
-                new_word = np.append(True, w[1:] != w[:-1])
-                new_pair = new_word | np.append(True, h[1:] != h[:-1])
-                at = np.flatnonzero(new_pair)
-                rows.append({
-                    "shard": k, "batch": key, "words": w[new_word].astype("<u8").tobytes(), "pairs": np.add.reduceat(new_pair, np.flatnonzero(new_word), dtype=np.uint32).astype("<u4").tobytes(),
-                    "before": h[at].tobytes(), "places_of": np.diff(np.append(at, b - a)).astype("<u4").tobytes(), "places": place[a:b].tobytes(),
-                })
-            rows.append({"shard": key % shards, "batch": key, "doc_ids": doc_ids, "n_tokens": sizes.astype("<u8").tobytes()})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                cut = slice(ends[k], ends[k + 1])
+                if ends[k] < ends[k + 1]:
+                    w, p, t, e = head[cut], pair[cut], triple[cut], entry[cut]
+                    times = np.diff(np.append(np.flatnonzero(e), len(e)))
+                    packed = squeezed(word[cut][w], _runs(w, p), h[cut][p], _runs(p, t), g[cut][t], _runs(t, e), place[cut][e], times)
+                    rows.append({"shard": k, "batch": key, "packed": packed})
+            rows.append({"shard": key % shards, "batch": key, "doc_ids": doc_ids, "n_tokens": squeezed(sizes)})
+            yield pa.RecordBatch.from_pylist(rows, schema=SENT_ARROW)
 
     return send
 
 
 # ---- a shard ----
 
-SUMS = "batch long, shard int, places binary, model binary, base binary, known binary, doc_ids array<long>, n_tokens binary"
-SUMS_ARROW = pa.schema([("batch", pa.int64()), ("shard", pa.int32()), *((c, pa.binary()) for c in ("places", "model", "base", "known")), ("doc_ids", pa.list_(pa.int64())), ("n_tokens", pa.binary())])
-
 
-def build_trie(words: np.ndarray, counts: np.ndarray, pairs: np.ndarray, pair_counts: np.ndarray, n: int, v: int) -> bytes:
-    """words (sorted), their counts (0: not learned), pairs (rank << 32 | before, sorted) and their counts (1 or more)."""
-    unigram = STRENGTH * (counts + 0.5) / (n + 0.5 * (v + 1))
-    rank = (pairs >> U64(32)).astype(np.int64)
-    return Trie.pack(words, quantise(np.log10(unigram)), quantise(-np.log10(counts + STRENGTH)), pairs, quantise(np.log10(pair_counts + unigram[rank])))
+def _distinct(parent: np.ndarray, child: np.ndarray, children: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (parent, child) in order, and which one each row is."""
+    keys, back = np.unique(parent.astype(np.uint64) * U64(children) + child.astype(np.uint64), return_inverse=True)
+    return (keys // U64(children)).astype(np.int64), (keys % U64(children)).astype(np.int64), back
 
 
-def _shard(n: int, v: int, frequent: np.ndarray, frequent_counts: np.ndarray):
+def _shard(n: int, v: int, shared):
     def score(sent: pa.Table, level: pa.Table) -> pa.Table:
+        frequent, frequent_counts = shared.value
         rows = sent.to_pylist()
-        out = [{c: r[c] for c in ("batch", "shard", "doc_ids", "n_tokens")} for r in rows if r["doc_ids"] is not None]
+        out = [r for r in rows if r["doc_ids"] is not None]
         rows = sorted((r for r in rows if r["doc_ids"] is None), key=lambda r: r["batch"])
         if not rows:
-            return pa.Table.from_pylist(out, schema=SUMS_ARROW)
-        own = [np.frombuffer(r["words"], "<u8") for r in rows]
-        words = np.unique(np.concatenate(own))
+            return pa.Table.from_pylist(out, schema=SENT_ARROW)
+        word, pairs_of, h, triples_of, g, entries_of, place, times = (list(x) for x in zip(*(loosened(r["packed"]) for r in rows), strict=True))
+        stops = np.cumsum(list(map(len, place)))[:-1]
+        word, pairs_of, h, triples_of, g, entries_of, place, times = (np.concatenate(x) for x in (word, pairs_of, h, triples_of, g, entries_of, place, times))
+        words, word_at = np.unique(word, return_inverse=True)
         counts = np.zeros(len(words))
-        known, known_counts = frequent, frequent_counts
         if level.num_rows:
-            learned, _ = EliasFano.unpack(np.frombuffer(level["words"][0].as_py(), np.uint8))
-            known, known_counts = np.concatenate([learned, known]), np.concatenate([np.frombuffer(level["counts"][0].as_py(), "<u8"), known_counts])
-        at = np.searchsorted(words, known)
-        hit = np.flatnonzero((at < len(words)) & (words[np.minimum(at, len(words) - 1)] == known))
-        counts[at[hit]] = known_counts[hit]
-        keys, taught = [], []
-        for r, w in zip(rows, own, strict=True):
-            rank = np.repeat(np.searchsorted(words, w), np.frombuffer(r["pairs"], "<u4")).astype(np.uint64)
-            places, each = np.frombuffer(r["places"], "<u2"), np.frombuffer(r["places_of"], "<u4").astype(np.int64)
-            keys.append(rank << U64(32) | np.frombuffer(r["before"], "<u4"))
-            taught.append(np.add.reduceat((places & LEARNED) != 0, np.cumsum(each) - each, dtype=np.int64))
-        pairs, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        pair_counts = np.bincount(inverse, np.concatenate(taught))
-        trie = Trie(np.frombuffer(build_trie(words, counts, pairs[pair_counts > 0], pair_counts[pair_counts > 0], n, v), np.uint8))
-        base = np.log10(counts + 0.5)
-        for r, key in zip(rows, keys, strict=True):
-            rank = (key >> U64(32)).astype(np.int64)
-            each = np.frombuffer(r["places_of"], "<u4").astype(np.int64)
-            value = trie.find(rank, (key & U64(0xFFFFFFFF)).astype(np.uint32)).astype(np.int64) + trie.context[rank]
-            docs, doc = np.unique(np.frombuffer(r["places"], "<u2") & ~LEARNED, return_inverse=True)
-            sums = [np.bincount(doc, np.repeat(x, each)) for x in (value, base[rank], counts[rank] > 0)]
-            out.append({"batch": r["batch"], "shard": r["shard"], "places": docs.astype("<u2").tobytes(), "model": sums[0].astype("<i8").tobytes(), "base": sums[1].astype("<f8").tobytes(), "known": sums[2].astype("<u4").tobytes()})
-        return pa.Table.from_pylist(out, schema=SUMS_ARROW)
+            at = _coded(level["words"][0].as_py()).find(words)
+            counts[at >= 0] = loosened(level["counts"][0].as_py())[0][at[at >= 0]]
+        at = np.minimum(np.searchsorted(frequent, words), max(0, len(frequent) - 1))
+        hit = np.flatnonzero(frequent[at] == words) if len(frequent) else at[:0]
+        counts[hit] = frequent_counts[at[hit]]
+        ids = np.unique(np.concatenate([h, g]))
+        pair_word, pair_id, pair = _distinct(np.repeat(word_at, pairs_of.astype(np.int64)), np.searchsorted(ids, h), len(ids))
+        triple_pair, triple_id, triple = _distinct(np.repeat(pair, triples_of.astype(np.int64)), np.searchsorted(ids, g), len(ids))
+        triple = np.repeat(triple, entries_of.astype(np.int64))
+        triple_count = np.bincount(triple, times * (place >> U64(15)), len(triple_pair))
+        pair_count = np.bincount(triple_pair, triple_count, len(pair_word))
+        known, known_pair = triple_count > 0, pair_count > 0
+        moved = np.cumsum(known_pair) - 1
+        packed = build_trie(words, counts, ids, (pair_word[known_pair], pair_id[known_pair], pair_count[known_pair]), (moved[triple_pair[known]], triple_id[known], triple_count[known]), n, v)
+        with tempfile.TemporaryFile() as file:  # this task's scratch, as Spark's own spill files: no other task needs it
+            file.write(packed)
+            file.flush()
+            terms, contexts = Trie(np.memmap(file, np.uint8, "r")).find(words, ids, pair_word, pair_id, triple_pair, triple_id)
+        value = (terms + contexts[triple_pair])[triple] * times.astype(np.int64)
+        owner, place = pair_word[triple_pair][triple], (place & U64(LEARNED - 1)).astype(np.int64)
+        for r, value, owner, place, times in zip(rows, *(np.split(x, stops) for x in (value, owner, place, times.astype(np.int64))), strict=True):
+            docs, doc = np.unique(place, return_inverse=True)
+            sums = np.zeros(len(docs), np.int64)
+            np.add.at(sums, doc, value)
+            own, count, item = _distinct(doc, counts[owner].astype(np.int64), int(counts.max()) + 1)
+            packed = squeezed(docs, zigzag(sums), np.bincount(own, minlength=len(docs)), count, np.bincount(item, times).astype(np.int64))
+            out.append({"shard": r["shard"], "batch": r["batch"], "packed": packed})
+        return pa.Table.from_pylist(out, schema=SENT_ARROW)
 
     return score
 
@@ -281,11 +430,12 @@ def _added(n: int, v: int):
         model, base, known = np.zeros(size, np.int64), np.zeros(size), np.zeros(size, np.int64)
         for r in rows:
             if r["doc_ids"] is None:
-                at = np.frombuffer(r["places"], "<u2")
-                model[at] += np.frombuffer(r["model"], "<i8")
-                base[at] += np.frombuffer(r["base"], "<f8")
-                known[at] += np.frombuffer(r["known"], "<u4")
-        tokens = np.frombuffer(docs["n_tokens"], "<u8").astype(np.int64)
+                place, sums, items, count, times = loosened(r["packed"])
+                model[place] += unzigzag(sums)
+                place = np.repeat(place, items.astype(np.int64)).astype(np.int64)
+                base += np.bincount(place, times * np.log10(count + 0.5), size)
+                known += np.bincount(place, times * (count > 0), size).astype(np.int64)
+        tokens = loosened(docs["n_tokens"])[0].astype(np.int64)
         return pa.table({"doc_id": pa.array(docs["doc_ids"], pa.int64()), "n_tokens": tokens, "n_known": known, "base_score": base - tokens * math.log10(n + 0.5 * (v + 1)), "score": model / GRID})
 
     return add
@@ -293,17 +443,21 @@ def _added(n: int, v: int):
 
 def lm_scores(docs: DataFrame, learn: Column) -> tuple[DataFrame, int]:
     """(doc_id, n_tokens, n_known, base_score, score of every row, N). Learns from the rows where `learn` holds."""
+    spark = docs.sparkSession
     rows = docs.select("doc_id", text_of().alias("text"), F.coalesce(learn, F.lit(False)).alias("learned"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(SHARDS, math.ceil(size / SHARD_BYTES))
-    sent = rows.filter("learned").mapInArrow(_vocabulary(shards), "shard int, words binary, counts binary")
-    levels = staged(sent.groupBy("shard").applyInArrow(_level_one, "shard int, n_words long, n_tokens long, words binary, counts binary"), "level-one")
-    total = levels.agg(F.sum("n_tokens").alias("n"), F.sum("n_words").alias("v")).first()
+    sent = rows.mapInArrow(_vocabulary(shards), "shard int, packed binary")
+    levels = staged(sent.groupBy("shard").applyInArrow(_level_one, LEVEL), "level-one")
+    total = levels.agg(F.sum("n_tokens").alias("n"), F.sum("n_words").alias("v"), F.sum("n_others").alias("others")).first()
     n, v = total.n or 0, total.v or 0
-    often = sorted((r.word & (1 << 64) - 1, r.n) for r in levels.select("words", "counts").mapInArrow(_frequent(n // (4 * shards)), "word long, n long").collect())  # at most 4 * shards
-    frequent, counts = np.array([w for w, _ in often], np.uint64), np.array([c for _, c in often], np.uint64)
-    pairs = rows.mapInArrow(_pairs(shards, frequent), PAIRS)
-    sums = pairs.groupBy("shard").cogroup(levels.groupBy("shard")).applyInArrow(_shard(n, v, frequent, counts), SUMS)
+    least = math.ceil((n + (total.others or 0)) / min(4 * shards, MOST_SPLIT))
+    often = levels.select("words", "counts").mapInArrow(_frequent(least), "word long, n long").toArrow()  # fewer than MOST_SPLIT
+    frequent = often["word"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(frequent)
+    shared = spark.sparkContext.broadcast((frequent[order], often["n"].to_numpy().astype(np.uint64)[order]))
+    pairs = rows.mapInArrow(_ngrams(shards, shared), SENT)
+    sums = pairs.groupBy("shard").cogroup(levels.groupBy("shard")).applyInArrow(_shard(n, v, shared), SENT)
     scored = sums.groupBy("batch").applyInArrow(_added(n, v), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored, n
 
@@ -324,12 +478,17 @@ WITH RECURSIVE bits AS (
 h AS (SELECT doc_id, xor(crc, 4294967295::UBIGINT) % 5 = 1 AS held_out FROM bits WHERE k = 8 * length(s)),
 w AS (SELECT doc_id, list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS words FROM documents),
 p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
-t AS (SELECT doc_id, held_out, word, lag(word, 1, '  ') OVER (PARTITION BY doc_id ORDER BY i) AS before FROM p JOIN h USING (doc_id)),
-c AS (SELECT word, count(*) AS c FROM t WHERE NOT held_out GROUP BY word),
-b AS (SELECT before, word, count(*) AS b FROM t WHERE NOT held_out GROUP BY before, word),
+t AS (SELECT doc_id, held_out, word, lag(word, 1, '  ') OVER o AS h1, lag(word, 2, '  ') OVER o AS h2 FROM p JOIN h USING (doc_id) WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+l AS (SELECT * FROM t WHERE NOT held_out),
+c AS (SELECT word, count(*) AS c FROM l GROUP BY word),
+c2 AS (SELECT h1, word, count(*) AS c2 FROM l GROUP BY h1, word),
+c3 AS (SELECT h2, h1, word, count(*) AS c3 FROM l GROUP BY h2, h1, word),
+d1 AS (SELECT h1, count(*) AS d1 FROM l GROUP BY h1),
+d2 AS (SELECT h2, h1, count(*) AS d2 FROM l GROUP BY h2, h1),
 n AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c),
-x AS (SELECT doc_id, held_out, c, coalesce(c, 0) AS k, coalesce(b, 0) AS b, n, (coalesce(c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (v + 1)) AS u FROM t LEFT JOIN c USING (word) LEFT JOIN b USING (before, word), n)
+x AS (SELECT doc_id, held_out, c, coalesce(c2, 0) AS c2, coalesce(c3, 0) AS c3, coalesce(d1, 0) AS d1, coalesce(d2, 0) AS d2, n, (coalesce(c, 0) + 0.5::DOUBLE) / (n + 0.5::DOUBLE * (v + 1)) AS u
+  FROM t LEFT JOIN c USING (word) LEFT JOIN c2 USING (h1, word) LEFT JOIN c3 USING (h2, h1, word) LEFT JOIN d1 USING (h1) LEFT JOIN d2 USING (h2, h1), n)
 SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, n AS train_tokens, round(sum(log10(u)), 6) AS base_score,
-  sum(round(log10(b + {STRENGTH} * u) * {GRID}) + round(-log10(k + {STRENGTH}::DOUBLE) * {GRID})) / {GRID} AS score
+  sum(round(log10(c3 + {BACK}::DOUBLE * (c2 + {PRIOR} * u)) * {GRID}) + round(-log10(d2 + {BACK}::DOUBLE * (d1 + {PRIOR}::DOUBLE)) * {GRID})) / {GRID} AS score
 FROM x GROUP BY doc_id, held_out, n
 """

@@ -206,37 +206,90 @@ def test_source_mix_is_native(docs):
 # ---- 5: n-gram trie ----
 
 
-def test_elias_fano_and_trie(tmp_path):
+def test_elias_fano():
     rng = np.random.default_rng(2)
-    for values in ([], [0], [5, 5, 5], np.sort(rng.integers(0, 1 << 62, 5000)), np.arange(300), np.array([1 << 63], np.uint64)):
+    for values in ([], [0], [5, 5, 5], np.sort(rng.integers(0, 1 << 62, 5000)), np.arange(300), np.array([1 << 63], np.uint64), np.sort(rng.integers(0, 50, 700))):
         values = np.array(values, np.uint64)
-        packed = np.frombuffer(ngram_trie.EliasFano.pack(values), np.uint8)
-        got, used = ngram_trie.EliasFano.unpack(packed)
-        assert np.array_equal(got, values) and used == len(packed)
-    names, pairs = np.unique(rng.integers(0, 1 << 63, 50, dtype=np.uint64)), np.unique(rng.integers(0, 50, 900).astype(np.uint64) << np.uint64(32) | rng.integers(0, 200, 900).astype(np.uint64))
-    packed = ngram_trie.Trie.pack(names, np.arange(50), -np.arange(50), pairs, np.arange(len(pairs)))
+        packed = np.frombuffer(ngram_trie.EliasFano.pack(values) + b"more", np.uint8)
+        code = ngram_trie.EliasFano(packed)
+        assert np.array_equal(code.values(np.arange(len(values))), values) and code.used == len(packed) - 4
+        asked = np.concatenate([values, values + np.uint64(1), rng.integers(0, 1 << 63, 500, dtype=np.uint64), np.arange(400, dtype=np.uint64)])
+        known = set(values.tolist())
+        for key, at in zip(asked.tolist(), code.find(asked).tolist(), strict=True):
+            assert (at >= 0) == (key in known) and (at < 0 or (values[at] == key and (at == 0 or values[at - 1] < key)))
+        if len(values) > 250:
+            assert set(code.find(values[:250], 100, 200).tolist()) <= {-1, *range(100, 200)} and (code.find(values[100:200], 100, 200) >= 0).all()
+
+
+def trie_of(grams, counts, n, v):
+    """The packed trie of learned (g, h, w) with their counts, and what asks it for any n-grams."""
+    words = np.array(sorted(counts), np.uint64)
+    ids = np.unique(np.array([x for g, h, _ in grams for x in (g, h)], np.uint64))
+    pairs = collections.Counter()
+    for (_, h, w), c in grams.items():
+        pairs[w, h] += c
+    place, of = {int(w): k for k, w in enumerate(words)}, {int(i): k for k, i in enumerate(ids)}
+    pair_keys = sorted(pairs)
+    pair_at = {p: k for k, p in enumerate(pair_keys)}
+    triples = sorted((pair_at[w, h], of[g], c) for (g, h, w), c in grams.items())
+    column = lambda rows, k: np.array([r[k] for r in rows], np.int64)
+    rows = [(place[w], of[h], pairs[w, h]) for w, h in pair_keys]
+    return ngram_trie.build_trie(words, np.array([counts[int(w)] for w in words], float), ids, tuple(column(rows, k) for k in range(3)), tuple(column(triples, k) for k in range(3)), n, v), words
+
+
+def test_a_mapped_trie_finds_every_order(tmp_path):
+    r = random.Random(5)
+    names, vocabulary = [r.randrange(1 << 40) for _ in range(30)], [r.randrange(1 << 63) for _ in range(40)]
+    grams = collections.Counter((r.choice(names), r.choice(names), r.choice(vocabulary[:30])) for _ in range(1500))
+    counts = collections.Counter(dict.fromkeys(vocabulary, 0))
+    pairs = collections.Counter()
+    for (_, h, w), c in grams.items():
+        counts[w] += c
+        pairs[w, h] += c
+    n, v = sum(counts.values()), 30
+    packed, words = trie_of(grams, counts, n, v)
     (tmp_path / "trie").write_bytes(packed)
-    trie = ngram_trie.Trie(np.memmap(tmp_path / "trie", np.uint8, "r"))
-    known = {int(p): k for k, p in enumerate(pairs)}
-    rank, before = np.repeat(np.arange(50), 201), np.tile(np.arange(201, dtype=np.uint32), 50)
-    want = [known.get(int(r) << 32 | int(b), int(r)) for r, b in zip(rank, before, strict=True)]
-    assert trie.find(rank, before).tolist() == want and np.array_equal(trie.words, names)
+    buffer = np.memmap(tmp_path / "trie", np.uint8, "r")
+    trie = ngram_trie.Trie(buffer)
+    assert all(np.shares_memory(x, buffer) for x in (trie.trigram, trie.after_pair, trie.triples.upper, trie.triples.low, trie.pairs.upper))
+    assert len(packed) < 8 * (2 * len(grams) + 2 * len(pairs)) + 1500
+    asked = np.array(sorted({*names, 1, 2, 1 << 39}), np.uint64)
+    pair_word, pair_id = (x.ravel() for x in np.meshgrid(np.arange(len(words)), np.arange(len(asked)), indexing="ij"))
+    triple_pair, triple_id = (x.ravel() for x in np.meshgrid(np.arange(len(pair_word)), np.arange(len(asked)), indexing="ij"))
+    terms, contexts = trie.find(words, asked, pair_word, pair_id, triple_pair, triple_id)
+    back, prior = ngram_trie.BACK, ngram_trie.PRIOR
+    for k in r.sample(range(len(terms)), 4000):
+        w, h, g = int(words[pair_word[triple_pair[k]]]), int(asked[pair_id[triple_pair[k]]]), int(asked[triple_id[k]])
+        u = (counts[w] + 0.5) / (n + 0.5 * (v + 1))
+        assert terms[k] == round(math.log10(grams[g, h, w] + back * (pairs[w, h] + prior * u)) * ngram_trie.GRID)
+        assert contexts[triple_pair[k]] == round(-math.log10(pairs[w, h] + back * (counts[w] + prior)) * ngram_trie.GRID)
+
+
+def test_squeezed_arrays():
+    rng = np.random.default_rng(3)
+    arrays = [np.zeros(0, np.uint64), np.arange(300), rng.integers(0, 1 << 63, 99, dtype=np.uint64), np.array([0])]
+    assert all(np.array_equal(a, b) for a, b in zip(ngram_trie.loosened(ngram_trie.squeezed(*arrays)), arrays, strict=True))
+    signed = np.array([0, -1, 1, -(1 << 40), 1 << 40])
+    assert ngram_trie.unzigzag(ngram_trie.zigzag(signed)).tolist() == signed.tolist()
 
 
 def brute_lm(rows):
-    tokens = [[*(t or "").encode().lower().split(), None] for _, t, *_ in rows]
+    tokens = [["<", "<", *(t or "").encode().lower().split(), None] for _, t, *_ in rows]
     learned = [i is None or zlib.crc32(str(i).encode()) % 5 != 1 for i, *_ in rows]
-    c = collections.Counter(w for t, yes in zip(tokens, learned, strict=True) if yes for w in t)
+    taught = [t for t, yes in zip(tokens, learned, strict=True) if yes]
+    c = collections.Counter(w for t in taught for w in t[2:])
     n, v = sum(c.values()), len(c)
-    pairs = collections.Counter(p for t, yes in zip(tokens, learned, strict=True) if yes for p in zip([0, *t[:-1]], t, strict=True))
-    before = collections.Counter()
-    for (h, _), k in pairs.items():
-        before[h] += k
+    pairs = collections.Counter(p for t in taught for p in zip(t[1:], t[2:], strict=False))
+    triples = collections.Counter(p for t in taught for p in zip(t, t[1:], t[2:], strict=False))
+    one, two = collections.Counter(), collections.Counter()
+    for (g, h, _), k in triples.items():
+        one[h] += k
+        two[g, h] += k
     u = lambda w: (c[w] + 0.5) / (n + 0.5 * (v + 1))
-    m = ngram_trie.STRENGTH
+    back, prior = ngram_trie.BACK, ngram_trie.PRIOR
     for (i, *_), t in zip(rows, tokens, strict=True):
-        score = sum(math.log10((pairs[h, w] + m * u(w)) / (before[h] + m)) for h, w in zip([0, *t[:-1]], t, strict=True))
-        yield i, len(t), sum(c[w] > 0 for w in t), sum(math.log10(u(w)) for w in t), score, n
+        score = sum(math.log10((triples[g, h, w] + back * (pairs[h, w] + prior * u(w))) / (two[g, h] + back * (one[h] + prior))) for g, h, w in zip(t, t[1:], t[2:], strict=False))
+        yield i, len(t) - 2, sum(c[w] > 0 for w in t[2:]), sum(math.log10(u(w)) for w in t[2:]), score, n
 
 
 @pytest.mark.parametrize("batch", [1 << 30, 2_000])
@@ -256,7 +309,7 @@ def test_lm_learns_from_nothing(docs):
 
 
 def test_lm_scores_a_long_run_of_an_unseen_word(spark):
-    """Its terms in one shard add up to over 2**31 grid units."""
+    """Its terms add up to over 2**31 grid units. The word is frequent in held-out text only, and is dealt over the shards all the same."""
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     taught = [i for i in range(100, 130) if zlib.crc32(str(i).encode()) % 5 != 1]
     rows = [(held, "zzq " * 300_000), *((i, words(i, 300)) for i in taught)]
