@@ -8,8 +8,8 @@ do not are grouped anew by the text itself.
 
 Of equal texts the row with the largest doc_id stays. Defined cases: a null text is empty; a null doc_id is smaller
 than any other; of repeated rows (same id and text) one stays; an empty table or snapshot gives an empty result or
-no match; other columns are ignored. Groups are counted by partial aggregation and compared in salted shares of
-`SHARE` rows, so a group may hold any part of all rows.
+no match; other columns are ignored, whatever their names. Groups are counted by partial aggregation, compared in salted shares of
+`SHARE` rows, and told their answer by broadcast where they are large, so a group may hold any part of all rows.
 """
 
 from __future__ import annotations
@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomill.llm.common import documents, files_for, staged, text_of
+from geomill.llm.common import documents, files_for, join_uneven, staged, text_of
 
 PER_BUCKET = 32_768  # digests a filter is built for
-ROWS_PER_FILE, DOCS_PER_FILE = 1_000_000, 20_000
+ROWS_PER_FILE = 1_000_000
 SHARE = 2_048  # members of a group compared with one copy of its text
 U64 = np.uint64
 
@@ -110,12 +110,28 @@ def _keys(digests: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 class Snapshot(NamedTuple):
-    """Immutable: exact buckets (bucket, digest, keep_id, group_size) and their filters."""
+    """Immutable: the texts held, their rows (digest, doc_id, copies), exact buckets (bucket, digest, keep_id, group_size) and
+    the buckets' filters."""
 
+    texts: DataFrame
+    rows: DataFrame
     exact: DataFrame
     filters: DataFrame
     n_buckets: int
 
+    def save(self, path: str) -> None:
+        for name in ("texts", "rows", "exact", "filters"):
+            getattr(self, name).write.parquet(f"{path}/{name}")
+
+
+def load_snapshot(spark: SparkSession, path: str) -> Snapshot:
+    texts, rows, exact, filters = (spark.read.parquet(f"{path}/{name}") for name in ("texts", "rows", "exact", "filters"))
+    return Snapshot(texts, rows, exact, filters, _buckets_for(exact.count()))
+
+
+def _buckets_for(digests: int) -> int:
+    return max(1, math.ceil(digests / PER_BUCKET))
+
 
 def _bucketed(groups: DataFrame, n_buckets: int) -> DataFrame:
     return groups.withColumn("bucket", F.pmod(F.xxhash64("digest"), F.lit(n_buckets)).cast("int"))
@@ -130,13 +146,18 @@ def _build(group: pa.Table) -> pa.Table:
     return pa.table({"bucket": group["bucket"].slice(0, 1), "seed": pa.array([seed], pa.int64()), "segment": pa.array([segment], pa.int64()), "span": pa.array([span], pa.int64()), "fingerprints": pa.array([table.tobytes()], pa.binary())})
 
 
-def build_snapshot(rows: DataFrame, files: int | None = None) -> Snapshot:
-    """From rows (digest, doc_id, copies)."""
+FILTERS = "bucket int, seed long, segment long, span long, fingerprints binary"
+
+
+def build_snapshot(held: DataFrame, digest=digest_of) -> Snapshot:
+    """From the documents (doc_id, text) that are held."""
+    files = files_for(held.count(), ROWS_PER_FILE)
+    rows = staged(_rows(held, digest), "held-rows", files)
     groups = staged(_grouped(rows), "snapshot-groups", files)
-    n_buckets = max(1, math.ceil(groups.count() / PER_BUCKET))
+    n_buckets = _buckets_for(groups.count())
     exact = _bucketed(groups, n_buckets)
-    filters = exact.select("bucket", "digest").groupBy("bucket").applyInArrow(_build, "bucket int, seed long, segment long, span long, fingerprints binary")
-    return Snapshot(exact, staged(filters, "snapshot-filters", files), n_buckets)
+    filters = exact.select("bucket", "digest").groupBy("bucket").applyInArrow(_build, FILTERS)
+    return Snapshot(held.select("doc_id", "text"), rows, exact, staged(filters, "snapshot-filters", files), n_buckets)
 
 
 def _screen(asked: pa.Table, filters: pa.Table) -> pa.Table:
@@ -148,9 +169,12 @@ def _screen(asked: pa.Table, filters: pa.Table) -> pa.Table:
 
 
 def screened(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
-    """The digests among `groups` that the snapshot's filters may hold (all that it holds, and about one in 65,536 others)."""
-    asked = _bucketed(groups.select("digest"), snapshot.n_buckets)
-    return asked.groupBy("bucket").cogroup(snapshot.filters.groupBy("bucket")).applyInArrow(_screen, "digest binary")
+    """The digests among `groups` that the snapshot's filters may hold (all that it holds, and about one in 65,536 others). Where
+    more are asked than the buckets were dealt for, a bucket's digests are shared out and each share gets the filter."""
+    shares = max(1, math.ceil(groups.count() / (snapshot.n_buckets * PER_BUCKET)))
+    asked = _bucketed(groups.select("digest"), snapshot.n_buckets).withColumn("share", F.pmod(F.hash("digest"), F.lit(shares)))
+    filters = snapshot.filters.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    return asked.groupBy("bucket", "share").cogroup(filters.groupBy("bucket", "share")).applyInArrow(_screen, "digest binary")
 
 
 # ---- deduplication ----
@@ -162,10 +186,25 @@ def _rows(docs: DataFrame, digest) -> DataFrame:
     return light.groupBy("digest", "doc_id").agg(F.count("*").alias("copies"))
 
 
-def _differing(docs: DataFrame, members: DataFrame, digest) -> DataFrame:
-    """The digests of groups in which some text is not, byte for byte, the text that stays."""
-    texts = docs.select(F.col("doc_id").alias("id"), text_of().alias("own"), digest(text_of()).alias("d"))
-    joined = texts.join(members, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("d") == F.col("digest")))
+CELLS = 1 << 26  # bits of the map that picks the texts worth moving: 8 MB at any size of the tables
+
+
+def _marked(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """The texts (own, digest, ...) whose digest falls into a marked cell of a bit map over the members' digests: all members, and few
+    others while the map is sparse. The map is at most CELLS bits, in rows of 32,768, and is broadcast."""
+    cell = F.pmod(F.xxhash64("digest"), F.lit(CELLS))
+    marks = members.select(cell.alias("cell")).groupBy(F.bitmap_bucket_number("cell").alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
+    placed = texts.withColumn("cell", cell).withColumn("row", F.bitmap_bucket_number("cell")).withColumn("bit", F.bitmap_bit_position("cell").cast("int"))
+    octet = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.floor(octet / F.pow(F.lit(2), F.col("bit") % 8)) % 2 == 1
+    return placed.join(F.broadcast(marks), "row").filter(marked).select(*texts.columns)
+
+
+def _differing(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """The digests of groups (members: digest, doc_id, keep_id, group_size) in which some text (texts: id, own, digest) is not, byte
+    for byte, the text that stays. Only texts of such groups are moved."""
+    moved = _marked(texts, members).withColumnRenamed("digest", "d")
+    joined = moved.join(members, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("d") == F.col("digest")))
     joined = joined.select("digest", "own", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("stays"), "id")
     shares = F.ceil(F.col("group_size") / SHARE).cast("int")
     stay = joined.filter("stays").groupBy("digest").agg(F.min("own").alias("kept_text"), F.max("own").alias("kept_other"), F.first("group_size").alias("group_size"))
@@ -177,12 +216,11 @@ def _differing(docs: DataFrame, members: DataFrame, digest) -> DataFrame:
     )
 
 
-def exact_dedup(batch: DataFrame, held: DataFrame | None = None, digest=digest_of) -> DataFrame:
-    """One row per row of `batch` and of `held` (the rows of the snapshot): doc_id, keep_id, group_size, kept, digest."""
+def grouped_rows(batch: DataFrame, snapshot: Snapshot | None = None, digest=digest_of) -> DataFrame:
+    """One row per (digest, doc_id) of the batch and the snapshot: digest, doc_id, copies, keep_id, group_size."""
+    snapshot = snapshot or build_snapshot(batch.limit(0), digest)
     files = files_for(batch.count(), ROWS_PER_FILE)
     new = staged(_rows(batch, digest), "batch-rows", files)
-    old = staged(_rows(held if held is not None else batch.limit(0), digest), "held-rows", files)
-    snapshot = build_snapshot(old, files)
     groups = staged(_grouped(new), "batch-groups", files)
     positive = screened(groups, snapshot)
     matched = groups.join(positive, "digest", "left_semi").join(snapshot.exact.select("digest", F.col("keep_id").alias("held_id"), F.col("group_size").alias("held_size")), "digest")
@@ -190,17 +228,24 @@ def exact_dedup(batch: DataFrame, held: DataFrame | None = None, digest=digest_o
     only_new = groups.join(matched, "digest", "left_anti")
     only_old = snapshot.exact.select("digest", "keep_id", "group_size").join(matched, "digest", "left_anti")
     answer = matched.unionByName(only_new).unionByName(only_old)
-    rows = staged(new.unionByName(old).groupBy("digest", "doc_id").agg(F.sum("copies").alias("copies")).join(answer, "digest"), "dedup-rows", files)
-
-    docs = batch.select("doc_id", "text") if held is None else batch.select("doc_id", "text").unionByName(held.select("doc_id", "text"))
-    differ = staged(_differing(docs, rows.filter("group_size > 1").select("doc_id", "digest", "keep_id", "group_size"), digest), "differing", 2 * files_for(batch.count(), DOCS_PER_FILE))
-    if not differ.isEmpty():  # digests of unequal texts met: their groups are formed by the texts
-        texts = docs.select("doc_id", text_of().alias("text"), digest(text_of()).alias("digest")).join(differ, "digest", "left_semi")
-        texts = texts.groupBy("digest", "text", "doc_id").agg(F.count("*").alias("copies"))
-        again = texts.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-        again = texts.join(again, ["digest", "text"]).select(*rows.columns)
-        rows = rows.join(differ, "digest", "left_anti").select(*again.columns).unionByName(again)
-    each = rows.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    both = staged(new.unionByName(snapshot.rows).groupBy("digest", "doc_id").agg(F.sum("copies").alias("copies")), "all-rows", files)
+    rows = staged(join_uneven(both, answer, "digest", "group_size", both.agg(F.sum("copies")).first()[0] or 0), "dedup-rows", files)
+
+    docs = batch.select("doc_id", "text").unionByName(snapshot.texts)
+    texts = docs.select(F.col("doc_id").alias("id"), text_of().alias("own"), digest(text_of()).alias("digest"))
+    differ = staged(_differing(texts, rows.filter("group_size > 1").select("doc_id", "digest", "keep_id", "group_size")), "differing", files)
+    if differ.isEmpty():
+        return rows
+    # digests of unequal texts met: their groups are formed by the texts
+    apart = texts.join(differ, "digest", "left_semi").groupBy("digest", F.col("own").alias("text"), F.col("id").alias("doc_id")).agg(F.count("*").alias("copies"))
+    again = apart.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    again = apart.join(again, ["digest", "text"]).select(*rows.columns)
+    return rows.join(differ, "digest", "left_anti").select(*again.columns).unionByName(again)
+
+
+def exact_dedup(batch: DataFrame, snapshot: Snapshot | None = None, digest=digest_of) -> DataFrame:
+    """One row per row of `batch` and of the documents in `snapshot`: doc_id, keep_id, group_size, kept, digest."""
+    each = grouped_rows(batch, snapshot, digest).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return each.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "digest")
 
 
@@ -212,19 +257,18 @@ def halves(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
-    verdict = exact_dedup(*halves(docs)).filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    own = docs.withColumn("_own", digest_of(text_of()))
-    stays = own.join(verdict, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_digest")), "left_semi")
-    repeated = F.count("*").alias("n")
-    twice = staged(docs.groupBy("doc_id").agg(repeated).filter("n > 1"), "repeated-ids", files_for(0, 1))
-    if twice.isEmpty():
-        return stays.drop("_own")
-    return stays.dropDuplicates(["doc_id", "_own"]).drop("_own")
+    batch, held = halves(docs)
+    stays = grouped_rows(batch, build_snapshot(held)).filter("doc_id <=> keep_id").select(F.col("doc_id").alias("id"), "digest", "copies")
+    own = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("own_id"), digest_of(text_of()).alias("own_digest"))
+    kept = own.join(stays, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_digest") == F.col("digest")), "left_semi")
+    if not stays.filter("copies > 1").isEmpty():
+        kept = kept.dropDuplicates(["own_id", "own_digest"])
+    return kept.select("doc.*")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = exact_dedup(*halves(documents(spark, sf_dir)))
-    return done.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    batch, held = halves(documents(spark, sf_dir))
+    return exact_dedup(batch, build_snapshot(held)).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 ORACLE = """

@@ -7,6 +7,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import uuid
 import zlib
 
@@ -113,7 +114,8 @@ def brute_dedup(rows):
 @pytest.mark.parametrize("weak", [False, True])
 def test_exact_dedup(docs, weak):
     digest = (lambda t: F.unhex(F.lpad(F.hex(F.length(t) % 3), 4, "0"))) if weak else exact_dedup.digest_of  # weak: unequal texts meet
-    done = exact_dedup.exact_dedup(*exact_dedup.halves(docs), digest=digest).collect()
+    batch, held = exact_dedup.halves(docs)
+    done = exact_dedup.exact_dedup(batch, exact_dedup.build_snapshot(held, digest), digest).collect()
     assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in done), key=str) == brute_dedup(TEXTS)
     assert sum(r.kept for r in done) == len({t or "" for _, t, *_ in TEXTS})
 
@@ -125,6 +127,45 @@ def test_exact_dedup_keeps_rows(docs):
     assert exact_dedup.exact_dedup(docs).filter("kept").count() == kept.count()
 
 
+OWN_NAMES = ("doc", "_id", "_digest", "_own", "own_id", "own_digest", "id", "digest", "copies", "keep_id", "group_size", "copy", "_copy", "__COPY", "_n_copies", "n_copies", "_cdf", "cdf", "_source_key", "source_key", "least", "_draw", "draw", "_shuffle_key", "shuffle_key", "salt", "doc_key", "component", "component_id", "kept", "u", "v", "a", "b", "key", "hub", "n", "_v", "chunk", "at", "part", "h", "packed", "learned")
+
+
+@pytest.fixture(scope="module")
+def crowded(docs):
+    """The fixture with a column of each name that an operator uses inside."""
+    more = [c for c in OWN_NAMES if c not in docs.columns]
+    return docs.select("*", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in more))
+
+
+def test_exact_dedup_with_clashing_names(crowded):
+    kept = exact_dedup.keep_first(crowded)
+    assert kept.columns == crowded.columns and kept.count() == len({t or "" for _, t, *_ in TEXTS})
+    assert all(r["_id"] == f"_id{r.doc_id}" for r in kept.filter("doc_id IS NOT NULL").collect())
+    batch, held = exact_dedup.halves(crowded)
+    done = exact_dedup.exact_dedup(batch, exact_dedup.build_snapshot(held)).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in done), key=str) == brute_dedup(TEXTS)
+
+
+def test_a_stored_snapshot(spark, docs, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "PER_BUCKET", 2)
+    batch, held = exact_dedup.halves(docs)
+    path = f"{common.shared_dir(spark)}/snapshot-{uuid.uuid4().hex}"
+    exact_dedup.build_snapshot(held).save(path)
+    snapshot = exact_dedup.load_snapshot(spark, path)
+    assert snapshot.n_buckets > 1 and exact_dedup.load_snapshot(spark, path).exact.filter(f"bucket >= {snapshot.n_buckets}").isEmpty()
+    for new in (batch, docs.filter("false")):
+        done = exact_dedup.exact_dedup(new, snapshot).collect()
+        rows = [(i, t) for i, t, *_ in TEXTS if new is batch or (i is not None and zlib.crc32(str(i).encode()) % 2 == 0)]
+        assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in done), key=str) == brute_dedup(rows)
+
+
+def test_marked_texts(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "CELLS", 1 << 17)
+    texts = spark.range(3000).select("id", F.lit("t").alias("own"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    found = {r.id for r in exact_dedup._marked(texts, texts.filter("id % 10 = 3")).collect()}
+    assert set(range(3, 3000, 10)) <= found and len(found) < 330
+
+
 # ---- 3: chunk BPE ----
 
 
@@ -184,7 +225,8 @@ def test_source_mix(docs):
     for i, t, _, s in TEXTS:
         if s in weights:
             rate = weights[s] / 4 * sum(sizes.values()) * 2 / sizes[s]
-            draw = (int(hashlib.md5(f"count17:{'' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            key = f"text:{hashlib.md5((t or '').encode()).hexdigest()}" if i is None else i
+            draw = (int(hashlib.md5(f"count17:{key}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
             want[i, t] += poisson_count(draw, rate)
     rows = mixed.collect()
     assert collections.Counter((r.doc_id, r.text) for r in rows) == +want and set(docs.columns) <= set(mixed.columns)
@@ -198,6 +240,39 @@ def test_source_mix_both_joins_agree(docs, monkeypatch):
     assert source_mix.mix_sources(docs.limit(0)).count() == 0
 
 
+def test_source_mix_with_clashing_names(docs, crowded):
+    few = sorted(str((r.doc_id, r.text, r._copy, r._shuffle_key)) for r in source_mix.mix_sources(docs).collect())
+    mixed = source_mix.mix_sources(crowded)
+    assert mixed.columns == [*crowded.columns, "___copy", "__n_copies", "__shuffle_key"]
+    assert sorted(str((r.doc_id, r.text, r["___copy"], r["__shuffle_key"])) for r in mixed.collect()) == few
+
+
+def test_source_mix_without_ids(spark):
+    """Different texts without id draw each for itself and are spread."""
+    df = spark.createDataFrame([(None, f"text {k}", "a") for k in range(400)], "doc_id long, text string, source string")
+    rows = source_mix.mix_sources(df, epochs=3.0).collect()
+    drawn = collections.Counter(r.text for r in rows)
+    assert len(set(drawn.values())) > 5 and 1000 < len(rows) < 1400 and len({r._shuffle_key for r in rows}) == len(rows)
+
+
+def test_poisson_tables(spark):
+    rates = [0.01, 1.0, 15.5, 16.0, 40.0, 700.0, 1e6]
+    k = F.explode(F.expr("sequence(greatest(0, cast(rate - 6 * sqrt(rate) - 3 as long)), cast(rate + 6 * sqrt(rate) + 3 as long))"))
+    df = spark.createDataFrame([(r,) for r in rates], "rate double").select("rate", k.alias("k"))
+    for r in df.withColumn("p", source_mix.log_poisson(F.col("k"), F.col("rate"))).collect():
+        assert r.p == pytest.approx(r.k * math.log(r.rate) - r.rate - math.lgamma(r.k + 1), abs=2e-8)
+
+
+def test_source_mix_at_a_high_rate(spark):
+    """A source of 4 characters with half the weight of 4 million: half a million times each of its documents."""
+    df = spark.createDataFrame([(0, "tiny", "a"), *((k, "x" * 40_000, "b") for k in range(1, 101))], "doc_id long, text string, source string")
+    began = time.perf_counter()
+    counts = source_mix._copies(df, {"a": 1.0, "b": 1.0}, 0.5, 1.0, 17).groupBy("doc.source").agg(F.count("*").alias("n")).collect()
+    assert time.perf_counter() - began < 20
+    counts = {r.source: r.n for r in counts}
+    assert abs(counts["a"] - 500_000.5) < 12 * 708 and 10 < counts["b"] < 100
+
+
 def test_source_mix_is_native(docs):
     plan = source_mix.mix_sources(docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
