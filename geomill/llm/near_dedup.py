@@ -7,15 +7,17 @@ other in all 32 bands with probability 5e-6). Nobody emits all pairs of a bucket
 1. every member is paired with the bucket's hub only, the member that meets most documents over all its buckets (the
    original of a group of copies, as a rule); pairs of equal sets are links at once, others must agree in enough minima
    (MARGIN standard deviations below the threshold) and are then confirmed on full sets;
-2. components of these links are found; buckets whose members are still in different components are compared on full sets,
-   in blocks of BLOCK members (a block pair is one group): intersections of all pairs come from one matrix product,
-   and of the pairs that reach the threshold only those that join two components leave the task, so its output is never more
-   than its members. Buckets with the same members are compared once;
+2. components of these links are found; in buckets whose members are still in different components, signatures are compared in
+   blocks of BLOCK members (a block pair is one group), which leaves the members that agree in enough minima with one of
+   another component. Only their texts are moved, to be compared on full sets in blocks of BLOCK_SHINGLES shingles:
+   intersections of all pairs come from one matrix product, and of the pairs that reach the threshold only those that join two
+   components leave the task, so its output is never more than its members. Buckets with the same members are compared once;
 3. components of all links come from alternating large-star and small-star rounds until no edge changes.
 
 Defined cases: a null text or one without words has an empty set and is linked with nothing; with fewer than five words
 the whole sequence is the one shingle; rows of one doc_id count as one document, linked by the links of any of
-them; a null doc_id is linked with nothing; an empty table gives an empty result; other columns are ignored.
+them; a null doc_id is linked with nothing; an empty table gives an empty result; other columns are ignored, whatever their
+names. A bucket, a set or a hub may hold any part of all rows: joins tell large ones by their counts (`join_uneven`).
 """
 
 from __future__ import annotations
@@ -25,15 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomill.llm.common import documents, files_for, staged, text_of
+from geomill.llm.common import documents, drop_staged, files_for, join_uneven, staged, text_of
 from geomill.llm.words import shingles, word_hashes
 
 SIZE, THRESHOLD = 5, 75  # words of a shingle, per cent of the union
 BANDS, ROWS = 32, 4
-MINIMA, MARGIN, BLOCK, COLUMNS, SHARE = BANDS * ROWS, 5.5, 512, 4096, 256
+MINIMA, MARGIN, BLOCK, BLOCK_SHINGLES, COLUMNS, SHARE = BANDS * ROWS, 5.5, 512, 300_000, 4096, 256
 ROWS_PER_FILE, DOCS_PER_FILE = 500_000, 20_000
 LEAST = int(MINIMA * (THRESHOLD / 100 - MARGIN * (THRESHOLD / 100 * (1 - THRESHOLD / 100) / MINIMA) ** 0.5))  # equal minima
 
@@ -91,7 +93,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-        edges = staged(small.filter("u != v").distinct(), "edges", files)
+        last, edges = edges, staged(small.filter("u != v").distinct(), "edges", files)
+        if hasattr(last, "staged_path"):
+            drop_staged(last)
         after = _tally(edges)
         if after == before:
             break
@@ -124,8 +128,8 @@ def _confirmed(members: pa.Table, hubs: pa.Table) -> pa.Table:
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold, as edges (u, v). Members meet their partner b in shares of
     SHARE, b's text going to each share."""
-    counts = pairs.groupBy("b").agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
-    members = pairs.join(counts, "b").withColumn("share", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int"))
+    counts = pairs.groupBy("b").agg(F.count("*").alias("n")).withColumn("shares", F.ceil(F.col("n") / SHARE).cast("int"))
+    members = join_uneven(pairs, counts, "b", "n", pairs.count()).withColumn("share", F.pmod(F.xxhash64("a"), F.col("shares")).cast("int"))
     members = members.join(texts.select(F.col("doc_id").alias("a"), "text"), "a").select("a", "b", "share", "text")
     hubs = counts.select(F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("hub_share"))
     hubs = hubs.join(texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text")), "hub").select("hub", "hub_share", "hub_text")
@@ -133,9 +137,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _agreeing_pairs(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    for side in ("a", "b"):
-        pairs = pairs.join(signed.select(F.col("doc_id").alias(side), F.col("signature").alias(f"sig_{side}")), side)
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a long, b long").distinct()
+    """The pairs (a, b) that agree in enough minima. b may be the hub of any part of all rows."""
+    counts = pairs.groupBy("b").agg(F.count("*").alias("n"))
+    hubs = counts.join(signed.select(F.col("doc_id").alias("b"), F.col("signature").alias("sig_b")), "b")
+    both = join_uneven(pairs, hubs, "b", "n", pairs.count()).join(signed.select(F.col("doc_id").alias("a"), F.col("signature").alias("sig_a")), "a")
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing, "a long, b long").distinct()
 
 
 def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -186,20 +192,46 @@ def _across(group: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
-def open_links(buckets: DataFrame, labels: DataFrame, texts: DataFrame, files: int) -> DataFrame:
+def _agreeing_members(group: pa.Table) -> pa.Table:
+    """The members of a block pair that agree in enough minima with one of the other side in another component."""
+    side, doc, part = (group[c].to_numpy() for c in ("side", "doc_id", "component"))
+    signs = np.frombuffer(b"".join(group["signature"].to_pylist()), "<u4").reshape(-1, MINIMA)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    right = right if group["low"][0].as_py() != group["high"][0].as_py() else left
+    found = np.zeros(len(doc), bool)
+    for i in left:
+        met = right[((signs[right] == signs[i]).sum(axis=1) >= LEAST) & (part[right] != part[i])]
+        found[met] = True
+        found[i] |= len(met) > 0
+    docs = np.unique(doc[found])
+    return pa.table({"key": pa.array([group["key"][0].as_py()] * len(docs), pa.int64()), "doc_id": pa.array(docs, pa.int64())})
+
+
+def _block_pairs(members: DataFrame, blocks: Column) -> DataFrame:
+    """Members (key, doc_id, component) dealt into blocks, each going to all pairs of its block with another or itself: key, low, high,
+    side, doc_id, component."""
+    left = members.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    mates = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.struct(F.least(F.col("block"), k).alias("low"), F.greatest(F.col("block"), k).alias("high"), F.when(F.col("block") <= k, 0).otherwise(1).alias("side")),
+    )
+    return left.withColumn("mate", F.explode(mates)).select("key", "mate.low", "mate.high", "mate.side", "doc_id", "component")
+
+
+def open_links(buckets: DataFrame, labels: DataFrame, signed: DataFrame, texts: DataFrame, files: int) -> DataFrame:
     """Links across components in buckets that the links so far leave apart, found block by block."""
     named = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     members = F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("members")
     apart = named.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), members).filter("n > 2 AND low < high")
     once = apart.groupBy("n", "members").agg(F.min("key").alias("key"))
     left = staged(named.join(once, "key").select("key", "n", "doc_id", "component"), "open-buckets", files)
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    left = left.withColumn("block", F.pmod(F.xxhash64("doc_id"), blocks).cast("int"))
-    mates = F.transform(
-        F.sequence(F.lit(0), blocks - 1),
-        lambda k: F.struct(F.least(F.col("block"), k).alias("low"), F.greatest(F.col("block"), k).alias("high"), F.when(F.col("block") <= k, 0).otherwise(1).alias("side")),
-    )
-    dealt = left.withColumn("mate", F.explode(mates)).select("key", "mate.low", "mate.high", "mate.side", "doc_id", "component")
+    sized = signed.join(left.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "signature")
+    compared = _block_pairs(left, F.ceil(F.col("n") / BLOCK)).join(sized.drop("n_shingles"), "doc_id").groupBy("key", "low", "high")
+    agreeing = staged(compared.applyInArrow(_agreeing_members, "key long, doc_id long").distinct(), "agreeing-members", files)
+    sizes = sized.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"))
+    met = agreeing.join(left.drop("n"), ["key", "doc_id"]).join(sizes, "doc_id")
+    whole = met.groupBy("key").agg(F.sum("n_shingles").alias("whole"))
+    dealt = _block_pairs(met.join(whole, "key"), F.ceil(F.col("whole") / BLOCK_SHINGLES))
     return dealt.join(texts, "doc_id").groupBy("key", "low", "high").applyInArrow(_across, "u long, v long")
 
 
@@ -207,26 +239,29 @@ def near_components(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept."""
     n = docs.count()
     light, heavy = files_for(n * BANDS, 16 * ROWS_PER_FILE), 2 * files_for(n, DOCS_PER_FILE)
-    signed = staged(signatures(docs), "signatures", heavy)
+    signed = staged(signatures(docs), "signatures")  # as many tasks as the scan has
     known = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("signature", k * (4 * ROWS) + 1, F.lit(4 * ROWS))))
     banded = known.select("doc_id", F.explode(keys).alias("key")).distinct()
     crowds = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = staged(banded.join(crowds, "key"), "buckets", light)
     degrees = buckets.groupBy("doc_id").agg(F.sum("n").alias("degree"))
-    hubs = buckets.join(degrees, "doc_id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("less"))).alias("hub")).select("key", (-F.col("hub.less")).alias("hub"))
-    pairs = buckets.join(hubs, "key").filter("doc_id != hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
+    hubs = buckets.join(degrees, "doc_id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("less"))).alias("hub"), F.first("n").alias("size"))
+    hubs = hubs.select("key", (-F.col("hub.less")).alias("hub"), "size")
+    pairs = join_uneven(buckets, hubs, "key", "size", n * BANDS).filter("doc_id != hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     met = staged(known.join(degrees.select("doc_id"), "doc_id", "left_semi"), "met", light)
 
-    equal = met.join(met.groupBy("set_key").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).filter("n > 1"), "set_key")
+    sets = met.groupBy("set_key").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")).filter("n > 1")
+    equal = join_uneven(met.select("doc_id", "set_key"), sets, "set_key", "n", n)
     equal = staged(equal.filter("doc_id != v").select(F.col("doc_id").alias("u"), "v").distinct(), "equal-sets", light)
     first = met.select("doc_id").distinct().join(equal.select(F.col("u").alias("doc_id")), "doc_id", "left_anti")
     for side in ("a", "b"):  # one document stands for all of an equal set
-        pairs = pairs.join(equal.select(F.col("u").alias(side), F.col("v").alias("_v")), side, "left").withColumn(side, F.coalesce("_v", side)).drop("_v")
-    near = staged(_agreeing_pairs(pairs.filter("a != b").distinct(), met), "near-pairs", light)
+        pairs = pairs.join(equal.select(F.col("u").alias(side), F.col("v").alias("first")), side, "left").withColumn(side, F.coalesce("first", side)).drop("first")
+    pairs = staged(pairs.filter("a != b").distinct(), "hub-pairs", light)
+    near = staged(_agreeing_pairs(pairs, met), "near-pairs", light)
     texts = staged(docs.select("doc_id", text_of().alias("text")).join(first, "doc_id"), "met-texts", heavy)
     links = staged(equal.unionByName(confirmed(near, texts)), "links", heavy)
-    more = staged(open_links(buckets.select("key", "doc_id").join(first, "doc_id", "left_semi"), components(links), texts, light), "more-links", heavy)
+    more = staged(open_links(buckets.select("key", "doc_id").join(first, "doc_id", "left_semi"), components(links), met, texts, light), "more-links", heavy)
     labels = components(links.unionByName(more))
     named = signed.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")

@@ -457,6 +457,7 @@ def brute_components(rows):
 @pytest.mark.parametrize("block", [512, 7])
 def test_near_dedup(spark, block, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", block * 600)
     rows = near_rows()
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, component string").repartition(3)
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_components(df).collect()), key=str)
@@ -465,6 +466,25 @@ def test_near_dedup(spark, block, monkeypatch):
     assert near_dedup.keep_one(df).columns == df.columns
 
 
+def test_near_dedup_of_long_texts_and_clashing_names(spark, crowded):
+    """Copies of a very long text with words replaced, one of them past the threshold."""
+    r = random.Random(19)
+    long = words(77, 60_000).split()
+
+    def copy(n):
+        other = list(long)
+        for at in r.sample(range(len(other)), n):
+            other[at] = f"w{at}"
+        return " ".join(other)
+
+    rows = [(0, " ".join(long)), (1, copy(600)), (2, copy(1500)), (3, copy(9000)), (4, " ".join(long).upper())]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sorted(got.items()) == [(i, (n, c)) for i, n, c in brute_components(rows)] and got[3][1] == 3
+    kept = near_dedup.keep_one(crowded)
+    want = {(i, c) for i, _, c in brute_components([(i, t) for i, t, *_ in TEXTS])}
+    assert kept.columns == crowded.columns and {x.doc_id for x in kept.collect()} == {i for i, c in want if i == c}
+
+
 def test_shared_counts(monkeypatch):
     monkeypatch.setattr(near_dedup, "COLUMNS", 16)
     rng = np.random.default_rng(5)
