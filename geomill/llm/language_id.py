@@ -3,7 +3,8 @@
 For every language a suffix automaton over a sample of its labelled text knows all substrings of the sample. A text
 is parsed left to right into phrases, each the longest match that the automaton can follow; the language that
 needs the fewest phrases, normalised by the length of its sample, wins. Letters are lower-cased; every letter of any
-sample is a symbol of its own, in any script; a run of anything else is one space. Texts are parsed whole, in segments of SEGMENT symbols side by side (a phrase ends with its segment).
+sample is a symbol of its own, in any script; a run of anything else is one space. Texts are parsed whole, and their phrases are
+those of the parse from left to right, wherever the work is cut to run side by side.
 
 Fitting takes a bounded sample, by hash order and alike at every size: of each language, whatever their number, the labelled
 documents with a letter in turn, those of 200 to 20,000 characters first, then all others (short ones join, of a long one
@@ -129,16 +130,57 @@ def laid_out(goes: list[dict[int, int]], alphabet: int) -> Automaton:
     return Automaton(table, again, number[-1])
 
 
-def phrase_counts(segments: np.ndarray, automaton: Automaton) -> np.ndarray:
-    """Phrases of each row of symbols (PAD only at its end), all rows walked side by side."""
+def phrase_starts(symbols: np.ndarray, automaton: Automaton) -> np.ndarray:
+    """Where the left-to-right parse of `symbols` begins its phrases; PAD ends one and counts as a start too.
+
+    Lanes of SEGMENT symbols are parsed side by side, each as if a phrase began with it. Then each lane goes on into the next
+    one until it begins a phrase where that one did: from there on the two are the same parse. Where a lane never
+    meets the next one, its parse is followed symbol by symbol until it meets a later one."""
     table, again, fresh = automaton
-    state, count = np.full(len(segments), fresh, np.int64), -(segments == PAD).sum(axis=1)  # PAD never goes on
-    for column in np.ascontiguousarray(segments.T):
+    lanes = -(-len(symbols) // SEGMENT)
+    grid = np.full((lanes, SEGMENT), PAD, np.int64)
+    grid.reshape(-1)[: len(symbols)] = symbols
+    columns = np.ascontiguousarray(grid.T)
+    own, state = np.zeros(columns.shape, bool), np.full(lanes, fresh, np.int64)
+    for k, column in enumerate(columns):
         entry = table[state + column]
+        own[k] = entry >> 32 != state
+        state = np.where(own[k], again[column], entry & 0xFFFFFFFF)
+    starts, walking, state = own.copy(), np.arange(1, lanes), state[:-1]
+    for k, column in enumerate(columns):
+        if not len(walking):
+            break
+        entry = table[state + column[walking]]
         missed = entry >> 32 != state
-        count += missed
-        state = np.where(missed, again[column], entry & 0xFFFFFFFF)
-    return count
+        starts[k, walking] = missed
+        on = ~(missed & own[k, walking])
+        state, walking = np.where(missed, again[column[walking]], entry & 0xFFFFFFFF)[on], walking[on]
+    passed = 0
+    for lane, at in zip(walking.tolist(), state.tolist(), strict=True):
+        while lane > passed:  # lane - 1 went through `lane` without meeting it
+            passed, lane = lane, lane + 1
+            if lane == lanes:
+                break
+            starts[:, lane] = own[:, lane]
+            for k, symbol in enumerate(grid[lane].tolist()):
+                entry = int(table[at + symbol])
+                starts[k, lane] = missed = entry >> 32 != at
+                if missed and own[k, lane]:
+                    passed = lane
+                    break
+                at = int(again[symbol]) if missed else entry & 0xFFFFFFFF
+    return np.ascontiguousarray(starts.T).reshape(-1)[: len(symbols)]
+
+
+def phrase_counts(texts: list[np.ndarray], automata: list[Automaton]) -> list[np.ndarray]:
+    """For each automaton the phrases of each text, an array of symbols without PAD."""
+    flat = np.concatenate([x for t in texts for x in (t, [PAD])]) if texts else np.zeros(0, np.int64)
+    ends = np.cumsum([len(t) + 1 for t in texts]).astype(np.int64)
+    counts = []
+    for automaton in automata:
+        upto = np.append(0, np.cumsum(phrase_starts(flat, automaton) & (flat != PAD)))
+        counts.append(np.diff(upto[np.append(0, ends)]))
+    return counts
 
 
 # ---- fitting and prediction ----
@@ -187,15 +229,7 @@ def predict(docs: DataFrame, names: list[str], alphabet: Alphabet, automata: lis
     def parse(texts: list[str | None]) -> list[tuple]:
         names, alphabet, automata, logs = shared.value
         symbols = [alphabet.symbols(t or "") for t in texts]
-        letters = [bool((s != SPACE).any()) for s in symbols]
-        lines = [-(-len(s) // SEGMENT) for s in symbols]
-        grid = np.full((sum(lines), SEGMENT), PAD, np.int32)
-        at = 0
-        for s, n in zip(symbols, lines, strict=True):
-            grid[at : at + n].reshape(-1)[: len(s)] = s
-            at += n
-        owner = np.repeat(np.arange(len(texts)), lines)
-        phrases = [np.bincount(owner, phrase_counts(grid, a), len(texts)) if len(grid) else np.zeros(len(texts)) for a in automata]
+        letters, phrases = [bool((s != SPACE).any()) for s in symbols], phrase_counts(symbols, automata)
         out = []
         for k, known in enumerate(letters):
             cost = sorted((p[k] * log, j) for j, (p, log) in enumerate(zip(phrases, logs, strict=True)))

@@ -514,24 +514,28 @@ def test_components(spark):
 
 
 def brute_phrases(symbols, sample):
-    text, n, at = bytes(sample), 0, 0
+    chars = lambda x: "".join(map(chr, x))
+    text, n, at = chars(sample), 0, 0
     while at < len(symbols):
         stop = at + 1
-        while stop < len(symbols) and bytes(symbols[at : stop + 1]) in text:
+        while stop < len(symbols) and chars(symbols[at : stop + 1]) in text:
             stop += 1
         n, at = n + 1, stop
     return n
 
 
-def test_phrases_are_longest_matches():
+@pytest.mark.parametrize("segment", [4, 16, 256])
+def test_phrases_are_longest_matches(segment, monkeypatch):
+    """Of texts shorter and longer than a lane, with runs whose parses from different places never meet."""
+    monkeypatch.setattr(language_id, "SEGMENT", segment)
     r = random.Random(8)
-    sample = [r.choice((0, 3, 4, 5)) for _ in range(400)]
-    table = language_id.suffix_automaton(sample, 8)
-    rows = [[r.choice((0, 3, 4, 5, 6, 1)) for _ in range(r.randint(1, 40))] for _ in range(50)]
-    grid = np.full((50, 40), language_id.PAD, np.uint8)
-    for k, row in enumerate(rows):
-        grid[k, : len(row)] = row
-    assert language_id.phrase_counts(grid, table).tolist() == [brute_phrases(row, sample) for row in rows]
+    sample = [r.choice((0, 3, 4, 5)) for _ in range(400)] + [6] * 3 + [3]
+    table = language_id.suffix_automaton(sample, 9)
+    rows = [[r.choice((0, 3, 4, 5, 7, 1)) for _ in range(r.randint(0, 400))] for _ in range(40)]
+    rows += [[6] * 1000, [6] * 700 + [3, 4] * 200 + [6] * 301, [], [0], sample * 2, [7] * 300]
+    got = language_id.phrase_counts([np.array(x, np.int64) for x in rows], [table, table])
+    assert got[0].tolist() == got[1].tolist() == [brute_phrases(row, sample) for row in rows]
+    assert [len(x) for x in language_id.phrase_counts([], [table])] == [0]
 
 
 def test_language_id(spark, docs):
@@ -553,22 +557,34 @@ def test_phrases_over_many_letters():
     r = random.Random(18)
     sample = [r.choice((0, *range(3, 2000))) if r.random() < 0.5 else r.choice((3, 4, 5)) for _ in range(3000)]
     rows = [[x for _ in range(20) for at in [r.randrange(2990)] for x in (*sample[at : at + r.randint(1, 9)], r.randrange(3, 2100))] for _ in range(40)]
-    grid = np.full((40, max(map(len, rows))), language_id.PAD, np.int32)
-    for k, row in enumerate(rows):
-        grid[k, : len(row)] = row
-    chars = lambda x: "".join(map(chr, x))
-    text = chars(sample)
-
-    def brute(row):
-        n, at = 0, 0
-        while at < len(row):
-            stop = at + 1
-            while stop < len(row) and chars(row[at : stop + 1]) in text:
-                stop += 1
-            n, at = n + 1, stop
-        return n
-
-    assert language_id.phrase_counts(grid, language_id.suffix_automaton(sample, 2100)).tolist() == list(map(brute, rows))
+    got = language_id.phrase_counts([np.array(x) for x in rows], [language_id.suffix_automaton(sample, 2100)])
+    assert got[0].tolist() == [brute_phrases(row, sample) for row in rows]
+
+
+def test_language_id_against_brute_force(spark):
+    """The whole prediction, from the learned symbols by substring search; short labelled texts, ties and repeated rows among them."""
+    r = random.Random(61)
+    rows = [(k, " ".join("".join(r.choice("abcdé" if k % 2 else "abcxy") for _ in range(r.randint(1, 5))) for _ in range(12)), ("one", "two")[k % 2]) for k in range(200)]
+    rows += [(300 + k, f"{t} 123 -- {t.upper()}" * 9, None) for k, (_, t, _) in enumerate(rows[:20])] + [rows[0], (400, "z", None), (401, "zz zz", None), (402, "?", "one"), (403, None, "two")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    names, alphabet, automata, logs = language_id.fit_languages(table)
+    taught = language_id.sample(table).collect()
+    assert names == ["one", "two"] and {x.lang for x in taught} == set(names)
+    learned = []
+    for name in names:
+        own = sorted((x["rank"], x.place, x.text) for x in taught if x.lang == name)
+        learned.append(alphabet.symbols(" ".join(["", *(t for *_, t in own)])[: 2 * language_id.CHARS])[: language_id.CHARS].tolist())
+    got = collections.Counter((x.doc_id, x.lang_pred, round(x.score, 9), x.n_phrases) for x in language_id.predict(table, names, alphabet, automata, logs).collect())
+    want = collections.Counter()
+    for i, t, _ in rows:
+        symbols = alphabet.symbols(t or "").tolist()
+        if not any(c.isalpha() for c in t or ""):
+            want[i, "und", 0.0, 0] += 1
+            continue
+        counts = [brute_phrases(symbols, s) for s in learned]
+        cost = sorted((n * math.log2(len(s) + 2), k) for k, (n, s) in enumerate(zip(counts, learned, strict=True)))
+        want[i, names[cost[0][1]], round(1 - cost[0][0] / cost[1][0], 9), counts[cost[0][1]]] += 1
+    assert got == want
 
 
 def test_language_id_of_many_scripts(spark):
