@@ -13,8 +13,8 @@ Ids equal those of the tokenizers library on the whole text. Decoding joins the
 malformed UTF-8, as the library does with skip_special_tokens=False.
 
 Defined cases: a null text is empty (no ids); equal texts and repeated rows share one encoding; an empty table gives
-an empty result; other columns are ignored. Texts travel once, compressed, by digest; frequent chunks and copies
-are joined by shuffles that Spark can split.
+an empty result; other columns are ignored, whatever their names. Texts travel once, compressed, by digest; chunks and texts
+that hold over a 1 / MOST part of all places or rows, so fewer than MOST, reach them by broadcast.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geomill.llm import bpe
-from geomill.llm.common import documents, staged, text_of
+from geomill.llm.common import documents, join_uneven, staged, text_of
 
 WINDOW, SHORTEST, LONGEST, CUT_BITS = 32, 256, 16_384, 10
+MOST = 512
 _KEY = 16  # bytes of a chunk's digest
 
 _gear = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -144,9 +145,9 @@ class _Encoder:
     def chunk(self, data: bytes, ends: list[int], at: int) -> np.ndarray:
         return self.model.encode(data[ends[at - 1] if at else 0 : ends[at]].decode())
 
-    def result(self, digest: bytes, data: bytes, ends: list[int], known: dict[int, np.ndarray]) -> dict:
+    def result(self, digest: bytes, copies: int, data: bytes, ends: list[int], known: dict[int, np.ndarray]) -> dict:
         ids = [known[k] if k in known else self.chunk(data, ends, k) for k in range(len(ends))]
-        return {"digest": digest, "n_chunks": len(ends), "n_shared_chunks": len(known)} | self.reduce(self.model, joined_ids(self.model, data, ends, ids))
+        return {"digest": digest, "copies": copies, "n_chunks": len(ends), "n_shared_chunks": len(known)} | self.reduce(self.model, joined_ids(self.model, data, ends, ids))
 
 
 def _first_pass(tokenizer: str, reduce, schema: list[tuple[str, pa.DataType]]):
@@ -157,13 +158,13 @@ def _first_pass(tokenizer: str, reduce, schema: list[tuple[str, pa.DataType]]):
         encoder = _Encoder(tokenizer, reduce, schema)
         for batch in batches:
             out = []
-            for digest, packed, marks in zip(batch["digest"].to_pylist(), batch["packed"], batch["marks"].to_pylist(), strict=True):
+            for digest, copies, packed, marks in zip(batch["digest"].to_pylist(), batch["copies"].to_pylist(), batch["packed"], batch["marks"].to_pylist(), strict=True):
                 packed, marks = packed.as_py(), marks or []
                 data = encoder.unpack.decompress(packed)
                 ends = cuts(data)
                 known = {m["at"]: encoder.chunk(data, ends, m["at"]) for m in marks if m["owned"]}
-                out += [{"chunk": m["chunk"], "ids": encoder.pack.compress(known[m["at"]].tobytes())} for m in marks if m["owned"]]
-                out.append({"digest": digest, "packed": packed} if len(known) < len(marks) else encoder.result(digest, data, ends, known))
+                out += [{"chunk": m["chunk"], "n": m["n"], "ids": encoder.pack.compress(known[m["at"]].tobytes())} for m in marks if m["owned"]]
+                out.append({"digest": digest, "copies": copies, "packed": packed} if len(known) < len(marks) else encoder.result(digest, copies, data, ends, known))
             yield pa.RecordBatch.from_pylist(out, schema=encoder.schema)
 
     return run
@@ -174,10 +175,10 @@ def _second_pass(tokenizer: str, reduce, schema: list[tuple[str, pa.DataType]]):
         encoder = _Encoder(tokenizer, reduce, schema)
         for batch in batches:
             out = []
-            for digest, packed, shared in zip(batch["digest"].to_pylist(), batch["packed"], batch["shared"].to_pylist(), strict=True):
+            for digest, copies, packed, shared in zip(batch["digest"].to_pylist(), batch["copies"].to_pylist(), batch["packed"], batch["shared"].to_pylist(), strict=True):
                 data = encoder.unpack.decompress(packed.as_py())
                 known = {s["at"]: np.frombuffer(encoder.unpack.decompress(s["ids"]), encoder.model.dtype) for s in shared}
-                out.append(encoder.result(digest, data, cuts(data), known))
+                out.append(encoder.result(digest, copies, data, cuts(data), known))
             yield pa.RecordBatch.from_pylist(out, schema=encoder.schema)
 
     return run
@@ -192,23 +193,29 @@ def encode_texts(docs: DataFrame, tokenizer: str, reduce, schema: str) -> DataFr
     rows = docs.select("doc_id", text_of().alias("text"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
     lists = rows.select("digest", "text").mapInArrow(_chunk_keys, "digest binary, chunks array<binary>").groupBy("digest").agg(F.first("chunks").alias("chunks"))
-    places = staged(lists, "chunk-lists").select("digest", F.posexplode("chunks").alias("at", "chunk"))
+    lists = staged(lists, "chunk-lists")
+    places = lists.select("digest", F.posexplode("chunks").alias("at", "chunk"))
+    n_places = lists.agg(F.sum(F.size("chunks"))).first()[0] or 0
     shared = places.groupBy("chunk").agg(F.count("*").alias("n"), F.min(F.struct("digest", "at")).alias("owner")).filter("n > 1")
     owned = (F.col("owner.digest") == F.col("digest")) & (F.col("owner.at") == F.col("at"))
-    marks = places.join(shared, "chunk").groupBy("digest").agg(F.collect_list(F.struct("at", "chunk", owned.alias("owned"))).alias("marks"))
-    texts = rows.select("digest", "text").mapInArrow(_packed, "digest binary, packed binary").groupBy("digest").agg(F.first("packed").alias("packed"))
+    met = join_uneven(places, shared, "chunk", "n", n_places, MOST)
+    marks = met.groupBy("digest").agg(F.collect_list(F.struct("at", "chunk", "n", owned.alias("owned"))).alias("marks"))
+    texts = rows.select("digest", "text").mapInArrow(_packed, "digest binary, packed binary").groupBy("digest").agg(F.first("packed").alias("packed"), F.count("*").alias("copies"))
 
-    results = f"digest binary, n_chunks long, n_shared_chunks long, {schema}"
+    results = f"digest binary, copies long, n_chunks long, n_shared_chunks long, {schema}"
     kinds = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}
     typed = lambda s: [(n, kinds[k]) for n, k in map(str.split, s.split(", "))]
-    extra = "packed binary, chunk binary, ids binary"
+    extra = "packed binary, chunk binary, n long, ids binary"
     first = texts.join(marks, "digest", "left").mapInArrow(_first_pass(tokenizer, reduce, typed(f"{results}, {extra}")), f"{results}, {extra}")
     first = staged(first, "first-pass")
-    given = places.join(first.filter("chunk IS NOT NULL").select("chunk", "ids"), "chunk").groupBy("digest").agg(F.collect_list(F.struct("at", "ids")).alias("shared"))
-    second = first.filter("packed IS NOT NULL").select("digest", "packed").join(given, "digest").mapInArrow(_second_pass(tokenizer, reduce, typed(results)), results)
+    given = join_uneven(places, first.filter("chunk IS NOT NULL").select("chunk", "n", "ids"), "chunk", "n", n_places, MOST)
+    given = given.groupBy("digest").agg(F.collect_list(F.struct("at", "ids")).alias("shared"))
+    second = first.filter("packed IS NOT NULL").select("digest", "copies", "packed").join(given, "digest").mapInArrow(_second_pass(tokenizer, reduce, typed(results)), results)
     done = first.filter("n_chunks IS NOT NULL").select(*second.columns).unionByName(second)
+    done = staged(done, "encoded-texts")
     named = [n for n, _ in typed(schema)]
-    return rows.select("doc_id", "digest").join(done, "digest").select("doc_id", *named, "n_chunks", "n_shared_chunks")
+    light = staged(rows.select("doc_id", "digest"), "text-digests")
+    return join_uneven(light, done, "digest", "copies", done.agg(F.sum("copies")).first()[0] or 0, MOST).select("doc_id", *named, "n_chunks", "n_shared_chunks")
 
 
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -9,8 +9,9 @@ the next checkpoint, so decoding starts at all checkpoints of all blocks at once
 A file set is two tables: `segments` (start, n_tokens, doc_ids, doc_tokens, shape, states, offsets, checksums,
 words) and `table` (token, frequency). `start` counts ids before the segment over the whole set.
 
-Defined cases: a null text is empty (its end id alone); a null doc_id sorts first; repeated rows follow one another;
-an empty table gives an empty file set; other columns are ignored. A text is encoded whole; a very long one makes a
+Defined cases: a null text is empty (its end id alone); a null doc_id sorts first; rows of one doc_id (or of none) follow one another by
+a hash of their texts, so that however many they are they can be dealt over partitions;
+an empty table gives an empty file set; other columns are ignored, whatever their names. A text is encoded whole; a very long one makes a
 segment of its own with more blocks.
 """
 
@@ -87,10 +88,17 @@ class Coder:
         }
 
     def decode(self, coded: dict, n: int) -> np.ndarray:
+        """All n ids."""
+        blocks, parts, _, _ = coded["shape"]
+        return self.decode_parts(coded, np.arange(blocks * parts)).ravel()[:n]
+
+    def decode_parts(self, coded: dict, chosen: np.ndarray) -> np.ndarray:
+        """The ids after the chosen checkpoints (numbered through all blocks), one row each, read from these on their own. The last
+        ones hold padding after the segment's last id."""
         blocks, parts, per_part, lanes = coded["shape"]
-        rows = blocks * parts
-        x = np.frombuffer(coded["states"], "<u8").reshape(rows, lanes).astype(np.uint64)
-        at = np.frombuffer(coded["offsets"], "<u8").astype(np.int64)
+        rows = len(chosen)
+        x = np.frombuffer(coded["states"], "<u8").reshape(blocks * parts, lanes)[chosen].astype(np.uint64)
+        at = np.frombuffer(coded["offsets"], "<u8")[chosen].astype(np.int64)
         words = np.append(np.frombuffer(coded["words"], "<u4").astype(np.uint64), U64(0))
         out = np.zeros((per_part, rows, lanes), np.uint32)
         mask = U64((1 << SCALE) - 1)
@@ -103,9 +111,15 @@ class Coder:
             at += low.sum(axis=1)
             x = np.where(low, (x << U64(32)) | words[np.where(low, place, 0)], x)
         tokens = np.ascontiguousarray(out.transpose(1, 0, 2)).reshape(rows, per_part * lanes).astype("<u4")
-        if [zlib.crc32(row) for row in tokens] != np.frombuffer(coded["checksums"], "<u4").tolist():
+        if [zlib.crc32(row) for row in tokens] != np.frombuffer(coded["checksums"], "<u4")[chosen].tolist():
             raise ValueError("a block is damaged: its checksum differs")
-        return tokens.ravel()[:n]
+        return tokens
+
+    def decode_range(self, coded: dict, start: int, stop: int) -> np.ndarray:
+        """Ids start..stop - 1 of a segment, from the checkpoints that cover them only."""
+        size = coded["shape"][2] * coded["shape"][3]
+        chosen = np.arange(start // size, -(-stop // size))
+        return self.decode_parts(coded, chosen).ravel()[start - start // size * size :][: stop - start]
 
 
 # ---- writing ----
@@ -125,7 +139,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
             at += int(lengths.sum())
             yield pa.RecordBatch.from_arrays([batch["part"], pa.array(before), batch["doc_id"], pa.array(lengths), pa.array([i.tobytes() for i in ids], pa.binary())], ["part", "at", "doc_id", "n_tokens", "ids"])
 
-    ordered = docs.select("doc_id", text_of().alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", text_of().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    ordered = ordered.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "text")
     return ordered.withColumn("part", F.spark_partition_id()).mapInArrow(encode, "part int, at long, doc_id long, n_tokens long, ids binary")
 
 

@@ -61,6 +61,8 @@ def test_coder_round_trip():
         coder = token_output.Coder(token_output.scaled(np.bincount(np.append(ids, [0, 1]), minlength=1000)))
         coded = coder.encode(ids, lanes=8, block=4096, checkpoint=16)
         assert np.array_equal(coder.decode(coded, n), ids)
+        for a, b in ((0, n), (n // 3, n // 2), (n - 1, n), (min(n, 130), min(n, 140))):
+            assert np.array_equal(coder.decode_range(coded, max(0, a), b), ids[max(0, a) : b])
     coded["words"] = coded["words"][:-4] + b"\1\2\3\4"
     with pytest.raises(ValueError, match="damaged"):
         coder.decode(coded, n)
@@ -78,13 +80,29 @@ def test_token_files(spark, docs, library, monkeypatch):
     token_output.write_tokens(docs, path, PATH)
     got = token_output.read_tokens(spark, path, token_output._digest, "doc_id long, start long, n_tokens long, ids_crc32 long").collect()
     start, want = 0, []
-    for i, t, *_ in sorted(TEXTS, key=lambda x: (x[0] is not None, x[0] or 0)):
+    for i, t, *_ in sorted(TEXTS, key=lambda x: (x[0] is not None, x[0] or 0)):  # no two texts of one id differ
         ids = [*ids_of(library, t), 0]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, got), key=lambda x: x[1]) == want
 
 
+def test_token_files_of_many_rows_without_id(spark, library):
+    """They are dealt over partitions, and the starts go on through all of them."""
+    texts = [words(k, 5 + k % 7) for k in range(300)]
+    df = spark.createDataFrame([*((None, t, "x") for t in texts), (5, None, "x")], "doc_id long, text string, part string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    parts = token_output.tokenized(df, PATH).groupBy("part").count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) > 2
+    path = f"{common.shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    token_output.write_tokens(df, path, PATH)
+    got = sorted(token_output.read_tokens(spark, path, token_output._digest, "doc_id long, start long, n_tokens long, ids_crc32 long").collect(), key=lambda r: r.start)
+    assert [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(len(got))] and got[-1].doc_id == 5
+    crc = lambda t: zlib.crc32(np.array([*ids_of(library, t), 0], "<u4").tobytes())
+    assert sorted(r.ids_crc32 for r in got) == sorted(map(crc, [*texts, ""]))
+
+
 def test_token_files_of_nothing(spark, docs):
     path = f"{common.shared_dir(spark)}/files-{uuid.uuid4().hex}"
     token_output.write_tokens(docs.limit(0), path, PATH)
@@ -195,11 +213,16 @@ def test_chunk_bpe(docs, library):
     assert chunk_bpe.encode_texts(docs.limit(0), PATH, chunk_bpe.digests, chunk_bpe.DIGESTS).count() == 0
 
 
-def test_shared_chunks_are_joined(spark, library):
+@pytest.mark.parametrize("most", [512, 1 << 40])
+def test_shared_chunks_are_joined(spark, library, most, monkeypatch):
+    """With chunks and copies told by broadcast, and by shuffle."""
+    monkeypatch.setattr(chunk_bpe, "MOST", most)
     shared = words(7, 3000)
     rows = [(k, words(100 + k, 40) + " " + shared + " " + words(200 + k, 40)) for k in range(6)]
-    done = chunk_bpe.encode_texts(spark.createDataFrame(rows, "doc_id long, text string"), PATH, chunk_bpe.digests, chunk_bpe.DIGESTS).collect()
-    assert sum(r.n_shared_chunks for r in done) > 50
+    rows += [(10 + k, rows[0][1]) for k in range(5)]
+    more = [(*r, "x", "y") for r in rows]
+    done = chunk_bpe.encode_texts(spark.createDataFrame(more, "doc_id long, text string, copies string, packed string"), PATH, chunk_bpe.digests, chunk_bpe.DIGESTS).collect()
+    assert sum(r.n_shared_chunks for r in done) > 50 and len(done) == len(rows)
     assert {r.doc_id: r.ids_sha256 for r in done} == {i: hashlib.sha256(",".join(map(str, ids_of(library, t))).encode()).hexdigest() for i, t in rows}
 
 
