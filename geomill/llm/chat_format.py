@@ -15,7 +15,7 @@ A conversation is one row of output, so one must fit in a task; conversations ar
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geomill.llm.common import text_of
@@ -42,9 +42,15 @@ def _marker(role: Column) -> Column:
 
 def format_chats(conversations: DataFrame) -> DataFrame:
     """One row per conversation: conv_id, formatted, loss_spans (array of start, length in code points; one span
-    for each assistant text)."""
-    turn = F.struct(F.col("turn"), text_of("role").alias("role"), text_of("text").alias("text"))
-    chats = conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    for each assistant text). Where a text starts is a running sum over the turns before they are collected."""
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    rows = conversations.select("conv_id", "turn", text_of("role").alias("role"), text_of("text").alias("text")).withColumn("escaped", escape(F.col("text")))
+    new, last = (F.coalesce(step("role").over(order) != F.col("role"), F.lit(True)) for step in (F.lag, F.lead))
+    lead = F.when(new, F.length(_marker(F.col("role")))).otherwise(len(JOIN))
+    rows = rows.withColumn("lead", lead).withColumn("size", F.col("lead") + F.length("escaped") + F.when(last, len(END)).otherwise(0))
+    upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("start", (upto - F.col("size") + F.col("lead")).cast("long"))
+    chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "start", "escaped"))).alias("turns"))
     turns = F.col("turns")
 
     def new_role(i: Column) -> Column:
@@ -54,31 +60,12 @@ def format_chats(conversations: DataFrame) -> DataFrame:
 
     def block(start: Column, k: Column) -> Column:
         stop = F.coalesce(F.get(F.col("first"), k + 1), F.size(turns))
-        texts = F.transform(F.slice(turns, start + 1, stop - start), lambda t: escape(t["text"]))
-        role = F.get(turns, start)["role"]
-        return F.struct(role.alias("role"), _marker(role).alias("marker"), texts.alias("texts"))
-
-    chats = chats.withColumn("blocks", F.transform("first", block))
-    formatted = F.array_join(F.transform("blocks", lambda b: F.concat(b["marker"], F.array_join(b["texts"], JOIN), F.lit(END))), "")
-
-    def piece(b: Column) -> Column:
-        return F.transform(
-            b["texts"],
-            lambda t, i: F.struct(
-                F.when(i == 0, F.length(b["marker"])).otherwise(F.lit(len(JOIN))).cast("long").alias("lead"),
-                F.length(t).cast("long").alias("chars"),
-                F.when(i == F.size(b["texts"]) - 1, F.lit(len(END))).otherwise(F.lit(0)).cast("long").alias("tail"),
-                (b["role"] == "assistant").alias("loss"),
-            ),
-        )
-
-    def step(acc: Column, p: Column) -> Column:
-        span = F.struct((acc["at"] + p["lead"]).alias("start"), p["chars"].alias("length"))
-        spans = F.when(p["loss"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        return F.struct((acc["at"] + p["lead"] + p["chars"] + p["tail"]).alias("at"), spans.alias("spans"))
-
-    zero = F.expr("named_struct('at', 0L, 'spans', cast(array() as array<struct<start:bigint,length:bigint>>))")
-    spans = F.aggregate(F.flatten(F.transform("blocks", piece)), zero, step)["spans"]
+        texts = F.transform(F.slice(turns, start + 1, stop - start), lambda t: t["escaped"])
+        return F.concat(_marker(F.get(turns, start)["role"]), F.array_join(texts, JOIN), F.lit(END))
+
+    formatted = F.array_join(F.transform("first", block), "")
+    own = F.filter(turns, lambda t: t["role"] == "assistant")
+    spans = F.transform(own, lambda t: F.struct(t["start"].alias("start"), F.length(t["escaped"]).cast("long").alias("length")))
     return chats.select("conv_id", formatted.alias("formatted"), spans.alias("loss_spans"))
 
 

@@ -5,13 +5,14 @@ Every `\\n`-split line with a word is judged by three rules; a line that breaks
 - punctuation: at least 4 words and no sentence end (`. ! ? : ; ,` or a closing quote or bracket) as the last character; a line of
   LONG_LINE words or more passes if a `.`, `!` or `?` ends a word inside it (a paragraph that was cut off);
 - navigation: at least 3 menu separators (`|`, `»`, `›`) and at least one for every 4 words;
-- boilerplate: at most 40 words and a stock phrase (licence, cookie, login, sharing).
+- boilerplate: at most 40 words and a stock phrase (by default of licences, cookies, logins, sharing; `phrases` is a parameter).
 
 A document is rejected when the removed lines hold more than `max_lost` of its word characters, or by the base
-rules (under 50 words, or over half of its words inside 3-word windows that occur twice).
+rules (under 50 words, or over half of its words inside 3-word windows that occur twice), which see the text as it came. One that is
+kept goes on as its cleaned text: the lines that passed and those without a word, in their order.
 
 Defined cases: a null or empty text has no words, keeps nothing, and fails the base rule; repeated rows are judged
-alike, each by itself; other columns are ignored. Texts are judged whole, one row at a time, in Arrow batches.
+alike, each by itself; other columns are ignored, whatever their names. Texts are judged whole, one row at a time, in Arrow batches.
 """
 
 from __future__ import annotations
@@ -38,7 +39,14 @@ MAX_LOST, LONG_LINE = 0.5, 30
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_removed_lines long, removed_chars long, base_failed boolean, kept boolean"
 
 _sentence = regex.compile(r"[.!?][\x20\x09-\x0D]")
-_stock = regex.compile("|".join(map(regex.escape, STOCK_PHRASES)))
+
+
+def phrase_test(phrases: tuple[str, ...] = STOCK_PHRASES) -> regex.Pattern:
+    """Finds any of the phrases, given in lower case."""
+    return regex.compile("|".join(map(regex.escape, phrases)) or "(?!)")
+
+
+_stock = phrase_test()
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -56,21 +64,21 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def line_fails(line: str, n_words: int) -> bool:
+def line_fails(line: str, n_words: int, stock: regex.Pattern = _stock) -> bool:
     bare = line.strip(SPACE)
     if n_words >= 4 and bare[-1] not in SENTENCE_END and (n_words < LONG_LINE or not _sentence.search(bare)):
         return True
     bars = bare.count("|") + bare.count("»") + bare.count("›")
     if bars >= 3 and 4 * bars >= n_words:
         return True
-    return n_words <= 40 and _stock.search(bare.lower()) is not None
+    return n_words <= 40 and stock.search(bare.lower()) is not None
 
 
 def word_chars(text: str) -> int:
     return len(text) - sum(map(text.count, SPACE))
 
 
-def clean_text(text: str | None) -> tuple[str, tuple]:
+def clean_text(text: str | None, stock: regex.Pattern = _stock, max_lost: float = MAX_LOST) -> tuple[str, tuple]:
     """The text without failing lines, and the figures of one document."""
     text = text or ""
     n_words = n_lines = n_removed = removed = dup = 0
@@ -84,39 +92,46 @@ def clean_text(text: str | None) -> tuple[str, tuple]:
         n_lines += 1
         dup += line in seen
         seen.add(line)
-        if line_fails(line, len(own)):
+        if line_fails(line, len(own), stock):
             n_removed += 1
             removed += word_chars(line)
         else:
             kept_lines.append(line)
     n_words, total, repeat = len(words), word_chars(text), repeated_words(words)
     base_failed = n_words < 50 or 100 * repeat > 50 * n_words
-    kept = not base_failed and removed <= MAX_LOST * total
+    kept = not base_failed and removed <= max_lost * total
     return "\n".join(kept_lines), (n_words, total, sum(map(text.count, SYMBOLS)), dup, repeat, n_lines, n_removed, removed, base_failed, kept)
 
 
-def _figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [(i.as_py(), *clean_text(t.as_py())[1]) for i, t in zip(batch["doc_id"], batch["text"], strict=True)]
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
-        kinds = [pa.bool_() if c.endswith("boolean") else pa.int64() for c in SCHEMA.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds], names)
+def line_figures(docs: DataFrame, phrases: tuple[str, ...] = STOCK_PHRASES, max_lost: float = MAX_LOST) -> DataFrame:
+    """One row per document: the base figures, what the line rules removed, and the verdict."""
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    kinds = [pa.bool_() if c.endswith("boolean") else pa.int64() for c in SCHEMA.split(", ")]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stock = phrase_test(phrases)
+        for batch in batches:
+            rows = [(i.as_py(), *clean_text(t.as_py(), stock, max_lost)[1]) for i, t in zip(batch["doc_id"], batch["text"], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds], names)
 
-def line_figures(docs: DataFrame) -> DataFrame:
-    """One row per document: the base figures, what the line rules removed, and the verdict."""
-    return docs.select("doc_id", "text").mapInArrow(_figures, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
-def _accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        verdicts = [clean_text(t.as_py())[1][-1] for t in batch["text"]]
-        yield batch.filter(pa.array(verdicts, pa.bool_()))
+def keep_clean(docs: DataFrame, phrases: tuple[str, ...] = STOCK_PHRASES, max_lost: float = MAX_LOST) -> DataFrame:
+    """The documents that the rules accept, with their cleaned texts and all other columns unchanged; nothing is shuffled."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stock = phrase_test(phrases)
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts, kept = [], []
+            for t in batch.column(at):
+                text, figures = clean_text(t.as_py(), stock, max_lost)
+                texts.append(text)
+                kept.append(figures[-1])
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).filter(pa.array(kept, pa.bool_()))
 
-def keep_clean(docs: DataFrame) -> DataFrame:
-    """The documents that the rules accept, unchanged and with all their columns; nothing is shuffled."""
-    return docs.mapInArrow(_accepted, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ scoring is one pass over the texts without Python and without a shuffle.
 The sample is the FIT_ROWS labelled rows with the smallest hash of their id (documented bound, alike at every size).
 
 Defined cases: a null text is empty and scored; a null label or id is not learned from; with fewer than two classes to
-learn from every score is the share of label 1 (0 without labels); repeated rows get equal scores; an empty table
+learn from every score is the share of label 1 (0 without labels); repeated rows are learned from once (of different texts with one
+id and label, the first in order) and get equal scores; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -16,6 +17,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
@@ -25,11 +28,13 @@ from pyspark.sql import functions as F
 from geomill.llm.common import documents, remainder, staged, text_of
 
 FIT_ROWS, TREES, DEPTH, LASSO, CUT = 20_000, 24, 3, 0.001, 0.3
+FIT_PARTS = 2  # partitions of the sample: it has some 3 MB, and every step of the fit is a job over it
+LICENCES = ("licensed under", "all rights reserved")
 MARKS = {"period": ".", "comma": ",", "bang": "!", "bar": "|", "hash": "#", "star": "*", "dollar": "$", "percent": "%", "amp": "&"}
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Named statistics of a text (all 0 or more; of an empty text finite)."""
+def statistics(text: Column, licences: tuple[str, ...] = LICENCES) -> dict[str, Column]:
+    """Named statistics of a text (all 0 or more; of an empty text finite). `licences` are phrases in lower case."""
     chars = F.length(text).cast("double")
     words = F.split(F.trim(text), r"\s+")
     n_words = F.size(words).cast("double")
@@ -43,7 +48,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "distinct_share": F.size(F.array_distinct(words)) / n_words,
         "upper_rate": upper / n_words,
         "line_words": n_words / lines,
-        "licensed": F.when(F.lower(text).contains("licensed under") | F.lower(text).contains("all rights reserved"), 1.0).otherwise(0.0),
+        "licensed": F.when(reduce(or_, (F.lower(text).contains(p) for p in licences), F.lit(False)), 1.0).otherwise(0.0),
     }
 
 
@@ -84,6 +89,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     learn = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (remainder("doc_id", 5) != 0))
     learn = learn.select("doc_id", F.col("quality").cast("double").alias("label")).distinct().orderBy(F.xxhash64("doc_id"), "label").limit(FIT_ROWS)
     known = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(learn), "doc_id")  # at most FIT_ROWS rows
+    known = known.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # repeated rows count once
     return staged(known.select("label", *(c.alias(n) for n, c in statistics(F.col("text")).items())), "quality-fit")
 
 
@@ -92,14 +98,17 @@ def fit_rules(sample: DataFrame) -> tuple[float, list[tuple[Rule, float]]]:
     classes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2:
         return (float("inf") if classes.get(1.0) else float("-inf")), []
-    vectors = sample.select("label", array_to_vector(F.array(*(F.col(n).cast("double") for n in NAMES))).alias("features"))
+    sample = sample.coalesce(FIT_PARTS)
+    vectors = sample.select("label", array_to_vector(F.array(*(F.col(n).cast("double") for n in NAMES))).alias("features")).cache()
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=5, featureSubsetStrategy="onethird").fit(vectors)
+    vectors.unpersist()
     rules = sorted({tightened(r) for tree in forest.trees for r in tree_rules(tree.toDebugString)})
     if not rules:
         share = classes.get(1.0, 0) / sum(classes.values())
         return math.log(share / (1 - share)), []
-    marks = sample.select("label", array_to_vector(F.array(*(holds(r).cast("double") for r in rules))).alias("features"))
+    marks = sample.select("label", array_to_vector(F.array(*(holds(r).cast("double") for r in rules))).alias("features")).cache()
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=60, standardization=False).fit(marks)
+    marks.unpersist()
     weights = lasso.coefficients.toArray().tolist()
     return float(lasso.intercept), [(r, w) for r, w in zip(rules, weights, strict=True) if abs(w) > 1e-6]
 

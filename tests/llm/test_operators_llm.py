@@ -7,6 +7,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 import time
 import uuid
 import zlib
@@ -440,11 +441,29 @@ def test_line_rules(docs):
     assert clean.count("\n") == 1 and figures[3] == 1 and figures[6] == 1
     done = {r.doc_id: r for r in line_clean.line_figures(docs).collect()}
     assert done[3].n_words == 0 and done[3].base_failed and not done[5].kept and done[0].n_words == 200
-    kept = line_clean.keep_clean(docs)
-    assert kept.columns == docs.columns and kept.count() == line_clean.line_figures(docs).filter("kept").count()
+    kept = {x.doc_id: x.text for x in line_clean.keep_clean(docs).collect()}
+    assert set(kept) == {i for i, x in done.items() if x.kept} and all(t == line_clean.clean_text(dict((i, t) for i, t, *_ in TEXTS)[i])[0] for i, t in kept.items())
+    assert line_clean.keep_clean(docs).columns == docs.columns
     assert line_clean.line_figures(docs.limit(0)).count() == 0
 
 
+def test_cleaned_texts_go_on(spark):
+    body = "This is a sentence of the text, and it has an end.\n" * 2 + "\n".join(words(k, 12) + "." for k in range(6))
+    rows = [(0, "Home | About | Login\n" + body + "\n\nsubscribe to our letter"), (1, body + "\nadd to basket now."), (2, "\n".join(words(90 + k, 9) for k in range(20)) + "\n" + body), (3, None)]
+    df = spark.createDataFrame([(*r, r[1], 7) for r in rows], "doc_id long, text string, Text_ string, n int")
+    kept = {r.doc_id: r for r in line_clean.keep_clean(df).collect()}
+    assert kept[0].text == body + "\n" and kept[1].text == rows[1][1] and set(kept) == {0, 1} and kept[0]["Text_"] == rows[0][1]
+    kept = {r.doc_id: r.text for r in line_clean.keep_clean(df, ("add to basket",), 0.9).collect()}
+    assert kept[1] == body and kept[2] == body
+    assert line_clean.line_figures(df, ("add to basket",)).filter("doc_id = 1").first().n_removed_lines == 1
+
+
+def test_line_rules_of_a_very_long_text(spark):
+    text = "\n".join(f"Line {k} says word{k % 1000} and then stops here." for k in range(200_000)) + "\nHome | About | Login"
+    row = line_clean.line_figures(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.n_words, row.n_lines, row.n_removed_lines, row.n_dup_lines) == (1_600_005, 200_001, 1, 0) and row.n_symbols == 2
+
+
 # ---- 7: near dedup ----
 
 
@@ -666,6 +685,37 @@ def test_quality_rules(spark, docs):
         assert {r.score for r in quality_rules.score_quality(df, *one).collect()} == {want}
 
 
+def test_quality_scores_against_brute_force(spark, docs):
+    """Every score from the fitted rules in plain Python; repeated rows and ties in the statistics among the learned ones."""
+    r = random.Random(91)
+    rows = [(k, (words(k, r.randint(1, 90)) + r.choice((".", " | | |", "!!", " Licensed under X", "\n\nA B"))) * r.randint(1, 2)) for k in range(260)]
+    rows += rows[:5] * 3 + [(900 + k, rows[7][1]) for k in range(6)] + [(950, None), (951, ""), (952, "   "), (None, "x"), (953, words(9, 30_000))]
+    table = spark.createDataFrame([(*x, 1.0, "y") for x in rows], "doc_id long, text string, label double, features string").repartition(3)
+    labels = spark.createDataFrame([(i, int(r.random() < (0.9 if len(t or "") > 250 else 0.2))) for i, t in dict(rows).items() if i is not None], "doc_id long, quality int")
+    sample = quality_rules.labelled(table, labels)
+    assert sample.count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in dict(rows) if i is not None)
+    intercept, rules = quality_rules.fit_rules(sample)
+    assert rules
+
+    def figures(text):
+        parts = re.split(r"[ \t\n\x0b\f\r]+", text.strip(" "))  # a text of no words has one empty part
+        while len(parts) > 1 and not parts[-1] and not text:
+            parts.pop()
+        n = len(parts)
+        marks = [text.count(m) / n for m in quality_rules.MARKS.values()]
+        return [*marks, math.log1p(len(text)), len(text) / n, len(set(parts)) / n, sum("A" <= c <= "Z" for c in text) / n, n / (1 + text.count("\n")), float("licensed under" in text.lower() or "all rights reserved" in text.lower())]
+
+    def score(text):
+        x = figures(text or "")
+        total = intercept + sum(w for rule, w in rules if all((x[k] <= cut) if sign == "<=" else (x[k] > cut) for k, sign, cut in rule))
+        return 1 / (1 + math.exp(-total))
+
+    got = quality_rules.score_quality(table, intercept, rules).collect()
+    key = lambda x: (str(x[0]), round(x[1], 9))
+    for a, b in zip(sorted(map(tuple, got), key=key), sorted(((i, score(t)) for i, t in rows), key=key), strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], abs=1e-9)
+
+
 def test_statistics_have_their_names(spark):
     assert list(quality_rules.statistics(F.lit("a"))) == quality_rules.NAMES
 
@@ -685,3 +735,12 @@ def test_chats_round_trip(spark):
         assert [(x.role, x.text) for x in got[c].turns] == [(role, text) for _, role, text in want]
         assert got[c].loss_text == "".join(text for _, role, text in want if role == "assistant")
     assert chat_format.format_chats(df.limit(0)).count() == 0
+
+
+def test_a_long_conversation_and_clashing_names(spark):
+    n = 60_000
+    df = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 3 == 2, "assistant").otherwise("user").alias("role"), F.concat(F.lit("t["), F.col("id").cast("string")).alias("text"))
+    df = df.select("*", *(F.lit("x").alias(c) for c in ("start", "size", "lead", "escaped", "turns", "first", "formatted", "loss_spans")))
+    chat = chat_format.format_chats(df).first()
+    spans = [chat.formatted[s.start : s.start + s.length] for s in chat.loss_spans]
+    assert spans == [f"t\\l{k}" for k in range(2, n, 3)] and chat.formatted.count("</s>") == 2 * n // 3
