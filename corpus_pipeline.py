@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from geomill.llm import chunk_bpe, exact_dedup, line_clean, near_dedup, source_mix
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line-first rules accept, unchanged."""
-    return line_clean.keep_clean(docs)
+    """Documents that the line-first rules accept, without the lines that fail; n_chars, where there is one, follows the text."""
+    kept = line_clean.keep_clean(docs)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
