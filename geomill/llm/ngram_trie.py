@@ -63,12 +63,15 @@ _PLACES = np.array([[k for k in range(8) if b >> k & 1] + [8] * (8 - bin(b).coun
 def _select(words: np.ndarray, before: np.ndarray, nth: np.ndarray) -> np.ndarray:
     """Places of the nth (from 0) set bits of packed 64-bit words; `before` counts the set bits before each word."""
     at = np.searchsorted(before, nth, "right") - 1
-    left = nth - before[at]
-    octets = words[at].view(np.uint8).reshape(-1, 8)
-    sums = np.cumsum(_ONES[octets], axis=1, dtype=np.uint8)
-    byte, rows = (sums <= left[:, None]).sum(axis=1), np.arange(len(at))
-    left = left - np.where(byte > 0, sums[rows, byte - 1], 0)
-    return 64 * at + 8 * byte + _PLACES[octets[rows, byte], left]
+    left, word, place = nth - before[at], words[at], 64 * at
+    for half in (32, 16, 8):
+        ones = np.bitwise_count(word & U64((1 << half) - 1)).astype(np.int64)
+        above = left >= ones
+        left -= np.where(above, ones, 0)
+        step = np.where(above, half, 0)
+        word >>= step.astype(np.uint64)
+        place += step
+    return place + _PLACES[(word & U64(255)).astype(np.intp), left]
 
 
 class EliasFano:
@@ -327,29 +330,38 @@ def _runs(new: np.ndarray, inner: np.ndarray) -> np.ndarray:
     return np.add.reduceat(inner, np.flatnonzero(new), dtype=np.int64)
 
 
+def _grouped(shard: np.ndarray, code: np.ndarray, h: np.ndarray, g: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """An order by (shard, code, h, g, place); from two sorts of one number each while the batch is small enough for that."""
+    bits, most = int(h.max()).bit_length(), len(h).bit_length()
+    if int(shard.max()).bit_length() + 2 * bits > 64 or most + bits + 16 > 64:
+        return np.lexsort((place, g, h, code, shard))
+    key = (shard << U64(bits) | code) << U64(bits) | h
+    order = np.argsort(key)
+    key = key[order]
+    run = np.cumsum(np.append(False, key[1:] != key[:-1])).astype(np.uint64)
+    return order[np.argsort((run << U64(bits) | g[order]) << U64(16) | place[order])]
+
+
 def _ngrams(shards: int, shared):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value[0]
         for key, doc_ids, learned, tokens in _batches(batches):
             sizes = np.array(list(map(len, tokens)))
-            word, begins = np.concatenate(tokens), np.cumsum(sizes) - sizes
-            h, g = np.empty_like(word), np.empty_like(word)
-            h[1:] = word[:-1]
-            h[begins] = START
+            words, code = np.unique(np.concatenate(tokens), return_inverse=True)
+            code, begins = code.astype(np.uint64), np.cumsum(sizes) - sizes
+            h, g = np.empty_like(code), np.empty_like(code)
+            h[1:] = code[:-1]
+            h[begins] = len(words)
             g[1:] = h[:-1]
-            g[begins] = START
+            g[begins] = len(words)
+            names = _name(np.append(words, START))
             place = np.repeat(np.arange(len(sizes)) | np.where(learned, LEARNED, 0), sizes).astype(np.uint64)
-            h, g = _name(h), _name(g)
-            shard = shard_of(word, shards)
-            if len(frequent):
-                often = frequent[np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)] == word
-                shard[often] = shard_of(mix(word[often] ^ h[often]), shards)
-            order = np.argsort(word, kind="stable")
-            order = order[np.argsort(shard[order].astype(np.uint32), kind="stable")]
-            word, h, g, place, shard = word[order], h[order], g[order], place[order], shard[order]
-            head = np.append(True, (word[1:] != word[:-1]) | (shard[1:] != shard[:-1]))
-            order = np.lexsort((g << U64(16) | place, h, np.cumsum(head)))
-            h, g, place = h[order], g[order], place[order]
+            shard = shard_of(words, shards)[code]
+            often = np.flatnonzero(np.isin(words, frequent)[code])
+            shard[often] = shard_of(mix(words[code[often]] ^ names[h[often]]), shards)
+            order = _grouped(shard, code, h, g, place)
+            shard, code, h, g, place = (x[order] for x in (shard, code, h, g, place))
+            head = np.append(True, (code[1:] != code[:-1]) | (shard[1:] != shard[:-1]))
             pair = head | np.append(True, h[1:] != h[:-1])
             triple = pair | np.append(True, g[1:] != g[:-1])
             entry = triple | np.append(True, place[1:] != place[:-1])
@@ -359,7 +371,7 @@ def _ngrams(shards: int, shared):
                 if ends[k] < ends[k + 1]:
                     w, p, t, e = head[cut], pair[cut], triple[cut], entry[cut]
                     times = np.diff(np.append(np.flatnonzero(e), len(e)))
-                    packed = squeezed(word[cut][w], _runs(w, p), h[cut][p], _runs(p, t), g[cut][t], _runs(t, e), place[cut][e], times)
+                    packed = squeezed(words[code[cut][w]], _runs(w, p), names[h[cut][p]], _runs(p, t), names[g[cut][t]], _runs(t, e), place[cut][e], times)
                     rows.append({"shard": k, "batch": key, "packed": packed})
             rows.append({"shard": key % shards, "batch": key, "doc_ids": doc_ids, "n_tokens": squeezed(sizes)})
             yield pa.RecordBatch.from_pylist(rows, schema=SENT_ARROW)
@@ -395,9 +407,9 @@ def _shard(n: int, v: int, shared):
         at = np.minimum(np.searchsorted(frequent, words), max(0, len(frequent) - 1))
         hit = np.flatnonzero(frequent[at] == words) if len(frequent) else at[:0]
         counts[hit] = frequent_counts[at[hit]]
-        ids = np.unique(np.concatenate([h, g]))
-        pair_word, pair_id, pair = _distinct(np.repeat(word_at, pairs_of.astype(np.int64)), np.searchsorted(ids, h), len(ids))
-        triple_pair, triple_id, triple = _distinct(np.repeat(pair, triples_of.astype(np.int64)), np.searchsorted(ids, g), len(ids))
+        ids, id_at = np.unique(np.concatenate([h, g]), return_inverse=True)
+        pair_word, pair_id, pair = _distinct(np.repeat(word_at, pairs_of.astype(np.int64)), id_at[: len(h)], len(ids))
+        triple_pair, triple_id, triple = _distinct(np.repeat(pair, triples_of.astype(np.int64)), id_at[len(h) :], len(ids))
         triple = np.repeat(triple, entries_of.astype(np.int64))
         triple_count = np.bincount(triple, times * (place >> U64(15)), len(triple_pair))
         pair_count = np.bincount(triple_pair, triple_count, len(pair_word))
@@ -407,7 +419,7 @@ def _shard(n: int, v: int, shared):
         with tempfile.TemporaryFile() as file:  # this task's scratch, as Spark's own spill files: no other task needs it
             file.write(packed)
             file.flush()
-            terms, contexts = Trie(np.memmap(file, np.uint8, "r")).find(words, ids, pair_word, pair_id, triple_pair, triple_id)
+            terms, contexts = Trie(np.asarray(np.memmap(file, np.uint8, "r"))).find(words, ids, pair_word, pair_id, triple_pair, triple_id)
         value = (terms + contexts[triple_pair])[triple] * times.astype(np.int64)
         owner, place = pair_word[triple_pair][triple], (place & U64(LEARNED - 1)).astype(np.int64)
         for r, value, owner, place, times in zip(rows, *(np.split(x, stops) for x in (value, owner, place, times.astype(np.int64))), strict=True):
