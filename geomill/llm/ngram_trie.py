@@ -47,7 +47,7 @@ from geomill.llm.common import documents, remainder, staged, text_of
 from geomill.llm.words import mix, word_hashes
 
 BACK, PRIOR, GRID = 1 / 128, 256.0, 2048
-SHARDS, SHARD_BYTES, MOST_SPLIT = 96, 8 << 20, 1 << 20  # at least so many shards; bytes of text for each
+SHARDS, SHARD_BYTES, MOST_SPLIT = 128, 6 << 20, 1 << 20  # at least so many shards; bytes of text for each
 BATCH_BYTES, BATCH_DOCS = 8 << 20, 32_000
 START, END = np.uint64(0x1D8AF066F5B7B3C1), np.uint64(0x8E9D5C3FD1A26B47)
 LEARNED = 0x8000  # marks a learned document's place in its batch
@@ -228,13 +228,15 @@ def squeezed(*arrays: np.ndarray) -> bytes:
 
 
 def loosened(packed: bytes) -> list[np.ndarray]:
+    """The arrays again, of unsigned numbers as narrow as they need be."""
     raw = zstandard.ZstdDecompressor().decompress(packed)
     count = int(np.frombuffer(raw[:4], "<u4")[0])
     heads, at, out = np.frombuffer(raw, "<u4", 2 * count, 4).tolist(), 4 + 8 * count, []
     for n, width in zip(heads[0::2], heads[1::2], strict=True):
-        a = np.zeros((n, 8), np.uint8)
+        size = 1 << (width - 1).bit_length()
+        a = np.zeros((n, size), np.uint8)
         a[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
-        out.append(a.view("<u8").ravel())
+        out.append(a.view(f"<u{size}").ravel())
         at += n * width
     return out
 
@@ -244,6 +246,7 @@ def zigzag(x: np.ndarray) -> np.ndarray:
 
 
 def unzigzag(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64)
     return (x >> U64(1)).astype(np.int64) ^ -(x & U64(1)).astype(np.int64)
 
 
@@ -289,7 +292,7 @@ def _vocabulary(shards: int):
 
 
 def _level_one(group: pa.Table) -> pa.Table:
-    words, taught, others = (np.concatenate(x) for x in zip(*(loosened(p.as_py()) for p in group["packed"]), strict=True))
+    words, taught, others = (np.concatenate(x).astype(np.uint64) for x in zip(*(loosened(p.as_py()) for p in group["packed"]), strict=True))
     distinct, place = np.unique(words, return_inverse=True)
     counts, rest = (np.bincount(place, x, len(distinct)).astype(np.uint64) for x in (taught, others))
     figures = [int((counts > 0).sum()), int(counts.sum()), int(rest.sum())]
@@ -309,9 +312,9 @@ def _frequent(least: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for packed, counts in zip(batch["words"], batch["counts"], strict=True):
-                counts, rest = loosened(counts.as_py())
+                counts, rest = (x.astype(np.int64) for x in loosened(counts.as_py()))
                 often = np.flatnonzero(counts + rest > least)
-                yield pa.RecordBatch.from_arrays([pa.array(_coded(packed.as_py()).values(often).view(np.int64)), pa.array(counts[often].astype(np.int64))], ["word", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_coded(packed.as_py()).values(often).view(np.int64)), pa.array(counts[often])], ["word", "n"])
 
     return find
 
@@ -398,7 +401,9 @@ def _shard(n: int, v: int, shared):
             return pa.Table.from_pylist(out, schema=SENT_ARROW)
         word, pairs_of, h, triples_of, g, entries_of, place, times = (list(x) for x in zip(*(loosened(r["packed"]) for r in rows), strict=True))
         stops = np.cumsum(list(map(len, place)))[:-1]
-        word, pairs_of, h, triples_of, g, entries_of, place, times = (np.concatenate(x) for x in (word, pairs_of, h, triples_of, g, entries_of, place, times))
+        word, h, g = (np.concatenate(x).astype(np.uint64) for x in (word, h, g))
+        pairs_of, triples_of, entries_of, place, times = (np.concatenate(x) for x in (pairs_of, triples_of, entries_of, place, times))
+        place = place.astype(np.uint16)
         words, word_at = np.unique(word, return_inverse=True)
         counts = np.zeros(len(words))
         if level.num_rows:
@@ -408,25 +413,30 @@ def _shard(n: int, v: int, shared):
         hit = np.flatnonzero(frequent[at] == words) if len(frequent) else at[:0]
         counts[hit] = frequent_counts[at[hit]]
         ids, id_at = np.unique(np.concatenate([h, g]), return_inverse=True)
-        pair_word, pair_id, pair = _distinct(np.repeat(word_at, pairs_of.astype(np.int64)), id_at[: len(h)], len(ids))
-        triple_pair, triple_id, triple = _distinct(np.repeat(pair, triples_of.astype(np.int64)), id_at[len(h) :], len(ids))
-        triple = np.repeat(triple, entries_of.astype(np.int64))
-        triple_count = np.bincount(triple, times * (place >> U64(15)), len(triple_pair))
+        n_pairs = len(h)
+        del word, h, g
+        pair_word, pair_id, pair = _distinct(np.repeat(word_at, pairs_of), id_at[:n_pairs], len(ids))
+        triple_pair, triple_id, triple = _distinct(np.repeat(pair, triples_of), id_at[n_pairs:], len(ids))
+        del word_at, id_at, pair
+        triple = np.repeat(triple.astype(np.uint32), entries_of)
+        learned = np.flatnonzero(place >= LEARNED)
+        triple_count = np.bincount(triple[learned], times[learned], len(triple_pair))
         pair_count = np.bincount(triple_pair, triple_count, len(pair_word))
         known, known_pair = triple_count > 0, pair_count > 0
         moved = np.cumsum(known_pair) - 1
+        del learned
         packed = build_trie(words, counts, ids, (pair_word[known_pair], pair_id[known_pair], pair_count[known_pair]), (moved[triple_pair[known]], triple_id[known], triple_count[known]), n, v)
         with tempfile.TemporaryFile() as file:  # this task's scratch, as Spark's own spill files: no other task needs it
             file.write(packed)
             file.flush()
             terms, contexts = Trie(np.asarray(np.memmap(file, np.uint8, "r"))).find(words, ids, pair_word, pair_id, triple_pair, triple_id)
-        value = (terms + contexts[triple_pair])[triple] * times.astype(np.int64)
-        owner, place = pair_word[triple_pair][triple], (place & U64(LEARNED - 1)).astype(np.int64)
-        for r, value, owner, place, times in zip(rows, *(np.split(x, stops) for x in (value, owner, place, times.astype(np.int64))), strict=True):
-            docs, doc = np.unique(place, return_inverse=True)
+        value, owner = (terms + contexts[triple_pair]).astype(np.int32), pair_word[triple_pair].astype(np.uint32)
+        del packed, terms, contexts, pair_word, pair_id, triple_pair, triple_id
+        for r, triple, place, times in zip(rows, *(np.split(x, stops) for x in (triple, place, times)), strict=True):
+            docs, doc = np.unique(place & np.uint16(LEARNED - 1), return_inverse=True)
             sums = np.zeros(len(docs), np.int64)
-            np.add.at(sums, doc, value)
-            own, count, item = _distinct(doc, counts[owner].astype(np.int64), int(counts.max()) + 1)
+            np.add.at(sums, doc, value[triple] * times.astype(np.int64))
+            own, count, item = _distinct(doc, counts[owner[triple]].astype(np.int64), int(counts.max()) + 1)
             packed = squeezed(docs, zigzag(sums), np.bincount(own, minlength=len(docs)), count, np.bincount(item, times).astype(np.int64))
             out.append({"shard": r["shard"], "batch": r["batch"], "packed": packed})
         return pa.Table.from_pylist(out, schema=SENT_ARROW)
@@ -444,7 +454,7 @@ def _added(n: int, v: int):
             if r["doc_ids"] is None:
                 place, sums, items, count, times = loosened(r["packed"])
                 model[place] += unzigzag(sums)
-                place = np.repeat(place, items.astype(np.int64)).astype(np.int64)
+                place = np.repeat(place, items)
                 base += np.bincount(place, times * np.log10(count + 0.5), size)
                 known += np.bincount(place, times * (count > 0), size).astype(np.int64)
         tokens = loosened(docs["n_tokens"])[0].astype(np.int64)
