@@ -68,6 +68,23 @@ def cell_of(lon: Column, lat: Column, minx: float, maxy: float, px: float, nrows
     return F.struct(r.alias("grid_row"), c.alias("grid_col"), ((r >= 0) & (r < nrows) & (c >= 0) & (c < ncols)).alias("inside"))
 
 
+def edges_of(polygons: Column) -> Column:
+    """All edges of all rings: array of struct(x0, y0, x1, y1)."""
+    edge = lambda r, i: F.struct(F.get(r, i - 1)["x"].alias("x0"), F.get(r, i - 1)["y"].alias("y0"), F.get(r, i)["x"].alias("x1"), F.get(r, i)["y"].alias("y1"))
+    return F.flatten(F.transform(F.flatten(polygons), lambda r: F.when(F.size(r) > 1, F.transform(F.sequence(F.lit(1), F.size(r) - 1), lambda i: edge(r, i))).otherwise(F.array())))
+
+
+def centroid(polygons: Column) -> Column:
+    """struct(x, y): the centroid by area, the mean of the vertices where there is no area."""
+    edges = edges_of(polygons)
+    cross = lambda e: e["x0"] * e["y1"] - e["x1"] * e["y0"]
+    total = lambda f: F.aggregate(edges, F.lit(0.0), lambda a, e: a + f(e))
+    twice = total(cross)
+    mean = lambda axis: total(lambda e: e[f"{axis}0"]) / F.size(edges)
+    at = lambda axis: F.when(twice != 0, total(lambda e: (e[f"{axis}0"] + e[f"{axis}1"]) * cross(e)) / (3 * twice)).otherwise(mean(axis))
+    return F.struct(at("x").alias("x"), at("y").alias("y"))
+
+
 def ring_area(ring: Column) -> Column:
     """Signed shoelace area."""
     at = F.sequence(F.lit(1), F.size(ring) - 1)
@@ -104,19 +121,14 @@ def round_coords(polygons: Column, places: int = 6) -> Column:
     return F.transform(polygons, lambda rings: F.transform(rings, lambda r: F.transform(r, point)))
 
 
-def inside_polygons(x: Column, y: Column, polygons: Column) -> Column:
-    """Even-odd test over all rings (so holes and parts count), half-open: left and lower edges belong to the inside."""
-
-    def crossings(ring: Column) -> Column:
-        def step(n: Column, i: Column) -> Column:
-            a, b = F.get(ring, i - 1), F.get(ring, i)
-            across = (a["y"] > y) != (b["y"] > y)
-            return n + F.when(across & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"]), 1).otherwise(0)
+def inside_edges(x: Column, y: Column, edges: Column) -> Column:
+    """Even-odd test over edges (so holes and parts count), half-open: left and lower edges belong to the inside."""
 
-        return F.aggregate(F.sequence(F.lit(1), F.size(ring) - 1), F.lit(0), step)
+    def step(n: Column, e: Column) -> Column:
+        across = (e["y0"] > y) != (e["y1"] > y)
+        return n + F.when(across & (x < (e["x1"] - e["x0"]) * (y - e["y0"]) / (e["y1"] - e["y0"]) + e["x0"]), 1).otherwise(0)
 
-    total = F.aggregate(F.transform(F.flatten(polygons), crossings), F.lit(0), lambda a, n: a + n)
-    return total % 2 == 1
+    return F.aggregate(edges, F.lit(0), step) % 2 == 1
 
 
 def polygon_of_box(b: Column) -> Column:

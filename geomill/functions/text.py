@@ -134,16 +134,36 @@ def split_data_name(data: Column, classification: Column) -> Column:
     return F.struct(F.when(cut, head).otherwise(data).alias("dataset"), F.when(cut, tail).otherwise("na").alias("temporal"))
 
 
-def _json_list(values: Column) -> Column:
-    quoted = F.transform(values, lambda v: F.concat(F.lit('"'), F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')))
+# Filter fields whose values are numbers.
+NUMBER_FIELDS = ("transaction_year", "total_commitments", "total_disbursements")
+
+
+def json_text(value: Column) -> Column:
+    """A text as JSON in ASCII: quotes, backslashes and control characters escaped, all else beyond ASCII as UTF-16 units."""
+
+    def escaped(char: Column) -> Column:
+        units = F.lower(F.hex(F.encode(char, "UTF-16BE")))
+        unicode = F.concat(F.lit("\\u"), F.substring(units, 1, 4), F.when(F.length(units) == 8, F.concat(F.lit("\\u"), F.substring(units, 5, 4))).otherwise(""))
+        out = F.when(F.length(char) == 0, "")
+        for plain, code in (('"', '\\"'), ("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\f", "\\f"), ("\b", "\\b")):
+            out = out.when(char == plain, code)
+        return out.when(char.between(" ", "~"), char).otherwise(unicode)
+
+    chars = F.transform(F.sequence(F.lit(1), F.greatest(F.length(value), F.lit(1))), lambda i: escaped(F.substring(value, i, F.lit(1))))
+    return F.concat(F.lit('"'), F.array_join(chars, ""), F.lit('"'))
+
+
+def _json_list(values: Column, numbers: Column) -> Column:
+    quoted = F.transform(values, lambda v: F.when(numbers & v.rlike(r"^-?[0-9]+(\.[0-9]+)?$"), v).otherwise(json_text(v)))
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
 def request_json(dataset: Column, filters: Column, resolution: Column, kind: Column, version: Column) -> Column:
-    """The canonical JSON of a filter request: sorted keys, `, ` and `: ` between. `filters` maps field -> array of strings."""
+    """The canonical JSON of a filter request in ASCII: sorted keys, `, ` and `: ` between. `filters` maps field -> array of strings;
+    those of NUMBER_FIELDS are written as numbers."""
     fields = F.array_sort(F.map_keys(filters))
-    inner = F.array_join(F.transform(fields, lambda k: F.concat(F.lit('"'), k, F.lit('": '), _json_list(F.element_at(filters, k)))), ", ")
-    return F.concat(F.lit('{"dataset": "'), dataset, F.lit('", "filters": {'), inner, F.lit('}, "resolution": '), resolution.cast("string"), F.lit(', "type": "'), kind, F.lit('", "version": '), version.cast("string"), F.lit("}"))
+    inner = F.array_join(F.transform(fields, lambda k: F.concat(json_text(k), F.lit(": "), _json_list(F.element_at(filters, k), k.isin(*NUMBER_FIELDS)))), ", ")
+    return F.concat(F.lit('{"dataset": '), json_text(dataset), F.lit(', "filters": {'), inner, F.lit('}, "resolution": '), resolution.cast("string"), F.lit(', "type": '), json_text(kind), F.lit(', "version": '), version.cast("string"), F.lit("}"))
 
 
 def request_hash(dataset: Column, filters: Column, resolution: Column, kind: Column, version: Column) -> Column:

@@ -12,7 +12,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from geomill.functions import geometry as G
 
@@ -20,72 +19,100 @@ BAND = 32  # grid rows given to a task at once, so that no task holds a whole co
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
 
 
-def _cover(rings: list[np.ndarray], r0: int, r1: int, minx: float, maxy: float, px: float, scale: int, ncols: int) -> np.ndarray:
-    """Sub-cell centres inside (even-odd, half-open) for rows r0..r1-1: counts [row, col]."""
-    sub, rows, cols = px / scale, (r1 - r0) * scale, ncols * scale
-    edges = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
+def _cover(edges: np.ndarray, r0: int, r1: int, minx: float, maxy: float, px: float, scale: int, ncols: int) -> tuple[int, np.ndarray]:
+    """(first column, counts [row, column]): sub-cell centres inside (even-odd, half-open) for rows r0..r1-1, over the columns that the
+    edges (x0, y0, x1, y1) of these rows span."""
     x0, y0, x1, y1 = edges.T
-    steps = np.zeros((rows, cols + 1), np.int64)
-    for k in range(rows):
+    low = int(np.clip(np.floor((min(x0.min(), x1.min()) - minx) / px), 0, ncols))
+    high = int(np.clip(np.ceil((max(x0.max(), x1.max()) - minx) / px), low, ncols))
+    sub, rows, cols = px / scale, (r1 - r0) * scale, (high - low) * scale
+    steps = np.zeros((rows, cols + 1), np.int32)
+    first = max(0, int(np.floor((maxy - max(y0.max(), y1.max())) / sub)) - r0 * scale)
+    last = min(rows, int(np.ceil((maxy - min(y0.min(), y1.min())) / sub)) - r0 * scale + 1)
+    for k in range(first, last):
         y = maxy - (r0 * scale + k + 0.5) * sub
         hit = (y0 > y) != (y1 > y)
         if hit.any():
             x = np.sort((x1[hit] - x0[hit]) * (y - y0[hit]) / (y1[hit] - y0[hit]) + x0[hit])
-            at = np.clip(np.ceil((x - minx) / sub - 0.5), 0, cols).astype(np.int64)
+            at = np.clip(np.ceil((x - minx) / sub - 0.5) - low * scale, 0, cols).astype(np.int64)
             np.add.at(steps[k], at[0::2], 1)
             np.add.at(steps[k], at[1::2], -1)
     inside = np.cumsum(steps, axis=1)[:, :cols]
-    return inside.reshape(r1 - r0, scale, ncols, scale).sum(axis=(1, 3))
+    return low, inside.reshape(r1 - r0, scale, high - low, scale).sum(axis=(1, 3))
 
 
-def rasterize(features: DataFrame, minx: float, maxy: float, px: float, nrows: int, ncols: int, scale: int = 10) -> DataFrame:
-    """asdf_id, grid_row, grid_col, cover (sub-cell centres inside, of scale * scale), for features (asdf_id, polygons).
+def rasterize(features: DataFrame, minx: float, maxy: float, px: float, nrows: int, ncols: int, scale: int = 10, key: str = "asdf_id") -> DataFrame:
+    """key, grid_row, grid_col, cover (sub-cell centres inside, of scale * scale), for features (key, polygons).
 
-    `scale` is 1 or a multiple of 10. A polygon is dealt out in bands of BAND rows before it is rasterised.
+    `scale` is 1 or a multiple of 10. A polygon is dealt out in bands of BAND rows before it is rasterised, and a band gets only
+    the edges that reach into it.
     """
     if scale != 1 and scale % 10:
         raise ValueError("scale must be 1 or a multiple of 10")
     b = G.polygons_box(F.col("polygons"))
     first = F.greatest(F.lit(0), F.floor((F.lit(maxy) - b["maxy"]) / px)).cast("int")
     last = F.least(F.lit(nrows - 1), F.ceil((F.lit(maxy) - b["miny"]) / px)).cast("int")
-    bands = features.select("asdf_id", "polygons", first.alias("first"), last.alias("last")).filter("first <= last")
+    bands = features.select(key, G.edges_of(F.col("polygons")).alias("edges"), first.alias("first"), last.alias("last")).filter("first <= last")
     bands = bands.withColumn("low", F.explode(F.sequence("first", "last", F.lit(BAND)))).withColumn("high", F.least(F.col("low") + BAND, F.col("last") + 1))
+    top, bottom = F.lit(maxy) - F.col("low") * px, F.lit(maxy) - F.col("high") * px
+    reach = F.filter("edges", lambda e: (F.greatest(e["y0"], e["y1"]) >= bottom) & (F.least(e["y0"], e["y1"]) <= top))
+    bands = bands.select(key, "low", "high", reach.alias("edges")).filter("size(edges) > 0")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows, cols, covers = [], [], [], []
-            for i, polygons, low, high in zip(*(batch[c].to_pylist() for c in ("asdf_id", "polygons", "low", "high")), strict=True):
-                rings = [np.array([(p["x"], p["y"]) for p in ring]) for rings in polygons for ring in rings]
-                cover = _cover(rings, low, high, minx, maxy, px, scale, ncols)
+            owners, rows, cols, covers = [], [], [], []
+            lists = batch["edges"]
+            flat, offsets = lists.flatten(), np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
+            table = np.stack([flat.field(c).to_numpy(zero_copy_only=False) for c in ("x0", "y0", "x1", "y1")], axis=1)
+            for k, (low, high) in enumerate(zip(batch["low"].to_pylist(), batch["high"].to_pylist(), strict=True)):
+                left, cover = _cover(table[offsets[k] : offsets[k + 1]], low, high, minx, maxy, px, scale, ncols)
                 r, c = np.nonzero(cover)
-                ids.append(np.full(len(r), i))
+                owners.append(np.full(len(r), k))
                 rows.append(r + low)
-                cols.append(c)
+                cols.append(c + left)
                 covers.append(cover[r, c])
             join = lambda x, kind: pa.array(np.concatenate(x).astype(kind) if x else np.zeros(0, kind))
-            yield pa.RecordBatch.from_arrays([join(ids, np.int64), join(rows, np.int32), join(cols, np.int32), join(covers, np.int64)], ["asdf_id", "grid_row", "grid_col", "cover"])
+            yield pa.RecordBatch.from_arrays([batch[key].take(join(owners, np.int64)), join(rows, np.int32), join(cols, np.int32), join(covers, np.int64)], [key, "grid_row", "grid_col", "cover"])
 
-    return bands.select("asdf_id", "polygons", "low", "high").mapInArrow(run, "asdf_id long, grid_row int, grid_col int, cover long")
+    kind = features.schema[key].dataType.simpleString()
+    return bands.mapInArrow(run, f"{key} {kind}, grid_row int, grid_col int, cover long")
 
 
-def touched_cells(features: DataFrame, cells: DataFrame, minx: float, maxy: float, px: float, nrows: int, ncols: int, scale: int = 10) -> DataFrame:
-    """For features without a covered sub-cell: the grid cells their box touches, with full cover (all-touched rule)."""
-    small = features.join(cells.select("asdf_id").distinct(), "asdf_id", "left_anti")
-    b = G.polygons_box(F.col("polygons"))
+def touched_cells(features: DataFrame, cells: DataFrame, minx: float, maxy: float, px: float, nrows: int, ncols: int, scale: int = 10, key: str = "asdf_id") -> DataFrame:
+    """For features without a row in `cells`, that is without a covered sub-cell: the grid cells that their edges run through, with full
+    cover (all-touched rule). Such a polygon holds no whole cell, so its edges reach all that it touches."""
+    small = features.join(cells.select(key).distinct(), key, "left_anti").select(key, F.explode(G.edges_of(F.col("polygons"))).alias("e"))
     index = lambda v, most: F.greatest(F.lit(0), F.least(F.lit(most - 1), F.floor(v).cast("int")))
-    spans = small.select("asdf_id", F.explode(F.sequence(index((F.lit(maxy) - b["maxy"]) / px, nrows), index((F.lit(maxy) - b["miny"]) / px, nrows))).alias("grid_row"), b.alias("b"))
-    return spans.select("asdf_id", "grid_row", F.explode(F.sequence(index((F.col("b.minx") - minx) / px, ncols), index((F.col("b.maxx") - minx) / px, ncols))).alias("grid_col"), F.lit(scale * scale).cast("long").alias("cover"))
+    north, south = F.greatest("e.y0", "e.y1"), F.least("e.y0", "e.y1")
+    rows = small.select(key, "e", F.explode(F.sequence(index((F.lit(maxy) - north) / px, nrows), index((F.lit(maxy) - south) / px, nrows))).alias("grid_row"))
+    at = lambda y: F.when(F.col("e.y1") != F.col("e.y0"), F.col("e.x0") + (F.col("e.x1") - F.col("e.x0")) * (y - F.col("e.y0")) / (F.col("e.y1") - F.col("e.y0")))
+    upper, lower = at(F.least(north, F.lit(maxy) - F.col("grid_row") * px)), at(F.greatest(south, F.lit(maxy) - (F.col("grid_row") + 1) * px))
+    west, east = F.coalesce(F.least(upper, lower), F.least("e.x0", "e.x1")), F.coalesce(F.greatest(upper, lower), F.greatest("e.x0", "e.x1"))
+    spans = F.sequence(index((west - minx) / px, ncols), index((east - minx) / px, ncols))
+    return rows.select(key, "grid_row", F.explode(spans).alias("grid_col")).distinct().withColumn("cover", F.lit(scale * scale).cast("long"))
+
+
+SALTS = 8  # tasks that a tile's points are dealt over
 
 
-def point_in_polygon(points: DataFrame, polygons: DataFrame, tile: float = 12.0) -> DataFrame:
-    """points (lon, lat, ...) joined with the features (asdf_id, polygons, ...) that hold them: an equi-join on tiles of
-    `tile` degrees, then the exact test. Columns of both sides are kept."""
+def point_in_polygon(points: DataFrame, polygons: DataFrame, tile: float = 12.0, on: tuple[str, ...] = ()) -> DataFrame:
+    """points (lon, lat, ...) joined with the features (asdf_id, polygons, ...) that hold them and agree in the columns `on`. Columns of
+    both sides are kept, but for `polygons`.
+
+    Distinct places meet the features in an equi-join on tiles of `tile` degrees, salted so that a crowded tile is no single
+    task's; a tile gets only the edges that decide about its points (those in its rows and not west of it)."""
     index = lambda v: F.floor(v / tile).cast("int")
     b = G.polygons_box(F.col("polygons"))
-    tiled = polygons.withColumn("_b", b).withColumn("_tx", F.explode(F.sequence(index(F.col("_b.minx")), index(F.col("_b.maxx")))))
+    tiled = polygons.withColumn("_b", b).withColumn("_edges", G.edges_of(F.col("polygons"))).drop("polygons")
+    tiled = tiled.withColumn("_tx", F.explode(F.sequence(index(F.col("_b.minx")), index(F.col("_b.maxx")))))
     tiled = tiled.withColumn("_ty", F.explode(F.sequence(index(F.col("_b.miny")), index(F.col("_b.maxy"))))).drop("_b")
-    dealt = points.withColumn("_tx", index(F.col("lon"))).withColumn("_ty", index(F.col("lat")))
-    return dealt.join(tiled, ["_tx", "_ty"]).filter(G.inside_polygons(F.col("lon"), F.col("lat"), F.col("polygons"))).drop("_tx", "_ty")
+    low, high, west = F.col("_ty") * tile, (F.col("_ty") + 1) * tile, F.col("_tx") * tile
+    near = F.filter("_edges", lambda e: (F.greatest(e["y0"], e["y1"]) >= low) & (F.least(e["y0"], e["y1"]) <= high) & (F.greatest(e["x0"], e["x1"]) >= west))
+    tiled = tiled.withColumn("_edges", near).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    places = points.select("lon", "lat", *on).distinct()
+    dealt = places.withColumn("_tx", index(F.col("lon"))).withColumn("_ty", index(F.col("lat"))).withColumn("_salt", F.pmod(F.hash("lon", "lat"), F.lit(SALTS)))
+    held = dealt.join(tiled, ["_tx", "_ty", "_salt", *on]).filter(G.inside_edges(F.col("lon"), F.col("lat"), F.col("_edges"))).drop("_tx", "_ty", "_salt", "_edges")
+    return points.join(held, ["lon", "lat", *on])
 
 
 # ---- metric buffers: transverse Mercator by its series in the third flattening ----
@@ -132,14 +159,19 @@ def buffer_rings(lon: np.ndarray, lat: np.ndarray, metres: np.ndarray, corners:
     return utm_back(ring(east, np.cos(angle)), ring(north, np.sin(angle)), centre[:, None])
 
 
-def _buffer(lon: pd.Series, lat: pd.Series, metres: pd.Series) -> pd.Series:
-    x, y = buffer_rings(lon.to_numpy(float), lat.to_numpy(float), metres.to_numpy(float))
-    return pd.Series([[[[{"x": a, "y": b} for a, b in zip(r, s, strict=True)]]] for r, s in zip(x, y, strict=True)])
+def buffer_m(places: DataFrame) -> DataFrame:
+    """places (lon, lat, metres, ...) with `polygons`: the circle round each place. Neither poles nor the antimeridian are treated."""
+    schema = places.schema.simpleString().removeprefix("struct<").removesuffix(">")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = buffer_rings(*(batch[c].to_numpy(zero_copy_only=False).astype(float) for c in ("lon", "lat", "metres")))
+            out: pa.Array = pa.StructArray.from_arrays([pa.array(x.ravel()), pa.array(y.ravel())], ["x", "y"])
+            for size in (x.shape[1], 1, 1):
+                out = pa.ListArray.from_arrays(pa.array(np.arange(0, len(out) + 1, size), pa.int32()), out)
+            yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, "polygons"])
 
-def buffer_m(lon: Column, lat: Column, metres: Column) -> Column:
-    """The polygon round a point at a distance in metres. Neither poles nor the antimeridian are treated."""
-    return pandas_udf(_buffer, POLYGONS)(lon, lat, metres)
+    return places.mapInArrow(run, f"{schema}, polygons {POLYGONS}")
 
 
 def clip_cells(cells: DataFrame, country: DataFrame) -> DataFrame:

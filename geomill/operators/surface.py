@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomill.functions.geometry import cell_of
-from geomill.functions.text import pipe_split
-from geomill.operators.rasterize import point_in_polygon
+from geomill.functions.geometry import cell_of, centroid
+from geomill.functions.text import distinct_tokens, pipe_split
+from geomill.operators.rasterize import buffer_m, point_in_polygon, rasterize
+from geomill.sources.tables import staged
 
 # Location class -> location type -> (geometry, data) for geographic exactness 1 and 2.
 GEOMETRY_CODES = [
@@ -40,36 +41,36 @@ def assign_geom_type(df: DataFrame, lookup: DataFrame) -> DataFrame:
     return out.withColumn("geom_type", pick("_t", "_u")).withColumn("geom_data", pick("_d", "_v")).drop(*(f"_{c}" for c in "abcdefghtduv"))
 
 
-def adm_lookup(points: DataFrame, features: DataFrame) -> DataFrame:
-    """points (point_id, iso3, lon, lat) with adm_id: the feature (asdf_id, iso3, polygons) of their country that holds them,
-    the smallest id of several, null of none. Distinct places are tested once."""
-    places = points.select("iso3", "lon", "lat").distinct()
-    held = point_in_polygon(places, features.withColumnRenamed("iso3", "_iso3")).filter(F.col("iso3") == F.col("_iso3"))
-    first = held.groupBy("iso3", "lon", "lat").agg(F.min("asdf_id").alias("adm_id"))
-    return points.join(first, ["iso3", "lon", "lat"], "left")
+def adm_lookup(points: DataFrame, areas: DataFrame) -> DataFrame:
+    """points (iso3, level, lon, lat, ...) with adm_id: the area (asdf_id, iso3, level, polygons) of their country and level that holds
+    them, the smallest id of several, null of none. Distinct places are tested once."""
+    places = points.select("iso3", "level", "lon", "lat").filter("level IS NOT NULL").distinct()
+    held = point_in_polygon(places, areas.select("asdf_id", "iso3", "level", "polygons"), on=("iso3", "level"))
+    first = held.groupBy("iso3", "level", "lon", "lat").agg(F.min("asdf_id").alias("adm_id"))
+    return points.join(first, ["iso3", "level", "lon", "lat"], "left")
 
 
-def assign_geometry(df: DataFrame, countries: DataFrame, adm1: DataFrame, grid: dict, strict: bool = False) -> DataFrame:
+def assign_geometry(df: DataFrame, countries: DataFrame, areas: DataFrame, grid: dict, strict: bool = False) -> DataFrame:
     """geom_kind, geom_key and geom_metres per location (location_id, iso3, lon, lat, geom_type, geom_data).
 
-    point and buffer stand for the place; adm 0 is the country; adm 1 and deeper is the area of `adm1` that holds the
+    point and buffer stand for the place; adm 0 is the country; adm 1 to 5 is the area of that level that holds the
     place. Without an area: adm 1 becomes the country, deeper ones a clipped 25 km buffer, unless `strict`, which drops the
     geometry. Outside the grid, without a country, or with an iso3 not of 3 letters: none.
     """
-    areas = adm_lookup(df.withColumn("point_id", F.col("location_id")), adm1).drop("point_id")
+    adm = F.col("geom_type") == "adm"
+    found = adm_lookup(df.withColumn("level", F.when(adm & (F.col("geom_data") >= 1), F.col("geom_data"))), areas).drop("level")
     known = countries.select("iso3", F.lit(True).alias("_country")).distinct()
-    out = areas.join(known, "iso3", "left")
+    out = found.join(known, "iso3", "left")
     inside = cell_of(F.col("lon"), F.col("lat"), **grid)["inside"]
     usable = inside & F.col("_country").isNotNull() & (F.length("iso3") == 3)
-    adm = F.col("geom_type") == "adm"
-    found, deep = F.col("adm_id").isNotNull(), F.col("geom_data") >= 2
+    deep = F.col("geom_data") >= 2
     place = F.concat_ws(":", F.col("lon").cast("string"), F.col("lat").cast("string"))
     kind = (
         F.when(~usable | F.col("geom_type").isNull(), None)
         .when(F.col("geom_type") == "point", "point")
         .when(F.col("geom_type") == "buffer", "buffer")
         .when(adm & (F.col("geom_data") == 0), "country")
-        .when(adm & found, "area")
+        .when(adm & F.col("adm_id").isNotNull(), "area")
     )
     if not strict:
         kind = kind.when(adm & ~deep, "country").when(adm & deep, "buffer")
@@ -79,6 +80,46 @@ def assign_geometry(df: DataFrame, countries: DataFrame, adm1: DataFrame, grid:
     return out.withColumn("geom_metres", metres).withColumn("geom_key", key).drop("_country")
 
 
+def geometry_name(df: DataFrame) -> DataFrame:
+    """df (geom_kind, geom_key, geom_metres, iso3) with `geom`, the same for the same geometry; null without one."""
+    parts = F.concat_ws("|", "geom_kind", "geom_key", F.col("geom_metres").cast("string"), F.when(F.col("geom_kind") == "buffer", F.col("iso3")))
+    return df.withColumn("geom", F.when(F.col("geom_kind").isNotNull(), parts))
+
+
+def geometry_cells(df: DataFrame, countries: DataFrame, areas: DataFrame, grid: dict, scale: int = 10) -> DataFrame:
+    """geom, grid_row, grid_col, cover (in sub-cells, of scale * scale) of every distinct geometry of df (geom, geom_kind, geom_key,
+    geom_metres, iso3, lon, lat), made once however many locations have it.
+
+    A point is its cell. A buffer is the sub-cells whose centres lie in the circle and in the country; areas and countries are
+    rasterised. A geometry without a sub-cell centre is the cell of its centroid (a buffer's is its place, if in the country)."""
+    own = df.filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat").dropDuplicates(["geom"])
+    whole = scale * scale
+
+    def at(x: Column, y: Column) -> list[Column]:
+        cell = cell_of(x, y, **grid)
+        return [cell["grid_row"].alias("grid_row"), cell["grid_col"].alias("grid_col"), F.lit(whole).cast("long").alias("cover")]
+
+    points = own.filter("geom_kind = 'point'").select("geom", *at(F.col("lon"), F.col("lat")))
+    shapes = own.filter("geom_kind = 'country'").join(countries.select(F.col("iso3").alias("geom_key"), "polygons"), "geom_key").select("geom", "polygons")
+    shapes = shapes.unionByName(own.filter("geom_kind = 'area'").join(areas.select(F.col("asdf_id").cast("string").alias("geom_key"), "polygons"), "geom_key").select("geom", "polygons"))
+    covered = staged(rasterize(shapes, **grid, scale=scale, key="geom"), "shape-cells")
+    bare = shapes.join(covered.select("geom").distinct(), "geom", "left_anti").withColumn("c", centroid(F.col("polygons"))).select("geom", *at(F.col("c.x"), F.col("c.y")))
+
+    buffers = own.filter("geom_kind = 'buffer'")
+    fine = {"minx": grid["minx"], "maxy": grid["maxy"], "px": grid["px"] / scale, "nrows": grid["nrows"] * scale, "ncols": grid["ncols"] * scale}
+    rings = buffer_m(buffers.select("geom", "lon", "lat", F.col("geom_metres").alias("metres")))
+    sub = rasterize(rings.select("geom", "polygons"), **fine, scale=1, key="geom").join(buffers.select("geom", "iso3"), "geom")
+    centre = lambda index, step: (F.col(index) + 0.5) * F.lit(step)
+    sub = sub.withColumn("lon", F.lit(fine["minx"]) + centre("grid_col", fine["px"])).withColumn("lat", F.lit(fine["maxy"]) - centre("grid_row", fine["px"]))
+    held = point_in_polygon(sub.select("lon", "lat", "iso3").distinct(), countries.select("iso3", "polygons"), on=("iso3",)).distinct()
+    inside = sub.join(held, ["lon", "lat", "iso3"], "left_semi").withColumn("grid_row", F.floor(F.col("grid_row") / scale).cast("int")).withColumn("grid_col", F.floor(F.col("grid_col") / scale).cast("int"))
+    circles = staged(inside.groupBy("geom", "grid_row", "grid_col").agg(F.count("*").alias("cover")), "buffer-cells")
+    lost = buffers.join(circles.select("geom").distinct(), "geom", "left_anti")
+    lost = lost.join(point_in_polygon(lost.select("lon", "lat", "iso3"), countries.select("iso3", "polygons"), on=("iso3",)).distinct(), ["lon", "lat", "iso3"], "left_semi")
+    lost = lost.select("geom", *at(F.col("lon"), F.col("lat")))
+    return points.unionByName(covered).unionByName(bare).unionByName(circles).unionByName(lost)
+
+
 def spread(values: DataFrame, cells: DataFrame) -> DataFrame:
     """Spread each geometry's money (geom, value) over its cells (geom, grid_row, grid_col, cover) by covered share. The shares' sums
     are aggregated before the join, so a geometry's cells need not meet in one task."""
@@ -104,34 +145,38 @@ def unique_geometries(df: DataFrame) -> DataFrame:
     return df.groupBy(F.sha1(F.col("geom").cast("binary")).alias("hash")).agg(F.sum("adjusted_val").alias("unique_dollars"), F.count("*").alias("location_count"), ids.alias("location_ids"))
 
 
+MAX_TOKENS = 10_000  # of 100 bytes or so: lists up to this are broadcast, longer ones are joined as Spark chooses
+
+
 def _combinations(tokens: DataFrame, column: str, most: int) -> DataFrame:
-    """All sets of 0..most tokens as sorted arrays, by self joins on order. Tokens are the few sectors or donors of a release."""
+    """All sets of 0..most tokens as sorted arrays, by self joins on order. Tokens are the sectors or donors of a release."""
     one = tokens.select(F.col("token"))
+    one = F.broadcast(one) if one.limit(MAX_TOKENS + 1).count() <= MAX_TOKENS else one
     sets = [tokens.sparkSession.range(1).select(F.array().cast("array<string>").alias(column))]
-    now = one.select(F.array("token").alias(column))
+    now = tokens.select(F.array("token").alias(column))
     for k in range(most):
         if k:
-            now = now.join(F.broadcast(one.limit(MAX_TOKENS)), F.col("token") > F.element_at(column, -1)).select(F.concat(column, F.array("token")).alias(column))
+            now = now.join(one, F.col("token") > F.element_at(column, -1)).select(F.concat(column, F.array("token")).alias(column))
         sets.append(now)
     return reduce(DataFrame.unionByName, sets)
 
 
-MAX_TOKENS = 10_000
-
-
 def filter_combos(df: DataFrame, sectors: int = 2, donors: int = 1) -> DataFrame:
     """sectors, donors: every pair of a sector set (up to `sectors` tokens) and a donor set (up to `donors`). A release with one
-    donor has no donor filter. The token lists are checked to be small before they are broadcast."""
-
-    def tokens(column: str) -> DataFrame:
-        found = df.select(column).distinct().select(F.explode(pipe_split(F.col(column))).alias("token")).filter("token != ''").distinct()
-        if found.limit(MAX_TOKENS + 1).count() > MAX_TOKENS:
-            raise ValueError(f"{column} has over {MAX_TOKENS} tokens: combinations of them are not built")
-        return found
-
+    donor has no donor filter. The result is all pairs by its meaning."""
+    tokens = lambda column: distinct_tokens(df.select(column).distinct(), column)
     donor_tokens = tokens("donors")
     few = donor_tokens.limit(2).count() <= 1
-    return _combinations(tokens("ad_sector_names"), "sectors", sectors).crossJoin(F.broadcast(_combinations(donor_tokens, "donors", 0 if few else donors)))
+    return _combinations(tokens("ad_sector_names"), "sectors", sectors).crossJoin(_combinations(donor_tokens, "donors", 0 if few else donors))
+
+
+def _held_tokens(strings: DataFrame, column: str, chosen: DataFrame) -> DataFrame:
+    """id, token: the chosen tokens that are part of each string (a token is part of a string if it is of one of its tokens), and `""`, which
+    all hold. Tokens are compared with tokens, and strings meet them by equality."""
+    own = strings.select("id", F.explode(F.array_distinct(pipe_split(F.col(column)))).alias("own"))
+    parts = own.select("own").distinct().join(chosen.select("token").distinct(), F.contains(F.col("own"), F.col("token")))
+    found = own.join(parts, "own").select("id", "token").distinct()
+    return found.unionByName(strings.select("id", F.lit("").alias("token")))
 
 
 def combo_stats(df: DataFrame, combos: DataFrame) -> DataFrame:
@@ -139,13 +184,20 @@ def combo_stats(df: DataFrame, combos: DataFrame) -> DataFrame:
 
     Rows (ad_sector_names, donors, split_dollars_pp) are summed per distinct pair of strings first: adjusted money is linear
     in the split money. A location matches when a chosen sector and a chosen donor are substrings of its strings; its money
-    counts by the share of whole tokens chosen. Dropped: no location; under 10 locations with more than one field chosen;
-    no money.
+    counts by the share of whole tokens chosen. Combinations and strings meet by equality of tokens. Dropped: no location; under
+    10 locations with more than one field chosen; no money.
     """
     strings = df.groupBy("ad_sector_names", "donors").agg(F.count("*").alias("n"), F.sum("split_dollars_pp").alias("dollars")).withColumnRenamed("donors", "donor_names")
+    strings = staged(strings.withColumn("id", F.monotonically_increasing_id()), "combo-strings")
+    combos = staged(combos.withColumn("combo", F.monotonically_increasing_id()), "combos")
     total = df.agg(F.sum("split_dollars_pp").alias("total"))
-    any_in = lambda chosen, text: (F.size(chosen) == 0) | F.exists(chosen, lambda t: F.contains(text, t))
-    both = combos.join(strings, any_in(F.col("sectors"), F.col("ad_sector_names")) & any_in(F.col("donors"), F.col("donor_names")))
+    asked = lambda column: F.explode(F.when(F.size(column) == 0, F.array(F.lit(""))).otherwise(F.col(column)))
+    wanted = combos.select("combo", asked("sectors").alias("sector"), "donors").select("combo", "sector", asked("donors").alias("donor"))
+    sectors = _held_tokens(strings, "ad_sector_names", wanted.select(F.col("sector").alias("token")).filter("token != ''"))
+    donors = _held_tokens(strings, "donor_names", wanted.select(F.col("donor").alias("token")).filter("token != ''"))
+    held = sectors.withColumnRenamed("token", "sector").join(donors.withColumnRenamed("token", "donor"), "id")
+    matched = wanted.join(held, ["sector", "donor"]).select("combo", "id").distinct()
+    both = matched.join(strings, "id").join(combos, "combo")
     tokens = pipe_split(F.col("ad_sector_names"))
     ratio = F.when(F.size("sectors") == 0, 1.0).otherwise(F.size(F.filter(tokens, lambda t: F.array_contains(F.col("sectors"), t))) / F.size(tokens))
     found = both.groupBy("sectors", "donors").agg(F.sum("n").alias("count"), F.sum(ratio * F.col("dollars")).alias("adjusted"))

@@ -123,13 +123,13 @@ def trk_sample_step(v: Views) -> DataFrame:
     return v.catalog.select("dataset", K.sample_step(row_box(), F.lit(0.05)).alias("step"))
 
 
-_STEP = "SELECT asdf_id, minx, miny, maxx, maxy, CAST(4 + asdf_id % 3 AS DOUBLE) AS s FROM {boxes}"
+_STEP = "SELECT asdf_id, minx, miny, maxx, maxy, 3.0::DOUBLE * (SELECT min(k) FROM (SELECT unnest(range(1, 60)) AS k) AS ks WHERE (maxx - minx) / 3.0::DOUBLE * ((maxy - miny) / 3.0::DOUBLE) / (k * k) <= 100000) AS s FROM {boxes}"
 _GRID_POINTS = f"""SELECT asdf_id, minx + i * s AS lon, miny + j * s AS lat FROM (SELECT *, unnest(range(60)) AS i FROM ({_STEP}) AS a) AS b, (SELECT unnest(range(60)) AS j) AS c WHERE minx + i * s < maxx AND miny + j * s < maxy"""
 
 
 def samples(v: Views) -> DataFrame:
     boxes = v.boxes.select(F.col("asdf_id").alias("box_id"), row_box().alias("bbox"))
-    return K.sample_grid(boxes, (4 + F.col("box_id") % 3).cast("double"))
+    return K.sample_grid(boxes, K.sample_step(F.col("bbox"), F.lit(GRID["px"])) * GRID["px"])
 
 
 @query("trk_sample_grid", f"SELECT asdf_id AS box_id, round(lon, 6) AS lon, round(lat, 6) AS lat FROM ({_GRID_POINTS}) AS g")
@@ -153,11 +153,11 @@ def trk_pixel_check(v: Views) -> DataFrame:
 _PAIRS = "SELECT 'g' || asdf_id AS grp, b.iso3, 'rel' || d AS dataset, CASE d WHEN 0 THEN 'global' ELSE 'regional' END AS release_scale, CASE d WHEN 1 THEN 'RG0|RG2' ELSE 'RG1' END AS isos, minx, miny, maxx, maxy FROM {boxes} b, (SELECT 0 AS d UNION ALL SELECT 1 UNION ALL SELECT 2) AS dd"
 
 
-@query("trk_release_check", f"""SELECT grp AS "group", dataset, CASE WHEN release_scale = 'global' THEN EXISTS (SELECT 1 FROM {{locations}} l WHERE project_id::BIGINT % 5 = 0 AND longitude BETWEEN minx AND maxx AND latitude BETWEEN miny AND maxy) ELSE list_contains(string_split(isos, '|'), iso3) END AS relevant FROM ({_PAIRS}) AS p""")
+@query("trk_release_check", f"""SELECT grp AS "group", dataset, CASE WHEN release_scale = 'global' THEN EXISTS (SELECT 1 FROM {{locations}} l WHERE longitude BETWEEN minx AND maxx AND latitude BETWEEN miny AND maxy) ELSE list_contains(string_split(isos, '|'), iso3) END AS relevant FROM ({_PAIRS}) AS p""")
 def trk_release_check(v: Views) -> DataFrame:
     releases = F.explode(F.array(*(F.struct(F.lit(f"rel{d}").alias("dataset"), F.lit("regional" if d else "global").alias("release_scale"), F.array(*map(F.lit, ("RG0", "RG2") if d == 1 else ("RG1",))).alias("release_iso3")) for d in range(3))))
     pairs = v.boxes.select(F.concat(F.lit("g"), F.col("asdf_id").cast("string")).alias("group"), "iso3", *G.SIDES, releases.alias("r")).select("group", "iso3", *G.SIDES, "r.*")
-    return K.release_check(pairs, v.locations.filter("project_id % 5 = 0"))
+    return K.release_check(pairs, v.locations)
 
 
 @query("trk_status", """SELECT dataset, type, CASE WHEN p_partkey % 23 = 0 OR active <> 1 OR p_partkey % 23 = 0 THEN -1 WHEN type NOT IN ('raster', 'release') THEN -2 WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS status FROM {catalog}""")

@@ -60,27 +60,57 @@ def geo_cell_of_point(v: Views) -> DataFrame:
     return v.locations.select("project_location_id", G.cell_of(F.col("longitude"), F.col("latitude"), **GRID).alias("c")).select("project_location_id", "c.*")
 
 
-WEIGHTS_SQL = """SELECT asdf_id, r::INT AS grid_row, c::INT AS grid_col, (least(sc1, 10 * c + 10) - greatest(sc0, 10 * c)) * (least(sr1, 10 * r + 10) - greatest(sr0, 10 * r)) AS cover FROM {features},
-  (SELECT unnest(range(60)) AS r) AS rr, (SELECT unnest(range(120)) AS c) AS cc WHERE least(sc1, 10 * c + 10) > greatest(sc0, 10 * c) AND least(sr1, 10 * r + 10) > greatest(sr0, 10 * r)"""
+def shapes(v: Views) -> DataFrame:
+    """asdf_id, polygons: the nations' five-cornered polygons."""
+    corner = lambda c: F.struct(F.col(f"x{c}").alias("x"), F.col(f"y{c}").alias("y"))
+    return v.shapes.select("asdf_id", F.array(F.array(F.array(*map(corner, "abcdea")))).alias("polygons"))
 
 
-@query("geo_rasterize", WEIGHTS_SQL)
+EDGES_SQL = " UNION ALL ".join(f"SELECT asdf_id, x{a} AS x0, y{a} AS y0, x{b} AS x1, y{b} AS y1 FROM {{shapes}}" for a, b in zip("abcde", "bcdea", strict=True))
+CROSSES = "(y0 > y) <> (y1 > y) AND x < (x1 - x0) * (y - y0) / (y1 - y0) + x0"
+COVER_SQL = f"""SELECT asdf_id, (sr // 10)::INT AS grid_row, (sc // 10)::INT AS grid_col, count(*) AS cover FROM (SELECT s.asdf_id, sr, sc
+  FROM (SELECT *, -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE AS x, 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE AS y FROM (SELECT asdf_id, sr, unnest(range(sc0, sc1)) AS sc FROM (SELECT asdf_id, sc0, sc1, unnest(range(sr0, sr1)) AS sr FROM {{features}}) AS r) AS c) AS s
+  JOIN ({EDGES_SQL}) AS e ON e.asdf_id = s.asdf_id WHERE {CROSSES} GROUP BY s.asdf_id, sr, sc HAVING count(*) % 2 = 1) AS i GROUP BY 1, 2, 3"""
+WEIGHTS_SQL = f"""SELECT *, false AS touched FROM ({COVER_SQL}) AS cover UNION ALL
+  SELECT asdf_id, floor((90 - ya) / 3)::INT, floor((xa + 180) / 3)::INT, 100, true FROM {{shapes}} WHERE asdf_id NOT IN (SELECT asdf_id FROM ({COVER_SQL}) AS covered)"""
+
+
+@query("geo_rasterize", COVER_SQL)
 def geo_rasterize(v: Views) -> DataFrame:
-    return R.rasterize(polygons(v), **GRID)
+    return R.rasterize(shapes(v), **GRID)
 
 
-@query("geo_point_in_polygon", """SELECT project_location_id, asdf_id FROM {locations}, {boxes} WHERE longitude >= minx AND longitude < maxx AND latitude >= miny AND latitude < maxy""")
-def geo_point_in_polygon(v: Views) -> DataFrame:
-    points = v.locations.select("project_location_id", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
-    return R.point_in_polygon(points, polygons(v).select("asdf_id", "polygons")).select("project_location_id", "asdf_id")
+INSIDE_SQL = f"""SELECT l.x AS longitude, l.y AS latitude, e.asdf_id FROM (SELECT DISTINCT longitude AS x, latitude AS y FROM {{locations}}) AS l, ({EDGES_SQL}) AS e WHERE {CROSSES} GROUP BY ALL HAVING count(*) % 2 = 1"""
 
 
-@query("geo_buffer")
+@query("geo_point_in_polygon", f"""SELECT project_location_id, asdf_id FROM {{locations}} JOIN ({INSIDE_SQL}) AS i USING (longitude, latitude)""")
+def geo_point_in_polygon(v: Views) -> DataFrame:
+    points = v.locations.select("project_location_id", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
+    return R.point_in_polygon(points, shapes(v)).select("project_location_id", "asdf_id")
+
+
+def circles_sql(places: str) -> str:
+    """CTEs for DuckDB: `corners` (lon, lat, metres, iso3, k, x, y) of the 64-cornered circles round the places of a CTE (lon, lat,
+    metres, iso3), from the same series as the operator."""
+    wave = lambda terms, f, g: " + ".join(f"{c!r}::DOUBLE * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, c in enumerate(terms, 1))
+    scale = repr(R._K0 * R._RADIUS)
+    e = repr(float(2 * R._N**0.5 / (1 + R._N)))
+    return f"""zones AS (SELECT *, floor((lon + 180) / 6) * 6 - 177 AS cm FROM {places}),
+    tangents AS (SELECT *, radians(lon - cm) AS dl, sinh(atanh(sin(radians(lat))) - {e}::DOUBLE * atanh({e}::DOUBLE * sin(radians(lat)))) AS t FROM zones),
+    forward AS (SELECT *, atan2(t, cos(dl)) AS xi, atanh(sin(dl) / sqrt(1 + t * t)) AS eta FROM tangents),
+    metric AS (SELECT lon, lat, metres, iso3, cm, {R._EAST!r}::DOUBLE + {scale}::DOUBLE * (eta + {wave(R._FORWARD, "cos", "sinh")}) AS east, {scale}::DOUBLE * (xi + {wave(R._FORWARD, "sin", "cosh")}) AS north FROM forward),
+    turned AS (SELECT *, (north + metres * sin(2 * pi() * k / 64)) / {scale}::DOUBLE AS xi, (east + metres * cos(2 * pi() * k / 64) - {R._EAST!r}::DOUBLE) / {scale}::DOUBLE AS eta FROM (SELECT *, unnest(range(65)) AS k FROM metric) AS m),
+    back AS (SELECT *, eta - ({wave(R._BACK, "cos", "sinh")}) AS ex, xi - ({wave(R._BACK, "sin", "cosh")}) AS en FROM turned),
+    corners AS (SELECT lon, lat, metres, iso3, k, cm + degrees(atan2(sinh(ex), cos(en))) AS x, degrees(chi + {" + ".join(f"{d!r}::DOUBLE * sin({2 * j} * chi)" for j, d in enumerate(R._LATITUDE, 1))}) AS y FROM (SELECT *, asin(sin(en) / cosh(ex)) AS chi FROM back) AS c)"""
+
+
+@query("geo_buffer", f"""WITH places AS (SELECT DISTINCT longitude AS lon, latitude AS lat, 25000.0::DOUBLE AS metres, '' AS iso3 FROM {{locations}}), {circles_sql("places")},
+  sides AS (SELECT *, lead(x) OVER w AS x1, lead(y) OVER w AS y1 FROM corners WINDOW w AS (PARTITION BY lon, lat ORDER BY k))
+  SELECT lon AS longitude, lat AS latitude, round(min(x), 6) AS minx, round(min(y), 6) AS miny, round(max(x), 6) AS maxx, round(max(y), 6) AS maxy, round(abs(sum(x * y1 - x1 * y) / 2), 5) AS area FROM sides GROUP BY lon, lat""")
 def geo_buffer(v: Views) -> DataFrame:
-    """Rows only: areas and boxes of the 25 km circles round all distinct places off the poles."""
-    places = v.locations.filter("abs(latitude) < 80").select("longitude", "latitude").distinct()
-    rings = places.withColumn("polygons", R.buffer_m(F.col("longitude"), F.col("latitude"), F.lit(25000.0)))
-    return rings.select("longitude", "latitude", G.polygons_box(F.col("polygons")).alias("b"), F.round(G.area(F.col("polygons")), 9).alias("area")).select("longitude", "latitude", "b.*", "area")
+    """Areas and boxes of the 25 km circles round all distinct places."""
+    places = v.locations.select(F.col("longitude").alias("lon"), F.col("latitude").alias("lat"), F.lit(25000.0).alias("metres")).distinct()
+    return R.buffer_m(places).select(F.col("lon").alias("longitude"), F.col("lat").alias("latitude"), G.polygons_box(F.col("polygons")).alias("b"), F.round(G.area(F.col("polygons")), 5).alias("area")).select("longitude", "latitude", *(F.round(f"b.{s}", 6).alias(s) for s in G.SIDES), "area")
 
 
 _SQUARES = """SELECT project_location_id AS task_id, recipients_iso3 AS iso3, CAST(floor((90 - latitude) / 3) AS INT) AS grid_row, CAST(floor((longitude + 180) / 3) AS INT) + d AS grid_col, CAST(50 AS BIGINT) AS cover FROM {locations}, (SELECT -1 AS d UNION ALL SELECT 0 UNION ALL SELECT 1) AS near"""

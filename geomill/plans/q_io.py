@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from geomill.operators.surface import build_surface
 from geomill.operators.zonal import zonal_many
 from geomill.plans.q_geometry import polygons
-from geomill.plans.q_release import _country_cells, _money
-from geomill.plans.q_zonal import METHOD_SQL, WEIGHTS_SQL, weights
+from geomill.plans.q_release import _CELLS, money, surface_cells
+from geomill.plans.q_zonal import METHOD_SQL, WEIGHTS_SQL, all_of, pixels, weights
 from geomill.plans.registry import Views, query
 from geomill.plans.views import GRID
 from geomill.sources import sinks
@@ -70,14 +70,14 @@ def src_resource_scan(v: Views) -> DataFrame:
 
 
 def _extracts(v: Views) -> DataFrame:
-    stats = zonal_many(v.pixels, weights(v), ("mean", "max"))
+    stats = zonal_many(pixels(v), weights(v), ("mean", "max"), **all_of(v))
     return stats.select("resource", "asdf_id", F.round("mean", 4).alias("mean"), "max")
 
 
 @query(
     "snk_extract_csv",
     f"""WITH w AS ({WEIGHTS_SQL}), z AS (SELECT resource, asdf_id, {METHOD_SQL["mean"]} AS mean FROM {{pixels}} p JOIN w ON w.grid_row = p.grid_row AND w.grid_col = p.grid_col WHERE value IS NOT NULL GROUP BY resource, asdf_id)
-    SELECT r.resource, f.asdf_id, mean IS NULL AS is_na, mean FROM (SELECT DISTINCT resource FROM {{pixels}}) AS r CROSS JOIN (SELECT DISTINCT asdf_id FROM w) AS f LEFT JOIN z ON z.resource = r.resource AND z.asdf_id = f.asdf_id""",
+    SELECT r.resource, f.asdf_id, mean IS NULL AS is_na, mean FROM {{grids}} AS r CROSS JOIN {{features}} AS f LEFT JOIN z ON z.resource = r.resource AND z.asdf_id = f.asdf_id""",
 )
 def snk_extract_csv(v: Views) -> DataFrame:
     path = T.scratch(v.spark, "extract")
@@ -89,25 +89,23 @@ def snk_extract_csv(v: Views) -> DataFrame:
 @query(
     "snk_extract_parquet",
     f"""WITH w AS ({WEIGHTS_SQL}), z AS (SELECT resource, asdf_id, max(value) AS value FROM {{pixels}} p JOIN w ON w.grid_row = p.grid_row AND w.grid_col = p.grid_col WHERE value IS NOT NULL GROUP BY resource, asdf_id)
-    SELECT 'world_adm1_v1' AS boundary, resource AS dataset, 'max' AS method, asdf_id, value FROM z""",
+    SELECT 'world_adm1_v1' AS boundary, 'ras' AS dataset, resource[5:]::INT AS temporal, 'max' AS method, asdf_id, value FROM z""",
 )
 def snk_extract_parquet(v: Views) -> DataFrame:
     path = T.scratch(v.spark, "extracts")
-    long = _extracts(v).filter("max IS NOT NULL").select(F.lit("world_adm1_v1").alias("boundary"), F.col("resource").alias("dataset"), F.lit("max").alias("method"), "asdf_id", F.col("max").alias("value"))
+    long = _extracts(v).filter("max IS NOT NULL").select(F.lit("world_adm1_v1").alias("boundary"), F.lit("ras").alias("dataset"), F.substring_index("resource", "_", -1).alias("temporal"), F.lit("max").alias("method"), "asdf_id", F.col("max").alias("value"))
     sinks.write_extracts(long, path)
-    return v.spark.read.parquet(path).select("boundary", "dataset", "method", "asdf_id", "value")
+    return v.spark.read.parquet(path).select("boundary", "dataset", "temporal", "method", "asdf_id", "value")
 
 
-@query("snk_surface", "SELECT 7200 AS n_cells, round(sum(coalesce(total_commitments, 0)), 0) AS total, (SELECT count(*) FROM {locations}) AS n_locations, 'aid' AS dataset, 3.0::DOUBLE AS pixel_size FROM {projects} WHERE project_id IN (SELECT project_id FROM {locations})")
+@query("snk_surface", f"{_CELLS} SELECT (SELECT count(*)::INT FROM (SELECT DISTINCT grid_row, grid_col FROM spread) AS d) AS n_cells, (SELECT round(sum(value), 0) FROM money) AS total, (SELECT sum(n)::BIGINT FROM money) AS n_locations, 'aid' AS dataset, 3.0::DOUBLE AS pixel_size")
 def snk_surface(v: Views) -> DataFrame:
     """The surface, its locations and its summary, written and read back as one row."""
     path = T.scratch(v.spark, "surface")
-    money = _money(v)
-    summary = money.agg(F.count("*").alias("location_count")).select(F.lit("aid").alias("dataset"), F.lit(GRID["px"]).alias("pixel_size"), F.lit(GRID["nrows"]).alias("nrows"), F.lit(GRID["ncols"]).alias("ncols"), "location_count", F.lit("{}").alias("filters"))
-    sinks.write_surface(build_surface(money, _country_cells(v)), money, summary, path)
+    located = T.staged(money(v), "located-money")
+    summary = located.agg(F.count("*").alias("location_count")).select(F.lit("aid").alias("dataset"), F.lit(GRID["px"]).alias("pixel_size"), F.lit(GRID["nrows"]).alias("nrows"), F.lit(GRID["ncols"]).alias("ncols"), "location_count", F.lit("{}").alias("filters"))
+    sinks.write_surface(build_surface(located, surface_cells(v, located)), located, summary, path)
     cells = v.spark.read.parquet(f"{path}/cells").agg(F.count("*").cast("int").alias("n_cells"), F.round(F.sum("value"), 0).alias("total"))
     places = v.spark.read.option("header", True).csv(f"{path}/locations").agg(F.count("*").alias("n_locations"))
     kept = v.spark.read.schema("dataset string, pixel_size double").json(f"{path}/summary")
     return cells.crossJoin(places).crossJoin(kept).select("n_cells", "total", "n_locations", "dataset", "pixel_size")  # one row each
-
-

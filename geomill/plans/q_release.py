@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geomill.functions import geometry as G
 from geomill.operators import release as R
 from geomill.operators import surface as S
-from geomill.operators.zonal import box_weights
-from geomill.plans.q_geometry import polygons
+from geomill.plans.q_geometry import CROSSES, circles_sql, polygons
 from geomill.plans.registry import Views, query
 from geomill.plans.views import GRID
+from geomill.sources.tables import staged
 
 # ---- filters ----
 
@@ -123,7 +123,7 @@ def msr_geom_type(v: Views) -> DataFrame:
     return coded(v).select("project_location_id", "geom_type", "geom_data")
 
 
-_HELD = "(SELECT min(asdf_id) FROM {boxes} b WHERE b.iso3 = recipients_iso3 AND longitude >= minx AND longitude < maxx AND latitude >= miny AND latitude < maxy)"
+_HELD = "(SELECT min(asdf_id) FROM {{{{areas}}}} a WHERE a.iso3 = recipients_iso3 AND a.level = {level} AND longitude >= minx AND longitude < maxx AND latitude >= miny AND latitude < maxy)"
 
 
 def _points(df: DataFrame) -> DataFrame:
@@ -131,49 +131,84 @@ def _points(df: DataFrame) -> DataFrame:
 
 
 def _areas(v: Views) -> DataFrame:
-    return polygons(v).select("asdf_id", "iso3", "polygons")
+    return polygons(v, "areas").select("asdf_id", "iso3", "level", "polygons")
 
 
-@query("msr_adm_lookup", f"SELECT project_location_id, {_HELD} AS adm_id FROM {{locations}}")
+def _countries(v: Views) -> DataFrame:
+    box = G.box(0.3 * F.col("sc0") - 180, 90 - 0.3 * F.col("sr1"), 0.3 * F.col("sc1") - 180, 90 - 0.3 * F.col("sr0"))
+    return v.adm0.select("iso3", G.polygon_of_box(box).alias("polygons"))
+
+
+@query("msr_adm_lookup", f"SELECT project_location_id, level, {_HELD.format(level='l.level').format()} AS adm_id FROM (SELECT *, 1 + project_location_id % 4 AS level FROM {{locations}}) AS l")
 def msr_adm_lookup(v: Views) -> DataFrame:
-    return S.adm_lookup(_points(v.locations).withColumnRenamed("location_id", "point_id"), _areas(v)).select("project_location_id", "adm_id")
+    points = _points(v.locations).withColumn("level", (1 + F.col("project_location_id") % 4).cast("int"))
+    return S.adm_lookup(points, _areas(v)).select("project_location_id", F.col("level").cast("long").alias("level"), "adm_id")
 
 
 _KIND = """CASE WHEN geom_type IS NULL OR length(recipients_iso3) <> 3 THEN NULL WHEN geom_type = 'buffer' THEN 'buffer' WHEN geom_data = 0 THEN 'country' WHEN adm_id IS NOT NULL THEN 'area' WHEN geom_data = 1 THEN 'country' ELSE 'buffer' END"""
+_GEOMETRY = f"""SELECT project_location_id, geom_kind, CASE WHEN geom_kind = 'buffer' THEN CASE WHEN geom_type = 'buffer' THEN geom_data ELSE 25000 END END AS geom_metres,
+    CASE geom_kind WHEN 'country' THEN recipients_iso3 WHEN 'area' THEN adm_id::VARCHAR END AS area_key, recipients_iso3 AS iso3, longitude AS lon, latitude AS lat
+    FROM (SELECT *, {_KIND} AS geom_kind FROM (SELECT t.*, CASE WHEN geom_type = 'adm' THEN {_HELD.format(level="geom_data").format()} END AS adm_id FROM ({_TYPED}) AS t) AS u) AS w"""
 
 
-@query(
-    "msr_geometry",
-    f"""SELECT project_location_id, geom_kind, CASE WHEN geom_kind = 'buffer' THEN CASE WHEN geom_type = 'buffer' THEN geom_data ELSE 25000 END END AS geom_metres,
-    CASE geom_kind WHEN 'country' THEN recipients_iso3 WHEN 'area' THEN adm_id::VARCHAR END AS area_key FROM (SELECT *, {_KIND} AS geom_kind FROM (SELECT t.*, {_HELD} AS adm_id FROM ({_TYPED}) AS t) AS u) AS w""",
-)
+def _assigned(v: Views) -> DataFrame:
+    return S.assign_geometry(_points(coded(v)), v.adm0, _areas(v), GRID)
+
+
+@query("msr_geometry", f"SELECT project_location_id, geom_kind, geom_metres, area_key FROM ({_GEOMETRY}) AS g")
 def msr_geometry(v: Views) -> DataFrame:
-    done = S.assign_geometry(_points(coded(v)), v.adm0, _areas(v), GRID)
-    return done.select("project_location_id", "geom_kind", "geom_metres", F.when(F.col("geom_kind").isin("country", "area"), F.col("geom_key")).alias("area_key"))
+    return _assigned(v).select("project_location_id", "geom_kind", "geom_metres", F.when(F.col("geom_kind").isin("country", "area"), F.col("geom_key")).alias("area_key"))
+
+
+# Money of the kept locations (two donors, two sectors), by the geometry of each; the geometries' cells; the shares of both.
+_KEPT = f"SELECT project_location_id, {_RATIO} * split_dollars_pp AS adjusted_val FROM ({_SPLIT}) AS s WHERE contains(donors, 'Donor1') OR contains(donors, 'Donor3')"
+_G = "geom_kind, area_key, metres, iso3, lon, lat"
+_CELLS = f"""WITH money AS (SELECT geom_kind, area_key, geom_metres AS metres, CASE WHEN geom_kind = 'buffer' THEN iso3 END AS iso3, CASE WHEN geom_kind = 'buffer' THEN lon END AS lon, CASE WHEN geom_kind = 'buffer' THEN lat END AS lat, sum(adjusted_val) AS value, count(*) AS n
+    FROM ({_GEOMETRY}) AS g JOIN ({_KEPT}) AS k USING (project_location_id) WHERE geom_kind IS NOT NULL GROUP BY ALL),
+  outlines AS (SELECT 'area' AS geom_kind, asdf_id::VARCHAR AS area_key, minx, miny, maxx, maxy FROM {{areas}} UNION ALL SELECT 'country', iso3, -180 + 0.3::DOUBLE * sc0, 90 - 0.3::DOUBLE * sr1, -180 + 0.3::DOUBLE * sc1, 90 - 0.3::DOUBLE * sr0 FROM {{adm0}}),
+  outline_cells AS (SELECT geom_kind, area_key, sr // 10 AS r, sc // 10 AS c, count(*) AS cover FROM outlines, (SELECT unnest(range(600)) AS sr) AS rr, (SELECT unnest(range(1200)) AS sc) AS cc
+    WHERE -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE >= minx AND -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE < maxx AND 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE >= miny AND 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE < maxy GROUP BY ALL),
+  places AS (SELECT lon, lat, metres::DOUBLE AS metres, iso3 FROM money WHERE geom_kind = 'buffer'), {circles_sql("places")},
+  sides AS (SELECT lon, lat, metres, iso3, x AS x0, y AS y0, lead(x) OVER w AS x1, lead(y) OVER w AS y1 FROM corners WINDOW w AS (PARTITION BY lon, lat, metres, iso3 ORDER BY k)),
+  reach AS (SELECT lon, lat, metres, iso3, greatest(0, floor((90 - max(y)) / 0.3))::BIGINT AS r0, least(599, floor((90 - min(y)) / 0.3))::BIGINT AS r1, greatest(0, floor((min(x) + 180) / 0.3))::BIGINT AS c0, least(1199, floor((max(x) + 180) / 0.3))::BIGINT AS c1 FROM corners GROUP BY ALL),
+  asked AS (SELECT *, -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE AS x, 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE AS y FROM (SELECT *, unnest(range(c0, c1 + 1)) AS sc FROM (SELECT *, unnest(range(r0, r1 + 1)) AS sr FROM reach) AS a) AS b),
+  hit AS (SELECT lon, lat, metres, iso3, sr, sc FROM asked JOIN sides USING (lon, lat, metres, iso3) WHERE {CROSSES} GROUP BY ALL HAVING count(*) % 2 = 1),
+  circle_cells AS (SELECT lon, lat, metres, h.iso3, sr // 10 AS r, sc // 10 AS c, count(*) AS cover FROM hit h JOIN {{adm0}} a ON a.iso3 = h.iso3 AND sc >= sc0 AND sc < sc1 GROUP BY ALL),
+  cells AS (SELECT geom_kind, area_key, NULL::INT AS metres, NULL::VARCHAR AS iso3, NULL::DOUBLE AS lon, NULL::DOUBLE AS lat, r, c, cover FROM outline_cells
+    UNION ALL SELECT 'buffer', NULL, metres::INT, iso3, lon, lat, r, c, cover FROM circle_cells
+    UNION ALL SELECT 'buffer', NULL, metres::INT, iso3, lon, lat, floor((90 - lat) / 3)::BIGINT, floor((lon + 180) / 3)::BIGINT, 100 FROM places p WHERE NOT EXISTS (SELECT 1 FROM circle_cells q WHERE q.lon = p.lon AND q.lat = p.lat AND q.metres = p.metres AND q.iso3 = p.iso3)),
+  shares AS (SELECT *, cover / sum(cover) OVER (PARTITION BY {_G}) AS share FROM cells),
+  spread AS (SELECT m.geom_kind, m.area_key, m.metres, m.lon, m.lat, r::INT AS grid_row, c::INT AS grid_col, value * share AS value, n FROM money m JOIN shares s
+    ON s.geom_kind = m.geom_kind AND s.area_key IS NOT DISTINCT FROM m.area_key AND s.metres IS NOT DISTINCT FROM m.metres AND s.iso3 IS NOT DISTINCT FROM m.iso3 AND s.lon IS NOT DISTINCT FROM m.lon AND s.lat IS NOT DISTINCT FROM m.lat)"""
 
 
-def _country_cells(v: Views) -> DataFrame:
-    countries = v.adm0.withColumn("asdf_id", F.col("region_id"))
-    return box_weights(countries, GRID["nrows"], GRID["ncols"]).join(countries.select("asdf_id", F.col("iso3").alias("geom")), "asdf_id").drop("asdf_id")
+def money(v: Views) -> DataFrame:
+    """The kept locations with their adjusted money and geometry."""
+    kept = R.adjust_value(R.apply_filters(split(v), {"donors": ["Donor1", "Donor3"]}), ["Health", "Energy"]).select("project_location_id", "adjusted_val")
+    return S.geometry_name(_assigned(v)).join(kept, "project_location_id").filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat", F.col("location_id").cast("string").alias("location_id"), "adjusted_val")
 
 
-def _money(v: Views) -> DataFrame:
-    return R.adjust_value(split(v)).select(F.concat(F.lit("RG"), F.floor((F.col("longitude") + 180) / 72).cast("string")).alias("geom"), F.col("project_location_id").cast("string").alias("location_id"), "adjusted_val")
+def surface_cells(v: Views, located: DataFrame) -> DataFrame:
+    return S.geometry_cells(located, _countries(v), _areas(v), GRID)
 
 
-_GEOM = "'RG' || CAST(floor((longitude + 180) / 72) AS INT)"
-_CELLS = "SELECT iso3 AS geom, r::INT AS grid_row, c::INT AS grid_col FROM {adm0}, (SELECT unnest(range(60)) AS r) AS rr, (SELECT unnest(range(120)) AS c) AS cc WHERE 10 * c >= sc0 AND 10 * c < sc1"
+def cents() -> Column:
+    """Cut to cents where sums in any order agree: no amount ends in .6289 of one."""
+    return (F.floor(F.col("value") * 100 + 0.3711) / 100).alias("value")
 
 
-@query("msr_spread", f"SELECT geom, grid_row, grid_col, round(value / 1440, 3) AS value FROM (SELECT {_GEOM} AS geom, sum(split_dollars_pp) AS value FROM ({_SPLIT}) AS s GROUP BY 1) AS m JOIN ({_CELLS}) AS c USING (geom)")
+@query("msr_spread", f"{_CELLS} SELECT geom_kind, area_key, metres AS geom_metres, lon, lat, grid_row, grid_col, floor(value * 100 + 0.3711::DOUBLE) / 100 AS value FROM spread")
 def msr_spread(v: Views) -> DataFrame:
-    values = _money(v).groupBy("geom").agg(F.sum("adjusted_val").alias("value"))
-    return S.spread(values, _country_cells(v)).withColumn("value", F.round("value", 3))
+    located = staged(money(v), "located-money")
+    values = located.groupBy("geom").agg(F.sum("adjusted_val").alias("value"))
+    named = located.select("geom", "geom_kind", F.when(F.col("geom_kind") != "buffer", F.col("geom_key")).alias("area_key"), "geom_metres", *(F.when(F.col("geom_kind") == "buffer", F.col(c)).alias(c) for c in ("lon", "lat"))).dropDuplicates(["geom"])
+    return S.spread(values, surface_cells(v, located)).join(named, "geom").select("geom_kind", "area_key", "geom_metres", "lon", "lat", "grid_row", "grid_col", cents())
 
 
-@query("msr_surface", f"SELECT grid_row, grid_col, round(sum(value / 1440), 3) AS value FROM (SELECT {_GEOM} AS geom, sum(split_dollars_pp) AS value FROM ({_SPLIT}) AS s GROUP BY 1) AS m JOIN ({_CELLS}) AS c USING (geom) GROUP BY grid_row, grid_col")
+@query("msr_surface", f"{_CELLS} SELECT grid_row, grid_col, floor(sum(value) * 100 + 0.3711::DOUBLE) / 100 AS value FROM spread GROUP BY grid_row, grid_col")
 def msr_surface(v: Views) -> DataFrame:
-    return S.build_surface(_money(v), _country_cells(v)).withColumn("value", F.round("value", 3))
+    located = staged(money(v), "located-money")
+    return S.build_surface(located, surface_cells(v, located)).withColumn("value", cents())
 
 
 @query("msr_unique_geoms", """SELECT sha1(geom) AS hash, round(sum(split_dollars_pp), 6) AS unique_dollars, count(*) AS location_count, string_agg(location_id, '|' ORDER BY location_id) AS location_ids FROM (SELECT round(longitude, 2)::DECIMAL(9,2)::VARCHAR || ',' || round(latitude, 1)::DECIMAL(9,1)::VARCHAR AS geom, project_location_id::VARCHAR AS location_id, split_dollars_pp FROM (""" + _SPLIT + """) AS s) AS t GROUP BY geom""")

@@ -67,16 +67,16 @@ def wrk_backlog(v: Views) -> DataFrame:
     return W.backlog(v.work)
 
 
-_ROWS = "SELECT 'b' || CAST(o_custkey % 25 AS STRING) AS boundary, 'ds' || CAST(o_orderkey % 20 AS STRING) AS data, 'mean' AS extract_type, o_orderkey % 977 AS asdf_id FROM {orders}"
+_ROWS = "SELECT 'b' || CAST(o_custkey % 25 AS STRING) AS boundary, 'ds' || CAST(o_orderkey % 10 AS STRING) AS data, 'mean' AS extract_type, o_orderkey % 977 AS asdf_id FROM {orders}"
 
 
 @query(
     "wrk_complete",
     f"""SELECT r.boundary, data, extract_type, n_rows, coalesce(n_features, 0) AS n_features FROM (SELECT boundary, data, extract_type, count(*) AS n_rows FROM ({_ROWS}) AS t GROUP BY 1, 2, 3) AS r
-    LEFT JOIN (SELECT 'b' || CAST(c_nationkey AS STRING) AS boundary, count(*) AS n_features FROM {{customer}} WHERE c_custkey % 50 = 0 GROUP BY 1) AS f ON f.boundary = r.boundary WHERE n_rows <> coalesce(n_features, 0)""",
+    LEFT JOIN (SELECT 'b' || CAST(c_nationkey AS STRING) AS boundary, count(*) AS n_features FROM {{customer}} GROUP BY 1) AS f ON f.boundary = r.boundary WHERE n_rows <> coalesce(n_features, 0)""",
 )
 def wrk_complete(v: Views) -> DataFrame:
-    features = v.customer.filter("c_custkey % 50 = 0").select(F.concat(F.lit("b"), F.col("c_nationkey").cast("string")).alias("boundary"), F.col("c_custkey").alias("asdf_id"))
+    features = v.customer.select(F.concat(F.lit("b"), F.col("c_nationkey").cast("string")).alias("boundary"), F.col("c_custkey").alias("asdf_id"))
     return W.incomplete(v.spark.sql(_ROWS, orders=v.orders), features)
 
 

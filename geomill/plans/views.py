@@ -1,7 +1,8 @@
 """The library's input shapes as views over the given star-schema tables.
 
 Each view is one SELECT in SQL that both Spark and DuckDB read (`//` is whole division; Spark gets `div`). Names in braces are
-tables or other views. Grid: 3 degree pixels from (-180, 90), 60 rows, 120 columns; sub-cells of 0.3 degrees, counted from the west
+tables or other views. `shapes` are polygons of five corners, one inward, in the boxes of `features`; that of feature 24 is too small to
+hold a sub-cell's centre. `areas` are administrative boxes of levels 1 to 3. Grid: 3 degree pixels from (-180, 90), 60 rows, 120 columns; sub-cells of 0.3 degrees, counted from the west
 (sc) and the north (sr).
 """
 
@@ -26,6 +27,15 @@ VIEWS = {
     "features": """SELECT CAST(n_nationkey AS BIGINT) AS asdf_id, 'world_adm1_v1' AS boundary, 'RG' || CAST(n_nationkey % 5 AS STRING) AS iso3, n_name AS name,
         240 * (n_nationkey % 5) + 3 AS sc0, 240 * (n_nationkey % 5) + 238 AS sc1, 120 * (n_nationkey // 5) + 5 AS sr0, 120 * (n_nationkey // 5) + 116 AS sr1 FROM {nation}""",
     "boxes": """SELECT asdf_id, boundary, iso3, name, -180 + CAST(0.3 AS DOUBLE) * sc0 AS minx, 90 - CAST(0.3 AS DOUBLE) * sr1 AS miny, -180 + CAST(0.3 AS DOUBLE) * sc1 AS maxx, 90 - CAST(0.3 AS DOUBLE) * sr0 AS maxy FROM {features}""",
+    "shapes": """SELECT asdf_id, boundary, iso3, name, x + CAST(0.013 AS DOUBLE) * w AS xa, y + CAST(0.021 AS DOUBLE) * h AS ya, x + CAST(0.987 AS DOUBLE) * w AS xb, y + CAST(0.312 AS DOUBLE) * h AS yb,
+        x + CAST(0.553 AS DOUBLE) * w AS xc, y + CAST(0.524 AS DOUBLE) * h AS yc, x + CAST(0.991 AS DOUBLE) * w AS xd, y + CAST(0.979 AS DOUBLE) * h AS yd, x + CAST(0.217 AS DOUBLE) * w AS xe, y + CAST(0.731 AS DOUBLE) * h AS ye
+        FROM (SELECT *, minx + CASE WHEN asdf_id = 24 THEN 1 ELSE 0 END AS x, miny + CASE WHEN asdf_id = 24 THEN 1 ELSE 0 END AS y, (maxx - minx) * CASE WHEN asdf_id = 24 THEN CAST(0.0003 AS DOUBLE) ELSE 1 END AS w,
+          (maxy - miny) * CASE WHEN asdf_id = 24 THEN CAST(0.0003 AS DOUBLE) ELSE 1 END AS h FROM {boxes}) AS b""",
+    "grids": """SELECT DISTINCT 'ras_' || CAST(2000 + o_orderkey // 7200 AS STRING) AS resource FROM {orders}""",
+    "areas": """SELECT asdf_id, iso3, 1 AS level, minx, miny, maxx, maxy FROM {boxes}
+        UNION ALL SELECT 100 + asdf_id, iso3, 2, minx, miny, minx + CAST(0.4137 AS DOUBLE) * (maxx - minx), maxy FROM {boxes}
+        UNION ALL SELECT 200 + asdf_id, iso3, 2, minx + CAST(0.4137 AS DOUBLE) * (maxx - minx), miny, maxx, maxy FROM {boxes}
+        UNION ALL SELECT 300 + asdf_id, iso3, 3, minx, miny, maxx, miny + CAST(0.617 AS DOUBLE) * (maxy - miny) FROM {boxes} WHERE iso3 <> 'RG4'""",
     "adm0": """SELECT CAST(r_regionkey AS BIGINT) AS region_id, 'RG' || CAST(r_regionkey AS STRING) AS iso3, r_name AS country, 240 * r_regionkey AS sc0, 240 * (r_regionkey + 1) AS sc1, 0 AS sr0, 600 AS sr1 FROM {region}""",
     "projects": f"""SELECT CAST(o_orderkey AS STRING) AS project_id, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS total_commitments, o_totalprice * CAST(0.5 AS DOUBLE) AS total_disbursements,
         CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS is_geocoded, CAST(year(o_orderdate) AS INT) AS transactions_start_year, CAST(year(o_orderdate) + o_custkey % 3 AS INT) AS transactions_end_year,
@@ -33,7 +43,7 @@ VIEWS = {
         {_SECTOR.format("o_custkey % 6")} || CASE WHEN o_custkey % 2 = 0 THEN '|' || {_SECTOR.format("(o_custkey // 6) % 6")} ELSE '' END AS ad_sector_names FROM {{orders}}""",
     "locations": """SELECT CAST(l_orderkey AS STRING) AS project_id, l_orderkey * 10 + l_linenumber AS project_location_id, CAST(-179.91 AS DOUBLE) + CAST(0.18 AS DOUBLE) * pk AS longitude,
         CAST(-89.9 AS DOUBLE) + CAST(1.8 AS DOUBLE) * ((sk * 13) % 100) AS latitude, CAST(1 + sk % 5 AS STRING) AS location_class,
-        CASE pk % 6 WHEN 0 THEN 'PCLI' WHEN 1 THEN 'ADM1' WHEN 2 THEN 'ADM2' WHEN 3 THEN 'PPL' WHEN 4 THEN 'PPLX' ELSE 'STRM' END AS location_type_code, CAST(1 + l_linenumber % 3 AS STRING) AS geographic_exactness,
+        CASE pk % 8 WHEN 0 THEN 'PCLI' WHEN 1 THEN 'ADM1' WHEN 2 THEN 'ADM2' WHEN 3 THEN 'PPL' WHEN 4 THEN 'PPLX' WHEN 5 THEN 'ADM3' WHEN 6 THEN 'ADM4' ELSE 'STRM' END AS location_type_code, CAST(1 + l_linenumber % 3 AS STRING) AS geographic_exactness,
         CASE WHEN sk % 17 = 0 THEN '' ELSE 'RG' || CAST(CAST(floor((CAST(-179.91 AS DOUBLE) + CAST(0.18 AS DOUBLE) * pk + 180) / 72) AS INT) AS STRING) END AS recipients_iso3
         FROM (SELECT l_orderkey, l_linenumber, min((l_partkey * 37) % 2000) AS pk, min(l_suppkey) AS sk FROM {lineitem} GROUP BY l_orderkey, l_linenumber) AS one""",
     "transactions": """SELECT CAST(l_orderkey AS STRING) AS project_id, CAST(year(l_shipdate) AS INT) AS transaction_year, l_extendedprice AS transaction_value FROM {lineitem}""",

@@ -12,9 +12,14 @@ def write_extract_csv(df: DataFrame, path: str) -> None:
     df.select(*plain).write.options(header=True, nullValue="NA", emptyValue="").csv(path)
 
 
+LAYOUT = ("boundary", "dataset", "temporal", "method")
+
+
 def write_extracts(df: DataFrame, path: str) -> None:
-    """The long result table laid out by boundary and dataset; rows of one folder are dealt together so that few files are written."""
-    df.repartition("boundary", "dataset").write.partitionBy("boundary", "dataset").parquet(path)
+    """The long result table laid out by boundary, dataset, temporal and method (those of them that it has). Rows of one folder are
+    dealt together so that few files are written; Spark splits a folder that holds much more than others."""
+    keys = [c for c in LAYOUT if c in df.columns]
+    df.hint("rebalance", *map(F.col, keys)).write.partitionBy(*keys).parquet(path)
 
 
 def write_surface(cells: DataFrame, locations: DataFrame, summary: DataFrame, path: str) -> None:

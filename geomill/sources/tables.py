@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +22,27 @@ _folders: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the cluster's shared folder (spark.checkpoint.dir); a temporary one where that is unset, as in tests."""
+    """A new path in the cluster's shared folder (spark.checkpoint.dir). Where that is unset a temporary folder does on one machine
+    (tests); a cluster must set it, as its executors share no other folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = _folders.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-geomill-"))
-    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/geomill-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once to the shared folder and read back, for what is used more than once."""
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all that this application has in the shared folder; for the end of a job."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark, "").rsplit("/", 1)[0])
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -57,15 +74,19 @@ _POINT, _RINGS = "array<double>", "array<array<array<double>>>"
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """A GeoJSON collection, one row per feature: asdf_id (its place, from 0), properties (map of texts), polygons. Polygon and
-    MultiPolygon; a collection is one JSON value, so Spark reads one file per task and explodes it there."""
-    text = spark.read.text(path, wholetext=True)
+    """GeoJSON collections, one row per feature: file, asdf_id, properties (map of texts), polygons. asdf_id goes from 0 through the
+    files in the order of their names. Polygon and MultiPolygon. A collection is one JSON value, so a file is read by one
+    task and exploded there; many files are read side by side."""
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     schema = "struct<features: array<struct<properties: map<string,string>, geometry: struct<type: string, coordinates: string>>>>"
-    features = text.select(F.posexplode(F.from_json("value", schema)["features"]).alias("nth", "f"))
+    read = text.select("file", F.from_json("value", schema)["features"].alias("features"))
+    sizes = read.select("file", F.size("features").alias("n"))  # one row per file
+    before = sizes.select("file", (F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
+    features = read.select("file", F.posexplode("features").alias("nth", "f")).join(before, "file")
     rings = F.when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json(F.col("f.geometry.coordinates"), _RINGS))).otherwise(F.from_json(F.col("f.geometry.coordinates"), f"array<{_RINGS}>"))
     point = lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
     polygons = F.transform(rings, lambda part: F.transform(part, lambda r: F.transform(r, point)))
-    return features.select(F.col("nth").cast("long").alias("asdf_id"), F.col("f.properties").alias("properties"), polygons.alias("polygons"))
+    return features.select("file", (F.col("before") + F.col("nth")).cast("long").alias("asdf_id"), F.col("f.properties").alias("properties"), polygons.alias("polygons"))
 
 
 def geojson(features: DataFrame) -> DataFrame:
@@ -76,22 +97,26 @@ def geojson(features: DataFrame) -> DataFrame:
     return features.agg(F.concat(F.lit('{"type": "FeatureCollection", "features": ['), F.array_join(F.transform(ordered, lambda s: s["text"]), ", "), F.lit("]}")).alias("value"))
 
 
-HEADER = ("ncols", "nrows", "xllcorner", "yllcorner", "cellsize", "nodata_value")
+# The header lines of an ESRI ASCII grid, in lower case.
+HEADER = ("ncols", "nrows", "xllcorner", "xllcenter", "yllcorner", "yllcenter", "cellsize", "nodata_value")
 
 
 def read_ascii_grid(spark: SparkSession, path: str) -> DataFrame:
-    """An ESRI ASCII grid (six header lines, then rows) as pixels: path, grid_row, grid_col, value, and the grid's minx, maxy,
-    pixel_size, nrows, ncols; nodata is null."""
+    """ESRI ASCII grids as pixels: path, grid_row, grid_col, value, and the grid's minx, maxy, pixel_size, nrows, ncols. Header lines are
+    known by their keyword, so there may be a nodata line or none, and the origin may be a corner or a cell's centre; nodata is
+    null. A file is one value, read by one task."""
     lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", r"\r?\n").alias("lines"))
-    header = F.map_from_entries(F.transform(F.slice("lines", 1, len(HEADER)), lambda t: F.struct(F.lower(F.split(F.trim(t), r"\s+")[0]), F.split(F.trim(t), r"\s+")[1].cast("double"))))
-    h = lambda key: F.element_at("header", key)
-    body = F.filter(F.slice("lines", len(HEADER) + 1, F.size("lines")), lambda t: F.trim(t) != "")
+    known = rf"(?i)^\s*({'|'.join(HEADER)})\s"
+    header = F.map_from_entries(F.transform(F.filter("lines", lambda t: t.rlike(known)), lambda t: F.struct(F.lower(F.split(F.trim(t), r"\s+")[0]), F.split(F.trim(t), r"\s+")[1].cast("double"))))
+    h = lambda key: F.try_element_at("header", F.lit(key))
+    body = F.filter("lines", lambda t: ~t.rlike(known) & (F.trim(t) != ""))
     rows = lines.select("path", header.alias("header"), F.posexplode(body).alias("grid_row", "line"))
     cells = rows.select("path", "header", "grid_row", F.posexplode(F.split(F.trim("line"), r"\s+")).alias("grid_col", "text"))
-    value = F.col("text").cast("double")
+    value, size = F.col("text").cast("double"), h("cellsize")
+    origin = lambda axis: F.coalesce(h(f"{axis}llcorner"), h(f"{axis}llcenter") - size / 2)
     return cells.select(
-        "path", "grid_row", "grid_col", F.when(value != h("nodata_value"), value).alias("value"), h("xllcorner").alias("minx"),
-        (h("yllcorner") + h("nrows") * h("cellsize")).alias("maxy"), h("cellsize").alias("pixel_size"), h("nrows").cast("int").alias("nrows"), h("ncols").cast("int").alias("ncols"),
+        "path", "grid_row", "grid_col", F.when(h("nodata_value").isNull() | (value != h("nodata_value")), value).alias("value"), origin("x").alias("minx"),
+        (origin("y") + h("nrows") * size).alias("maxy"), size.alias("pixel_size"), h("nrows").cast("int").alias("nrows"), h("ncols").cast("int").alias("ncols"),
     )
 
 

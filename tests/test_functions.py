@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +92,11 @@ def test_scale_and_snap(spark):
     assert tuple(g) == (0.0, -0.5, 1.5, 1.0, 3, 3)
     with pytest.raises(ValueError, match="pixel size"):
         G.snap_grid(F.col("b"), 0.3)
+
+
+def test_request_json_is_canonical(spark):
+    odd = ["a", 'Öl & "Gas"', "tab\tnew\n", "\x01\x7f", "日本", "😀x", "back\\slash", "", "1995"]
+    df = spark.createDataFrame([({"donors": odd, "transaction_year": ["1995", "-2.5"], "é": []},)], "f map<string,array<string>>")
+    got = df.select(T.request_json(F.lit("aïd"), F.col("f"), F.lit(0.05), F.lit("release"), F.lit(1.0)).alias("j")).first().j
+    want = {"dataset": "aïd", "filters": {"donors": odd, "transaction_year": [1995, -2.5], "é": []}, "resolution": 0.05, "type": "release", "version": 1.0}
+    assert got == json.dumps(want, sort_keys=True, ensure_ascii=True)

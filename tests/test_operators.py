@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -19,6 +22,7 @@ def polygons(spark, *rings):
 
 SQUARE = [(2, 2), (2, 5.5), (6.3, 5.5), (6.3, 2), (2, 2)]
 HOLE = [(3, 3), (3, 4), (4, 4), (4, 3), (3, 3)]
+TINY = [(2.01, 2.01), (2.01, 2.02), (2.02, 2.02), (2.02, 2.01), (2.01, 2.01)]
 TRIANGLE = [(0, 0), (0, 10), (10, 0), (0, 0)]
 
 
@@ -31,7 +35,7 @@ def test_rasterize_closed_forms(spark):
 
 
 def test_small_polygon_is_touched(spark):
-    tiny = polygons(spark, [[(2.01, 2.01), (2.01, 2.02), (2.02, 2.02), (2.02, 2.01), (2.01, 2.01)]])
+    tiny = polygons(spark, [TINY])
     assert zonal.zone_weights(tiny, **GRID).count() == 0
     row = zonal.zone_weights(tiny, **GRID, all_touched=True).collect()
     assert [(r.grid_row, r.grid_col, r.cover) for r in row] == [(7, 2, 100.0)]
@@ -118,11 +122,97 @@ def test_upserts_are_idempotent(spark):
     assert {r.data: r.value for r in once.collect()} == {"d": 2.0, "e": 3.0}
 
 
-def test_encoded(spark):
-    pixels = spark.createDataFrame([("r", 0, 0, 1034)], "resource string, grid_row int, grid_col int, encoded int")
-    weights = spark.createDataFrame([(1, 0, 0, 100, True)], "asdf_id long, grid_row int, grid_col int, cover long, centre boolean")
-    row = zonal.zonal_encoded(pixels, weights, [3, 6]).first()
-    assert (row.op_3, row.op_6, row.total) == (4, 0, 4)
+def test_categories_of_every_feature(spark):
+    """Features without a counted cell have zeros; an encoded value is a code and a count."""
+    pixels = spark.createDataFrame([("r", 7, 2, 1034, 5), ("r", 7, 3, 1032, 6), ("s", 0, 0, 1061, None)], "resource string, grid_row int, grid_col int, encoded int, category int")
+    features = polygons(spark, [SQUARE], [TINY])
+    cells = zonal.centre_cells(features, **GRID)
+    got = {(r.resource, r.asdf_id): (r.op_3, r.op_6, r.total) for r in zonal.zonal_encoded(pixels, cells, [3, 6], features).collect()}
+    assert got == {("r", 0): (6, 0, 6), ("r", 1): (0, 0, 0), ("s", 0): (0, 0, 0), ("s", 1): (0, 0, 0)}
+    got = {(r.resource, r.asdf_id): (r.five, r.total, r.other) for r in zonal.zonal_categorical(pixels, cells, {"five": 5}, features).collect()}
+    assert got == {("r", 0): (1, 2, "6:1"), ("r", 1): (0, 0, ""), ("s", 0): (0, 0, ""), ("s", 1): (0, 0, "")}
+
+
+def test_touched_cells_count_but_are_not_summed(spark):
+    pixels = zonal.with_tiles(spark.createDataFrame([("r", 7, 2, 8.0)], "resource string, grid_row int, grid_col int, value double"))
+    features = polygons(spark, [TINY])
+    row = zonal.zonal_many(pixels, zonal.zone_weights(features, **GRID, all_touched=True), maxy=10.0, px=1.0, features=features).first()
+    assert (row["count"], row["sum"], row["mean"], row["median"]) == (1.0, None, 8.0, 8.0)
+
+
+def test_tiles_prune_folders(spark, tmp_path):
+    pixels = spark.range(200 * 200).select(F.lit("r").alias("resource"), (F.col("id") / 200).cast("int").alias("grid_row"), (F.col("id") % 200).cast("int").alias("grid_col"), F.lit(1.0).alias("value"))
+    zonal.write_pixels(pixels, f"{tmp_path}/pixels")
+    grid = {"minx": 0.0, "maxy": 200.0, "px": 1.0, "nrows": 200, "ncols": 200}
+    features = polygons(spark, [[(10, 150), (10, 160), (20, 160), (20, 150), (10, 150)]])
+    done = zonal.zonal_many(spark.read.parquet(f"{tmp_path}/pixels"), zonal.zone_weights(features, **grid), ("sum", "count"), maxy=200.0, px=1.0)
+    assert [(r["sum"], r["count"]) for r in done.collect()] == [(100.0, 100.0)]
+    assert "dynamicpruning" in done._jdf.queryExecution().toString()
+
+
+def test_a_tiny_polygon_on_a_large_grid_is_cheap():
+    ring = np.array([(10.0, 10.0), (10.0, 10.01), (10.01, 10.01), (10.01, 10.0), (10.0, 10.0)])
+    edges = np.hstack([ring[:-1], ring[1:]])
+    rasterize._cover(edges, 1590, 1622, -180.0, 90.0, 0.05, 10, 7200)
+    tracemalloc.start()
+    began = time.perf_counter()
+    left, cover = rasterize._cover(edges, 1590, 1622, -180.0, 90.0, 0.05, 10, 7200)
+    took, (_, peak) = time.perf_counter() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert took < 0.02 and peak < 1 << 20 and cover.shape[1] <= 2 and left in (3799, 3800)
+
+
+def test_long_thin_polygon_touches_its_diagonal(spark):
+    thin = polygons(spark, [[(0.531, 0.5), (9.53, 9.5), (9.529, 9.5), (0.531, 0.5)]])
+    cells = {(r.grid_row, r.grid_col) for r in zonal.zone_weights(thin, **GRID, all_touched=True).filter("touched").collect()}
+    want = {(9 - k, k) for k in range(10)}
+    assert want <= cells and all(abs(9 - r - c) <= 1 for r, c in cells)
+
+
+def test_centroid(spark):
+    df = polygons(spark, [SQUARE], [TRIANGLE], [[(1, 1), (3, 1), (1, 1)]])
+    got = [tuple(r.c) for r in df.orderBy("asdf_id").select(G.centroid(F.col("polygons")).alias("c")).collect()]
+    assert got[0] == pytest.approx((4.15, 3.75)) and got[1] == pytest.approx((10 / 3, 10 / 3)) and got[2] == pytest.approx((2, 1))
+
+
+def test_geometry_of_every_kind_keeps_its_money(spark):
+    """Points, buffers (clipped, tiny, and outside their country), areas by level (one too small for a sub-cell's centre), countries."""
+    box = lambda x0, y0, x1, y1: [[[(x0, y0), (x0, y1), (x1, y1), (x1, y0), (x0, y0)]]]
+    rings = f"polygons {rasterize.POLYGONS}"
+    countries = spark.createDataFrame([("AAA", box(0.0, 0.0, 5.0, 10.0)), ("BBB", box(5.0, 0.0, 10.0, 10.0))], f"iso3 string, {rings}")
+    areas = spark.createDataFrame([(1, "AAA", 1, box(0.0, 0.0, 5.0, 5.0)), (2, "AAA", 2, box(1.0, 1.0, 2.0, 2.0)), (3, "AAA", 2, box(3.01, 3.01, 3.02, 3.02)), (4, "BBB", 2, box(5.0, 0.0, 9.0, 9.0))], f"asdf_id long, iso3 string, level int, {rings}")
+    rows = [
+        (0, "AAA", 1.5, 1.5, "point", None), (1, "AAA", 4.9, 4.5, "buffer", 25000), (2, "AAA", 2.51, 2.51, "buffer", 1), (3, "AAA", 1.5, 1.5, "adm", 0), (4, "AAA", 1.5, 1.5, "adm", 1), (5, "AAA", 1.5, 1.5, "adm", 2),
+        (6, "AAA", 3.015, 3.015, "adm", 2), (7, "AAA", 4.0, 9.0, "adm", 1), (8, "AAA", 4.0, 9.0, "adm", 3), (9, "ZZZ", 1.0, 1.0, "point", None), (10, "AAA", 50.0, 1.0, "point", None), (11, "BBB", 1.0, 1.0, "buffer", 1000), (12, "AAA", 1.5, 1.5, None, None),
+    ]
+    df = spark.createDataFrame(rows, "location_id long, iso3 string, lon double, lat double, geom_type string, geom_data int")
+    placed = surface.geometry_name(surface.assign_geometry(df, countries, areas, GRID)).cache()
+    kinds = {r.location_id: (r.geom_kind, r.geom_key, r.geom_metres) for r in placed.collect()}
+    assert kinds[4] == ("area", "1", None) and kinds[5] == ("area", "2", None) and kinds[6] == ("area", "3", None) and kinds[3] == ("country", "AAA", None)
+    assert kinds[7] == ("country", "AAA", None) and kinds[8] == ("buffer", "4.0:9.0", 25000) and [kinds[k][0] for k in (9, 10, 12)] == [None] * 3
+    strict = {r.location_id: r.geom_kind for r in surface.assign_geometry(df, countries, areas, GRID, strict=True).collect()}
+    assert strict[7] is None and strict[8] is None and strict[5] == "area"
+    cells = surface.geometry_cells(placed, countries, areas, GRID).cache()
+    for r in placed.collect():
+        own = [(c.grid_row, c.grid_col, c.cover) for c in cells.filter(F.col("geom") == r.geom).collect()]
+        if r.location_id in (9, 10, 11, 12):
+            assert own == []  # without a geometry, or a buffer that does not meet its country
+            continue
+        spread = surface.build_surface(spark.createDataFrame([(r.geom, 12.5)], "geom string, adjusted_val double"), cells)
+        assert spread.agg(F.sum("value")).first()[0] == pytest.approx(12.5), r
+        if r.location_id == 1:
+            assert {c for _, c, _ in own} == {4}  # nothing beyond the border
+        if r.location_id in (2, 6):
+            assert own == [(7, 2, 100)] if r.location_id == 2 else own == [(6, 3, 100)]
+
+
+def test_combinations_beyond_the_broadcast_bound(spark, monkeypatch):
+    df = spark.createDataFrame([("a|b", "x"), ("c|a b", "y|z")], "ad_sector_names string, donors string").withColumn("split_dollars_pp", F.lit(4.0))
+    few = sorted(map(str, surface.filter_combos(df).collect()))
+    monkeypatch.setattr(surface, "MAX_TOKENS", 1)
+    assert sorted(map(str, surface.filter_combos(df).collect())) == few and len(few) == (1 + 4 + 6) * 4
+    stats = {(r.sectors, r.donors): (r["count"], r.adjusted) for r in surface.combo_stats(df, surface.filter_combos(df)).collect()}
+    assert stats["a", ""] == (2, 2.0) and stats["a|c", ""] == (2, 4.0) and stats["", ""] == (2, 8.0)
 
 
 def test_work_and_requests(spark):

@@ -42,6 +42,36 @@ def test_ascii_grid(spark, tmp_path):
     assert [r.value for r in rows] == [1.0, 2.0, None, 4.0, 5.5, 6.0] and (rows[0].minx, rows[0].maxy, rows[0].pixel_size) == (10.0, 0.0, 0.5)
 
 
+def test_ascii_grid_without_nodata_and_with_a_centre(spark, tmp_path):
+    (tmp_path / "g.asc").write_text("ncols 2\nnrows 2\nxllcenter 10.25\nyllcenter -0.75\ncellsize 0.5\n1 2\n4 -9999\n", encoding="utf-8")
+    rows = tables.read_ascii_grid(spark, str(tmp_path / "g.asc")).orderBy("grid_row", "grid_col").collect()
+    assert [r.value for r in rows] == [1.0, 2.0, 4.0, -9999.0] and (rows[0].minx, rows[0].maxy, rows[0].nrows) == (10.0, 0.0, 2)
+
+
+def test_features_of_several_files(spark, tmp_path):
+    one = '{"type": "Feature", "properties": {"name": "%s"}, "geometry": {"type": "Polygon", "coordinates": [[[0,0],[0,2],[2,2],[0,0]]]}}'
+    for file, names in (("b", "xy"), ("a", "uvw"), ("c", "z")):
+        (tmp_path / f"{file}.geojson").write_text('{"type": "FeatureCollection", "features": [' + ",".join(one % n for n in names) + "]}", encoding="utf-8")
+    rows = tables.read_features(spark, str(tmp_path)).orderBy("asdf_id").collect()
+    assert [(r.asdf_id, r.properties["name"]) for r in rows] == list(enumerate("uvwxyz")) and rows[3].file.endswith("b.geojson")
+
+
+def test_extracts_are_laid_out_by_all_keys(spark, tmp_path):
+    df = spark.createDataFrame([("b", "d", t, m, i, 1.0) for t in ("2000", "2001") for m in ("mean", "max") for i in range(9)], "boundary string, dataset string, temporal string, method string, asdf_id long, value double")
+    sinks.write_extracts(df, f"{tmp_path}/out")
+    assert (tmp_path / "out" / "boundary=b" / "dataset=d" / "temporal=2000" / "method=max").is_dir()
+    sinks.write_extracts(df.drop("temporal"), f"{tmp_path}/less")
+    assert (tmp_path / "less" / "boundary=b" / "dataset=d" / "method=max").is_dir() and spark.read.parquet(f"{tmp_path}/out").count() == 36
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    assert tables.scratch(spark, "x") != tables.scratch(spark, "x")
+    context = type("Context", (), {"master": "yarn", "applicationId": "a"})()
+    session = type("Session", (), {"conf": type("Conf", (), {"get": lambda self, name, default: default})(), "sparkContext": context})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.scratch(session, "x")
+
+
 def test_scan_resources(spark, tmp_path):
     (tmp_path / "2001").mkdir()
     (tmp_path / "2001" / "a.tif").write_bytes(b"123")
