@@ -8,7 +8,8 @@ other in all 32 bands with probability 5e-6). Nobody emits all pairs of a bucket
    original of a group of copies, as a rule); pairs of equal sets are links at once, others must agree in enough minima
    (MARGIN standard deviations below the threshold) and are then confirmed on full sets;
 2. components of these links are found; in buckets whose members are still in different components, signatures are compared in
-   blocks of BLOCK members (a block pair is one group), which leaves the members that agree in enough minima with one of
+   blocks of BLOCK members (a block pair is one group; blocks of the bucket's largest component are not compared with each
+   other, so one large group of copies costs its members times the few outside it), which leaves the members that agree in enough minima with one of
    another component. Only their texts are moved, to be compared on full sets in blocks of BLOCK_SHINGLES shingles:
    intersections of all pairs come from one matrix product, and of the pairs that reach the threshold only those that join two
    components leave the task, so its output is never more than its members. Buckets with the same members are compared once;
@@ -207,31 +208,40 @@ def _agreeing_members(group: pa.Table) -> pa.Table:
     return pa.table({"key": pa.array([group["key"][0].as_py()] * len(docs), pa.int64()), "doc_id": pa.array(docs, pa.int64())})
 
 
-def _block_pairs(members: DataFrame, blocks: Column) -> DataFrame:
-    """Members (key, doc_id, component) dealt into blocks, each going to all pairs of its block with another or itself: key, low, high,
-    side, doc_id, component."""
-    left = members.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+def _block_pairs(members: DataFrame, majors: Column, minors: Column) -> DataFrame:
+    """Members (key, doc_id, component, major) dealt into blocks, each going to all pairs of its block with another or itself: key, low, high,
+    side, doc_id, component. `major` marks the key's largest component, which has the first `majors` blocks: pairs of two of these hold no
+    link across components and are left out."""
+    least_one = lambda n: F.greatest(F.lit(1), F.coalesce(n, F.lit(0)).cast("int"))
+    dealt = members.withColumn("majors", least_one(majors)).withColumn("minors", least_one(minors))
+    own = F.when(F.col("major"), F.pmod(F.xxhash64("doc_id"), F.col("majors"))).otherwise(F.col("majors") + F.pmod(F.xxhash64("doc_id"), F.col("minors")))
+    dealt = dealt.withColumn("block", own.cast("int"))
     mates = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
+        F.sequence(F.when(F.col("major"), F.col("majors")).otherwise(0), F.col("majors") + F.col("minors") - 1),
         lambda k: F.struct(F.least(F.col("block"), k).alias("low"), F.greatest(F.col("block"), k).alias("high"), F.when(F.col("block") <= k, 0).otherwise(1).alias("side")),
     )
-    return left.withColumn("mate", F.explode(mates)).select("key", "mate.low", "mate.high", "mate.side", "doc_id", "component")
+    return dealt.withColumn("mate", F.explode(mates)).select("key", "mate.low", "mate.high", "mate.side", "doc_id", "component")
 
 
 def open_links(buckets: DataFrame, labels: DataFrame, signed: DataFrame, texts: DataFrame, files: int) -> DataFrame:
     """Links across components in buckets that the links so far leave apart, found block by block."""
     named = buckets.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    members = F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("members")
-    apart = named.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), members).filter("n > 2 AND low < high")
-    once = apart.groupBy("n", "members").agg(F.min("key").alias("key"))
-    left = staged(named.join(once, "key").select("key", "n", "doc_id", "component"), "open-buckets", files)
+    named = staged(named.select("key", "doc_id", "component"), "named-buckets", files)
+    parts = named.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("members"))
+    apart = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum("members").alias("members"), F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("most"))
+    once = apart.filter("n > 2 AND parts > 1").groupBy("n", "members").agg(F.min(F.struct("key", "most")).alias("one"))
+    once = once.select("one.key", "n", F.col("one.most.n").alias("n_major"), F.col("one.most.component").alias("most"))
+    left = join_uneven(named, once, "key", "n", named.count()).withColumn("major", F.col("component") == F.col("most"))
+    left = staged(left.select("key", "n", "n_major", "major", "doc_id", "component"), "open-buckets", files)
     sized = signed.join(left.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "signature")
-    compared = _block_pairs(left, F.ceil(F.col("n") / BLOCK)).join(sized.drop("n_shingles"), "doc_id").groupBy("key", "low", "high")
+    compared = _block_pairs(left, F.ceil(F.col("n_major") / BLOCK), F.ceil((F.col("n") - F.col("n_major")) / BLOCK))
+    compared = compared.join(sized.drop("n_shingles"), "doc_id").groupBy("key", "low", "high")
     agreeing = staged(compared.applyInArrow(_agreeing_members, "key long, doc_id long").distinct(), "agreeing-members", files)
     sizes = sized.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"))
-    met = agreeing.join(left.drop("n"), ["key", "doc_id"]).join(sizes, "doc_id")
-    whole = met.groupBy("key").agg(F.sum("n_shingles").alias("whole"))
-    dealt = _block_pairs(met.join(whole, "key"), F.ceil(F.col("whole") / BLOCK_SHINGLES))
+    met = agreeing.join(left.drop("n", "n_major"), ["key", "doc_id"]).join(sizes, "doc_id")
+    of = lambda side: F.sum(F.when(side, F.col("n_shingles")))
+    whole = met.groupBy("key").agg(of(F.col("major")).alias("of_major"), of(~F.col("major")).alias("of_minor"))
+    dealt = _block_pairs(met.join(whole, "key"), F.ceil(F.col("of_major") / BLOCK_SHINGLES), F.ceil(F.col("of_minor") / BLOCK_SHINGLES))
     return dealt.join(texts, "doc_id").groupBy("key", "low", "high").applyInArrow(_across, "u long, v long")
 
 

@@ -508,6 +508,19 @@ def test_near_dedup(spark, block, monkeypatch):
     assert near_dedup.keep_one(df).columns == df.columns
 
 
+def test_blocks_bring_all_pairs_across_components_together(spark):
+    rows = [(7, i, 0, True) for i in range(40)] + [(7, i, i // 2, False) for i in range(40, 55)] + [(8, i, i, False) for i in range(3)]
+    dealt = near_dedup._block_pairs(spark.createDataFrame(rows, "key long, doc_id long, component long, major boolean"), F.when(F.col("key") == 7, 4), F.lit(3))
+    groups: dict = {}
+    for r in dealt.collect():
+        groups.setdefault((r.key, r.low, r.high), ([], []))[r.side].append(r.doc_id)
+    met = {(key, frozenset((a, b))) for (key, low, high), (left, right) in groups.items() for a in left for b in (left if low == high else right) if a != b}
+    part = {(k, d): c for k, d, c, _ in rows}
+    wanted = {(k, frozenset((a, b))) for k, a in part for j, b in part if j == k and part[k, a] != part[k, b]}
+    assert wanted <= met
+    assert not any(pair <= set(range(40)) for key, pair in met if key == 7)
+
+
 def test_near_dedup_of_long_texts_and_clashing_names(spark, crowded):
     """Copies of a very long text with words replaced, one of them past the threshold."""
     r = random.Random(19)
