@@ -12,7 +12,8 @@ are, and a document's score is the sum of what all shards add.
 2. Every batch of texts sends each shard its distinct words, for each the distinct words before it, for each of these the
    words before that, and for each the documents and how often. Words with over 1 / (4 * shards) of all tokens, learned or
    not, are dealt over all shards by the word before. They are at most MOST_SPLIT (the share is 1 / MOST_SPLIT at least),
-   so what is broadcast has a fixed bound.
+   so what is broadcast has a fixed bound. An n-gram in over MOST_PLACES documents of a batch (a passage that many share)
+   sends its counts only; its documents stay with the batch, to which the shard returns the n-gram's terms.
 3. A shard builds its trie from the learned n-grams, writes it to an unlinked scratch file of the task and maps it. Levels:
    words; names (the words before, as sorted 40-bit hashes); children of words and children of pairs, each stored
    as parent * names + rank of the child among the names, which is monotone; monotone pointers to where each parent's
@@ -48,9 +49,9 @@ from geomill.llm.words import mix, word_hashes
 
 BACK, PRIOR, GRID = 1 / 128, 256.0, 2048
 SHARDS, SHARD_BYTES, MOST_SPLIT = 128, 6 << 20, 1 << 20  # at least so many shards; bytes of text for each
-BATCH_BYTES, BATCH_DOCS = 8 << 20, 32_000
+BATCH_BYTES, BATCH_DOCS, MOST_PLACES = 8 << 20, 32_000, 256
 START, END = np.uint64(0x1D8AF066F5B7B3C1), np.uint64(0x8E9D5C3FD1A26B47)
-LEARNED = 0x8000  # marks a learned document's place in its batch
+LEARNED, APART = 0x8000, 0x7FFF  # marks a learned document's place in its batch; the place of all documents of a common n-gram
 U64 = np.uint64
 
 
@@ -345,7 +346,23 @@ def _grouped(shard: np.ndarray, code: np.ndarray, h: np.ndarray, g: np.ndarray,
     return order[np.argsort((run << U64(bits) | g[order]) << U64(16) | place[order])]
 
 
-def _ngrams(shards: int, shared):
+def _common_apart(of: np.ndarray, place: np.ndarray, times: np.ndarray, most: int) -> tuple:
+    """Entries (place, times) of n-grams (sorted by `of`, the n-gram's number) with those of over `most` entries summed into two,
+    at APART and APART | LEARNED: how many entries each n-gram has now, places and times; then, of the n-grams so summed, their
+    numbers, how many entries they had, and these."""
+    many = np.bincount(of)
+    common = np.flatnonzero(many > most)
+    apart = (many > most)[of]
+    own, own_place, own_times = of[apart], place[apart], times[apart]
+    sums = [np.bincount(own[marked], own_times[marked], len(many))[common].astype(np.int64) for marked in (own_place < LEARNED, own_place >= LEARNED)]
+    of = np.concatenate([of[~apart], common, common])
+    order = np.argsort(of, kind="stable")
+    ends = [np.full(len(common), APART, place.dtype), np.full(len(common), APART | LEARNED, place.dtype)]
+    place, times = (np.concatenate(x)[order] for x in ([place[~apart], *ends], [times[~apart], *sums]))
+    return np.bincount(of, minlength=len(many)), place, times, common, many[common], own_place & np.uint64(LEARNED - 1), own_times
+
+
+def _ngrams(shards: int, shared, most: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value[0]
         for key, doc_ids, learned, tokens in _batches(batches):
@@ -367,16 +384,23 @@ def _ngrams(shards: int, shared):
             head = np.append(True, (code[1:] != code[:-1]) | (shard[1:] != shard[:-1]))
             pair = head | np.append(True, h[1:] != h[:-1])
             triple = pair | np.append(True, g[1:] != g[:-1])
-            entry = triple | np.append(True, place[1:] != place[:-1])
+            entry = np.flatnonzero(triple | np.append(True, place[1:] != place[:-1]))
+            first, of = np.flatnonzero(triple), (np.cumsum(triple) - 1)[entry]
+            many, places, times, common, runs, common_places, common_times = _common_apart(of, place[entry], np.diff(np.append(entry, len(place))), most)
+            begin = np.append(0, np.cumsum(many))
             ends, rows = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64)), []
+            firsts = np.searchsorted(first, ends)
             for k in range(shards):
                 cut = slice(ends[k], ends[k + 1])
                 if ends[k] < ends[k + 1]:
-                    w, p, t, e = head[cut], pair[cut], triple[cut], entry[cut]
-                    times = np.diff(np.append(np.flatnonzero(e), len(e)))
-                    packed = squeezed(words[code[cut][w]], _runs(w, p), names[h[cut][p]], _runs(p, t), names[g[cut][t]], _runs(t, e), place[cut][e], times)
+                    w, p, t = head[cut], pair[cut], triple[cut]
+                    own = slice(begin[firsts[k]], begin[firsts[k + 1]])
+                    entries = many[firsts[k] : firsts[k + 1]]
+                    packed = squeezed(words[code[cut][w]], _runs(w, p), names[h[cut][p]], _runs(p, t), names[g[cut][t]], entries, places[own], times[own])
                     rows.append({"shard": k, "batch": key, "packed": packed})
-            rows.append({"shard": key % shards, "batch": key, "doc_ids": doc_ids, "n_tokens": squeezed(sizes)})
+            steps = zigzag(np.diff(common_places.astype(np.int64), prepend=0))
+            kept = squeezed(sizes, shard[first[common]], runs, steps, common_times)
+            rows.append({"shard": key % shards, "batch": key, "doc_ids": doc_ids, "n_tokens": kept})
             yield pa.RecordBatch.from_pylist(rows, schema=SENT_ARROW)
 
     return send
@@ -433,11 +457,15 @@ def _shard(n: int, v: int, shared):
         value, owner = (terms + contexts[triple_pair]).astype(np.int32), pair_word[triple_pair].astype(np.uint32)
         del packed, terms, contexts, pair_word, pair_id, triple_pair, triple_id
         for r, triple, place, times in zip(rows, *(np.split(x, stops) for x in (triple, place, times)), strict=True):
-            docs, doc = np.unique(place & np.uint16(LEARNED - 1), return_inverse=True)
+            told, own = triple[place == APART], place & np.uint16(LEARNED - 1)
+            alone = own != APART
+            triple, times = triple[alone], times[alone]
+            docs, doc = np.unique(own[alone], return_inverse=True)
             sums = np.zeros(len(docs), np.int64)
             np.add.at(sums, doc, value[triple] * times.astype(np.int64))
             own, count, item = _distinct(doc, counts[owner[triple]].astype(np.int64), int(counts.max()) + 1)
-            packed = squeezed(docs, zigzag(sums), np.bincount(own, minlength=len(docs)), count, np.bincount(item, times).astype(np.int64))
+            common = zigzag(value[told].astype(np.int64)), counts[owner[told]].astype(np.int64)
+            packed = squeezed(docs, zigzag(sums), np.bincount(own, minlength=len(docs)), count, np.bincount(item, times).astype(np.int64), *common)
             out.append({"shard": r["shard"], "batch": r["batch"], "packed": packed})
         return pa.Table.from_pylist(out, schema=SENT_ARROW)
 
@@ -450,20 +478,30 @@ def _added(n: int, v: int):
         docs = next(r for r in rows if r["doc_ids"] is not None)
         size = len(docs["doc_ids"])
         model, base, known = np.zeros(size, np.int64), np.zeros(size), np.zeros(size, np.int64)
+        kept = loosened(docs["n_tokens"])
+        tokens, shard, runs, common_times = (kept[i].astype(np.int64) for i in (0, 1, 2, 4))
+        common_place, begin = np.cumsum(unzigzag(kept[3])), np.append(0, np.cumsum(runs))
+
+        def count_in(place: np.ndarray, count: np.ndarray, times: np.ndarray) -> None:
+            nonlocal base, known
+            base += np.bincount(place, times * np.log10(count + 0.5), size)
+            known += np.bincount(place, times * (count > 0), size).astype(np.int64)
+
         for r in rows:
             if r["doc_ids"] is None:
-                place, sums, items, count, times = loosened(r["packed"])
+                place, sums, items, count, times, common, common_count = loosened(r["packed"])
                 model[place] += unzigzag(sums)
-                place = np.repeat(place, items)
-                base += np.bincount(place, times * np.log10(count + 0.5), size)
-                known += np.bincount(place, times * (count > 0), size).astype(np.int64)
-        tokens = loosened(docs["n_tokens"])[0].astype(np.int64)
+                count_in(np.repeat(place, items), count, times)
+                a, b = np.searchsorted(shard, [r["shard"], r["shard"] + 1])
+                place, times = (x[begin[a] : begin[b]] for x in (common_place, common_times))
+                np.add.at(model, place, np.repeat(unzigzag(common), runs[a:b]) * times)
+                count_in(place, np.repeat(common_count, runs[a:b]), times)
         return pa.table({"doc_id": pa.array(docs["doc_ids"], pa.int64()), "n_tokens": tokens, "n_known": known, "base_score": base - tokens * math.log10(n + 0.5 * (v + 1)), "score": model / GRID})
 
     return add
 
 
-def lm_scores(docs: DataFrame, learn: Column) -> tuple[DataFrame, int]:
+def lm_scores(docs: DataFrame, learn: Column, most_places: int = MOST_PLACES) -> tuple[DataFrame, int]:
     """(doc_id, n_tokens, n_known, base_score, score of every row, N). Learns from the rows where `learn` holds."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", text_of().alias("text"), F.coalesce(learn, F.lit(False)).alias("learned"))
@@ -478,7 +516,7 @@ def lm_scores(docs: DataFrame, learn: Column) -> tuple[DataFrame, int]:
     frequent = often["word"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(frequent)
     shared = spark.sparkContext.broadcast((frequent[order], often["n"].to_numpy().astype(np.uint64)[order]))
-    pairs = rows.mapInArrow(_ngrams(shards, shared), SENT)
+    pairs = rows.mapInArrow(_ngrams(shards, shared, most_places), SENT)
     sums = pairs.groupBy("shard").cogroup(levels.groupBy("shard")).applyInArrow(_shard(n, v, shared), SENT)
     scored = sums.groupBy("batch").applyInArrow(_added(n, v), "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return scored, n

@@ -401,6 +401,22 @@ def test_lm_scores(docs, batch, monkeypatch):
         assert got[3] == pytest.approx(want[3], abs=1e-6) and abs(got[4] - want[4]) <= 1e-3 * want[1]
 
 
+@pytest.mark.parametrize("most", [0, 1, 3])
+def test_lm_scores_of_common_ngrams(docs, most):
+    """Whether an n-gram's documents go to its shard or stay with their batch, all figures are the same."""
+    learn, figures = common.remainder("doc_id", 5) != 1, lambda scored: sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), r.score) for r in scored.collect())
+    rows = docs.union(docs.filter("doc_id < 9").withColumn("doc_id", F.col("doc_id") + 100))
+    assert figures(ngram_trie.lm_scores(rows, learn, most)[0]) == figures(ngram_trie.lm_scores(rows, learn)[0])
+
+
+def test_common_ngrams_apart():
+    of, place = np.array([0, 1, 1, 1, 2, 2]), np.array([5, 1, 2, ngram_trie.LEARNED | 3, 4, ngram_trie.LEARNED | 4], np.uint64)
+    many, places, times, common_ones, runs, own, own_times = ngram_trie._common_apart(of, place, np.array([1, 2, 3, 4, 5, 6]), 2)
+    marks = [ngram_trie.APART, ngram_trie.APART | ngram_trie.LEARNED]
+    assert many.tolist() == [1, 2, 2] and places.tolist() == [5, *marks, 4, ngram_trie.LEARNED | 4] and times.tolist() == [1, 5, 4, 5, 6]
+    assert common_ones.tolist() == [1] and runs.tolist() == [3] and own.tolist() == [1, 2, 3] and own_times.tolist() == [2, 3, 4]
+
+
 def test_lm_learns_from_nothing(docs):
     scored, n = ngram_trie.lm_scores(docs, F.lit(False))
     assert n == 0 and all(r.n_known == 0 and abs(r.score) < 1e-9 for r in scored.collect())
