@@ -352,6 +352,8 @@ def _common_apart(of: np.ndarray, place: np.ndarray, times: np.ndarray, most: in
     numbers, how many entries they had, and these."""
     many = np.bincount(of)
     common = np.flatnonzero(many > most)
+    if not len(common):
+        return many, place, times, common, common, place[:0], times[:0]
     apart = (many > most)[of]
     own, own_place, own_times = of[apart], place[apart], times[apart]
     sums = [np.bincount(own[marked], own_times[marked], len(many))[common].astype(np.int64) for marked in (own_place < LEARNED, own_place >= LEARNED)]
@@ -359,7 +361,7 @@ def _common_apart(of: np.ndarray, place: np.ndarray, times: np.ndarray, most: in
     order = np.argsort(of, kind="stable")
     ends = [np.full(len(common), APART, place.dtype), np.full(len(common), APART | LEARNED, place.dtype)]
     place, times = (np.concatenate(x)[order] for x in ([place[~apart], *ends], [times[~apart], *sums]))
-    return np.bincount(of, minlength=len(many)), place, times, common, many[common], own_place & np.uint64(LEARNED - 1), own_times
+    return np.bincount(of, minlength=len(many)), place, times, common, many[common], own_place & place.dtype.type(LEARNED - 1), own_times
 
 
 def _ngrams(shards: int, shared, most: int):
@@ -380,15 +382,20 @@ def _ngrams(shards: int, shared, most: int):
             often = np.flatnonzero(np.isin(words, frequent)[code])
             shard[often] = shard_of(mix(words[code[often]] ^ names[h[often]]), shards)
             order = _grouped(shard, code, h, g, place)
-            shard, code, h, g, place = (x[order] for x in (shard, code, h, g, place))
+            shard, code, h, g = (x.astype(np.uint32)[order] for x in (shard, code, h, g))
+            place = place.astype(np.uint16)[order]
+            del order, often
             head = np.append(True, (code[1:] != code[:-1]) | (shard[1:] != shard[:-1]))
             pair = head | np.append(True, h[1:] != h[:-1])
             triple = pair | np.append(True, g[1:] != g[:-1])
             entry = np.flatnonzero(triple | np.append(True, place[1:] != place[:-1]))
-            first, of = np.flatnonzero(triple), (np.cumsum(triple) - 1)[entry]
-            many, places, times, common, runs, common_places, common_times = _common_apart(of, place[entry], np.diff(np.append(entry, len(place))), most)
+            times, place = np.diff(np.append(entry, len(place))).astype(np.int32), place[entry]
+            first, of = np.flatnonzero(triple), (np.cumsum(triple, dtype=np.int32) - 1)[entry]
+            del entry
+            many, places, times, common, runs, common_places, common_times = _common_apart(of, place, times, most)
+            del of, place
             begin = np.append(0, np.cumsum(many))
-            ends, rows = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64)), []
+            ends, rows = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint32)), []
             firsts = np.searchsorted(first, ends)
             for k in range(shards):
                 cut = slice(ends[k], ends[k + 1])
