@@ -403,7 +403,10 @@ def _ngrams(shards: int, shared, most: int):
                     w, p, t = head[cut], pair[cut], triple[cut]
                     own = slice(begin[firsts[k]], begin[firsts[k + 1]])
                     entries = many[firsts[k] : firsts[k + 1]]
-                    packed = squeezed(words[code[cut][w]], _runs(w, p), names[h[cut][p]], _runs(p, t), names[g[cut][t]], entries, places[own], times[own])
+                    befores = h[cut][p]
+                    local, at = np.unique(names[np.concatenate([befores, g[cut][t]])], return_inverse=True)  # names recur: sent once, in order, as steps
+                    steps = np.diff(local, prepend=U64(0))
+                    packed = squeezed(words[code[cut][w]], steps, _runs(w, p), at[: len(befores)], _runs(p, t), at[len(befores) :], entries, places[own], times[own])
                     rows.append({"shard": k, "batch": key, "packed": packed})
             steps = zigzag(np.diff(common_places.astype(np.int64), prepend=0))
             kept = squeezed(sizes, shard[first[common]], runs, steps, common_times)
@@ -430,7 +433,9 @@ def _shard(n: int, v: int, shared):
         rows = sorted((r for r in rows if r["doc_ids"] is None), key=lambda r: r["batch"])
         if not rows:
             return pa.Table.from_pylist(out, schema=SENT_ARROW)
-        word, pairs_of, h, triples_of, g, entries_of, place, times = (list(x) for x in zip(*(loosened(r["packed"]) for r in rows), strict=True))
+        word, steps, pairs_of, h, triples_of, g, entries_of, place, times = (list(x) for x in zip(*(loosened(r["packed"]) for r in rows), strict=True))
+        names = [np.cumsum(s, dtype=np.uint64) for s in steps]
+        h, g = ([name[i] for name, i in zip(names, at, strict=True)] for at in (h, g))
         stops = np.cumsum(list(map(len, place)))[:-1]
         word, h, g = (np.concatenate(x).astype(np.uint64) for x in (word, h, g))
         pairs_of, triples_of, entries_of, place, times = (np.concatenate(x) for x in (pairs_of, triples_of, entries_of, place, times))
@@ -445,7 +450,7 @@ def _shard(n: int, v: int, shared):
         counts[hit] = frequent_counts[at[hit]]
         ids, id_at = np.unique(np.concatenate([h, g]), return_inverse=True)
         n_pairs = len(h)
-        del word, h, g
+        del word, h, g, names, steps
         pair_word, pair_id, pair = _distinct(np.repeat(word_at, pairs_of), id_at[:n_pairs], len(ids))
         triple_pair, triple_id, triple = _distinct(np.repeat(pair, triples_of), id_at[n_pairs:], len(ids))
         del word_at, id_at, pair
