@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from geomill.llm import chat_format, chunk_bpe, exact_dedup, hard_negatives, language_id, line_clean, merkle_manifest, near_dedup, ngram_trie, quality_rules, source_mix, token_output
+from geomill.llm import chat_format, chunk_bpe, exact_dedup, hard_negatives, language_id, line_clean, merkle_manifest, near_dedup, ngram_trie, quality_rules, simhash, source_mix, token_output
 
-MODULES = (token_output, exact_dedup, chunk_bpe, source_mix, ngram_trie, line_clean, merkle_manifest, near_dedup, language_id, quality_rules, chat_format, hard_negatives, merkle_manifest)
+MODULES = (token_output, exact_dedup, chunk_bpe, source_mix, ngram_trie, line_clean, near_dedup, language_id, quality_rules, chat_format, hard_negatives, merkle_manifest, simhash)
 
 
 def queries() -> dict:
