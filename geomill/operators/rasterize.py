@@ -1,4 +1,4 @@
-"""Polygon to grid cells, point in polygon, metric buffers and line simplification.
+"""Polygon to grid cells, metric buffers, circles clipped to a country, and line simplification.
 
 Rasterising, buffering and simplifying are vectorised numpy helpers over Arrow batches; Spark deals out the rows.
 """
@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geomill.functions import geometry as G
+from geomill.operators.outline import border_index, held_by, index, outline, size_of, with_cells
+from geomill.sources.tables import staged
 
-BAND = 32  # grid rows given to a task at once, so that no task holds a whole country
+BAND = 32  # grid rows rasterised at once, so that no task holds a whole country
+CELLS, CIRCLES = 20_000_000, 4_000  # sub-cells and circles that a task is given
 POLYGONS = "array<array<array<struct<x:double,y:double>>>>"
 
 
@@ -41,22 +44,30 @@ def _cover(edges: np.ndarray, r0: int, r1: int, minx: float, maxy: float, px: fl
     return low, inside.reshape(r1 - r0, scale, high - low, scale).sum(axis=(1, 3))
 
 
+def _tasks(features: DataFrame, sub: float, rows: int, cols: int) -> int:
+    """How many tasks the polygons' sub-cells are worth: CELLS a task, and one for each core."""
+    b = G.polygons_box(F.col("polygons"))
+    side = lambda low, high, most: F.least(F.lit(most), F.ceil((b[high] - b[low]) / sub))
+    cells = features.agg(F.sum(side("minx", "maxx", cols).cast("double") * side("miny", "maxy", rows))).first()[0] or 0
+    return max(features.sparkSession.sparkContext.defaultParallelism, int(cells // CELLS))
+
+
 def rasterize(features: DataFrame, minx: float, maxy: float, px: float, nrows: int, ncols: int, scale: int = 10, key: str = "asdf_id") -> DataFrame:
     """key, grid_row, grid_col, cover (sub-cell centres inside, of scale * scale), for features (key, polygons).
 
-    `scale` is 1 or a multiple of 10. A polygon is dealt out in bands of BAND rows before it is rasterised, and a band gets only
-    the edges that reach into it.
+    `scale` is 1 or a multiple of 10. Edges are dealt into the bands of BAND rows that they reach into, and a band of a polygon is
+    rasterised by itself. Bands are dealt over tasks by the sub-cells of the polygons' boxes, not by their bytes, which are few.
     """
     if scale != 1 and scale % 10:
         raise ValueError("scale must be 1 or a multiple of 10")
-    b = G.polygons_box(F.col("polygons"))
-    first = F.greatest(F.lit(0), F.floor((F.lit(maxy) - b["maxy"]) / px)).cast("int")
-    last = F.least(F.lit(nrows - 1), F.ceil((F.lit(maxy) - b["miny"]) / px)).cast("int")
-    bands = features.select(key, G.edges_of(F.col("polygons")).alias("edges"), first.alias("first"), last.alias("last")).filter("first <= last")
-    bands = bands.withColumn("low", F.explode(F.sequence("first", "last", F.lit(BAND)))).withColumn("high", F.least(F.col("low") + BAND, F.col("last") + 1))
-    top, bottom = F.lit(maxy) - F.col("low") * px, F.lit(maxy) - F.col("high") * px
-    reach = F.filter("edges", lambda e: (F.greatest(e["y0"], e["y1"]) >= bottom) & (F.least(e["y0"], e["y1"]) <= top))
-    bands = bands.select(key, "low", "high", reach.alias("edges")).filter("size(edges) > 0")
+    tasks = _tasks(features, px / scale, nrows * scale, ncols * scale)
+    band = lambda y: F.floor((F.lit(maxy) - y) / (px * BAND))
+    edges = outline(features.select(key, "polygons"))
+    top, bottom = F.greatest(F.lit(0), band(F.greatest("y0", "y1"))), F.least(F.lit((nrows - 1) // BAND), band(F.least("y0", "y1")))
+    spans = edges.withColumn("band", F.explode(F.when(top <= bottom, F.sequence(top, bottom)).otherwise(F.array().cast("array<bigint>"))))
+    bands = spans.repartition(tasks, key, "band").groupBy(key, "band").agg(F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("edges"))
+    low = (F.col("band") * BAND).cast("int")
+    bands = bands.select(key, low.alias("low"), F.least(low + BAND, F.lit(nrows)).alias("high"), "edges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,29 +103,6 @@ def touched_cells(features: DataFrame, cells: DataFrame, minx: float, maxy: floa
     return rows.select(key, "grid_row", F.explode(spans).alias("grid_col")).distinct().withColumn("cover", F.lit(scale * scale).cast("long"))
 
 
-SALTS = 8  # tasks that a tile's points are dealt over
-
-
-def point_in_polygon(points: DataFrame, polygons: DataFrame, tile: float = 12.0, on: tuple[str, ...] = ()) -> DataFrame:
-    """points (lon, lat, ...) joined with the features (asdf_id, polygons, ...) that hold them and agree in the columns `on`. Columns of
-    both sides are kept, but for `polygons`.
-
-    Distinct places meet the features in an equi-join on tiles of `tile` degrees, salted so that a crowded tile is no single
-    task's; a tile gets only the edges that decide about its points (those in its rows and not west of it)."""
-    index = lambda v: F.floor(v / tile).cast("int")
-    b = G.polygons_box(F.col("polygons"))
-    tiled = polygons.withColumn("_b", b).withColumn("_edges", G.edges_of(F.col("polygons"))).drop("polygons")
-    tiled = tiled.withColumn("_tx", F.explode(F.sequence(index(F.col("_b.minx")), index(F.col("_b.maxx")))))
-    tiled = tiled.withColumn("_ty", F.explode(F.sequence(index(F.col("_b.miny")), index(F.col("_b.maxy"))))).drop("_b")
-    low, high, west = F.col("_ty") * tile, (F.col("_ty") + 1) * tile, F.col("_tx") * tile
-    near = F.filter("_edges", lambda e: (F.greatest(e["y0"], e["y1"]) >= low) & (F.least(e["y0"], e["y1"]) <= high) & (F.greatest(e["x0"], e["x1"]) >= west))
-    tiled = tiled.withColumn("_edges", near).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    places = points.select("lon", "lat", *on).distinct()
-    dealt = places.withColumn("_tx", index(F.col("lon"))).withColumn("_ty", index(F.col("lat"))).withColumn("_salt", F.pmod(F.hash("lon", "lat"), F.lit(SALTS)))
-    held = dealt.join(tiled, ["_tx", "_ty", "_salt", *on]).filter(G.inside_edges(F.col("lon"), F.col("lat"), F.col("_edges"))).drop("_tx", "_ty", "_salt", "_edges")
-    return points.join(held, ["lon", "lat", *on])
-
-
 # ---- metric buffers: transverse Mercator by its series in the third flattening ----
 
 _A, _F = 6378137.0, 1 / 298.257223563
@@ -174,10 +162,116 @@ def buffer_m(places: DataFrame) -> DataFrame:
     return places.mapInArrow(run, f"{schema}, polygons {POLYGONS}")
 
 
-def clip_cells(cells: DataFrame, country: DataFrame) -> DataFrame:
-    """Buffer cells (task_id, iso3, grid_row, grid_col, cover) that the country's cells (iso3, grid_row, grid_col) hold.
-    A buffer outside its country keeps no row."""
-    return cells.join(country.select("iso3", "grid_row", "grid_col").distinct(), ["iso3", "grid_row", "grid_col"], "left_semi")
+# ---- circles clipped to their country ----
+
+_EDGES = ("x0", "y0", "x1", "y1")
+
+
+def _met(edges: np.ndarray, y: float) -> np.ndarray:
+    """Where the level line at y meets the edges, from west to east."""
+    x0, y0, x1, y1 = edges.T
+    hit = (y0 > y) != (y1 > y)
+    return np.sort((x1[hit] - x0[hit]) * (y - y0[hit]) / (y1[hit] - y0[hit]) + x0[hit])
+
+
+def _clipped(ring: np.ndarray, border: np.ndarray, inside: bool, cx: float, cy: float, minx: float, maxy: float, px: float, nrows: int, ncols: int, scale: int) -> tuple[np.ndarray, ...]:
+    """(rows, columns, covers) of the sub-cell centres in a circle and in the country whose edges near it are `border`; `inside` says whether
+    the country holds the centre (cx, cy). Both parities run along each line: the country's is known at the centre, and so at every
+    place that is reached over the edges near the circle."""
+    if not len(border) and not inside:
+        return (np.zeros(0, np.int64),) * 3
+    sub = px / scale
+    low = max(0, int(np.floor((maxy - max(ring[:, 1].max(), ring[:, 3].max())) / sub)))
+    high = min(nrows * scale, int(np.ceil((maxy - min(ring[:, 1].min(), ring[:, 3].min())) / sub)) + 1)
+    left = max(0, int(np.floor((min(ring[:, 0].min(), ring[:, 2].min()) - minx) / sub)))
+    right = min(ncols * scale, int(np.ceil((max(ring[:, 0].max(), ring[:, 2].max()) - minx) / sub)) + 1)
+    columns = np.arange(left, max(left, right))
+    x, rows, cols = minx + (columns + 0.5) * sub, [], []
+    if len(border):
+        x0, y0, x1, y1 = border.T
+        upright = (x0 > cx) != (x1 > cx)
+        height = (y1 - y0)[upright] * (cx - x0[upright]) / (x1 - x0)[upright] + y0[upright]
+        rising = ((y1 != y0) & ((y1 > y0) == (x1 > x0)))[upright]
+        over = lambda at: (height > at) | ((height == at) & rising)
+        from_centre = over(cy)
+    for k in range(low, high):
+        y = maxy - (k + 0.5) * sub
+        held = np.searchsorted(_met(ring, y), x, "right") % 2 == 1
+        if len(border) and held.any():
+            met = _met(border, y)
+            here = inside ^ bool((from_centre != over(y)).sum() % 2)
+            held &= here ^ ((np.searchsorted(met, x, "right") + np.searchsorted(met, cx, "right")) % 2 == 1)
+        found = columns[held]
+        rows.append(np.full(len(found), k // scale))
+        cols.append(found // scale)
+    if not rows:
+        return (np.zeros(0, np.int64),) * 3
+    cells, covers = np.unique(np.concatenate(rows) * ncols + np.concatenate(cols), return_counts=True)
+    return cells // ncols, cells % ncols, covers
+
+
+def buffer_boxes(places: DataFrame) -> DataFrame:
+    """places (lon, lat, metres, ...) with the box (minx, miny, maxx, maxy) of the circle round each place."""
+    schema = places.schema.simpleString().removeprefix("struct<").removesuffix(">")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = buffer_rings(*(batch[c].to_numpy(zero_copy_only=False).astype(float) for c in ("lon", "lat", "metres")))
+            sides = [pa.array(v) for v in ((x.min(axis=1), y.min(axis=1), x.max(axis=1), y.max(axis=1)) if len(x) else [np.zeros(0)] * 4)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *sides], [*batch.schema.names, *G.SIDES])
+
+    return places.mapInArrow(run, f"{schema}, minx double, miny double, maxx double, maxy double")
+
+
+def borders_near(places: DataFrame, countries: DataFrame, level: int = 2) -> DataFrame:
+    """geom, border: the edges of their country (iso3, polygons) that reach into the boxes of the circles of places (geom, iso3, lon, lat, metres), of
+    those where any does. Edges and boxes meet in cells of `level`, so no outline travels whole."""
+    size = size_of(level)
+    span = lambda axis: F.explode(F.sequence(index(F.col(f"min{axis}"), axis, size), index(F.col(f"max{axis}"), axis, size)))
+    boxes = buffer_boxes(places).withColumn("cell_x", span("x")).withColumn("cell_y", span("y"))
+    edges = with_cells(outline(countries.select("iso3", "polygons")), size)
+    near = (F.greatest("x0", "x1") >= F.col("minx")) & (F.least("x0", "x1") <= F.col("maxx")) & (F.greatest("y0", "y1") >= F.col("miny")) & (F.least("y0", "y1") <= F.col("maxy"))
+    return boxes.join(edges, ["iso3", "cell_x", "cell_y"]).filter(near).groupBy("geom").agg(F.collect_set(F.struct(*_EDGES)).alias("border"))
+
+
+def clip_buffers(buffers: DataFrame, countries: DataFrame, minx: float, maxy: float, px: float, nrows: int, ncols: int, scale: int = 10) -> DataFrame:
+    """geom, grid_row, grid_col, cover (in sub-cells, of scale * scale) of the circles of buffers (geom, iso3, lon, lat, metres) within their country
+    (iso3, polygons), by the sub-cells whose centres lie in both. A circle without such a centre is the cell of its place if
+    that is in the country, else one row of nulls. A circle wholly inside its country is not tested against it, nor is its ring ever moved.
+
+    Stage `buffers` first: they are read more than once."""
+    places = buffers.select("geom", "iso3", *(F.col(c).cast("double").alias(c) for c in ("lon", "lat", "metres")))
+    tasks = max(buffers.sparkSession.sparkContext.defaultParallelism, buffers.count() // CIRCLES)
+    tree = staged(border_index(countries.select("iso3", "polygons")), "country-index")
+    home = held_by(places.select("geom", "iso3", "lon", "lat"), tree, ("iso3",)).select("geom").distinct().withColumn("inside", F.lit(True))
+    circles = places.drop("iso3").repartition(tasks, "geom").join(borders_near(places, countries), "geom", "left").join(home, "geom", "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lon, lat, metres = (batch[c].to_numpy(zero_copy_only=False) for c in ("lon", "lat", "metres"))
+            inside = batch["inside"].fill_null(False).to_numpy(zero_copy_only=False)
+            flat = batch["border"].flatten()
+            ends = np.append(0, np.cumsum(batch["border"].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
+            borders = np.stack([flat.field(c).to_numpy(zero_copy_only=False) for c in _EDGES], axis=1)
+            x, y = buffer_rings(lon, lat, metres)
+            rings = np.stack([x[:, :-1], y[:, :-1], x[:, 1:], y[:, 1:]], axis=2)
+            owners, rows, cols, covers = [], [], [], []
+            for k in range(len(lon)):
+                cx, cy, home = float(lon[k]), float(lat[k]), bool(inside[k])
+                r, c, cover = _clipped(rings[k], borders[ends[k] : ends[k + 1]], home, cx, cy, minx, maxy, px, nrows, ncols, scale)
+                if not len(r):
+                    row, col = int(np.floor((maxy - cy) / px)), int(np.floor((cx - minx) / px))
+                    own = home and 0 <= row < nrows and 0 <= col < ncols
+                    r, c, cover = ([row], [col], [scale * scale]) if own else ([-1], [-1], [-1])
+                owners.append(np.full(len(r), k))
+                for out, values in zip((rows, cols, covers), (r, c, cover), strict=True):
+                    out.append(np.asarray(values, np.int64))
+            joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (owners, rows, cols, covers)]
+            none = joined[1] < 0
+            values = [pa.array(v, kind, mask=none) for v, kind in zip(joined[1:], (pa.int32(), pa.int32(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["geom"].take(pa.array(joined[0])), *values], ["geom", "grid_row", "grid_col", "cover"])
+
+    return circles.mapInArrow(run, f"geom {buffers.schema['geom'].dataType.simpleString()}, grid_row int, grid_col int, cover long")
 
 
 # ---- simplification ----

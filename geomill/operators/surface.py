@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from geomill.functions.geometry import cell_of, centroid
 from geomill.functions.text import distinct_tokens, pipe_split
-from geomill.operators.rasterize import buffer_m, point_in_polygon, rasterize
+from geomill.operators.outline import point_in_polygon
+from geomill.operators.rasterize import clip_buffers, rasterize
 from geomill.sources.tables import staged
 
 # Location class -> location type -> (geometry, data) for geographic exactness 1 and 2.
@@ -90,8 +91,8 @@ def geometry_cells(df: DataFrame, countries: DataFrame, areas: DataFrame, grid:
     """geom, grid_row, grid_col, cover (in sub-cells, of scale * scale) of every distinct geometry of df (geom, geom_kind, geom_key,
     geom_metres, iso3, lon, lat), made once however many locations have it.
 
-    A point is its cell. A buffer is the sub-cells whose centres lie in the circle and in the country; areas and countries are
-    rasterised. A geometry without a sub-cell centre is the cell of its centroid (a buffer's is its place, if in the country)."""
+    A point is its cell. A buffer is the sub-cells whose centres lie in the circle and in the country (`clip_buffers`); areas and countries
+    are rasterised. A geometry without a sub-cell centre is the cell of its centroid (a buffer's is its place, if in the country)."""
     own = df.filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat").dropDuplicates(["geom"])
     whole = scale * scale
 
@@ -102,22 +103,13 @@ def geometry_cells(df: DataFrame, countries: DataFrame, areas: DataFrame, grid:
     points = own.filter("geom_kind = 'point'").select("geom", *at(F.col("lon"), F.col("lat")))
     shapes = own.filter("geom_kind = 'country'").join(countries.select(F.col("iso3").alias("geom_key"), "polygons"), "geom_key").select("geom", "polygons")
     shapes = shapes.unionByName(own.filter("geom_kind = 'area'").join(areas.select(F.col("asdf_id").cast("string").alias("geom_key"), "polygons"), "geom_key").select("geom", "polygons"))
+    shapes = staged(shapes, "shapes")
     covered = staged(rasterize(shapes, **grid, scale=scale, key="geom"), "shape-cells")
     bare = shapes.join(covered.select("geom").distinct(), "geom", "left_anti").withColumn("c", centroid(F.col("polygons"))).select("geom", *at(F.col("c.x"), F.col("c.y")))
 
-    buffers = own.filter("geom_kind = 'buffer'")
-    fine = {"minx": grid["minx"], "maxy": grid["maxy"], "px": grid["px"] / scale, "nrows": grid["nrows"] * scale, "ncols": grid["ncols"] * scale}
-    rings = buffer_m(buffers.select("geom", "lon", "lat", F.col("geom_metres").alias("metres")))
-    sub = rasterize(rings.select("geom", "polygons"), **fine, scale=1, key="geom").join(buffers.select("geom", "iso3"), "geom")
-    centre = lambda index, step: (F.col(index) + 0.5) * F.lit(step)
-    sub = sub.withColumn("lon", F.lit(fine["minx"]) + centre("grid_col", fine["px"])).withColumn("lat", F.lit(fine["maxy"]) - centre("grid_row", fine["px"]))
-    held = point_in_polygon(sub.select("lon", "lat", "iso3").distinct(), countries.select("iso3", "polygons"), on=("iso3",)).distinct()
-    inside = sub.join(held, ["lon", "lat", "iso3"], "left_semi").withColumn("grid_row", F.floor(F.col("grid_row") / scale).cast("int")).withColumn("grid_col", F.floor(F.col("grid_col") / scale).cast("int"))
-    circles = staged(inside.groupBy("geom", "grid_row", "grid_col").agg(F.count("*").alias("cover")), "buffer-cells")
-    lost = buffers.join(circles.select("geom").distinct(), "geom", "left_anti")
-    lost = lost.join(point_in_polygon(lost.select("lon", "lat", "iso3"), countries.select("iso3", "polygons"), on=("iso3",)).distinct(), ["lon", "lat", "iso3"], "left_semi")
-    lost = lost.select("geom", *at(F.col("lon"), F.col("lat")))
-    return points.unionByName(covered).unionByName(bare).unionByName(circles).unionByName(lost)
+    buffers = staged(own.filter("geom_kind = 'buffer'").select("geom", "iso3", "lon", "lat", F.col("geom_metres").alias("metres")), "buffers")
+    circles = clip_buffers(buffers, countries, **grid, scale=scale).filter("grid_row IS NOT NULL")
+    return staged(points.unionByName(covered).unionByName(bare).unionByName(circles), "geometry-cells")
 
 
 def spread(values: DataFrame, cells: DataFrame) -> DataFrame:

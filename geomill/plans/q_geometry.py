@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geomill.functions import geometry as G
+from geomill.operators import outline as O
 from geomill.operators import rasterize as R
-from geomill.operators.zonal import box_weights
 from geomill.plans.registry import Views, query
 from geomill.plans.views import GRID
+from geomill.sources.tables import staged
+
 
 def row_box() -> Column:
     """The row's own box."""
@@ -60,19 +62,32 @@ def geo_cell_of_point(v: Views) -> DataFrame:
     return v.locations.select("project_location_id", G.cell_of(F.col("longitude"), F.col("latitude"), **GRID).alias("c")).select("project_location_id", "c.*")
 
 
+def from_corners(corners: DataFrame, *keys: str) -> DataFrame:
+    """keys, polygons of corners (keys, part, ring, k, x, y)."""
+    rings = corners.groupBy(*keys, "part", "ring").agg(F.array_sort(F.collect_list(F.struct("k", "x", "y"))).alias("r"))
+    rings = rings.withColumn("r", F.transform("r", lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"))))
+    in_order = lambda name, what: F.transform(F.array_sort(F.collect_list(F.struct(name, what))), lambda s: s[what])
+    parts = rings.groupBy(*keys, "part").agg(in_order("ring", "r").alias("p"))
+    return parts.groupBy(*keys).agg(in_order("part", "p").alias("polygons"))
+
+
 def shapes(v: Views) -> DataFrame:
-    """asdf_id, polygons: the nations' five-cornered polygons."""
-    corner = lambda c: F.struct(F.col(f"x{c}").alias("x"), F.col(f"y{c}").alias("y"))
-    return v.shapes.select("asdf_id", F.array(F.array(F.array(*map(corner, "abcdea")))).alias("polygons"))
+    """asdf_id, polygons: the nations' polygons, with holes and second parts."""
+    return from_corners(v.shape_corners, "asdf_id")
+
 
+def countries(v: Views) -> DataFrame:
+    """iso3, polygons."""
+    return from_corners(v.country_corners, "iso3")
 
-EDGES_SQL = " UNION ALL ".join(f"SELECT asdf_id, x{a} AS x0, y{a} AS y0, x{b} AS x1, y{b} AS y1 FROM {{shapes}}" for a, b in zip("abcde", "bcdea", strict=True))
+
+EDGES_SQL = "SELECT asdf_id, x0, y0, x1, y1 FROM {shape_edges}"
 CROSSES = "(y0 > y) <> (y1 > y) AND x < (x1 - x0) * (y - y0) / (y1 - y0) + x0"
 COVER_SQL = f"""SELECT asdf_id, (sr // 10)::INT AS grid_row, (sc // 10)::INT AS grid_col, count(*) AS cover FROM (SELECT s.asdf_id, sr, sc
   FROM (SELECT *, -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE AS x, 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE AS y FROM (SELECT asdf_id, sr, unnest(range(sc0, sc1)) AS sc FROM (SELECT asdf_id, sc0, sc1, unnest(range(sr0, sr1)) AS sr FROM {{features}}) AS r) AS c) AS s
   JOIN ({EDGES_SQL}) AS e ON e.asdf_id = s.asdf_id WHERE {CROSSES} GROUP BY s.asdf_id, sr, sc HAVING count(*) % 2 = 1) AS i GROUP BY 1, 2, 3"""
 WEIGHTS_SQL = f"""SELECT *, false AS touched FROM ({COVER_SQL}) AS cover UNION ALL
-  SELECT asdf_id, floor((90 - ya) / 3)::INT, floor((xa + 180) / 3)::INT, 100, true FROM {{shapes}} WHERE asdf_id NOT IN (SELECT asdf_id FROM ({COVER_SQL}) AS covered)"""
+  SELECT asdf_id, floor((90 - y) / 3)::INT, floor((x + 180) / 3)::INT, 100, true FROM {{shape_corners}} WHERE part = 0 AND ring = 0 AND k = 0 AND asdf_id NOT IN (SELECT asdf_id FROM ({COVER_SQL}) AS covered)"""
 
 
 @query("geo_rasterize", COVER_SQL)
@@ -86,7 +101,7 @@ INSIDE_SQL = f"""SELECT l.x AS longitude, l.y AS latitude, e.asdf_id FROM (SELEC
 @query("geo_point_in_polygon", f"""SELECT project_location_id, asdf_id FROM {{locations}} JOIN ({INSIDE_SQL}) AS i USING (longitude, latitude)""")
 def geo_point_in_polygon(v: Views) -> DataFrame:
     points = v.locations.select("project_location_id", F.col("longitude").alias("lon"), F.col("latitude").alias("lat"))
-    return R.point_in_polygon(points, shapes(v)).select("project_location_id", "asdf_id")
+    return O.point_in_polygon(points, shapes(v)).select("project_location_id", "asdf_id")
 
 
 def circles_sql(places: str) -> str:
@@ -113,16 +128,26 @@ def geo_buffer(v: Views) -> DataFrame:
     return R.buffer_m(places).select(F.col("lon").alias("longitude"), F.col("lat").alias("latitude"), G.polygons_box(F.col("polygons")).alias("b"), F.round(G.area(F.col("polygons")), 5).alias("area")).select("longitude", "latitude", *(F.round(f"b.{s}", 6).alias(s) for s in G.SIDES), "area")
 
 
-_SQUARES = """SELECT project_location_id AS task_id, recipients_iso3 AS iso3, CAST(floor((90 - latitude) / 3) AS INT) AS grid_row, CAST(floor((longitude + 180) / 3) AS INT) + d AS grid_col, CAST(50 AS BIGINT) AS cover FROM {locations}, (SELECT -1 AS d UNION ALL SELECT 0 UNION ALL SELECT 1) AS near"""
+CLIPPED_SQL = f"""sides AS (SELECT lon, lat, metres, iso3, x AS x0, y AS y0, lead(x) OVER w AS x1, lead(y) OVER w AS y1 FROM corners WINDOW w AS (PARTITION BY lon, lat, metres, iso3 ORDER BY k)),
+  reach AS (SELECT lon, lat, metres, iso3, greatest(0, floor((90 - max(y)) / 0.3))::BIGINT AS r0, least(599, floor((90 - min(y)) / 0.3))::BIGINT AS r1, greatest(0, floor((min(x) + 180) / 0.3))::BIGINT AS c0, least(1199, floor((max(x) + 180) / 0.3))::BIGINT AS c1 FROM corners GROUP BY ALL),
+  asked AS (SELECT *, -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE AS x, 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE AS y FROM (SELECT *, unnest(range(c0, c1 + 1)) AS sc FROM (SELECT *, unnest(range(r0, r1 + 1)) AS sr FROM reach) AS a) AS b),
+  hit AS (SELECT lon, lat, metres, iso3, sr, sc, x, y FROM asked JOIN sides USING (lon, lat, metres, iso3) WHERE {CROSSES} GROUP BY ALL HAVING count(*) % 2 = 1),
+  centres AS (SELECT DISTINCT iso3, sr, sc, x, y FROM hit),
+  domestic AS (SELECT c.iso3, sr, sc FROM centres AS c JOIN {{country_edges}} AS e ON e.iso3 = c.iso3 WHERE {CROSSES} GROUP BY ALL HAVING count(*) % 2 = 1),
+  at_home AS (SELECT p.lon, p.lat, p.iso3 FROM (SELECT DISTINCT lon, lat, iso3, lon AS x, lat AS y FROM places) AS p JOIN {{country_edges}} AS e ON e.iso3 = p.iso3 WHERE {CROSSES} GROUP BY ALL HAVING count(*) % 2 = 1),
+  circle_cells AS (SELECT lon, lat, metres, h.iso3, sr // 10 AS r, sc // 10 AS c, count(*) AS cover FROM hit AS h JOIN domestic AS d USING (iso3, sr, sc) GROUP BY ALL),
+  own_cells AS (SELECT lon, lat, metres, iso3, floor((90 - lat) / 3)::BIGINT AS r, floor((lon + 180) / 3)::BIGINT AS c, 100 AS cover FROM places JOIN at_home USING (lon, lat, iso3) WHERE NOT EXISTS (SELECT 1 FROM circle_cells q WHERE q.lon = places.lon AND q.lat = places.lat AND q.metres = places.metres AND q.iso3 = places.iso3)),
+  clipped AS (SELECT * FROM circle_cells UNION ALL SELECT * FROM own_cells)"""
+"""CTEs after `corners`: the cells of circles (lon, lat, metres, iso3, r, c, cover) clipped to crooked countries, sub-cell by sub-cell."""
 
 
-@query("geo_clip_buffer", f"""SELECT task_id, s.iso3, grid_row, grid_col, cover FROM ({_SQUARES}) AS s JOIN {{adm0}} a ON a.iso3 = s.iso3 AND grid_col * 10 >= sc0 AND grid_col * 10 < sc1""")
+@query("geo_clip_buffer", f"""WITH places AS (SELECT DISTINCT longitude AS lon, latitude AS lat, 50000.0::DOUBLE AS metres, recipients_iso3 AS iso3 FROM {{locations}} WHERE recipients_iso3 <> '' AND abs(latitude) < 80), {circles_sql("places")}, {CLIPPED_SQL}
+  SELECT p.lon, p.lat, p.iso3, r::INT AS grid_row, c::INT AS grid_col, cover::BIGINT AS cover FROM places p LEFT JOIN clipped q ON q.lon = p.lon AND q.lat = p.lat AND q.iso3 = p.iso3""")
 def geo_clip_buffer(v: Views) -> DataFrame:
-    countries = v.adm0.withColumn("asdf_id", F.col("region_id"))
-    cells = box_weights(countries, 60, 120).join(countries.select("asdf_id", "iso3"), "asdf_id")
-    return R.clip_cells(v.spark.sql(_SQUARES, locations=v.locations), cells).select("task_id", "iso3", "grid_row", "grid_col", "cover")
-
-
+    """The 50 km circles round all places, within their crooked country."""
+    places = v.locations.filter("recipients_iso3 <> '' AND abs(latitude) < 80").select(F.col("longitude").alias("lon"), F.col("latitude").alias("lat"), F.col("recipients_iso3").alias("iso3")).distinct()
+    places = staged(places.withColumn("geom", F.concat_ws("|", "lon", "lat", "iso3")).withColumn("metres", F.lit(50000.0)), "places")
+    return R.clip_buffers(places, countries(v), **GRID).join(places.drop("metres"), "geom").select("lon", "lat", "iso3", "grid_row", "grid_col", "cover")
 
 
 @query("geo_validity", """SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 'open ring' WHEN 2 THEN 'few points|zero area' WHEN 3 THEN 'zero area' WHEN 4 THEN 'non-finite' ELSE '' END AS issues FROM {catalog}""")

@@ -98,7 +98,7 @@ def snk_extract_parquet(v: Views) -> DataFrame:
     return v.spark.read.parquet(path).select("boundary", "dataset", "temporal", "method", "asdf_id", "value")
 
 
-@query("snk_surface", f"{_CELLS} SELECT (SELECT count(*)::INT FROM (SELECT DISTINCT grid_row, grid_col FROM spread) AS d) AS n_cells, (SELECT round(sum(value), 0) FROM money) AS total, (SELECT sum(n)::BIGINT FROM money) AS n_locations, 'aid' AS dataset, 3.0::DOUBLE AS pixel_size")
+@query("snk_surface", f"{_CELLS} SELECT (SELECT count(*)::INT FROM (SELECT DISTINCT grid_row, grid_col FROM spread) AS d) AS n_cells, (SELECT round(sum(value), 0) FROM spread) AS total, (SELECT sum(n)::BIGINT FROM money) AS n_locations, 'aid' AS dataset, 3.0::DOUBLE AS pixel_size")
 def snk_surface(v: Views) -> DataFrame:
     """The surface, its locations and its summary, written and read back as one row."""
     path = T.scratch(v.spark, "surface")

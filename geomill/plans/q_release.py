@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geomill.functions import geometry as G
 from geomill.operators import release as R
 from geomill.operators import surface as S
-from geomill.plans.q_geometry import CROSSES, circles_sql, polygons
+from geomill.plans.q_geometry import CLIPPED_SQL, CROSSES, circles_sql, countries, polygons
 from geomill.plans.registry import Views, query
 from geomill.plans.views import GRID
 from geomill.sources.tables import staged
@@ -134,11 +134,6 @@ def _areas(v: Views) -> DataFrame:
     return polygons(v, "areas").select("asdf_id", "iso3", "level", "polygons")
 
 
-def _countries(v: Views) -> DataFrame:
-    box = G.box(0.3 * F.col("sc0") - 180, 90 - 0.3 * F.col("sr1"), 0.3 * F.col("sc1") - 180, 90 - 0.3 * F.col("sr0"))
-    return v.adm0.select("iso3", G.polygon_of_box(box).alias("polygons"))
-
-
 @query("msr_adm_lookup", f"SELECT project_location_id, level, {_HELD.format(level='l.level').format()} AS adm_id FROM (SELECT *, 1 + project_location_id % 4 AS level FROM {{locations}}) AS l")
 def msr_adm_lookup(v: Views) -> DataFrame:
     points = _points(v.locations).withColumn("level", (1 + F.col("project_location_id") % 4).cast("int"))
@@ -165,31 +160,30 @@ _KEPT = f"SELECT project_location_id, {_RATIO} * split_dollars_pp AS adjusted_va
 _G = "geom_kind, area_key, metres, iso3, lon, lat"
 _CELLS = f"""WITH money AS (SELECT geom_kind, area_key, geom_metres AS metres, CASE WHEN geom_kind = 'buffer' THEN iso3 END AS iso3, CASE WHEN geom_kind = 'buffer' THEN lon END AS lon, CASE WHEN geom_kind = 'buffer' THEN lat END AS lat, sum(adjusted_val) AS value, count(*) AS n
     FROM ({_GEOMETRY}) AS g JOIN ({_KEPT}) AS k USING (project_location_id) WHERE geom_kind IS NOT NULL GROUP BY ALL),
-  outlines AS (SELECT 'area' AS geom_kind, asdf_id::VARCHAR AS area_key, minx, miny, maxx, maxy FROM {{areas}} UNION ALL SELECT 'country', iso3, -180 + 0.3::DOUBLE * sc0, 90 - 0.3::DOUBLE * sr1, -180 + 0.3::DOUBLE * sc1, 90 - 0.3::DOUBLE * sr0 FROM {{adm0}}),
-  outline_cells AS (SELECT geom_kind, area_key, sr // 10 AS r, sc // 10 AS c, count(*) AS cover FROM outlines, (SELECT unnest(range(600)) AS sr) AS rr, (SELECT unnest(range(1200)) AS sc) AS cc
-    WHERE -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE >= minx AND -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE < maxx AND 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE >= miny AND 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE < maxy GROUP BY ALL),
+  outline_cells AS (SELECT 'area' AS geom_kind, asdf_id::VARCHAR AS area_key, sr // 10 AS r, sc // 10 AS c, count(*) AS cover FROM {{areas}}, (SELECT unnest(range(600)) AS sr) AS rr, (SELECT unnest(range(1200)) AS sc) AS cc
+    WHERE -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE >= minx AND -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE < maxx AND 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE >= miny AND 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE < maxy GROUP BY ALL
+    UNION ALL SELECT 'country', iso3, sr // 10, sc // 10, count(*) FROM (SELECT iso3, sr, sc FROM {{country_edges}} AS e, (SELECT sr, sc, -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE AS x, 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE AS y FROM (SELECT unnest(range(600)) AS sr) AS rr, (SELECT unnest(range(1200)) AS sc) AS cc) AS s
+      WHERE {CROSSES} GROUP BY iso3, sr, sc HAVING count(*) % 2 = 1) AS held GROUP BY ALL),
   places AS (SELECT lon, lat, metres::DOUBLE AS metres, iso3 FROM money WHERE geom_kind = 'buffer'), {circles_sql("places")},
-  sides AS (SELECT lon, lat, metres, iso3, x AS x0, y AS y0, lead(x) OVER w AS x1, lead(y) OVER w AS y1 FROM corners WINDOW w AS (PARTITION BY lon, lat, metres, iso3 ORDER BY k)),
-  reach AS (SELECT lon, lat, metres, iso3, greatest(0, floor((90 - max(y)) / 0.3))::BIGINT AS r0, least(599, floor((90 - min(y)) / 0.3))::BIGINT AS r1, greatest(0, floor((min(x) + 180) / 0.3))::BIGINT AS c0, least(1199, floor((max(x) + 180) / 0.3))::BIGINT AS c1 FROM corners GROUP BY ALL),
-  asked AS (SELECT *, -180 + (sc + 0.5::DOUBLE) * 0.3::DOUBLE AS x, 90 - (sr + 0.5::DOUBLE) * 0.3::DOUBLE AS y FROM (SELECT *, unnest(range(c0, c1 + 1)) AS sc FROM (SELECT *, unnest(range(r0, r1 + 1)) AS sr FROM reach) AS a) AS b),
-  hit AS (SELECT lon, lat, metres, iso3, sr, sc FROM asked JOIN sides USING (lon, lat, metres, iso3) WHERE {CROSSES} GROUP BY ALL HAVING count(*) % 2 = 1),
-  circle_cells AS (SELECT lon, lat, metres, h.iso3, sr // 10 AS r, sc // 10 AS c, count(*) AS cover FROM hit h JOIN {{adm0}} a ON a.iso3 = h.iso3 AND sc >= sc0 AND sc < sc1 GROUP BY ALL),
+  {CLIPPED_SQL},
   cells AS (SELECT geom_kind, area_key, NULL::INT AS metres, NULL::VARCHAR AS iso3, NULL::DOUBLE AS lon, NULL::DOUBLE AS lat, r, c, cover FROM outline_cells
-    UNION ALL SELECT 'buffer', NULL, metres::INT, iso3, lon, lat, r, c, cover FROM circle_cells
-    UNION ALL SELECT 'buffer', NULL, metres::INT, iso3, lon, lat, floor((90 - lat) / 3)::BIGINT, floor((lon + 180) / 3)::BIGINT, 100 FROM places p WHERE NOT EXISTS (SELECT 1 FROM circle_cells q WHERE q.lon = p.lon AND q.lat = p.lat AND q.metres = p.metres AND q.iso3 = p.iso3)),
+    UNION ALL SELECT 'buffer', NULL, metres::INT, iso3, lon, lat, r, c, cover FROM clipped),
   shares AS (SELECT *, cover / sum(cover) OVER (PARTITION BY {_G}) AS share FROM cells),
   spread AS (SELECT m.geom_kind, m.area_key, m.metres, m.lon, m.lat, r::INT AS grid_row, c::INT AS grid_col, value * share AS value, n FROM money m JOIN shares s
     ON s.geom_kind = m.geom_kind AND s.area_key IS NOT DISTINCT FROM m.area_key AND s.metres IS NOT DISTINCT FROM m.metres AND s.iso3 IS NOT DISTINCT FROM m.iso3 AND s.lon IS NOT DISTINCT FROM m.lon AND s.lat IS NOT DISTINCT FROM m.lat)"""
 
 
 def money(v: Views) -> DataFrame:
-    """The kept locations with their adjusted money and geometry."""
-    kept = R.adjust_value(R.apply_filters(split(v), {"donors": ["Donor1", "Donor3"]}), ["Health", "Energy"]).select("project_location_id", "adjusted_val")
-    return S.geometry_name(_assigned(v)).join(kept, "project_location_id").filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat", F.col("location_id").cast("string").alias("location_id"), "adjusted_val")
+    """The kept locations with their adjusted money and geometry, from one join of projects and locations."""
+    kept = R.adjust_value(R.apply_filters(split(v), {"donors": ["Donor1", "Donor3"]}), ["Health", "Energy"])
+    columns = ("project_location_id", "is_geocoded", "location_class", "location_type_code", "geographic_exactness", "recipients_iso3", "longitude", "latitude", "adjusted_val")
+    typed = S.assign_geom_type(kept.select(*columns), S.geometry_lookup(v.spark))
+    located = S.geometry_name(S.assign_geometry(_points(typed), v.adm0, _areas(v), GRID)).filter("geom IS NOT NULL")
+    return located.select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat", F.col("location_id").cast("string").alias("location_id"), "adjusted_val")
 
 
 def surface_cells(v: Views, located: DataFrame) -> DataFrame:
-    return S.geometry_cells(located, _countries(v), _areas(v), GRID)
+    return S.geometry_cells(located, countries(v), _areas(v), GRID)
 
 
 def cents() -> Column:

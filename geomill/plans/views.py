@@ -1,8 +1,10 @@
 """The library's input shapes as views over the given star-schema tables.
 
 Each view is one SELECT in SQL that both Spark and DuckDB read (`//` is whole division; Spark gets `div`). Names in braces are
-tables or other views. `shapes` are polygons of five corners, one inward, in the boxes of `features`; that of feature 24 is too small to
-hold a sub-cell's centre. `areas` are administrative boxes of levels 1 to 3. Grid: 3 degree pixels from (-180, 90), 60 rows, 120 columns; sub-cells of 0.3 degrees, counted from the west
+tables or other views. Polygons are given by the corners of their rings (part, ring, k). `shape_corners` are polygons of five corners, one
+inward, in the boxes of `features`, some with a hole and some with a second part; that of feature 24 is too small to hold a sub-cell's
+centre. `country_corners` are countries with crooked borders that neighbours share; RG1 has a hole that is the second part of RG2, and
+RG3 has one that is no country's. `areas` are administrative boxes of levels 1 to 3. Grid: 3 degree pixels from (-180, 90), 60 rows, 120 columns; sub-cells of 0.3 degrees, counted from the west
 (sc) and the north (sr).
 """
 
@@ -20,6 +22,26 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 _SECTOR = "CASE {} WHEN 0 THEN 'Health' WHEN 1 THEN 'Education' WHEN 2 THEN 'Energy' WHEN 3 THEN 'Water' WHEN 4 THEN 'Roads' ELSE 'Health Policy' END"
 _KIND = "CASE {} WHEN 0 THEN 'mean' WHEN 1 THEN 'max' WHEN 2 THEN 'min' WHEN 3 THEN 'sum' WHEN 4 THEN 'count' WHEN 5 THEN 'categorical' ELSE 'reliability' END"
 
+# Rings as (part, ring): corners (x, y); closed when they become rows.
+_SHAPE = {
+    (0, 0): ((0.013, 0.021), (0.987, 0.312), (0.553, 0.524), (0.991, 0.979), (0.217, 0.731)),
+    (0, 1): ((0.31, 0.41), (0.43, 0.37), (0.47, 0.49), (0.35, 0.52)),
+    (1, 0): ((0.03, 0.83), (0.17, 0.8), (0.11, 0.97)),
+}
+_ENCLAVE = {at: ((0.0, 0.0), (9.1, 1.3), (11.7, 8.9), (1.9, 7.3)) for at in ((0, 1), (1, 0))}
+_STEP = "CASE WHEN k <= 8 THEN k WHEN k <= 17 THEN 17 - k ELSE 0 END"  # corners go up the western border and down the eastern one
+
+
+def _corner_rows(rings: dict) -> str:
+    rows = [(*at, k, *corners[k % len(corners)]) for at, corners in rings.items() for k in range(len(corners) + 1)]
+    return " UNION ALL ".join(f"SELECT {p} AS part, {r} AS ring, {k} AS k, CAST({x} AS DOUBLE) AS cx, CAST({y} AS DOUBLE) AS cy" for p, r, k, x, y in rows)
+
+
+def _border(number: str) -> str:
+    """The x of the border with this number, 0 and 5 being the ends of the world, at a step of 22.5 degrees."""
+    return f"CASE WHEN {number} = 0 THEN CAST(-180 AS DOUBLE) WHEN {number} = 5 THEN CAST(180 AS DOUBLE) ELSE CAST(-180 AS DOUBLE) + 72 * ({number}) + CAST(1.37 AS DOUBLE) * ((({number}) * 7 + ({_STEP}) * 5) % 9 - 4) END"
+
+
 VIEWS = {
     "pixels": """SELECT 'ras_' || CAST(2000 + o_orderkey // 7200 AS STRING) AS resource, CAST((o_orderkey % 7200) // 120 AS INT) AS grid_row, CAST(o_orderkey % 120 AS INT) AS grid_col,
         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice END AS value, CAST(substr(o_orderpriority, 1, 1) AS INT) AS category,
@@ -27,15 +49,22 @@ VIEWS = {
     "features": """SELECT CAST(n_nationkey AS BIGINT) AS asdf_id, 'world_adm1_v1' AS boundary, 'RG' || CAST(n_nationkey % 5 AS STRING) AS iso3, n_name AS name,
         240 * (n_nationkey % 5) + 3 AS sc0, 240 * (n_nationkey % 5) + 238 AS sc1, 120 * (n_nationkey // 5) + 5 AS sr0, 120 * (n_nationkey // 5) + 116 AS sr1 FROM {nation}""",
     "boxes": """SELECT asdf_id, boundary, iso3, name, -180 + CAST(0.3 AS DOUBLE) * sc0 AS minx, 90 - CAST(0.3 AS DOUBLE) * sr1 AS miny, -180 + CAST(0.3 AS DOUBLE) * sc1 AS maxx, 90 - CAST(0.3 AS DOUBLE) * sr0 AS maxy FROM {features}""",
-    "shapes": """SELECT asdf_id, boundary, iso3, name, x + CAST(0.013 AS DOUBLE) * w AS xa, y + CAST(0.021 AS DOUBLE) * h AS ya, x + CAST(0.987 AS DOUBLE) * w AS xb, y + CAST(0.312 AS DOUBLE) * h AS yb,
-        x + CAST(0.553 AS DOUBLE) * w AS xc, y + CAST(0.524 AS DOUBLE) * h AS yc, x + CAST(0.991 AS DOUBLE) * w AS xd, y + CAST(0.979 AS DOUBLE) * h AS yd, x + CAST(0.217 AS DOUBLE) * w AS xe, y + CAST(0.731 AS DOUBLE) * h AS ye
-        FROM (SELECT *, minx + CASE WHEN asdf_id = 24 THEN 1 ELSE 0 END AS x, miny + CASE WHEN asdf_id = 24 THEN 1 ELSE 0 END AS y, (maxx - minx) * CASE WHEN asdf_id = 24 THEN CAST(0.0003 AS DOUBLE) ELSE 1 END AS w,
-          (maxy - miny) * CASE WHEN asdf_id = 24 THEN CAST(0.0003 AS DOUBLE) ELSE 1 END AS h FROM {boxes}) AS b""",
+    "shape_frames": """SELECT asdf_id, minx + CASE WHEN asdf_id = 24 THEN 1 ELSE 0 END AS x, miny + CASE WHEN asdf_id = 24 THEN 1 ELSE 0 END AS y, (maxx - minx) * CASE WHEN asdf_id = 24 THEN CAST(0.0003 AS DOUBLE) ELSE 1 END AS w,
+        (maxy - miny) * CASE WHEN asdf_id = 24 THEN CAST(0.0003 AS DOUBLE) ELSE 1 END AS h FROM {boxes}""",
+    "shape_corners": f"""SELECT asdf_id, part, ring, k, x + cx * w AS x, y + cy * h AS y FROM {{shape_frames}} JOIN ({_corner_rows(_SHAPE)}) AS c
+        ON part = 0 AND ring = 0 OR ring = 1 AND asdf_id % 3 = 0 AND asdf_id <> 24 OR part = 1 AND asdf_id % 4 = 1""",
+    "shape_edges": """SELECT asdf_id, x AS x0, y AS y0, x1, y1 FROM (SELECT *, lead(x) OVER (PARTITION BY asdf_id, part, ring ORDER BY k) AS x1, lead(y) OVER (PARTITION BY asdf_id, part, ring ORDER BY k) AS y1 FROM {shape_corners}) AS e WHERE x1 IS NOT NULL""",
+    "country_corners": f"""SELECT CAST(r_regionkey AS BIGINT) AS region_id, 'RG' || CAST(r_regionkey AS STRING) AS iso3, 0 AS part, 0 AS ring, k, {_border("CASE WHEN k BETWEEN 9 AND 17 THEN r_regionkey + 1 ELSE r_regionkey END")} AS x,
+        CAST(-90 AS DOUBLE) + CAST(22.5 AS DOUBLE) * ({_STEP}) AS y FROM {{region}}, ({" UNION ALL ".join(f"SELECT {k} AS k" for k in range(19))}) AS ks
+        UNION ALL SELECT CAST(r_regionkey AS BIGINT), 'RG' || CAST(r_regionkey AS STRING), part, ring, k, CASE WHEN r_regionkey = 3 THEN CAST(66.1 AS DOUBLE) ELSE CAST(-78.3 AS DOUBLE) END + cx, CAST(10.2 AS DOUBLE) + cy
+        FROM {{region}} JOIN ({_corner_rows(_ENCLAVE)}) AS c ON ring = 1 AND r_regionkey IN (1, 3) OR part = 1 AND r_regionkey = 2""",
+    "country_edges": """SELECT region_id, iso3, x AS x0, y AS y0, x1, y1 FROM (SELECT *, lead(x) OVER (PARTITION BY iso3, part, ring ORDER BY k) AS x1, lead(y) OVER (PARTITION BY iso3, part, ring ORDER BY k) AS y1 FROM {country_corners}) AS e WHERE x1 IS NOT NULL""",
     "grids": """SELECT DISTINCT 'ras_' || CAST(2000 + o_orderkey // 7200 AS STRING) AS resource FROM {orders}""",
     "areas": """SELECT asdf_id, iso3, 1 AS level, minx, miny, maxx, maxy FROM {boxes}
         UNION ALL SELECT 100 + asdf_id, iso3, 2, minx, miny, minx + CAST(0.4137 AS DOUBLE) * (maxx - minx), maxy FROM {boxes}
         UNION ALL SELECT 200 + asdf_id, iso3, 2, minx + CAST(0.4137 AS DOUBLE) * (maxx - minx), miny, maxx, maxy FROM {boxes}
-        UNION ALL SELECT 300 + asdf_id, iso3, 3, minx, miny, maxx, miny + CAST(0.617 AS DOUBLE) * (maxy - miny) FROM {boxes} WHERE iso3 <> 'RG4'""",
+        UNION ALL SELECT 300 + asdf_id, iso3, 3, minx, miny, maxx, miny + CAST(0.617 AS DOUBLE) * (maxy - miny) FROM {boxes} WHERE iso3 <> 'RG4'
+        UNION ALL SELECT 300 + asdf_id, iso3, 3, minx, miny, maxx, maxy FROM {boxes} WHERE iso3 = 'RG3' AND asdf_id > 25""",
     "adm0": """SELECT CAST(r_regionkey AS BIGINT) AS region_id, 'RG' || CAST(r_regionkey AS STRING) AS iso3, r_name AS country, 240 * r_regionkey AS sc0, 240 * (r_regionkey + 1) AS sc1, 0 AS sr0, 600 AS sr1 FROM {region}""",
     "projects": f"""SELECT CAST(o_orderkey AS STRING) AS project_id, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS total_commitments, o_totalprice * CAST(0.5 AS DOUBLE) AS total_disbursements,
         CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS is_geocoded, CAST(year(o_orderdate) AS INT) AS transactions_start_year, CAST(year(o_orderdate) + o_custkey % 3 AS INT) AS transactions_end_year,
