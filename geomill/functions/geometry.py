@@ -6,6 +6,8 @@ after the outer ring. A grid is described by its top-left corner and pixel size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,6 +123,47 @@ def round_coords(polygons: Column, places: int = 6) -> Column:
     return F.transform(polygons, lambda rings: F.transform(rings, lambda r: F.transform(r, point)))
 
 
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _canonical_ring(ring: Column) -> Column:
+    """Of all ways to write a ring, from any vertex and in either direction, the smallest."""
+    opened = lambda r: F.when((F.size(r) > 1) & (F.get(r, F.lit(0)) == F.element_at(r, -1)), F.slice(r, F.lit(1), F.size(r) - 1)).otherwise(r)
+    # a vertex equal to the one before it adds nothing
+    apart = lambda r: F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, i - 1)))
+    turned = lambda way, i: F.concat(F.slice(way, i, F.size(way)), F.slice(way, F.lit(1), i - 1))
+
+    def least(way: Column) -> Column:
+        starts = _with(F.array_min(way), lambda first: F.filter(F.transform(way, lambda p, i: F.when(p == first, i + 1)), lambda i: i.isNotNull()))
+        return F.array_min(F.transform(starts, lambda i: turned(way, i)))
+
+    smaller = lambda points: F.when(F.size(points) > 0, F.least(least(points), _with(F.reverse(points), least))).otherwise(points)
+    return _with(ring, lambda r: _with(opened(r), lambda o: _with(apart(o), smaller)))
+
+
+def canonical(polygons: Column, places: int = 6) -> Column:
+    """One form for all ways to write the same polygons: coordinates as whole numbers of 10 ** -places degrees, rings open, from their
+    smallest vertex in the smaller direction, holes and parts in order. Equal shapes have equal forms."""
+    whole = lambda v: F.round(v * 10.0**places).cast("long")
+    ring = lambda r: _canonical_ring(F.transform(r, lambda p: F.struct(whole(p["x"]).alias("x"), whole(p["y"]).alias("y"))))
+    part = lambda rings: _with(F.transform(rings, ring), lambda done: F.concat(F.slice(done, 1, 1), F.array_sort(F.slice(done, 2, F.size(done)))))
+    return F.array_sort(F.transform(F.filter(polygons, lambda rings: F.size(rings) > 0), part))
+
+
+def geometry_text(polygons: Column, places: int = 6) -> Column:
+    """The canonical form as text: `x y` of each vertex, joined by `,` in a ring, `;` in a part and `|` between parts."""
+    join = lambda items, mark, f: F.array_join(F.transform(items, f), mark)
+    point = lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))
+    return join(canonical(polygons, places), "|", lambda part: join(part, ";", lambda ring: join(ring, ",", point)))
+
+
+def geometry_hash(polygons: Column, places: int = 6) -> Column:
+    """SHA-1 of the canonical form: the identity of a geometry, however it is written."""
+    return F.sha1(geometry_text(polygons, places).cast("binary"))
+
+
 def inside_edges(x: Column, y: Column, edges: Column) -> Column:
     """Even-odd test over edges (so holes and parts count), half-open: left and lower edges belong to the inside."""
 

@@ -11,7 +11,6 @@ edge, above it.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,7 @@ from geomill.sources.tables import staged
 
 ORIGIN = {"x": -180.0137035999, "y": -90.0072973525}
 ROOT, FAN, DEEPEST = 16.0, 4, 12
-MOST, GROUP = 32, 200_000  # edges of a cell, edges of a cell that a task cuts
-SALTS = 8  # tasks that the points of a crowded cell are dealt over
+MOST = 32  # edges of a cell
 SIDES = ("x0", "y0", "x1", "y1")
 CELL = ("tree_level", "cell_x", "cell_y", "tree_parity")
 
@@ -88,29 +86,6 @@ def corner_of(ix: Column, iy: Column, size: Column) -> tuple[Column, Column]:
     return line(ix + 1, "x", size), line(iy, "y", size)
 
 
-def _roots(features: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, cell_x, cell_y, tree_parity of the root cells of each feature's box: parity counts the edges that the level line of a cell's corner meets east of it."""
-    size = F.lit(ROOT)
-    x0, y0, x1, y1 = map(F.col, SIDES)
-    first, last = F.ceil((F.least(y0, y1) - ORIGIN["y"]) / size), F.ceil((F.greatest(y0, y1) - ORIGIN["y"]) / size) - 1
-    met = edges.withColumn("cell_y", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
-    y = line(F.col("cell_y"), "y", size)
-    met = met.filter((y0 > y) != (y1 > y)).withColumn("column", F.ceil(((x1 - x0) * (y - y0) / (y1 - y0) + x0 - ORIGIN["x"]) / size) - 1)
-    met = met.groupBy(*keys, "cell_y", "column").agg((F.count("*") % 2).alias("n")).groupBy(*keys, "cell_y").agg(F.collect_list(F.struct("column", "n")).alias("met"))
-    b = G.polygons_box(F.col("polygons"))
-    span = lambda axis: F.explode(F.sequence(index(F.col(f"_b.min{axis}"), axis, size), index(F.col(f"_b.max{axis}"), axis, size)))
-    cells = features.withColumn("_b", b).drop("polygons").filter("_b.minx IS NOT NULL").withColumn("cell_x", span("x")).withColumn("cell_y", span("y")).drop("_b")
-    east = F.aggregate(F.coalesce("met", F.array().cast("array<struct<column:bigint,n:bigint>>")), F.lit(0).cast("long"), lambda n, m: n + F.when(m["column"] > F.col("cell_x"), m["n"]).otherwise(0))
-    return _null_safe(cells, met, [*keys, "cell_y"], "left").withColumn("tree_parity", (east % 2).cast("int")).drop("met")
-
-
-def _null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-    """A join on columns that may be null."""
-    other = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
-    test = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on))
-    return left.join(other, test, how).drop(*(f"_r_{c}" for c in on))
-
-
 def _numpy_crossings(e: np.ndarray, corner: tuple[float, float], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """How many edges each way crosses, as `crossings` has it: ways from one corner to the places (x, y)."""
     (x0, y0, x1, y1), (cx, cy) = e.T, corner
@@ -126,118 +101,117 @@ def _numpy_crossings(e: np.ndarray, corner: tuple[float, float], x: np.ndarray,
     return out
 
 
-def _in_children(e: np.ndarray, ix: int, iy: int, size: float) -> list[np.ndarray]:
-    """The edges of a cell that run through each of its FAN * FAN cells of `size` (a hair more), row by row."""
+def _in_cells(e: np.ndarray, ix: range, iy: range, size: float) -> list[np.ndarray]:
+    """The edges that run through each cell of a block (a hair more, so that rounding loses none), row by row."""
     x0, y0, x1, y1 = e.T
     south, north, hair = np.minimum(y0, y1), np.maximum(y0, y1), size * 1e-9
     out = []
-    for j in range(FAN):
-        low, high = ORIGIN["y"] + (iy * FAN + j) * size - hair, ORIGIN["y"] + (iy * FAN + j + 1) * size + hair
+    for j in iy:
+        low, high = ORIGIN["y"] + j * size - hair, ORIGIN["y"] + (j + 1) * size + hair
         row = np.flatnonzero((north >= low) & (south <= high))
         with np.errstate(divide="ignore", invalid="ignore"):
             at = lambda y: (x1 - x0)[row] * (np.clip(y, south[row], north[row]) - y0[row]) / (y1 - y0)[row] + x0[row]
             one, two = at(low), at(high)
         flat = y0[row] == y1[row]
         west, east = np.where(flat, np.minimum(x0, x1)[row], np.minimum(one, two)), np.where(flat, np.maximum(x0, x1)[row], np.maximum(one, two))
-        for i in range(FAN):
-            left, right = ORIGIN["x"] + (ix * FAN + i) * size - hair, ORIGIN["x"] + (ix * FAN + i + 1) * size + hair
+        for i in ix:
+            left, right = ORIGIN["x"] + i * size - hair, ORIGIN["x"] + (i + 1) * size + hair
             out.append(e[row[(east >= left) & (west <= right)]])
     return out
 
 
-def _leaves(k: int, ix: int, iy: int, parity: int, edges: np.ndarray, most: int) -> list[tuple]:
-    """(level, cell_x, cell_y, parity, edges) of the leaves of one cell's quadtree; inside, a leaf has no edges."""
-    waiting, leaves = [(k, ix, iy, parity, edges)], []
+def quadtree(e: np.ndarray, most: int) -> list[tuple]:
+    """(level, cell_x, cell_y, parity, edges) of the leaves over an outline (x0, y0, x1, y1); a leaf inside has None as edges, cells outside are
+    left out. Parity is that of a cell's lower right corner: of the edges that the level line from there meets in the east at
+    a root cell, and over the way from the parent's corner below."""
+    if not len(e):
+        return []
+    (west, south), (east, north) = np.minimum(e[:, :2], e[:, 2:]).min(axis=0), np.maximum(e[:, :2], e[:, 2:]).max(axis=0)
+    number = lambda v, axis: int(np.floor((v - ORIGIN[axis]) / ROOT))
+    ix, iy = range(number(west, "x"), number(east, "x") + 1), range(number(south, "y"), number(north, "y") + 1)
+    x0, y0, x1, y1 = e.T
+    parities = []
+    for j in iy:
+        y = ORIGIN["y"] + j * ROOT
+        hit = (y0 > y) != (y1 > y)
+        places = (x1 - x0)[hit] * (y - y0[hit]) / (y1 - y0)[hit] + x0[hit]
+        parities += [int((ORIGIN["x"] + (i + 1) * ROOT < places).sum() % 2) for i in ix]
+    cells = [(0, i, j) for j in iy for i in ix]
+    waiting, leaves = [(*c, p, part) for c, p, part in zip(cells, parities, _in_cells(e, ix, iy, ROOT), strict=True)], []
     while waiting:
-        k, ix, iy, parity, e = waiting.pop()
-        if 0 < len(e) <= most or k == DEEPEST and len(e):
-            leaves.append((k, ix, iy, parity, e))
-        elif not len(e):
+        k, i, j, parity, part = waiting.pop()
+        if not len(part):
             if parity:
-                leaves.append((k, ix, iy, parity, None))
+                leaves.append((k, i, j, parity, None))
+        elif len(part) <= most or k == DEEPEST:
+            leaves.append((k, i, j, parity, part))
         else:
             size, finer = ROOT / FAN**k, ROOT / FAN ** (k + 1)
-            across, up = np.tile(np.arange(FAN), FAN) + ix * FAN, np.repeat(np.arange(FAN), FAN) + iy * FAN
-            ways = _numpy_crossings(e, (ORIGIN["x"] + (ix + 1) * size, ORIGIN["y"] + iy * size), ORIGIN["x"] + (across + 1) * finer, ORIGIN["y"] + up * finer)
-            parts = _in_children(e, ix, iy, finer)
-            waiting += [(k + 1, int(a), int(b), (parity + int(n)) % 2, part) for a, b, n, part in zip(across, up, ways, parts, strict=True)]
+            across, up = range(i * FAN, (i + 1) * FAN), range(j * FAN, (j + 1) * FAN)
+            to_x, to_y = np.tile(ORIGIN["x"] + (np.array(across) + 1) * finer, FAN), np.repeat(ORIGIN["y"] + np.array(up) * finer, FAN)
+            ways = _numpy_crossings(part, (ORIGIN["x"] + (i + 1) * size, ORIGIN["y"] + j * size), to_x, to_y)
+            children = [(k + 1, a, b) for b in up for a in across]
+            waiting += [(*c, (parity + int(n)) % 2, own) for c, n, own in zip(children, ways, _in_cells(part, across, up, finer), strict=True)]
     return leaves
 
 
-def _cutter(keys: list[str], most: int):
-    """Of cells with their edges, pass on those of few edges and cut the others."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch["tree_edges"].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            crowded = (n > most) & (batch["tree_level"].to_numpy() < DEEPEST)
-            yield batch.filter(pa.array(~crowded))
-            for row in np.flatnonzero(crowded).tolist():
-                one = batch.slice(row, 1)
-                flat = one["tree_edges"].flatten()
-                edges = np.stack([flat.field(c).to_numpy(zero_copy_only=False) for c in SIDES], axis=1)
-                leaves = _leaves(*(one[c][0].as_py() for c in CELL), edges, most)
-                kept = np.concatenate([e for *_, e in leaves if e is not None])
-                ends = np.cumsum([0, *(0 if e is None else len(e) for *_, e in leaves)])
-                offsets = pa.array([None if leaf[-1] is None else int(at) for leaf, at in zip(leaves, ends[:-1], strict=True)] + [int(ends[-1])], pa.int32())
-                structs = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in kept.T], list(SIDES))
-                columns = [pa.array([leaf[c] for leaf in leaves], kind) for c, kind in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int32()))]
-                own = [one[c].take(pa.array(np.zeros(len(leaves), np.int64))) for c in keys]
-                yield pa.RecordBatch.from_arrays([*own, *columns, pa.ListArray.from_arrays(offsets, structs)], [*keys, *CELL, "tree_edges"])
-
-    return run
+def edges_of_lists(polygons: pa.Array) -> list[np.ndarray]:
+    """The edges (x0, y0, x1, y1) of each of an Arrow array of polygons, as `functions.geometry.edges_of` has them."""
+    sizes = lambda a: a.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    ends = lambda n: np.append(0, np.cumsum(n))
+    parts, rings = polygons.flatten(), polygons.flatten().flatten()
+    points = rings.flatten()
+    x, y = (points.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+    at = ends(sizes(rings))
+    first = np.ones(len(x), bool)
+    first[at[:-1][at[:-1] < len(x)]] = False  # an edge ends at every vertex but a ring's first
+    to = np.flatnonzero(first)
+    edges = np.stack([x[to - 1], y[to - 1], x[to], y[to]], axis=1)
+    until = at[ends(sizes(parts))[ends(sizes(polygons))]]
+    return np.split(edges, np.searchsorted(to, until[1:-1])) if len(polygons) else []
 
 
 def border_index(features: DataFrame, most: int = MOST) -> DataFrame:
-    """The quadtree of features (polygons, ...), which their other columns tell apart: these columns, tree_level, cell_x, cell_y,
-    tree_parity, tree_edges. Stage it: it is read more than once.
+    """The quadtrees of features (polygons, ...), one for each row: its other columns, tree_level, cell_x, cell_y, tree_parity, tree_edges. Stage
+    it: it is read more than once.
 
-    A cell without edges that lies inside has no edges listed; cells outside have no row. A border cell holds its edges, `most` at most, and the
+    A cell without edges that lies inside has null as edges; cells outside have no row. A border cell holds its edges, `most` at most, and the
     parity of its lower right corner; cells with more are cut into FAN * FAN smaller ones, down to level DEEPEST, where
-    a cell keeps what it has (vertices within some micrometres of each other). A task cuts cells of at most GROUP edges; only cells of more are
-    cut by Spark, level by level, before."""
+    a cell keeps what it has (vertices within some micrometres of each other). An outline is a row's value, so a task builds its whole
+    tree; from there on only its leaves are moved."""
     keys = [c for c in features.columns if c != "polygons"]
     kinds = "".join(f"`{c}` {features.schema[c].dataType.simpleString()}, " for c in keys)
-    schema = f"{kinds}tree_level int, cell_x bigint, cell_y bigint, tree_parity int, tree_edges array<struct<x0:double,y0:double,x1:double,y1:double>>"
-    edges, where = outline(features), [*keys, "cell_x", "cell_y"]
-    vertices = F.aggregate(F.flatten("polygons"), F.lit(0), lambda n, r: n + F.size(r))
-    large = (features.agg(F.max(vertices)).first()[0] or 0) > GROUP
-    cells, listed, trees = _roots(features, edges, keys), with_cells(edges, F.lit(ROOT)), []
-    for level in range(DEEPEST + 1):
-        counts = listed.groupBy(*where).agg(F.count("*").alias("n"))
-        giants = large and level < DEEPEST and (counts.agg(F.max("n")).first()[0] or 0) > GROUP
-        if giants:
-            counts = staged(counts.filter(F.col("n") > GROUP).drop("n"), "giant-cells")
-            giant_cells, giant_edges = staged(_null_safe(cells, counts, where, "inner"), "giants"), staged(_null_safe(listed, counts, where, "inner"), "giant-edges")
-            cells, listed = _null_safe(cells, counts, where, "left_anti"), _null_safe(listed, counts, where, "left_anti")
-        gathered = listed.groupBy(*where).agg(F.collect_list(F.struct(*SIDES)).alias("tree_edges"))
-        known = _null_safe(cells, gathered, where, "left").filter("tree_edges IS NOT NULL OR tree_parity = 1")
-        trees.append(known.select(*keys, F.lit(level).alias("tree_level"), "cell_x", "cell_y", "tree_parity", "tree_edges").mapInArrow(_cutter(keys, most), schema))
-        if not giants:
-            break
-        size, finer = F.lit(ROOT / FAN**level), F.lit(ROOT / FAN ** (level + 1))
-        corner, e = corner_of(F.col("cell_x"), F.col("cell_y"), size), {s: F.col(s) for s in SIDES}
-        child = [(F.col("cell_x") * FAN + i, F.col("cell_y") * FAN + j) for j in range(FAN) for i in range(FAN)]
-        ways = giant_edges.groupBy(*where).agg(*(F.sum(crossings(e, corner, *corner_of(*c, finer))).alias(f"_w{k}") for k, c in enumerate(child)))
-        made = [F.struct(x.alias("cell_x"), y.alias("cell_y"), ((F.col("tree_parity") + F.col(f"_w{k}")) % 2).cast("int").alias("tree_parity")) for k, (x, y) in enumerate(child)]
-        cells = _null_safe(giant_cells, ways, where, "inner").select(*keys, F.explode(F.array(*made)).alias("c")).select(*keys, "c.*")
-        listed = with_cells(giant_edges, finer, F.struct("cell_x", "cell_y"), F.lit(FAN))
-    return reduce(DataFrame.unionByName, trees)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, edges in enumerate(edges_of_lists(batch["polygons"])):
+                edges = edges[np.isfinite(edges).all(axis=1)]
+                leaves = quadtree(edges, most)
+                if leaves:
+                    kept = np.concatenate([np.zeros((0, 4)), *(e for *_, e in leaves if e is not None)])
+                    ends = np.cumsum([0, *(0 if e is None else len(e) for *_, e in leaves)])
+                    offsets = pa.array([None if leaf[-1] is None else int(at) for leaf, at in zip(leaves, ends[:-1], strict=True)] + [int(ends[-1])], pa.int32())
+                    structs = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(c)) for c in kept.T], list(SIDES))
+                    columns = [pa.array([leaf[c] for leaf in leaves], kind) for c, kind in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.int32()))]
+                    own = [batch[c].take(pa.array(np.full(len(leaves), row))) for c in keys]
+                    yield pa.RecordBatch.from_arrays([*own, *columns, pa.ListArray.from_arrays(offsets, structs)], [*keys, *CELL, "tree_edges"])
+
+    return features.select(*keys, "polygons").mapInArrow(run, f"{kinds}tree_level int, cell_x bigint, cell_y bigint, tree_parity int, tree_edges array<struct<x0:double,y0:double,x1:double,y1:double>>")
 
 
 def held_by(places: DataFrame, tree: DataFrame, on: tuple[str, ...] = ()) -> DataFrame:
     """places (lon, lat, and `on`) joined with the features of a tree (`border_index`) that hold them and agree in `on`. A place asks one
-    cell of each level that the tree has; where cells have no edges no test is needed."""
+    cell of each level that the tree has; where cells have no edges no test is needed. Nothing but the test follows the join, so Spark
+    splits a cell that many places ask."""
     levels = [r.tree_level for r in tree.select("tree_level").distinct().collect()]  # DEEPEST + 1 at most
     lon, lat = F.col("lon"), F.col("lat")
     cell = lambda k: F.struct(F.lit(k).alias("tree_level"), index(lon, "x", F.lit(ROOT / FAN**k)).alias("cell_x"), index(lat, "y", F.lit(ROOT / FAN**k)).alias("cell_y"))
     asked = places.withColumn("_c", F.explode(F.array(*map(cell, sorted(levels)))) if levels else F.lit(None).cast("struct<tree_level:int,cell_x:bigint,cell_y:bigint>"))
-    asked = asked.select(*places.columns, "_c.tree_level", "_c.cell_x", "_c.cell_y", F.pmod(F.hash("lon", "lat"), F.lit(SALTS)).alias("_salt"))
-    salted = tree.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    met = asked.join(salted, ["tree_level", "cell_x", "cell_y", "_salt", *on])
+    asked = asked.select(*places.columns, "_c.tree_level", "_c.cell_x", "_c.cell_y")
+    met = asked.join(tree, ["tree_level", "cell_x", "cell_y", *on])
     corner = corner_of(F.col("cell_x"), F.col("cell_y"), size_of(F.col("tree_level")))
     crossed = F.aggregate("tree_edges", F.col("tree_parity"), lambda n, e: n + crossings({s: e[s] for s in SIDES}, corner, lon, lat))
-    return met.filter(F.coalesce(crossed, F.col("tree_parity")) % 2 == 1).drop("tree_level", "cell_x", "cell_y", "_salt", "tree_parity", "tree_edges")
+    return met.filter(F.coalesce(crossed, F.col("tree_parity")) % 2 == 1).drop("tree_level", "cell_x", "cell_y", "tree_parity", "tree_edges")
 
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, on: tuple[str, ...] = (), most: int = MOST) -> DataFrame:

@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geomill.functions.geometry import cell_of, centroid
+from geomill.functions.geometry import cell_of, centroid, geometry_text
 from geomill.functions.text import distinct_tokens, pipe_split
-from geomill.operators.outline import point_in_polygon
-from geomill.operators.rasterize import clip_buffers, rasterize
+from geomill.operators.outline import point_in_polygon, touching
+from geomill.operators.rasterize import buffer_m, clip_buffers, rasterize
 from geomill.sources.tables import staged
 
 # Location class -> location type -> (geometry, data) for geographic exactness 1 and 2.
@@ -131,10 +131,40 @@ def build_surface(locations: DataFrame, cells: DataFrame) -> DataFrame:
     return surface(spread(locations.groupBy("geom").agg(F.sum("adjusted_val").alias("value")), cells))
 
 
-def unique_geometries(df: DataFrame) -> DataFrame:
-    """hash, unique_dollars, location_count, location_ids (joined by `|`) of every distinct geometry (geom)."""
-    ids = F.array_join(F.sort_array(F.collect_list("location_id")), "|")
-    return df.groupBy(F.sha1(F.col("geom").cast("binary")).alias("hash")).agg(F.sum("adjusted_val").alias("unique_dollars"), F.count("*").alias("location_count"), ids.alias("location_ids"))
+def geometry_shapes(df: DataFrame, countries: DataFrame, areas: DataFrame) -> DataFrame:
+    """geom, geom_kind, iso3, polygons of every distinct geometry of df (geom, geom_kind, geom_key, geom_metres, iso3, lon, lat). A point is a ring
+    of twice its place; a buffer is its whole circle, which its country (iso3) clips; the others have no iso3."""
+    own = df.filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat").dropDuplicates(["geom"])
+    kind = lambda name: own.filter(F.col("geom_kind") == name)
+    place = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
+    points = kind("point").select("geom", "geom_kind", F.array(F.array(F.array(place, place))).alias("polygons"))
+    held = kind("country").join(countries.select(F.col("iso3").alias("geom_key"), "polygons"), "geom_key").select("geom", "geom_kind", "polygons")
+    parts = kind("area").join(areas.select(F.col("asdf_id").cast("string").alias("geom_key"), "polygons"), "geom_key").select("geom", "geom_kind", "polygons")
+    circles = buffer_m(kind("buffer").select("geom", "geom_kind", "iso3", *(F.col(c).cast("double").alias(n) for c, n in (("lon", "lon"), ("lat", "lat"), ("geom_metres", "metres")))))
+    whole = points.unionByName(held).unionByName(parts).withColumn("iso3", F.lit(None).cast("string"))
+    return whole.unionByName(circles.select("geom", "geom_kind", "iso3", "polygons"))
+
+
+def unique_geometries(df: DataFrame, shapes: DataFrame) -> DataFrame:
+    """hash, geom_kind, iso3, unique_dollars, location_count, location_ids (joined by `|`), polygons of every distinct geometry of df (geom, location_id,
+    adjusted_val) by its shape (`geometry_shapes`): areas of equal outline are one geometry, whatever their ids and however they are written.
+    Locations are summed by name first, so that no outline is repeated for each of them."""
+    named = df.groupBy("geom").agg(F.sum("adjusted_val").alias("dollars"), F.count("*").alias("n"), F.collect_list("location_id").alias("ids"))
+    identity = F.sha1(F.concat_ws("|", geometry_text(F.col("polygons")), F.col("iso3")).cast("binary"))
+    met = named.join(shapes.withColumn("hash", identity), "geom")
+    ids = F.array_join(F.sort_array(F.flatten(F.collect_list("ids"))), "|")
+    one = met.groupBy("hash").agg(F.sum("dollars").alias("unique_dollars"), F.sum("n").alias("location_count"), ids.alias("location_ids"), F.min("geom").alias("geom"))
+    return one.join(shapes.select("geom", "geom_kind", "iso3", "polygons"), "geom").select("hash", "geom_kind", "iso3", "unique_dollars", "location_count", "location_ids", "polygons")
+
+
+def touched_geometries(features: DataFrame, unique: DataFrame, countries: DataFrame) -> DataFrame:
+    """asdf_id, hash, dollars of the unique geometries that share a point with each feature (asdf_id, polygons). A buffer touches a feature if its
+    circle does and the country that clips it does. Stage `unique`: it is read more than once."""
+    met = touching(features, unique.select("hash", "polygons"), "asdf_id", "hash").join(unique.select("hash", "iso3", F.col("unique_dollars").alias("dollars")), "hash")
+    clipping = countries.join(unique.select("iso3").distinct(), "iso3", "left_semi").select("iso3", "polygons")
+    held = touching(features, clipping, "asdf_id", "iso3")
+    whole = met.filter("iso3 IS NULL").unionByName(met.filter("iso3 IS NOT NULL").join(held, ["asdf_id", "iso3"], "left_semi").select(*met.columns))
+    return whole.select("asdf_id", "hash", "dollars")
 
 
 MAX_TOKENS = 10_000  # of 100 bytes or so: lists up to this are broadcast, longer ones are joined as Spark chooses

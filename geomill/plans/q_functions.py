@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geomill.functions import geometry as G
 from geomill.functions import text as T
 from geomill.plans.registry import Views, query
 
@@ -138,9 +139,17 @@ def fn_request_hash(v: Views) -> DataFrame:
     return v.projects.select("project_id", T.request_hash(F.lit("aid"), filters, F.lit(0.05), F.lit("release"), F.lit(1.0)).alias("request_hash"))
 
 
-@query("fn_geom_hash", """SELECT asdf_id, sha1(sc0 || ',' || sr0 || ',' || sc1 || ',' || sr1) AS geom_hash FROM {features}""")
+_WHOLE = "round({} * 1000000)::BIGINT"
+_TURNED_SQL = " || ',' || ".join(f"{_WHOLE.format(x)} || ' ' || {_WHOLE.format(y)}" for x, y in (("minx", "miny"), ("minx", "maxy"), ("maxx", "maxy"), ("maxx", "miny")))
+
+
+@query("fn_geom_hash", f"""SELECT asdf_id, sha1({_TURNED_SQL}) AS geom_hash FROM {{boxes}}""")
 def fn_geom_hash(v: Views) -> DataFrame:
-    return v.features.select("asdf_id", T.geom_hash(F.concat_ws(",", "sc0", "sr0", "sc1", "sr1")).alias("geom_hash"))
+    """Boxes that begin at any of their corners, every other one the other way round."""
+    ring = G.polygon_of_box(G.box(*(F.col(s) for s in G.SIDES)))[0][0]
+    open_, n = F.slice(ring, 1, 4), (F.col("asdf_id") % 4).cast("int")
+    begun = F.concat(F.slice(open_, n + 1, 4), F.slice(open_, F.lit(1), n + 1))
+    return v.boxes.select("asdf_id", G.geometry_hash(F.array(F.array(F.when(F.col("asdf_id") % 2 == 0, begun).otherwise(F.reverse(begun))))).alias("geom_hash"))
 
 
 @query("fn_pipe_list", """SELECT DISTINCT unnest(string_split(ad_sector_names, '|')) AS token FROM {projects}""")

@@ -131,7 +131,9 @@ def _points(df: DataFrame) -> DataFrame:
 
 
 def _areas(v: Views) -> DataFrame:
-    return polygons(v, "areas").select("asdf_id", "iso3", "level", "polygons")
+    """Boxes; those of level 3 are written from another corner and the other way round."""
+    turned = F.transform("polygons", lambda p: F.transform(p, lambda r: F.reverse(F.concat(F.slice(r, 3, 3), F.slice(r, 2, 2)))))
+    return polygons(v, "areas").withColumn("polygons", F.when(F.col("level") == 3, turned).otherwise(F.col("polygons"))).select("asdf_id", "iso3", "level", "polygons")
 
 
 @query("msr_adm_lookup", f"SELECT project_location_id, level, {_HELD.format(level='l.level').format()} AS adm_id FROM (SELECT *, 1 + project_location_id % 4 AS level FROM {{locations}}) AS l")
@@ -205,11 +207,23 @@ def msr_surface(v: Views) -> DataFrame:
     return S.build_surface(located, surface_cells(v, located)).withColumn("value", cents())
 
 
-@query("msr_unique_geoms", """SELECT sha1(geom) AS hash, round(sum(split_dollars_pp), 6) AS unique_dollars, count(*) AS location_count, string_agg(location_id, '|' ORDER BY location_id) AS location_ids FROM (SELECT round(longitude, 2)::DECIMAL(9,2)::VARCHAR || ',' || round(latitude, 1)::DECIMAL(9,1)::VARCHAR AS geom, project_location_id::VARCHAR AS location_id, split_dollars_pp FROM (""" + _SPLIT + """) AS s) AS t GROUP BY geom""")
+_BOXED = "SELECT m.*, CASE WHEN geom_kind = 'area' THEN minx || ' ' || miny || ' ' || maxx || ' ' || maxy END AS outline FROM located AS m LEFT JOIN {{areas}} AS a ON a.asdf_id::VARCHAR = m.area_key"
+_LOCATED = f"""located AS (SELECT geom_kind, area_key, geom_metres, CASE WHEN geom_kind = 'buffer' THEN iso3 END AS iso3, CASE WHEN geom_kind = 'buffer' THEN lon END AS lon, CASE WHEN geom_kind = 'buffer' THEN lat END AS lat, project_location_id::VARCHAR AS location_id, adjusted_val
+  FROM ({_GEOMETRY}) AS g JOIN ({_KEPT}) AS k USING (project_location_id) WHERE geom_kind IS NOT NULL)"""
+
+
+@query("msr_unique_geoms", f"""WITH {_LOCATED}, boxed AS ({_BOXED.format()})
+  SELECT geom_kind, iso3, floor(sum(adjusted_val) * 100 + 0.3711::DOUBLE) / 100 AS unique_dollars, count(*) AS location_count, string_agg(location_id, '|' ORDER BY location_id) AS location_ids, CASE geom_kind WHEN 'buffer' THEN 65 WHEN 'area' THEN 5 ELSE (SELECT count(*) FROM {{country_corners}} c WHERE c.iso3 = min(boxed.area_key)) END AS n_vertices
+  FROM boxed GROUP BY geom_kind, iso3, geom_metres, lon, lat, coalesce(outline, area_key)""")
 def msr_unique_geoms(v: Views) -> DataFrame:
-    place = F.concat_ws(",", F.round("longitude", 2).cast("decimal(9,2)").cast("string"), F.round("latitude", 1).cast("decimal(9,1)").cast("string"))
-    df = R.adjust_value(split(v)).select(place.alias("geom"), F.col("project_location_id").cast("string").alias("location_id"), "adjusted_val")
-    return S.unique_geometries(df).withColumn("unique_dollars", F.round("unique_dollars", 6))
+    """Areas of level 1 and 3 that have one outline are one geometry, though theirs are written from another corner the other way round."""
+    unique = unique_geoms(v, staged(money(v), "located-money"))
+    return unique.select("geom_kind", "iso3", ((F.floor(F.col("unique_dollars") * 100 + 0.3711)) / 100).alias("unique_dollars"), "location_count", "location_ids", F.size(F.flatten(F.flatten("polygons"))).cast("long").alias("n_vertices"))
+
+
+def unique_geoms(v: Views, located: DataFrame) -> DataFrame:
+    shapes = S.geometry_shapes(located, countries(v), _areas(v))
+    return S.unique_geometries(located, staged(shapes, "geometry-shapes"))
 
 
 _SECTORS = "SELECT DISTINCT unnest(string_split(ad_sector_names, '|')) AS s FROM {projects}"

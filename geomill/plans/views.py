@@ -4,7 +4,7 @@ Each view is one SELECT in SQL that both Spark and DuckDB read (`//` is whole di
 tables or other views. Polygons are given by the corners of their rings (part, ring, k). `shape_corners` are polygons of five corners, one
 inward, in the boxes of `features`, some with a hole and some with a second part; that of feature 24 is too small to hold a sub-cell's
 centre. `country_corners` are countries with crooked borders that neighbours share; RG1 has a hole that is the second part of RG2, and
-RG3 has one that is no country's. `areas` are administrative boxes of levels 1 to 3. Grid: 3 degree pixels from (-180, 90), 60 rows, 120 columns; sub-cells of 0.3 degrees, counted from the west
+RG3 has one that is no country's. `areas` are administrative boxes of levels 1 to 3; in RG4 those of level 3 have the outlines of level 1. Grid: 3 degree pixels from (-180, 90), 60 rows, 120 columns; sub-cells of 0.3 degrees, counted from the west
 (sc) and the north (sr).
 """
 
@@ -64,7 +64,7 @@ VIEWS = {
         UNION ALL SELECT 100 + asdf_id, iso3, 2, minx, miny, minx + CAST(0.4137 AS DOUBLE) * (maxx - minx), maxy FROM {boxes}
         UNION ALL SELECT 200 + asdf_id, iso3, 2, minx + CAST(0.4137 AS DOUBLE) * (maxx - minx), miny, maxx, maxy FROM {boxes}
         UNION ALL SELECT 300 + asdf_id, iso3, 3, minx, miny, maxx, miny + CAST(0.617 AS DOUBLE) * (maxy - miny) FROM {boxes} WHERE iso3 <> 'RG4'
-        UNION ALL SELECT 300 + asdf_id, iso3, 3, minx, miny, maxx, maxy FROM {boxes} WHERE iso3 = 'RG3' AND asdf_id > 25""",
+        UNION ALL SELECT 400 + asdf_id, iso3, 3, minx, miny, maxx, maxy FROM {boxes} WHERE iso3 = 'RG4'""",
     "adm0": """SELECT CAST(r_regionkey AS BIGINT) AS region_id, 'RG' || CAST(r_regionkey AS STRING) AS iso3, r_name AS country, 240 * r_regionkey AS sc0, 240 * (r_regionkey + 1) AS sc1, 0 AS sr0, 600 AS sr1 FROM {region}""",
     "projects": f"""SELECT CAST(o_orderkey AS STRING) AS project_id, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS total_commitments, o_totalprice * CAST(0.5 AS DOUBLE) AS total_disbursements,
         CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS is_geocoded, CAST(year(o_orderdate) AS INT) AS transactions_start_year, CAST(year(o_orderdate) + o_custkey % 3 AS INT) AS transactions_end_year,
