@@ -162,9 +162,8 @@ def touched_geometries(features: DataFrame, unique: DataFrame, countries: DataFr
     circle does and the country that clips it does. Stage `unique`: it is read more than once."""
     met = touching(features, unique.select("hash", "polygons"), "asdf_id", "hash").join(unique.select("hash", "iso3", F.col("unique_dollars").alias("dollars")), "hash")
     clipping = countries.join(unique.select("iso3").distinct(), "iso3", "left_semi").select("iso3", "polygons")
-    held = touching(features, clipping, "asdf_id", "iso3")
-    whole = met.filter("iso3 IS NULL").unionByName(met.filter("iso3 IS NOT NULL").join(held, ["asdf_id", "iso3"], "left_semi").select(*met.columns))
-    return whole.select("asdf_id", "hash", "dollars")
+    held = touching(features, clipping, "asdf_id", "iso3").withColumn("_held", F.lit(True))
+    return met.join(held, ["asdf_id", "iso3"], "left").filter("iso3 IS NULL OR _held").select("asdf_id", "hash", "dollars")
 
 
 MAX_TOKENS = 10_000  # of 100 bytes or so: lists up to this are broadcast, longer ones are joined as Spark chooses

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geomill.operators import merge as M
 from geomill.operators import requests as Q
 from geomill.operators.zonal import zonal_many
-from geomill.plans.q_zonal import METHOD_SQL, WEIGHTS_SQL, weights
+from geomill.plans.q_zonal import METHOD_SQL, WEIGHTS_SQL, all_of, pixels, weights
 from geomill.plans.registry import Views, query
 from geomill.plans.views import NOW
 
@@ -31,7 +31,7 @@ _WIDE = [("ras_2000", "mean"), ("ras_2000", "sum"), ("ras_2001", "mean"), ("ras_
     SELECT f.asdf_id, {", ".join(f"round(max(CASE WHEN resource = '{r}' THEN z.{m} END), 4) AS ras_{r[4:]}_{m}" for r, m in _WIDE)}, f.name, f.iso3 FROM {{features}} f LEFT JOIN z ON z.asdf_id = f.asdf_id GROUP BY f.asdf_id, f.name, f.iso3""",
 )
 def mrg_wide(v: Views) -> DataFrame:
-    stats = zonal_many(v.pixels, weights(v), ("mean", "sum", "max"))
+    stats = zonal_many(pixels(v), weights(v), ("mean", "sum", "max"), **all_of(v))
     field = lambda m: F.concat(F.lit("ras."), F.substring("resource", 5, 4), F.lit(f".{m}"))
     long = stats.select("asdf_id", F.explode(F.array(*(F.struct(field(m).alias("field"), F.col(m).alias("value")) for m in ("mean", "sum", "max")))).alias("s")).select("asdf_id", "s.*")
     order = [f"ras.{r[4:]}.{m}" for r, m in _WIDE]

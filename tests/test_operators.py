@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geomill.functions import geometry as G
-from geomill.operators import merge, rasterize, release, requests, surface, work, zonal
+from geomill.operators import merge, outline, rasterize, release, requests, surface, work, zonal
 
 GRID = {"minx": 0.0, "maxy": 10.0, "px": 1.0, "nrows": 10, "ncols": 10}
 
@@ -52,7 +52,7 @@ def test_zonal_laws(spark):
 
 def test_point_in_polygon_with_hole(spark):
     points = spark.createDataFrame([(0, 2.5, 2.5), (1, 3.5, 3.5), (2, 7.0, 7.0), (3, 2.0, 2.0)], "id long, lon double, lat double")
-    held = rasterize.point_in_polygon(points, polygons(spark, [SQUARE, HOLE]), tile=1.0)
+    held = outline.point_in_polygon(points, polygons(spark, [SQUARE, HOLE]))
     assert sorted(r.id for r in held.collect()) == [0, 3]
 
 
