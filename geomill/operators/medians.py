@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 from geomill.sources.tables import staged
 
 BINS, KEEP = 1024, 2048
+LARGEST = 1.7976931348623157e308
 
 
 def _part(value: Column, low: Column, high: Column) -> Column:
-    """The number of a value's part of [low, high]; never falling as the value rises."""
-    width = high / 2 - low / 2  # of half the interval, which does not overflow
-    return F.least(F.lit(BINS - 1), F.floor((value / 2 - low / 2) / width * BINS)).cast("int")
+    """The number of a value's part of [low, high]: 0 for `low`, the last for `high`, never falling in between. Halves do not overflow."""
+    low, high = F.greatest(low, F.lit(-LARGEST)), F.least(high, F.lit(LARGEST))
+    width = high / 2 - low / 2
+    share = F.least(F.lit(float(BINS - 1)), F.greatest(F.lit(0.0), (F.least(high, F.greatest(low, value)) / 2 - low / 2) / width * BINS))
+    return F.when(width > 0, F.floor(share)).when(value > low, 1).otherwise(0).cast("int")
 
 
 def medians(values: DataFrame, *keys: str, value: str = "value") -> DataFrame:

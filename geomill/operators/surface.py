@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,37 +194,84 @@ def filter_combos(df: DataFrame, sectors: int = 2, donors: int = 1) -> DataFrame
     return _combinations(tokens("ad_sector_names"), "sectors", sectors).crossJoin(_combinations(donor_tokens, "donors", 0 if few else donors))
 
 
+def _parts(own: DataFrame, chosen: DataFrame) -> DataFrame:
+    """own, token: the chosen tokens that are part of each text (own). An automaton of the chosen tokens reads each text once; if they are more than
+    MAX_TOKENS they do not go to every task, but meet the texts in a join."""
+    tokens = [r.token for r in chosen.select("token").distinct().limit(MAX_TOKENS + 1).collect()]
+    if len(tokens) > MAX_TOKENS:
+        return own.join(chosen.select("token").distinct(), F.contains(F.col("own"), F.col("token")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = ahocorasick.Automaton()
+        for t in tokens:
+            search.add_word(t, t)
+        search.make_automaton()
+        for batch in batches:
+            found = [(text, t) for text in batch["own"].to_pylist() if tokens and text is not None for t in {t for _, t in search.iter(text)}]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.string()) for k in (0, 1)], ["own", "token"])
+
+    return own.mapInArrow(run, "own string, token string")
+
+
 def _held_tokens(strings: DataFrame, column: str, chosen: DataFrame) -> DataFrame:
     """id, token: the chosen tokens that are part of each string (a token is part of a string if it is of one of its tokens), and `""`, which
     all hold. Tokens are compared with tokens, and strings meet them by equality."""
     own = strings.select("id", F.explode(F.array_distinct(pipe_split(F.col(column)))).alias("own"))
-    parts = own.select("own").distinct().join(chosen.select("token").distinct(), F.contains(F.col("own"), F.col("token")))
-    found = own.join(parts, "own").select("id", "token").distinct()
+    found = own.join(_parts(own.select("own").distinct(), chosen), "own").select("id", "token").distinct()
     return found.unionByName(strings.select("id", F.lit("").alias("token")))
 
 
+def _small_sets(strings: DataFrame, combos: DataFrame, sectors: DataFrame, donors: DataFrame) -> DataFrame:
+    """sectors, donors, count, adjusted of combinations of at most two sectors and one donor, from counts of single tokens and of pairs that meet
+    in a string: a set of two matches what either matches less what both do, and money is a sum over whole tokens. No combination
+    ever meets a string."""
+    by_donor = donors.withColumnRenamed("token", "donor").join(strings.select("id", "n", "dollars"), "id")
+    held = staged(sectors.withColumnRenamed("token", "sector"), "held-sectors")
+    single = held.join(by_donor, "id").groupBy("sector", "donor").agg(F.sum("n").alias("n"))
+    tokens = pipe_split(F.col("ad_sector_names"))
+    shares = strings.select("id", F.explode(tokens).alias("sector"), (F.lit(1.0) / F.size(tokens)).alias("share")).groupBy("id", "sector").agg(F.sum("share").alias("share"))
+    shares = shares.unionByName(strings.select("id", F.lit("").alias("sector"), F.lit(1.0).alias("share")))
+    money = shares.join(by_donor, "id").groupBy("sector", "donor").agg(F.sum(F.col("share") * F.col("dollars")).alias("adjusted"))
+    single = staged(single.join(money, ["sector", "donor"], "left"), "single-tokens")
+    real = held.filter("sector != ''")
+    pairs = real.withColumnRenamed("sector", "first").join(real.withColumnRenamed("sector", "second"), "id").filter("first < second")
+    pairs = pairs.join(by_donor, "id").groupBy("first", "second", "donor").agg(F.sum("n").alias("both"))
+    token = lambda c, k: F.coalesce(F.get(c, F.lit(k)), F.lit(""))
+    asked = combos.select("sectors", "donors", token("sectors", 0).alias("first"), F.get("sectors", F.lit(1)).alias("second"), token("donors", 0).alias("donor"))
+    of = lambda name: single.select(F.col("sector").alias(name), "donor", F.col("n").alias(f"n_{name}"), F.col("adjusted").alias(f"a_{name}"))
+    met = asked.join(of("first"), ["first", "donor"], "left").join(of("second"), ["second", "donor"], "left").join(pairs, ["first", "second", "donor"], "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return met.select("sectors", "donors", (zero("n_first") + zero("n_second") - zero("both")).alias("count"), (F.coalesce("a_first", F.lit(0.0)) + F.coalesce("a_second", F.lit(0.0))).alias("adjusted"))
+
+
+def _any_sets(strings: DataFrame, combos: DataFrame, sectors: DataFrame, donors: DataFrame) -> DataFrame:
+    """The same of sets of any size: combinations meet the strings that hold one of their tokens."""
+    asked = lambda column: F.explode(F.when(F.size(column) == 0, F.array(F.lit(""))).otherwise(F.col(column)))
+    wanted = combos.select("combo", asked("sectors").alias("sector"), "donors").select("combo", "sector", asked("donors").alias("donor"))
+    held = sectors.withColumnRenamed("token", "sector").join(donors.withColumnRenamed("token", "donor"), "id")
+    both = wanted.join(held, ["sector", "donor"]).select("combo", "id").distinct().join(strings, "id").join(combos, "combo")
+    tokens = pipe_split(F.col("ad_sector_names"))
+    ratio = F.when(F.size("sectors") == 0, 1.0).otherwise(F.size(F.filter(tokens, lambda t: F.array_contains(F.col("sectors"), t))) / F.size(tokens))
+    return both.groupBy("sectors", "donors").agg(F.sum("n").alias("count"), F.sum(ratio * F.col("dollars")).alias("adjusted"))
+
+
 def combo_stats(df: DataFrame, combos: DataFrame) -> DataFrame:
     """Per combination: count of matching locations, sum of adjusted money, percentage of the total cut to 3 decimals, hash.
 
     Rows (ad_sector_names, donors, split_dollars_pp) are summed per distinct pair of strings first: adjusted money is linear
     in the split money. A location matches when a chosen sector and a chosen donor are substrings of its strings; its money
-    counts by the share of whole tokens chosen. Combinations and strings meet by equality of tokens. Dropped: no location; under
+    counts by the share of whole tokens chosen. Sets of up to two sectors and one donor are counted from tokens and pairs of them
+    (`_small_sets`), others by joining combinations and strings on tokens. Dropped: no location; under
     10 locations with more than one field chosen; no money.
     """
     strings = df.groupBy("ad_sector_names", "donors").agg(F.count("*").alias("n"), F.sum("split_dollars_pp").alias("dollars")).withColumnRenamed("donors", "donor_names")
     strings = staged(strings.withColumn("id", F.monotonically_increasing_id()), "combo-strings")
     combos = staged(combos.withColumn("combo", F.monotonically_increasing_id()), "combos")
     total = df.agg(F.sum("split_dollars_pp").alias("total"))
-    asked = lambda column: F.explode(F.when(F.size(column) == 0, F.array(F.lit(""))).otherwise(F.col(column)))
-    wanted = combos.select("combo", asked("sectors").alias("sector"), "donors").select("combo", "sector", asked("donors").alias("donor"))
-    sectors = _held_tokens(strings, "ad_sector_names", wanted.select(F.col("sector").alias("token")).filter("token != ''"))
-    donors = _held_tokens(strings, "donor_names", wanted.select(F.col("donor").alias("token")).filter("token != ''"))
-    held = sectors.withColumnRenamed("token", "sector").join(donors.withColumnRenamed("token", "donor"), "id")
-    matched = wanted.join(held, ["sector", "donor"]).select("combo", "id").distinct()
-    both = matched.join(strings, "id").join(combos, "combo")
-    tokens = pipe_split(F.col("ad_sector_names"))
-    ratio = F.when(F.size("sectors") == 0, 1.0).otherwise(F.size(F.filter(tokens, lambda t: F.array_contains(F.col("sectors"), t))) / F.size(tokens))
-    found = both.groupBy("sectors", "donors").agg(F.sum("n").alias("count"), F.sum(ratio * F.col("dollars")).alias("adjusted"))
+    chosen = lambda column: combos.select(F.explode(column).alias("token")).distinct()
+    sectors, donors = staged(_held_tokens(strings, "ad_sector_names", chosen("sectors")), "held-sectors"), staged(_held_tokens(strings, "donor_names", chosen("donors")), "held-donors")
+    small = combos.filter("size(sectors) > 2 OR size(donors) > 1").isEmpty()
+    found = (_small_sets if small else _any_sets)(strings, combos, sectors, donors)
     fields = (F.size("sectors") > 0).cast("int") + (F.size("donors") > 0).cast("int")
     kept = found.filter((F.col("count") > 0) & ~((F.col("count") < 10) & (fields > 1)) & (F.col("adjusted") > 0)).crossJoin(F.broadcast(total))
     named = lambda name, c: F.when(F.size(c) > 0, F.concat(F.lit(name), F.array_join(c, "|"))).otherwise("")

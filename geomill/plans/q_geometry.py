@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geomill.functions import geometry as G
 from geomill.operators import outline as O
 from geomill.operators import rasterize as R
+from geomill.operators.validity import all_issues
 from geomill.plans.registry import Views, query
 from geomill.plans.views import GRID
 from geomill.sources.tables import staged
@@ -150,17 +151,27 @@ def geo_clip_buffer(v: Views) -> DataFrame:
     return R.clip_buffers(places, countries(v), **GRID).join(places.drop("metres"), "geom").select("lon", "lat", "iso3", "grid_row", "grid_col", "cover")
 
 
-@query("geo_validity", """SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 'open ring' WHEN 2 THEN 'few points|zero area' WHEN 3 THEN 'zero area' WHEN 4 THEN 'non-finite' ELSE '' END AS issues FROM {catalog}""")
+_ISSUES = ("", "open ring", "few points|spike|zero area", "spike|zero area", "non-finite", "crossing", "spike|touching", "touching rings", "crossing")
+
+
+@query("geo_validity", "SELECT p_partkey, CASE p_partkey % 9 " + " ".join(f"WHEN {k} THEN '{names}'" for k, names in enumerate(_ISSUES)) + " END AS issues FROM {catalog}")
 def geo_validity(v: Views) -> DataFrame:
+    """Boxes spoilt in eight ways: among them bow ties, spikes, and holes that touch or cross the border."""
     ring = G.polygon_of_box(row_box())[0][0]
-    n = F.col("p_partkey") % 5
+    n = F.col("p_partkey") % 9
     point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
-    west, south, east = F.col("minx"), F.col("miny"), F.col("maxx")
+    west, south, east, north = F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy")
+    across, up = (lambda share: west + (east - west) * share), (lambda share: south + (north - south) * share)
     flat = F.array(point(west, south), point(east, south), point(west, south), point(west, south))
     short = F.array(point(west, south), point(east, south), point(west, south))
     broken = F.transform(ring, lambda p: point(F.when(p["x"] == east, F.lit(float("nan"))).otherwise(p["x"]), p["y"]))
-    bent = F.when(n == 1, F.slice(ring, 1, 4)).when(n == 2, short).when(n == 3, flat).when(n == 4, broken).otherwise(ring)
-    return v.catalog.select("p_partkey", F.array_join(G.geometry_issues(F.array(F.array(bent))), "|").alias("issues"))
+    tie = F.array(point(west, south), point(east, north), point(east, south), point(west, up(0.7)), point(west, south))
+    spike = F.array(point(west, south), point(west, north), point(east, north), point(east, south), point(across(0.5), south), point(across(0.5), up(-0.4)), point(across(0.5), south), point(west, south))
+    touching = F.array(point(west, up(0.5)), point(across(0.3), up(0.7)), point(across(0.4), up(0.3)), point(west, up(0.5)))
+    crossing = F.array(point(across(0.5), up(0.5)), point(across(1.3), up(0.6)), point(across(0.6), up(0.2)), point(across(0.5), up(0.5)))
+    bent = F.when(n == 1, F.slice(ring, 1, 4)).when(n == 2, short).when(n == 3, flat).when(n == 4, broken).when(n == 5, tie).when(n == 6, spike).otherwise(ring)
+    rings = F.when(n == 7, F.array(bent, touching)).when(n == 8, F.array(bent, crossing)).otherwise(F.array(bent))
+    return all_issues(v.catalog.select("p_partkey", F.array(rings).alias("polygons")), "p_partkey").select("p_partkey", F.array_join("issues", "|").alias("issues"))
 
 
 @query("geo_area", """SELECT boundary, asdf_id, round((maxx - minx) * (maxy - miny), 6) AS area, round(sum((maxx - minx) * (maxy - miny)) OVER (PARTITION BY boundary), 6) AS total FROM {boxes}""")
