@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geomill.functions.geometry import polygons_box
 from geomill.operators.surface import build_surface
 from geomill.operators.zonal import zonal_many
-from geomill.plans.q_geometry import polygons
+from geomill.plans.q_geometry import shapes
 from geomill.plans.q_release import _CELLS, money, surface_cells
 from geomill.plans.q_zonal import METHOD_SQL, WEIGHTS_SQL, all_of, pixels, weights
 from geomill.plans.registry import Views, query
@@ -42,27 +43,27 @@ def src_release(v: Views) -> DataFrame:
     return r["projects"].join(count("locations"), "project_id", "left").join(count("transactions"), "project_id", "left").select("project_id", "total_commitments", "n_locations", "n_transactions")
 
 
-@query("src_features", "SELECT row_number() OVER (ORDER BY asdf_id) - 1 AS asdf_id, name, iso3, round(minx, 6) AS minx, round(maxy, 6) AS maxy, 5 AS n_points FROM {boxes}")
+@query("src_features", "SELECT asdf_id, name, iso3, round(minx, 6) AS minx, round(maxy, 6) AS maxy, (SELECT count(*) FROM {shape_corners} c WHERE c.asdf_id = b.asdf_id) AS n_points FROM (SELECT asdf_id, min(x) AS minx, max(y) AS maxy FROM {shape_corners} GROUP BY asdf_id) AS b JOIN (SELECT asdf_id, name, iso3 FROM {boxes}) AS n USING (asdf_id)")
 def src_features(v: Views) -> DataFrame:
-    from geomill.functions.geometry import polygons_box
-
+    """Polygons with holes and parts, written as GeoJSON a feature a line and read back."""
     path = T.scratch(v.spark, "features")
     props = F.create_map(F.lit("name"), F.col("name"), F.lit("iso3"), F.col("iso3"))
-    T.geojson(polygons(v).select("asdf_id", props.alias("properties"), "polygons")).write.text(path)
-    read = T.read_features(v.spark, path).withColumn("b", polygons_box(F.col("polygons")))
-    return read.select("asdf_id", F.col("properties.name").alias("name"), F.col("properties.iso3").alias("iso3"), F.round("b.minx", 6).alias("minx"), F.round("b.maxy", 6).alias("maxy"), F.size(F.flatten(F.flatten("polygons"))).alias("n_points"))
+    T.write_feature_lines(shapes(v).join(v.boxes.select("asdf_id", props.alias("properties")), "asdf_id"), path)
+    read = T.read_feature_lines(v.spark, path).withColumn("b", polygons_box(F.col("polygons")))
+    return read.select("asdf_id", F.col("properties.name").alias("name"), F.col("properties.iso3").alias("iso3"), F.round("b.minx", 6).alias("minx"), F.round("b.maxy", 6).alias("maxy"), F.size(F.flatten(F.flatten("polygons"))).cast("long").alias("n_points"))
 
 
-@query("src_ascii_grid", "SELECT CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col, value, -180.0::DOUBLE AS minx, 90.0::DOUBLE AS maxy, 60 AS nrows, 120 AS ncols FROM (SELECT unnest(range(60)) AS r) AS rr CROSS JOIN (SELECT unnest(range(120)) AS c) AS cc LEFT JOIN (SELECT * FROM {pixels} WHERE resource = 'ras_2000') AS p ON p.grid_row = r AND p.grid_col = c")
+@query("src_ascii_grid", "SELECT g.resource, CAST(r AS INT) AS grid_row, CAST(c AS INT) AS grid_col, value, -180.0::DOUBLE AS minx, 90.0::DOUBLE AS maxy, 60 AS nrows, 120 AS ncols FROM {grids} AS g CROSS JOIN (SELECT unnest(range(60)) AS r) AS rr CROSS JOIN (SELECT unnest(range(120)) AS c) AS cc LEFT JOIN {pixels} AS p ON p.resource = g.resource AND p.grid_row = r AND p.grid_col = c")
 def src_ascii_grid(v: Views) -> DataFrame:
-    path = T.scratch(v.spark, "grid")
-    T.ascii_grid(v.pixels.filter("resource = 'ras_2000'"), **GRID).select("value").write.text(path)
-    return T.read_ascii_grid(v.spark, path).select("grid_row", "grid_col", "value", "minx", "maxy", "nrows", "ncols")
+    """All rasters, a file each."""
+    path = T.scratch(v.spark, "grids")
+    T.write_ascii_grids(v.pixels, path, **GRID)
+    return T.read_ascii_grid(v.spark, path).select(F.regexp_extract("path", "resource=([^/]+)", 1).alias("resource"), "grid_row", "grid_col", "value", "minx", "maxy", "nrows", "ncols")
 
 
-@query("src_resource_scan")
+@query("src_resource_scan", "SELECT 'resource=' || resource AS folder, 1::BIGINT AS n_files, true AS has_bytes FROM {grids}")
 def src_resource_scan(v: Views) -> DataFrame:
-    """Rows only: one file per raster of the pixel table, found below its folder."""
+    """One file per raster of the pixel table, found below its folder."""
     base = T.scratch(v.spark, "rasters")
     v.pixels.select("resource", "grid_row", "grid_col", "value").repartition("resource").write.partitionBy("resource").parquet(base)
     files = T.scan_resources(v.spark, base, ".parquet", "resource=ras_YYYY")

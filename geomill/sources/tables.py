@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,7 +70,19 @@ def read_release(spark: SparkSession, base: str, schemas: dict[str, str]) -> dic
     return out
 
 
-_POINT, _RINGS = "array<double>", "array<array<array<double>>>"
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files: file, nth (from 0 in each file), value, and columns that folders give. Files are split as Spark splits them: a line's number is its
+    place in its block after the lines of the blocks before, which are counted first."""
+    lines = spark.read.text(path)
+    folders = [c for c in lines.columns if c != "value"]
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), *folders, "value", F.monotonically_increasing_id().alias("_at"))
+    blocks = lines.groupBy("file", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_block")) - F.col("_n")  # a row for each block of a file
+    blocks = staged(blocks.select("file", "_block", "_first", before.alias("_before")), "blocks")
+    return lines.join(blocks, ["file", "_block"]).select("file", (F.col("_at") - F.col("_first") + F.col("_before")).alias("nth"), *folders, "value")
+
+
+_RINGS = "array<array<array<double>>>"
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
@@ -83,10 +95,42 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     sizes = read.select("file", F.size("features").alias("n"))  # one row per file
     before = sizes.select("file", (F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
     features = read.select("file", F.posexplode("features").alias("nth", "f")).join(before, "file")
-    rings = F.when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json(F.col("f.geometry.coordinates"), _RINGS))).otherwise(F.from_json(F.col("f.geometry.coordinates"), f"array<{_RINGS}>"))
+    return features.select("file", (F.col("before") + F.col("nth")).cast("long").alias("asdf_id"), F.col("f.properties").alias("properties"), _polygons(F.col("f.geometry")).alias("polygons"))
+
+
+def _feature_line() -> Column:
+    """A feature (asdf_id, properties, polygons) as GeoJSON."""
+    coordinates = F.to_json(F.transform("polygons", lambda part: F.transform(part, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))))
+    head = F.concat(F.lit('{"type": "Feature", "id": '), F.col("asdf_id").cast("string"), F.lit(', "properties": '), F.coalesce(F.to_json("properties"), F.lit("null")))
+    return F.concat(head, F.lit(', "geometry": {"type": "MultiPolygon", "coordinates": '), F.coalesce(coordinates, F.lit("[]")), F.lit("}}"))
+
+
+def write_feature_lines(features: DataFrame, path: str) -> None:
+    """Features (asdf_id, properties, polygons) as GeoJSON text sequences, one feature a line, written side by side."""
+    features.select(_feature_line().alias("value")).write.text(path)
+
+
+def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
+    """GeoJSON with one feature a line, as a sequence or as a collection whose features have lines of their own: file, asdf_id, properties,
+    polygons. Files are split, so a collection may be of any size. asdf_id is the feature's `id` if that is a whole number, else its number in
+    its file, from 0. Other lines (the collection's own) are passed over; for collections on one line see `read_features`."""
+    schema = "struct<type: string, id: string, properties: map<string,string>, geometry: struct<type: string, coordinates: string>>"
+    text = F.regexp_replace(F.trim("value"), r",$", "")
+    whole = F.when(text.startswith("{") & text.endswith("}"), F.from_json(text, schema))
+    lines = numbered_lines(spark, path).select("file", "nth", whole.alias("f")).withColumn("is", F.coalesce(F.col("f.type") == "Feature", F.lit(False)))
+    passed = lines.filter(~F.col("is")).groupBy("file").agg(F.collect_list("nth").alias("passed"))
+    features = lines.filter("is").join(passed, "file", "left")
+    number = F.col("nth") - F.coalesce(F.size(F.filter("passed", lambda k: k < F.col("nth"))), F.lit(0))
+    own = F.when(F.col("f.id").rlike(r"^-?[0-9]{1,18}$"), F.col("f.id").cast("long"))
+    return features.select("file", F.coalesce(own, number).cast("long").alias("asdf_id"), F.col("f.properties").alias("properties"), _polygons(F.col("f.geometry")).alias("polygons"))
+
+
+def _polygons(geometry: Column) -> Column:
+    """The polygons of a geometry struct (type, coordinates as JSON); null of another type."""
+    text = geometry["coordinates"]
+    rings = F.when(geometry["type"] == "Polygon", F.array(F.from_json(text, _RINGS))).when(geometry["type"] == "MultiPolygon", F.from_json(text, f"array<{_RINGS}>"))
     point = lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
-    polygons = F.transform(rings, lambda part: F.transform(part, lambda r: F.transform(r, point)))
-    return features.select("file", (F.col("before") + F.col("nth")).cast("long").alias("asdf_id"), F.col("f.properties").alias("properties"), polygons.alias("polygons"))
+    return F.transform(rings, lambda part: F.transform(part, lambda r: F.transform(r, point)))
 
 
 def geojson(features: DataFrame) -> DataFrame:
@@ -104,14 +148,16 @@ HEADER = ("ncols", "nrows", "xllcorner", "xllcenter", "yllcorner", "yllcenter",
 def read_ascii_grid(spark: SparkSession, path: str) -> DataFrame:
     """ESRI ASCII grids as pixels: path, grid_row, grid_col, value, and the grid's minx, maxy, pixel_size, nrows, ncols. Header lines are
     known by their keyword, so there may be a nodata line or none, and the origin may be a corner or a cell's centre; nodata is
-    null. A file is one value, read by one task."""
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split("value", r"\r?\n").alias("lines"))
-    known = rf"(?i)^\s*({'|'.join(HEADER)})\s"
-    header = F.map_from_entries(F.transform(F.filter("lines", lambda t: t.rlike(known)), lambda t: F.struct(F.lower(F.split(F.trim(t), r"\s+")[0]), F.split(F.trim(t), r"\s+")[1].cast("double"))))
+    null. A line is a row of the grid, and files are split by lines, so a raster may be of any size; blank lines count for nothing."""
+    lines = numbered_lines(spark, path)
+    words = F.split(F.trim("value"), r"\s+")
+    header, blank = F.lower(words[0]).isin(*HEADER), F.trim("value") == ""
+    entry = F.when(header, F.struct(F.lower(words[0]), F.get(words, F.lit(1)).cast("double")))
+    heads = lines.filter(header | blank).groupBy("file").agg(F.collect_list("nth").alias("passed"), F.map_from_entries(F.collect_list(entry)).alias("header"))
     h = lambda key: F.try_element_at("header", F.lit(key))
-    body = F.filter("lines", lambda t: ~t.rlike(known) & (F.trim(t) != ""))
-    rows = lines.select("path", header.alias("header"), F.posexplode(body).alias("grid_row", "line"))
-    cells = rows.select("path", "header", "grid_row", F.posexplode(F.split(F.trim("line"), r"\s+")).alias("grid_col", "text"))
+    rows = lines.filter(~header & ~blank).join(heads, "file")
+    rows = rows.withColumn("grid_row", (F.col("nth") - F.size(F.filter("passed", lambda k: k < F.col("nth")))).cast("int"))
+    cells = rows.select(F.col("file").alias("path"), "header", "grid_row", F.posexplode(words).alias("grid_col", "text"))
     value, size = F.col("text").cast("double"), h("cellsize")
     origin = lambda axis: F.coalesce(h(f"{axis}llcorner"), h(f"{axis}llcenter") - size / 2)
     return cells.select(
@@ -120,17 +166,19 @@ def read_ascii_grid(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def ascii_grid(pixels: DataFrame, minx: float, maxy: float, px: float, nrows: int, ncols: int, nodata: float = -9999.0) -> DataFrame:
-    """(resource, value): the text of an ESRI ASCII grid per raster, missing pixels as nodata. Rows are made side by side; a raster's
-    text is one value."""
+def write_ascii_grids(pixels: DataFrame, path: str, minx: float, maxy: float, px: float, nrows: int, ncols: int, nodata: float = -9999.0) -> None:
+    """One ESRI ASCII grid per raster, in a folder `resource=<name>`; missing pixels are nodata. Lines are made side by side, and a raster's file is
+    streamed in order, line by line; no task holds a raster."""
     rows = pixels.groupBy("resource", "grid_row").agg(F.map_from_entries(F.collect_list(F.struct("grid_col", "value"))).alias("m"))
-    cell = lambda c: F.coalesce(F.element_at("m", c), F.lit(nodata)).cast("string")
-    lines = rows.select("resource", "grid_row", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(ncols - 1)), cell), " ").alias("line"))
-    body = lines.groupBy("resource").agg(F.map_from_entries(F.collect_list(F.struct("grid_row", "line"))).alias("m"))
+    cell = lambda c: F.coalesce(F.try_element_at("m", c), F.lit(nodata)).cast("string")
+    made = rows.select("resource", "grid_row", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(ncols - 1)), cell), " ").alias("value"))
+    each = pixels.select("resource").distinct()
     blank = " ".join([str(nodata)] * ncols)
-    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(nrows - 1)), lambda r: F.coalesce(F.element_at("m", r), F.lit(blank))), "\n")
-    header = f"ncols {ncols}\nnrows {nrows}\nxllcorner {minx}\nyllcorner {maxy - nrows * px}\ncellsize {px}\nNODATA_value {nodata}\n"
-    return body.select("resource", F.concat(F.lit(header), text).alias("value"))
+    every = each.select("resource", F.explode(F.sequence(F.lit(0), F.lit(nrows - 1))).alias("grid_row")).join(made, ["resource", "grid_row"], "left").withColumn("value", F.coalesce("value", F.lit(blank)))
+    header = (f"ncols {ncols}", f"nrows {nrows}", f"xllcorner {minx}", f"yllcorner {maxy - nrows * px}", f"cellsize {px}", f"NODATA_value {nodata}")
+    heads = each.select("resource", F.posexplode(F.array(*map(F.lit, header))).alias("k", "value")).select("resource", (F.col("k") - len(header)).alias("grid_row"), "value")
+    ordered = heads.unionByName(every).repartition("resource").sortWithinPartitions("resource", "grid_row")
+    ordered.select("resource", "value").write.partitionBy("resource").text(path)
 
 
 def scan_resources(spark: SparkSession, base: str, extension: str, mask: str | None) -> DataFrame:

@@ -227,3 +227,27 @@ def test_empty_tables(spark):
     pixels = spark.createDataFrame([], "resource string, grid_row int, grid_col int, value double")
     weights = spark.createDataFrame([], "asdf_id long, grid_row int, grid_col int, cover long")
     assert zonal.zonal_many(pixels, weights).count() == 0
+
+
+def test_combinations_are_counted_without_pairs(spark):
+    """Substrings, repeated tokens and nulls: the same from tokens and pairs as from all matches, and no nested-loop join."""
+    sectors = ["Health", "Health Policy", "Water", "Wat", "Roads", "Energy|Water", "Water|Water|Roads", "Health Policy|Energy", "Policy", None]
+    rows = [(sectors[k % 10], f"D{k % 3}" + ("|D1" if k % 4 == 0 else ""), float(k % 7)) for k in range(200)]
+    df = spark.createDataFrame(rows, "ad_sector_names string, donors string, split_dollars_pp double")
+    combos = surface.filter_combos(df)
+    strings = df.groupBy("ad_sector_names", "donors").agg(F.count("*").alias("n"), F.sum("split_dollars_pp").alias("dollars")).withColumnRenamed("donors", "donor_names")
+    strings = surface.staged(strings.withColumn("id", F.monotonically_increasing_id()), "strings")
+    combos = surface.staged(combos.withColumn("combo", F.monotonically_increasing_id()), "combos")
+    held = [surface._held_tokens(strings, c, combos.select(F.explode(t).alias("token")).distinct()) for c, t in (("ad_sector_names", "sectors"), ("donor_names", "donors"))]
+    rows = lambda df: {("|".join(r.sectors), "|".join(r.donors)): (r["count"], pytest.approx(r.adjusted)) for r in df.filter("count > 0").collect()}
+    assert rows(surface._small_sets(strings, combos, *held)) == rows(surface._any_sets(strings, combos, *held))
+    plan = surface._small_sets(strings, combos, *held)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_many_sectors(spark):
+    df = spark.createDataFrame([(f"S{k % 300:03d}|S{k * 7 % 300:03d}", f"D{k % 5}", 1.0) for k in range(3000)], "ad_sector_names string, donors string, split_dollars_pp double")
+    stats = surface.combo_stats(df, surface.filter_combos(df))
+    one = {r.sectors: r["count"] for r in stats.filter("donors = '' AND sectors IN ('S005', 'S005|S035', '')").collect()}
+    holds = lambda *names: sum(any(n in {f"S{k % 300:03d}", f"S{k * 7 % 300:03d}"} for n in names) for k in range(3000))
+    assert one == {"": 3000, "S005": holds("S005"), "S005|S035": holds("S005", "S035")}

@@ -103,3 +103,34 @@ def test_catalog_resources_and_problems(spark):
 def test_sample_step(spark, dx, dy, px, step):
     box = G.box(F.lit(0.0), F.lit(0.0), F.lit(float(dx)), F.lit(float(dy)))
     assert spark.range(1).select(tracker.sample_step(box, F.lit(float(px))).alias("s")).first().s == step
+
+
+def test_large_files_are_split_by_lines(spark, tmp_path):
+    """A raster and a collection over many blocks: rows and ids are those of the whole file."""
+    n, m = 300, 40
+    head = ["NCOLS 40", "NROWS 300", "xllcorner 1", "yllcorner 2", "cellsize 0.5", "NODATA_value -1"]
+    body = [" ".join(str(-1 if (r + c) % 7 == 0 else r * m + c) for c in range(m)) for r in range(n)]
+    (tmp_path / "g.asc").write_text("\n".join([*head, *body[:100], "", *body[100:], ""]) + "\n")
+    collection = ['{"type": "FeatureCollection", "name": "x", "features": [']
+    shape = '{"type": "Polygon", "coordinates": [[[%d, 0], [%d, 1], [%d, 1], [%d, 0]]]}'
+    collection += ['{"type": "Feature", "properties": {"n": "%d é"}, "geometry": %s}%s' % (k, shape % (k, k, k + 1, k), "," if k < n - 1 else "") for k in range(n)] + ["]}"]
+    (tmp_path / "c.geojson").write_text("\n".join(collection), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert spark.read.text(str(tmp_path / "g.asc")).rdd.getNumPartitions() > 5
+        cells = {(r.grid_row, r.grid_col): r.value for r in tables.read_ascii_grid(spark, str(tmp_path / "g.asc")).collect()}
+        features = tables.read_feature_lines(spark, str(tmp_path / "c.geojson")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert cells == {(r, c): None if (r + c) % 7 == 0 else float(r * m + c) for r in range(n) for c in range(m)}
+    assert sorted((r.asdf_id, r.properties["n"], r.polygons[0][0][0].x) for r in features) == [(k, f"{k} é", float(k)) for k in range(n)]
+
+
+def test_feature_lines_round_trip(spark, tmp_path):
+    polygons = [[[(0.0, 0.0), (0.0, 1.5), (2.25, 1.0), (0.0, 0.0)], [(0.1, 0.2), (0.2, 0.3), (0.3, 0.2), (0.1, 0.2)]], [[(5.0, 5.0), (5.0, 6.0), (6.0, 6.0), (5.0, 5.0)]]]
+    df = spark.createDataFrame([(7, {"name": 'a "b", {c}\nd'}, polygons), (3, None, polygons[:1]), (12, {"name": None}, [])], "asdf_id long, properties map<string,string>, polygons array<array<array<struct<x:double,y:double>>>>").repartition(3)
+    tables.write_feature_lines(df, str(tmp_path / "out"))
+    key = lambda r: (r.asdf_id, r.properties and {k: v for k, v in r.properties.items() if v is not None}, r.polygons)
+    assert sorted(map(key, tables.read_feature_lines(spark, str(tmp_path / "out")).collect()), key=str) == sorted(map(key, df.collect()), key=str)
