@@ -110,7 +110,7 @@ def geometry_issues(polygons: Column) -> Column:
         issue(F.exists(rings, lambda r: F.size(r) < 4), "few points"),
         issue(F.exists(rings, lambda r: F.exists(r, lambda p: bad(p["x"]) | bad(p["y"]))), "non-finite"),
         issue(F.exists(rings, lambda r: (F.get(r, F.lit(0))["x"] != F.get(r, F.size(r) - 1)["x"]) | (F.get(r, F.lit(0))["y"] != F.get(r, F.size(r) - 1)["y"])), "open ring"),
-        issue(F.exists(rings, lambda r: ring_area(r) == 0), "zero area"),
+        issue(F.exists(rings, lambda r: ring_area(F.concat(r, F.slice(r, 1, 1))) == 0), "zero area"),  # an open ring is closed for this
     )
     return F.array_sort(F.array_compact(issues))
 
