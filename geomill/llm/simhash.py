@@ -35,7 +35,7 @@ from geomill.llm.common import documents, files_for, join_uneven, staged, text_o
 from geomill.llm.words import mix, word_hashes
 
 BITS, TERM, RADIUS = 64, 3, 3
-PIECE, CROWD, ROWS_PER_FILE = 1 << 14, 2048, 500_000
+PIECE, CROWD, ROWS_PER_FILE, ENTRIES_PER_TASK = 1 << 14, 2048, 500_000, 100_000
 U64 = np.uint64
 
 _places = np.random.Generator(np.random.PCG64(71_993)).integers(1, 1 << 63, TERM, dtype=np.uint64) * U64(2) + U64(1)
@@ -148,6 +148,8 @@ def within_radius(entries: DataFrame, radius: int = RADIUS) -> DataFrame:
     crowds = staged(crowds.withColumn("id", F.xxhash64("table", "key")), "crowded-keys", files_for(n, ROWS_PER_FILE))
     met = join_uneven(keyed.withColumn("id", F.xxhash64("table", "key")).drop("table", "key"), crowds, "id", "n", n * len(masks))
     met = met.select("id", "table", "key", "fingerprint", "copies", F.explode(_mates(F.col("n"))).alias("m")).select("id", "table", "key", "fingerprint", "copies", "m.*")
+    # comparing costs more than the few bytes of an entry tell, so entries are dealt by number
+    met = met.repartition(files_for(n * len(masks), ENTRIES_PER_TASK), "table", "key", "low", "high")
     counted = met.groupBy("table", "key", "low", "high").applyInArrow(_counter(radius, masks), "fingerprint long, near long, near_rows long")
     return counted.groupBy("fingerprint").agg(F.sum("near").alias("near"), F.sum("near_rows").alias("near_rows"))
 
