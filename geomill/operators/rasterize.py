@@ -1,6 +1,6 @@
-"""Polygon to grid cells, metric buffers, circles clipped to a country, and line simplification.
+"""Polygon to grid cells, metric buffers, and circles clipped to a country.
 
-Rasterising, buffering and simplifying are vectorised numpy helpers over Arrow batches; Spark deals out the rows.
+Rasterising and buffering are vectorised numpy helpers over Arrow batches; Spark deals out the rows.
 """
 
 from __future__ import annotations
@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -272,71 +271,3 @@ def clip_buffers(buffers: DataFrame, countries: DataFrame, minx: float, maxy: fl
             yield pa.RecordBatch.from_arrays([batch["geom"].take(pa.array(joined[0])), *values], ["geom", "grid_row", "grid_col", "cover"])
 
     return circles.mapInArrow(run, f"geom {buffers.schema['geom'].dataType.simpleString()}, grid_row int, grid_col int, cover long")
-
-
-# ---- simplification ----
-
-
-def douglas_peucker(points: np.ndarray, tolerance: float) -> np.ndarray:
-    """Which vertices stay: ends always, and those farther than `tolerance` from the line between kept ones."""
-    keep = np.zeros(len(points), bool)
-    keep[[0, -1]] = True
-    spans = [(0, len(points) - 1)]
-    while spans:
-        a, b = spans.pop()
-        if b - a < 2:
-            continue
-        line, off = points[b] - points[a], points[a + 1 : b] - points[a]
-        norm = np.hypot(*line)
-        away = np.abs(line[0] * off[:, 1] - line[1] * off[:, 0]) / norm if norm else np.hypot(off[:, 0], off[:, 1])
-        far = int(away.argmax())
-        if away[far] > tolerance:
-            keep[a + 1 + far] = True
-            spans += [(a, a + 1 + far), (a + 1 + far, b)]
-    return keep
-
-
-def _simple(polygons: list, tolerance: float) -> list:
-    out = []
-    for rings in polygons:
-        kept = []
-        for ring in rings:
-            points = np.array([(p["x"], p["y"]) for p in ring], float)
-            stay = douglas_peucker(points, tolerance)
-            kept.append([p for p, yes in zip(ring, stay, strict=True) if yes] if stay.sum() >= 4 else list(ring))
-        out.append(kept)
-    return out
-
-
-def simplify(df: DataFrame, tolerance: float = 0.01, key: str = "asdf_id") -> DataFrame:
-    """key, polygons: rings simplified by Douglas-Peucker; a ring that would lose its area stays as it is."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.assign(polygons=[_simple(p, tolerance) for p in frame["polygons"]])
-
-    return df.select(key, "polygons").mapInPandas(run, f"{key} long, polygons {POLYGONS}")
-
-
-def limit_chars(df: DataFrame, limit: int = 8_000_000, step: float = 0.0001, key: str = "asdf_id") -> DataFrame:
-    """key, polygons, tolerance: simplified by 0, step, 2 * step, ... until the coordinates' text is within `limit`, or
-    no vertex goes any more."""
-
-    def chars(polygons: list) -> int:
-        return sum(len(repr(float(p["x"]))) + len(repr(float(p["y"]))) + 6 for rings in polygons for ring in rings for p in ring)
-
-    def fit(polygons: list) -> tuple[list, float]:
-        k, now = 0, polygons
-        while chars(now) > limit and k * step < 90:
-            k += 1
-            now = _simple(polygons, k * step)
-            if sum(len(r) for rings in now for r in rings) <= 4 * sum(map(len, now)):
-                break
-        return now, k * step
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            done = [fit(p) for p in frame["polygons"]]
-            yield frame.assign(polygons=[p for p, _ in done], tolerance=[t for _, t in done])
-
-    return df.select(key, "polygons").mapInPandas(run, f"{key} long, polygons {POLYGONS}, tolerance double")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from geomill.functions import geometry as G
 from geomill.operators import outline as O
 from geomill.operators import rasterize as R
+from geomill.operators import simplify as S
 from geomill.operators.validity import all_issues
 from geomill.plans.registry import Views, query
 from geomill.plans.views import GRID
@@ -192,11 +193,21 @@ def user_lines(v: Views) -> DataFrame:
 @query("geo_simplify")
 def geo_simplify(v: Views) -> DataFrame:
     """Rows only: vertices before and after, by a tolerance and by a limit of characters."""
-    lines = user_lines(v)
+    lines = staged(user_lines(v), "user-lines")
     vertices = lambda name: F.size(F.flatten(F.flatten("polygons"))).alias(name)
     before = lines.select("asdf_id", vertices("n_before"))
-    limited = R.limit_chars(lines, limit=300, step=5.0).select("asdf_id", vertices("n_limited"), "tolerance")
-    return before.join(R.simplify(lines, 20.0).select("asdf_id", vertices("n_simple")), "asdf_id").join(limited, "asdf_id")
+    limited = S.limit_chars(lines, limit=300, step=5.0).select("asdf_id", vertices("n_limited"), "tolerance")
+    simple = S.simplify(lines.withColumn("user", F.col("asdf_id")), 20.0, on=("user",)).select("asdf_id", vertices("n_simple"))
+    return before.join(simple, "asdf_id").join(limited, "asdf_id")
+
+
+@query("geo_simplify_shared")
+def geo_simplify_shared(v: Views) -> DataFrame:
+    """The crooked countries, whose borders fit as before, and the nations' polygons, which lie on their own layer."""
+    layers = countries(v).select(F.col("iso3").alias("name"), F.lit("country").alias("layer"), "polygons")
+    layers = staged(layers.unionByName(shapes(v).select(F.col("asdf_id").cast("string").alias("name"), F.lit("nation").alias("layer"), "polygons")), "layers")
+    done = S.simplify(layers, 3.0, "name", ("layer",))
+    return done.select("layer", "name", F.size(F.flatten(F.flatten("polygons"))).alias("n_vertices"), F.round(G.area(F.col("polygons")), 6).alias("area"))
 
 
 @query("geo_fix_precision", """SELECT asdf_id, CASE WHEN minx <= -180 THEN -179.999999 ELSE round(minx, 6) END AS minx, round(miny, 6) AS miny, CASE WHEN x2 >= 180 THEN 179.999999 ELSE round(x2, 6) END AS maxx, round(maxy, 6) AS maxy FROM (SELECT asdf_id, minx / 1.0000007 AS minx, miny / 1.0000007 AS miny, maxx * 1.02 / 1.0000007 AS x2, maxy / 1.0000007 AS maxy FROM {boxes}) AS t""")

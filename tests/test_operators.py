@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geomill.functions import geometry as G
-from geomill.operators import merge, outline, rasterize, release, requests, surface, work, zonal
+from geomill.operators import merge, outline, rasterize, release, requests, simplify, surface, work, zonal
 
 GRID = {"minx": 0.0, "maxy": 10.0, "px": 1.0, "nrows": 10, "ncols": 10}
 
@@ -68,8 +68,8 @@ def test_utm_buffer():
 
 def test_douglas_peucker(spark):
     points = np.array([(0, 0), (1, 0.001), (2, 0), (3, 2), (4, 0)], float)
-    assert rasterize.douglas_peucker(points, 0.01).tolist() == [True, False, True, True, True]
-    done = rasterize.limit_chars(polygons(spark, [TRIANGLE]), limit=10).first()
+    assert simplify.douglas_peucker(points, 0.01).tolist() == [True, False, True, True, True]
+    done = simplify.limit_chars(polygons(spark, [TRIANGLE]), limit=10).first()
     assert len(done.polygons[0][0]) == 4
 
 
