@@ -87,6 +87,7 @@ def date_range(year: Column, month: Column, day: Column, drange: Column | int =
     exact = F.when(has_m, F.date_add(first, d - 1)).otherwise(F.date_add(january, d - 1))
     start = F.when(has_d, exact).when(has_m, first).otherwise(january)
     end = F.when(has_d, F.date_add(exact, drange)).when(has_m, F.last_day(first)).otherwise(F.make_date(y, F.lit(12), F.lit(31)))
+    # fixed values: the names of the date types
     kind = F.when(has_d & has_m, "year month day").when(has_d, "year day").when(has_m, "year month").otherwise("year")
     return F.struct(_ymd(start).alias("start"), _ymd(end).alias("end"), kind.alias("type"))
 
@@ -101,10 +102,14 @@ def category_key(label: Column) -> Column:
     return F.regexp_replace(F.lower(label), "[^0-9a-z]", "_")
 
 
+# Fixed value: the pattern that cuts a preamble into title words (a capitalised word, or a run of capitals).
+TITLE_WORDS = "[A-Z](?:[A-Z]*(?![a-z])|[a-z]*)"
+
+
 def release_identity(preamble: Column, data_type: Column, level: Column, version: Column) -> Column:
     """struct(name, title_words): the release's name, and its preamble's words without AIMS."""
     name = F.format_string("%s_%s_%s_v%s", F.lower(preamble), F.lower(data_type), F.lower(level), F.replace(version, F.lit("."), F.lit("_")))
-    words = F.array_remove(F.regexp_extract_all(preamble, F.lit("[A-Z](?:[A-Z]*(?![a-z])|[a-z]*)"), F.lit(0)), "AIMS")
+    words = F.array_remove(F.regexp_extract_all(preamble, F.lit(TITLE_WORDS), F.lit(0)), "AIMS")
     return F.struct(name.alias("name"), F.array_join(words, " ").alias("title_words"))
 
 
@@ -150,7 +155,8 @@ def json_text(value: Column) -> Column:
         return out.when(char.between(" ", "~"), char).otherwise(unicode)
 
     chars = F.transform(F.sequence(F.lit(1), F.greatest(F.length(value), F.lit(1))), lambda i: escaped(F.substring(value, i, F.lit(1))))
-    return F.concat(F.lit('"'), F.array_join(chars, ""), F.lit('"'))
+    plain = value.rlike(r"^[ !#-\[\]-~]*\z")  # most texts: nothing to escape
+    return F.concat(F.lit('"'), F.when(plain, value).otherwise(F.array_join(chars, "")), F.lit('"'))
 
 
 def _json_list(values: Column, numbers: Column) -> Column:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from geomill.operators import merge as M
 from geomill.operators import requests as Q
+from geomill.operators import store as ST
 from geomill.operators.zonal import zonal_many
 from geomill.plans.q_zonal import METHOD_SQL, WEIGHTS_SQL, all_of, pixels, weights
 from geomill.plans.registry import Views, query
 from geomill.plans.views import NOW
+from geomill.sources.tables import scratch
 
 _FIELD = """SELECT o_orderkey, 'ds' || CAST(o_orderkey % 9 AS STRING) AS ds, CASE o_custkey % 3 WHEN 0 THEN '2001' WHEN 1 THEN 'none' ELSE 'a1b2c3d4e5f6' END AS temporal,
   CASE o_orderkey % 4 WHEN 0 THEN 'mean' WHEN 1 THEN 'categorical' WHEN 2 THEN 'encoded' ELSE 'reliability' END AS method, CASE o_custkey % 4 WHEN 0 THEN 'sum' WHEN 1 THEN 'potential' WHEN 2 THEN 'count' ELSE 'water' END AS part FROM {orders}"""
@@ -65,10 +67,11 @@ _ADDED = "SELECT sha1(CAST(o_custkey AS STRING)) AS hash, 'npl_adm' || CAST(o_or
     SELECT hash, datasets, tags, properties FROM (SELECT hash, string_agg(boundary, '|' ORDER BY boundary) AS datasets, string_agg(boundary || '=' || properties, '|' ORDER BY boundary) AS properties FROM b GROUP BY hash) AS x JOIN (SELECT hash, string_agg(tag, '|' ORDER BY tag) AS tags FROM t GROUP BY hash) AS y USING (hash)""",
 )
 def ftr_upsert(v: Views) -> DataFrame:
-    nothing = F.array().cast("array<string>")
-    empty = v.spark.range(0).select(F.lit("").alias("hash"), nothing.alias("datasets"), nothing.alias("tags"), F.expr("map('', '')").alias("properties"))
-    store = M.upsert_features(empty, v.spark.sql(_SEEN, orders=v.orders))
-    merged = M.upsert_features(store, v.spark.sql(_ADDED, orders=v.orders))
+    """Two batches merged into a store."""
+    root = scratch(v.spark, "features")
+    for batch in (_SEEN, _ADDED):
+        ST.merge_features(root, v.spark.sql(batch, orders=v.orders))
+    merged = ST.read_store(v.spark, root, ST.FEATURES)
     entries = F.array_sort(F.transform(F.map_entries("properties"), lambda e: F.concat_ws("=", e["key"], e["value"])))
     return merged.select("hash", F.array_join("datasets", "|").alias("datasets"), F.array_join("tags", "|").alias("tags"), F.array_join(entries, "|").alias("properties"))
 
@@ -79,7 +82,11 @@ _FRESH = "SELECT 'h' || CAST(o_custkey % 600 AS STRING) AS hash, 'ds' || CAST(o_
 
 @query("ftr_extracts", f"SELECT coalesce(b.hash, a.hash) AS hash, coalesce(b.data, a.data) AS data, 'mean' AS method, '1.0' AS version, coalesce(b.value, a.value) AS value FROM ({_STORED}) AS a FULL JOIN ({_FRESH}) AS b ON a.hash = b.hash AND a.data = b.data")
 def ftr_extracts(v: Views) -> DataFrame:
-    return M.upsert_extracts(v.spark.sql(_STORED, orders=v.orders), v.spark.sql(_FRESH, orders=v.orders))
+    """Two batches merged into a store."""
+    root = scratch(v.spark, "feature-extracts")
+    for batch in (_STORED, _FRESH):
+        ST.merge_extracts(root, v.spark.sql(batch, orders=v.orders))
+    return ST.read_store(v.spark, root, ST.EXTRACTS).drop("prefix")
 
 
 def request_rows(v: Views) -> DataFrame:
