@@ -122,11 +122,12 @@ class Snapshot(NamedTuple):
     def save(self, path: str) -> None:
         for name in ("texts", "rows", "exact", "filters"):
             getattr(self, name).write.parquet(f"{path}/{name}")
+        self.texts.sparkSession.range(1).select(F.lit(self.n_buckets).alias("n_buckets")).write.parquet(f"{path}/layout")
 
 
 def load_snapshot(spark: SparkSession, path: str) -> Snapshot:
     texts, rows, exact, filters = (spark.read.parquet(f"{path}/{name}") for name in ("texts", "rows", "exact", "filters"))
-    return Snapshot(texts, rows, exact, filters, _buckets_for(exact.count()))
+    return Snapshot(texts, rows, exact, filters, spark.read.parquet(f"{path}/layout").first().n_buckets)
 
 
 def _buckets_for(digests: int) -> int:
@@ -245,7 +246,7 @@ def grouped_rows(batch: DataFrame, snapshot: Snapshot | None = None, digest=dige
 
 def exact_dedup(batch: DataFrame, snapshot: Snapshot | None = None, digest=digest_of) -> DataFrame:
     """One row per row of `batch` and of the documents in `snapshot`: doc_id, keep_id, group_size, kept, digest."""
-    each = grouped_rows(batch, snapshot, digest).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    each = grouped_rows(batch, snapshot, digest).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long"))))
     return each.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "digest")
 
 

@@ -2,8 +2,9 @@
 
 Every `\\n`-split line with a word is judged by three rules; a line that breaks one is removed:
 
-- punctuation: at least 4 words and no sentence end (`. ! ? : ; ,` or a closing quote or bracket) as the last character; a line of
-  LONG_LINE words or more passes if a `.`, `!` or `?` ends a word inside it (a paragraph that was cut off);
+- punctuation: at least 4 words and no sentence end (terminal punctuation of any script, as `. ! ? : ; ,` or a danda, or a closing quote or bracket)
+  as the last character; a line of LONG_LINE words or more passes if a sentence of any script ends inside it (a paragraph that was cut off), and so
+  does a line that ends in Thai or Lao, which are written without such marks;
 - navigation: at least 3 menu separators (`|`, `»`, `›`) and at least one for every 4 words;
 - boilerplate: at most 40 words and a stock phrase (by default of licences, cookies, logins, sharing; `phrases` is a parameter).
 
@@ -28,7 +29,10 @@ from geomill.llm.common import documents
 
 # The base rules' white space and symbols.
 SPACE, SYMBOLS = "\x20\x09\x0a\x0b\x0c\x0d", "#*$%&|<>"
-SENTENCE_END = ".!?:;,\"')]}”’»…。！？"
+_all = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x20000))))  # all planes with punctuation
+SENTENCE_END = "\"'”’»…" + "".join(regex.findall(r"[\p{Terminal_Punctuation}\p{Pe}]", _all))
+STOPS = "".join(regex.findall(r"\p{Sentence_Terminal}", _all))
+UNMARKED = ("\u0e00", "\u0eff")  # the blocks of Thai and Lao
 STOCK_PHRASES = (
     "licensed under", "is licensed", "all rights reserved", "terms of service", "terms of use", "privacy policy",
     "cookie policy", "accept cookies", "use of cookies", "click here", "read more", "sign up", "log in", "subscribe to",
@@ -38,7 +42,8 @@ MAX_LOST, LONG_LINE = 0.5, 30
 
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_removed_lines long, removed_chars long, base_failed boolean, kept boolean"
 
-_sentence = regex.compile(r"[.!?][\x20\x09-\x0D]")
+_ends = frozenset(SENTENCE_END)
+_sentence = regex.compile(rf"[{regex.escape(STOPS)}][\x20\x09-\x0D]")
 
 
 def phrase_test(phrases: tuple[str, ...] = STOCK_PHRASES) -> regex.Pattern:
@@ -66,7 +71,7 @@ def repeated_words(words: list[bytes]) -> int:
 
 def line_fails(line: str, n_words: int, stock: regex.Pattern = _stock) -> bool:
     bare = line.strip(SPACE)
-    if n_words >= 4 and bare[-1] not in SENTENCE_END and (n_words < LONG_LINE or not _sentence.search(bare)):
+    if n_words >= 4 and bare[-1] not in _ends and not UNMARKED[0] <= bare[-1] <= UNMARKED[1] and (n_words < LONG_LINE or not _sentence.search(bare)):
         return True
     bars = bare.count("|") + bare.count("»") + bare.count("›")
     if bars >= 3 and 4 * bars >= n_words:
@@ -145,7 +150,8 @@ w AS (SELECT doc_id, text, regexp_extract_all(text, '{_W}') AS words FROM d),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d),
 lw AS (SELECT *, len(regexp_extract_all(line, '{_W}')) AS n, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
   regexp_replace(line, '[\x20\x09-\x0D]+$', '') AS bare, row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS nth FROM l),
-v AS (SELECT *, (n >= 4 AND NOT contains('{SENTENCE_END.replace("'", "''")}', right(bare, 1)) AND (n < {LONG_LINE} OR NOT regexp_matches(bare, '[.!?][\x20\x09-\x0D]')))
+v AS (SELECT *, (n >= 4 AND NOT contains('{SENTENCE_END.replace("'", "''")}', right(bare, 1)) AND NOT regexp_matches(bare, '[{UNMARKED[0]}-{UNMARKED[1]}]$')
+      AND (n < {LONG_LINE} OR NOT regexp_matches(bare, '[{STOPS}][\x20\x09-\x0D]')))
     OR (len(regexp_extract_all(line, '[|»›]')) >= 3 AND 4 * len(regexp_extract_all(line, '[|»›]')) >= n)
     OR (n <= 40 AND regexp_matches(lower(line), '{"|".join(STOCK_PHRASES)}')) AS fails FROM lw WHERE n > 0),
 ls AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (nth > 1) AS n_dup_lines, count(*) FILTER (fails) AS n_removed_lines,

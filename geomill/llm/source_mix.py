@@ -29,6 +29,7 @@ from geomill.llm.common import documents, free_names, staged, text_of
 
 TEMPERATURE, EPOCHS, SEED = 0.5, 1.0, 17
 MAX_BROADCAST, SALTS = 1_000_000, 64  # numbers of 8 bytes
+PER_TASK = 128_000_000  # characters of copies that a task sorts, on average
 EXACT = 16  # factorials up to here are tabled, Stirling's series takes over beyond (it is exact to 1e-15 there)
 
 
@@ -47,7 +48,8 @@ def log_poisson(k: Column, rate: Column) -> Column:
 
 
 def repetition_rates(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = EPOCHS) -> DataFrame:
-    """One row per source: source_key, rate, least, cdf (P(least <= X <= k) for k = least, least + 1, ...)."""
+    """One row per source: source_key, rate, least, chars (expected of all its copies),
+    cdf (P(least <= X <= k) for k = least, least + 1, ...)."""
     spark = docs.sparkSession
     sizes = docs.groupBy(F.coalesce("source", F.lit("")).alias("source_key")).agg(F.sum(F.length(text_of())).cast("double").alias("chars"))
     if weights is None:
@@ -58,7 +60,7 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float] | None = None, t
     totals = weighted.agg(F.sum("chars").alias("all_chars"), F.sum("weight").alias("all_weight"))
     asked = F.lit(True) if weights is None else F.col("weight") > 0
     rate = F.when(F.col("chars") == 0, F.when(asked, 1.0).otherwise(0.0)).otherwise(F.col("weight") / F.col("all_weight") * F.col("all_chars") * epochs / F.col("chars"))
-    rates = weighted.crossJoin(F.broadcast(totals)).select("source_key", rate.alias("rate"))  # totals: one row
+    rates = weighted.crossJoin(F.broadcast(totals)).select("source_key", rate.alias("rate"), (rate * F.col("chars")).alias("chars"))  # totals: one row
     reach = 12 * F.sqrt("rate") + 30
     least, most = F.greatest(F.lit(0), F.floor(F.col("rate") - reach)), F.ceil(F.col("rate") + reach)
     k = rates.withColumn("least", least).withColumn("k", F.explode(F.sequence(F.col("least"), F.when(F.col("rate") > 0, most).otherwise(F.col("least")))))
@@ -66,16 +68,17 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float] | None = None, t
     up_to = Window.partitionBy("source_key").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     summed = k.withColumn("cdf", F.sum(p).over(up_to))
     table = F.transform(F.array_sort(F.collect_list(F.struct("k", "cdf"))), lambda s: s["cdf"])
-    return summed.groupBy("source_key", "rate", "least").agg(table.alias("cdf"))
+    return summed.groupBy("source_key", "rate", "least", "chars").agg(table.alias("cdf"))
 
 
 def _copies(docs: DataFrame, weights: dict[str, float] | None, temperature: float, epochs: float, seed: int) -> DataFrame:
     """doc (the row as a struct), copy, n_copies, shuffle_key."""
     rates = staged(repetition_rates(docs, weights, temperature, epochs), "source-rates")
-    size = rates.agg(F.sum(F.size("cdf") + 2)).first()[0] or 0
+    size, chars = rates.agg(F.sum(F.size("cdf") + 2), F.sum("chars")).first()
+    size, chars = size or 0, chars or 0.0
     digest = F.concat(F.lit("text:"), F.md5(text_of().cast("binary")))
     rows = docs.select(F.struct("*").alias("doc"), F.coalesce("source", F.lit("")).alias("source_key"), F.coalesce(F.col("doc_id").cast("string"), digest).alias("doc_key"))
-    rates = rates.drop("rate")
+    rates = rates.drop("rate", "chars")
     if size <= MAX_BROADCAST:
         joined = rows.join(F.broadcast(rates), "source_key")
     else:
@@ -87,7 +90,7 @@ def _copies(docs: DataFrame, weights: dict[str, float] | None, temperature: floa
     drawn = drawn.select("doc", "doc_key", (F.col("least") + n_copies).alias("n_copies")).filter("n_copies > 0")
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_copies") - 1)))
     copies = copies.withColumn("shuffle_key", _bits(F.lit(f"place{seed}"), F.col("doc_key"), F.col("copy").cast("string"), digits=15)).drop("doc_key")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(chars / PER_TASK))
     return copies.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key")
 
 

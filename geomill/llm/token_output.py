@@ -126,14 +126,14 @@ class Coder:
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
-    """In ascending doc_id order: part, at (ids before it in the part), doc_id, n_tokens, ids. The first text of
-    every batch is encoded by both encoders."""
+    """In ascending doc_id order: part, at (ids before it in the part), doc_id, n_tokens, ids. A sample of
+    every batch is encoded by both encoders, and the whole batch by the tokenizers library should they differ."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, at = bpe.load(tokenizer), 0
         end = np.array([end_id], model.dtype)
         for batch in batches:
-            ids = [np.concatenate([model.encode(t) if k else model.checked(t), end]) for k, t in enumerate(batch["text"].to_pylist())]
+            ids = [np.concatenate([i, end]) for i in model.encode_all(batch["text"].to_pylist())]
             lengths = np.array(list(map(len, ids)), np.int64)
             before = at + np.cumsum(lengths) - lengths
             at += int(lengths.sum())
