@@ -1,6 +1,7 @@
 """Polygons whose rings cross, touch or fold back on themselves, found before they are stored.
 
 Edges of one feature meet in the cells that they run through, so an outline of any length is compared with itself piece by piece.
+Spark takes exploded rows for no larger than the file they come from, so the joins ask for sorted sides: none is broadcast through the driver.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from geomill.functions import geometry as G
 from geomill.operators.outline import DEEPEST, FAN, MOST, ROOT, SIDES, segments_touch, side_of, size_of, with_cells
+from geomill.sources.tables import staged
 
 
 def numbered_edges(features: DataFrame, key: str) -> DataFrame:
@@ -49,21 +51,23 @@ def crossing_issues(features: DataFrame, key: str = "asdf_id", level: int = 0, m
     `crossing`: two edges cross or run along each other; `touching`: a ring meets itself in a point; `touching rings`: rings of one part meet in a
     point; `spike`: a ring turns back on itself. Parts may meet in points. Cells are of `level`, or finer where a feature has more
     than `most` edges in one."""
-    coarse = with_cells(numbered_edges(features, key), F.lit(ROOT / FAN**level))
+    edges = staged(numbered_edges(features, key), "numbered-edges")  # read four times; how they are made stays out of the plans of what follows
+    coarse = with_cells(edges, F.lit(ROOT / FAN**level))
     counts = coarse.groupBy(key, "cell_x", "cell_y").agg(F.count("*").alias("_n"))
     more = F.greatest(F.lit(0), F.least(F.lit(DEEPEST - level), F.ceil(F.log(F.col("_n") / F.lit(float(most))) / F.log(F.lit(float(FAN)))))).cast("int")
-    dealt = coarse.join(counts.select(key, "cell_x", "cell_y", more.alias("more")), [key, "cell_x", "cell_y"])
-    fine = with_cells(dealt, size_of(F.col("more") + level), F.struct("cell_x", "cell_y"), F.pow(F.lit(float(FAN)), F.col("more")).cast("long"))
+    dealt = coarse.hint("merge").join(counts.select(key, "cell_x", "cell_y", more.alias("more")), [key, "cell_x", "cell_y"])
+    fine = staged(with_cells(dealt, size_of(F.col("more") + level), F.struct("cell_x", "cell_y"), F.pow(F.lit(float(FAN)), F.col("more")).cast("long")), "edge-cells")
     cells, names = [key, "more", "cell_x", "cell_y"], ("part", "ring", "k", "n", *SIDES)
     one, two = (fine.select(*cells, *(F.col(c).alias(f"{p}_{c}") for c in names)) for p in "ab")
     a, b = ({c: F.col(f"{p}_{c}") for c in names} for p in "ab")
     first = F.struct(a["part"], a["ring"], a["k"]) < F.struct(b["part"], b["ring"], b["k"])
-    met = one.join(two, cells).filter(first & segments_touch(a, b)).select(key, _meeting(a, b).alias("issue")).filter("issue IS NOT NULL")
+    met = one.hint("merge").join(two, cells).filter(first & segments_touch(a, b)).select(key, _meeting(a, b).alias("issue")).filter("issue IS NOT NULL")
     return met.groupBy(key).agg(F.array_sort(F.collect_set("issue")).alias("issues"))
 
 
 def all_issues(features: DataFrame, key: str = "asdf_id") -> DataFrame:
     """key, issues: those of `geometry_issues` and of `crossing_issues`, sorted, of every feature."""
+    features = staged(features.select(key, "polygons"), "features")
     own = features.select(key, G.geometry_issues(F.col("polygons")).alias("_own"))
-    both = own.join(crossing_issues(features, key), key, "left")
+    both = own.join(crossing_issues(features, key).hint("merge"), key, "left")
     return both.select(key, F.array_sort(F.concat("_own", F.coalesce("issues", F.array().cast("array<string>")))).alias("issues"))

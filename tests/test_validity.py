@@ -58,3 +58,9 @@ def test_against_all_pairs(spark):
 def test_all_issues_has_every_feature(spark):
     got = {r.asdf_id: r.issues for r in validity.all_issues(table(spark, [s for s, _ in CASES])).collect()}
     assert len(got) == len(CASES) and got[0] == [] and got[2] == ["crossing"] and got[14] == ["empty"] and got[17] == ["non-finite"] and got[18] == ["few points", "spike", "zero area"]
+
+
+def test_no_exploded_edges_are_broadcast(spark):
+    """However small Spark takes the file of the features for: cells of edges are many times as many."""
+    plan = validity.all_issues(table(spark, [s for s, _ in CASES]))._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
