@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from geomill.operators.rasterize import POLYGONS
 from geomill.sources.tables import staged
 
 CORNERS = "array<struct<x:double,y:double>>"
+FEW = 256  # features that a task puts into a batch of results
 GENTLE = 6  # rounds that split a span at one vertex; later ones give it all its vertices back
 
 
@@ -129,7 +129,7 @@ def _met(spans: DataFrame, on: tuple[str, ...], most: int) -> DataFrame:
     coarse = with_cells(spans, F.lit(ROOT))
     counts = coarse.groupBy(*on, "cell_x", "cell_y").agg(F.count("*").alias("_n"), F.max("fresh").alias("_any")).filter("_any")
     more = F.greatest(F.lit(0), F.least(F.lit(DEEPEST), F.ceil(F.log(F.col("_n") / F.lit(float(most))) / F.log(F.lit(float(FAN)))))).cast("int")
-    dealt = coarse.join(counts.select(*on, "cell_x", "cell_y", more.alias("more")), [*on, "cell_x", "cell_y"])
+    dealt = coarse.hint("merge").join(counts.select(*on, "cell_x", "cell_y", more.alias("more")), [*on, "cell_x", "cell_y"])
     fine = with_cells(dealt, size_of(F.col("more")), F.struct("cell_x", "cell_y"), F.pow(F.lit(float(FAN)), F.col("more")).cast("long"))
     cells, names = [*on, "more", "cell_x", "cell_y"], ("arc", "n", "i", "j", *SIDES)
     one, two = (fine.filter(which).select(*cells, *(F.col(c).alias(f"{p}_{c}") for c in names)) for p, which in (("a", "fresh"), ("b", "true")))
@@ -145,7 +145,7 @@ def _met(spans: DataFrame, on: tuple[str, ...], most: int) -> DataFrame:
     fold = reduce(lambda m, n: m | n, (folds(s, t) for s in (0, 1) for t in (0, 1)))
     bad = F.when(shared == 0, segments_touch(a, b)).otherwise((shared == 2) | fold)
     other, long = (a["arc"] != b["arc"]) | (a["n"] != b["n"]), lambda s: s["j"] - s["i"] > 1
-    pairs = one.join(two, cells).filter(other & (long(a) | long(b)) & bad)
+    pairs = one.hint("merge").join(two, cells).filter(other & (long(a) | long(b)) & bad)
     sides = F.array(*(F.struct(s["arc"].alias("arc"), s["n"].alias("n"), long(s).alias("long")) for s in (a, b)))
     return pairs.select(*on, F.explode(sides).alias("_s")).filter("_s.long").select(*on, "_s.arc", "_s.n").distinct()
 
@@ -231,37 +231,52 @@ def simplify(features: DataFrame, tolerance: float = 0.01, key: str = "asdf_id",
     return features.select(key, *on, "polygons").join(whole, [key, *on], "left").select(key, *on, F.coalesce("_made", "polygons").alias("polygons"))
 
 
-def _simple(polygons: list, tolerance: float) -> list:
-    out = []
-    for rings in polygons:
-        kept = []
-        for ring in rings:
-            points = np.array([(p["x"], p["y"]) for p in ring], float)
-            stay = douglas_peucker(points, tolerance)
-            kept.append([p for p, yes in zip(ring, stay, strict=True) if yes] if stay.sum() >= 4 else list(ring))
-        out.append(kept)
-    return out
+def _texts(points: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """Vertices (x, y), and how many characters each takes in the coordinates' text."""
+    x, y = (points.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y"))
+    return np.stack([x, y], axis=1), np.array([len(repr(a)) + len(repr(b)) + 6 for a, b in zip(x.tolist(), y.tolist(), strict=True)], np.int64)
+
+
+def _fit(rings: list[np.ndarray], chars: list[np.ndarray], limit: int, step: float) -> tuple[list[np.ndarray], float]:
+    """The vertices that stay of each ring of a feature, and the tolerance at which their text is within the limit."""
+    k, now = 0, [np.arange(len(r)) for r in rings]
+    while sum(int(c[n].sum()) for c, n in zip(chars, now, strict=True)) > limit and k * step < 90:
+        k += 1
+        stay = [np.flatnonzero(douglas_peucker(r, k * step)) if len(r) > 3 else np.arange(len(r)) for r in rings]
+        now = [n if len(n) >= 4 else np.arange(len(r)) for n, r in zip(stay, rings, strict=True)]
+        if sum(map(len, now)) <= 4 * len(rings):
+            break
+    return now, k * step
 
 
 def limit_chars(df: DataFrame, limit: int = 8_000_000, step: float = 0.0001, key: str = "asdf_id") -> DataFrame:
     """key, polygons, tolerance: each feature by itself, ring by ring, simplified by 0, step, 2 * step, ... until the coordinates' text is within `limit`, or
-    no vertex goes any more. For display: neighbours may part and rings may cross, unlike in `simplify`."""
-
-    def chars(polygons: list) -> int:
-        return sum(len(repr(float(p["x"]))) + len(repr(float(p["y"]))) + 6 for rings in polygons for ring in rings for p in ring)
-
-    def fit(polygons: list) -> tuple[list, float]:
-        k, now = 0, polygons
-        while chars(now) > limit and k * step < 90:
-            k += 1
-            now = _simple(polygons, k * step)
-            if sum(len(r) for rings in now for r in rings) <= 4 * sum(map(len, now)):
-                break
-        return now, k * step
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            done = [fit(p) for p in frame["polygons"]]
-            yield frame.assign(polygons=[p for p, _ in done], tolerance=[t for _, t in done])
-
-    return df.select(key, "polygons").mapInPandas(run, f"{key} long, polygons {POLYGONS}, tolerance double")
+    no vertex goes any more; null polygons stay. For display: neighbours may part and rings may cross, unlike in `simplify`. A task holds the
+    vertices of one feature as numbers beside Spark's own batch."""
+
+    def one(column: pa.ListArray) -> tuple[pa.ListArray, float]:
+        if column.null_count:
+            return column, 0.0
+        parts = column.flatten()
+        rings = parts.flatten()
+        points = rings.flatten()
+        sizes = rings.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        at = np.append(0, np.cumsum(sizes))
+        cut = lambda v: np.split(v, at[1:-1]) if len(sizes) else []
+        stay, tolerance = _fit(*map(cut, _texts(points)), limit, step)
+        if not tolerance:
+            return column, 0.0
+        ends = lambda n: pa.array(np.append(0, np.cumsum(n)), pa.int32())
+        kept = points.take(pa.array(np.concatenate([n + start for n, start in zip(stay, at[:-1], strict=True)])))
+        made = pa.ListArray.from_arrays(ends([len(n) for n in stay]), kept)
+        made = pa.ListArray.from_arrays(ends(parts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)), made)
+        return pa.ListArray.from_arrays(ends([len(parts)]), made), tolerance
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, FEW):
+                few = batch.slice(start, FEW)
+                done = [one(few["polygons"].slice(k, 1)) for k in range(few.num_rows)]
+                yield pa.RecordBatch.from_arrays([few[key], pa.concat_arrays([p.cast(few["polygons"].type) for p, _ in done]), pa.array([t for _, t in done], pa.float64())], [key, "polygons", "tolerance"])
+
+    return df.select(key, "polygons").mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, polygons {POLYGONS}, tolerance double")

@@ -8,7 +8,7 @@ import os
 import numpy as np
 import pytest
 
-from geomill.operators.simplify import POLYGONS, simplify
+from geomill.operators.simplify import POLYGONS, douglas_peucker, limit_chars, simplify
 from geomill.plans import q_geometry, registry
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -171,3 +171,25 @@ def test_countries_still_fill_the_world(spark):
     assert len(rows) == len(before) and sum(r.n_vertices for r in rows) < vertices
     # a hole counts less, an enclave more, and what is no country's has three corners at least
     assert sum(abs(r.area) for r in rows) == pytest.approx(sum(abs(size(r.polygons)) for r in before), rel=0.01)
+
+
+def test_limited_features_against_plain_loops(spark):
+    """Features with holes, parts, nothing and null, in tasks that make no Python object of a vertex."""
+    rng = np.random.default_rng(4)
+    ring = lambda n: [(float(x), float(y)) for x, y in rng.uniform(-90, 90, (n, 2)).round(3)]
+    shapes = [[[ring(40), ring(3)], [ring(25)]], None, [], [[]], [[ring(4)]], [[ring(300)], [ring(7), []]], [[ring(2)]]] * 50
+    chars = lambda shape: sum(len(repr(x)) + len(repr(y)) + 6 for part in shape for r in part for x, y in r)
+    wanted = {}
+    for nth, shape in enumerate(shapes):
+        now, k = shape, 0
+        while shape and chars(now) > 600 and k * 5.0 < 90:
+            k += 1
+            stay = lambda r: [p for p, yes in zip(r, douglas_peucker(np.array(r), k * 5.0), strict=True) if yes] if len(r) > 3 else r  # noqa: B023, E731
+            now = [[kept if len(kept := stay(r)) >= 4 else r for r in part] for part in shape]
+            if sum(len(r) for part in now for r in part) <= 4 * sum(map(len, now)):
+                break
+        wanted[nth] = (now, k * 5.0)
+    done = limit_chars(table(spark, list(enumerate(shapes))), limit=600, step=5.0)
+    tolerances = {r.asdf_id: r.tolerance for r in done.collect()}
+    assert {k: (shape, tolerances[k]) for k, shape in shapes_of(done).items()} == wanted
+    assert "MapInArrow" in done._jdf.queryExecution().executedPlan().toString()
