@@ -89,14 +89,20 @@ def ftr_extracts(v: Views) -> DataFrame:
     return ST.read_store(v.spark, root, ST.EXTRACTS).drop("prefix")
 
 
+LINES = 1_000_000  # line items that a task is given; dealt by their bytes, which are few, a task would get ten times as many
+
+
 def request_rows(v: Views) -> DataFrame:
     """One request per order: a surface filter of its donor, and the files of its line items with one or two extract types."""
-    files = v.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_set(F.concat(F.lit("ds"), F.col("l_partkey").cast("string"), F.lit("_2000")))).alias("files"))
+    tasks = max(v.spark.sparkContext.defaultParallelism, v.lineitem.count() // LINES)
+    named = lambda part: F.concat(F.lit("ds"), part.cast("string"), F.lit("_2000"))
+    parts = v.lineitem.repartition(tasks, "l_orderkey").groupBy("l_orderkey").agg(F.collect_set("l_partkey").alias("parts"))
+    files = parts.select("l_orderkey", F.sort_array(F.transform("parts", named)).alias("files"))
     types = F.when(F.col("o_orderkey") % 2 == 0, F.array(F.lit("mean"), F.lit("max"))).otherwise(F.array(F.lit("sum")))
     donors = F.array(F.when(F.col("o_custkey") % 4 == 0, F.lit("All")).otherwise(F.concat(F.lit("Donor"), (F.col("o_custkey") % 4).cast("string"))))
     filters = F.create_map(F.lit("donors"), donors)
     release = F.array(F.struct(F.lit("aid").alias("dataset"), filters.alias("filters")))
-    return v.orders.join(files, F.col("o_orderkey") == F.col("l_orderkey")).select(
+    return v.orders.repartition(tasks, "o_orderkey").join(files, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.col("o_orderkey").alias("request_id"), F.concat(F.lit("b"), (F.col("o_custkey") % 25).cast("string")).alias("boundary"), release.alias("release_data"), F.array(F.struct("files", types.alias("extract_types"))).alias("raster_data")
     )
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
 
-from geomill.plans import registry
+from geomill.plans import q_requests, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -46,3 +47,12 @@ def test_query(spark, duck, name):
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
     assert rows == sorted(tuple(plain(r[i]) for i in order) for r in result.fetchall())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables here")
+def test_requests_are_dealt_by_line_items(spark, monkeypatch):
+    """So many line items a task, however few bytes they take."""
+    monkeypatch.setattr(q_requests, "LINES", 100, raising=False)
+    views = registry.Views(spark, SF_DIR)
+    plan = re.sub(r"#[0-9]+L?", "", q_requests.request_rows(views)._jdf.queryExecution().executedPlan().toString())
+    assert f"hashpartitioning(l_orderkey, {views.lineitem.count() // 100})" in plan
