@@ -96,7 +96,7 @@ def geometry_cells(df: DataFrame, countries: DataFrame, areas: DataFrame, grid:
 
     A point is its cell. A buffer is the sub-cells whose centres lie in the circle and in the country (`clip_buffers`); areas and countries
     are rasterised. A geometry without a sub-cell centre is the cell of its centroid (a buffer's is its place, if in the country)."""
-    own = df.filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat").dropDuplicates(["geom"])
+    own = staged(df.filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat").dropDuplicates(["geom"]), "geometries")  # read by kind
     whole = scale * scale
 
     def at(x: Column, y: Column) -> list[Column]:
@@ -137,7 +137,7 @@ def build_surface(locations: DataFrame, cells: DataFrame) -> DataFrame:
 def geometry_shapes(df: DataFrame, countries: DataFrame, areas: DataFrame) -> DataFrame:
     """geom, geom_kind, iso3, polygons of every distinct geometry of df (geom, geom_kind, geom_key, geom_metres, iso3, lon, lat). A point is a ring
     of twice its place; a buffer is its whole circle, which its country (iso3) clips; the others have no iso3."""
-    own = df.filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat").dropDuplicates(["geom"])
+    own = staged(df.filter("geom IS NOT NULL").select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat").dropDuplicates(["geom"]), "geometries")  # read by kind
     kind = lambda name: own.filter(F.col("geom_kind") == name)
     place = F.struct(F.col("lon").alias("x"), F.col("lat").alias("y"))
     points = kind("point").select("geom", "geom_kind", F.array(F.array(F.array(place, place))).alias("polygons"))

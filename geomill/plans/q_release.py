@@ -176,10 +176,13 @@ _CELLS = f"""WITH money AS (SELECT geom_kind, area_key, geom_metres AS metres, C
 
 
 def money(v: Views) -> DataFrame:
-    """The kept locations with their adjusted money and geometry, from one join of projects and locations."""
-    kept = R.adjust_value(R.apply_filters(split(v), {"donors": ["Donor1", "Donor3"]}), ["Health", "Energy"])
+    """The kept locations with their adjusted money and geometry, from one join of projects and locations. What is read twice is staged: the join, by
+    which a project's locations are counted, and the kept locations, whose distinct places look for their areas."""
+    projects = v.projects.select("project_id", "is_geocoded", "total_commitments", "donors", "ad_sector_names")
+    release = staged(R.merge_release(projects, v.locations), "release")
+    kept = R.adjust_value(R.apply_filters(R.split_value(release), {"donors": ["Donor1", "Donor3"]}), ["Health", "Energy"])
     columns = ("project_location_id", "is_geocoded", "location_class", "location_type_code", "geographic_exactness", "recipients_iso3", "longitude", "latitude", "adjusted_val")
-    typed = S.assign_geom_type(kept.select(*columns), S.geometry_lookup(v.spark))
+    typed = staged(S.assign_geom_type(kept.select(*columns), S.geometry_lookup(v.spark)), "typed-locations")
     located = S.geometry_name(S.assign_geometry(_points(typed), v.adm0, _areas(v), GRID)).filter("geom IS NOT NULL")
     return located.select("geom", "geom_kind", "geom_key", "geom_metres", "iso3", "lon", "lat", F.col("location_id").cast("string").alias("location_id"), "adjusted_val")
 

@@ -9,7 +9,7 @@ import re
 import duckdb
 import pytest
 
-from geomill.plans import q_requests, registry
+from geomill.plans import q_release, q_requests, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -56,3 +56,10 @@ def test_requests_are_dealt_by_line_items(spark, monkeypatch):
     views = registry.Views(spark, SF_DIR)
     plan = re.sub(r"#[0-9]+L?", "", q_requests.request_rows(views)._jdf.queryExecution().executedPlan().toString())
     assert f"hashpartitioning(l_orderkey, {views.lineitem.count() // 100})" in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables here")
+def test_money_reads_the_release_once(spark):
+    """What follows the kept locations does not make them again from orders and line items."""
+    plan = q_release.money(registry.Views(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey" not in plan and "o_orderkey" not in plan
