@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -251,3 +252,16 @@ def test_many_sectors(spark):
     one = {r.sectors: r["count"] for r in stats.filter("donors = '' AND sectors IN ('S005', 'S005|S035', '')").collect()}
     holds = lambda *names: sum(any(n in {f"S{k % 300:03d}", f"S{k * 7 % 300:03d}"} for n in names) for k in range(3000))
     assert one == {"": 3000, "S005": holds("S005"), "S005|S035": holds("S005", "S035")}
+
+
+def test_samples_of_a_crowded_cell_are_dealt_over_tasks(spark, monkeypatch):
+    """A cell that holds most points is cut into parts; every point meets every raster once, with a value or without."""
+    monkeypatch.setattr(zonal, "SAMPLES", 100, raising=False)
+    rows = [(i, 2 + i / 1000, 7.5) for i in range(400)] + [(400, 9.5, 0.5), (401, -5.0, 3.0), (402, None, 1.0)]
+    points = spark.createDataFrame(rows, "point_id int, lon double, lat double")
+    names = spark.createDataFrame([(f"r{k}",) for k in range(5)], "resource string")
+    pixels = spark.createDataFrame([(f"r{k}", 2, 2, float(k)) for k in range(4)] + [("r0", 9, 9, None), ("r1", 9, 9, 8.0)], "resource string, grid_row int, grid_col int, value double")
+    got = zonal.sample_points(pixels, points, **GRID, resources=names).withColumn("task", F.spark_partition_id()).collect()
+    want = {(i, k): float(k) if i < 400 and k < 4 else 8.0 if (i, k) == (400, 1) else None for i in range(403) for k in range(5)}
+    assert len(got) == len(want) and {(r.point_id, int(r.resource[1:])): r.value for r in got} == want
+    assert max(Counter(r.task for r in got).values()) < 1000

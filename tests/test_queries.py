@@ -9,7 +9,8 @@ import re
 import duckdb
 import pytest
 
-from geomill.plans import q_release, q_requests, registry
+from geomill.operators import zonal
+from geomill.plans import q_release, q_requests, q_zonal, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -63,3 +64,13 @@ def test_money_reads_the_release_once(spark):
     """What follows the kept locations does not make them again from orders and line items."""
     plan = q_release.money(registry.Views(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
     assert "l_orderkey" not in plan and "o_orderkey" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables here")
+def test_samples_are_dealt_by_their_own_number(spark, monkeypatch):
+    """So many rows of the result a task, however few bytes points and pixels take; pixels are not broadcast through the driver."""
+    monkeypatch.setattr(zonal, "SAMPLES", 1000, raising=False)
+    views = registry.Views(spark, SF_DIR)
+    plan = re.sub(r"#[0-9]+L?", "", q_zonal.zon_point_sample(views)._jdf.queryExecution().executedPlan().toString())
+    assert plan.count(f"hashpartitioning(grid_row, grid_col, part, {views.locations.count() * views.grids.count() // 1000})") == 2
+    assert "SortMergeJoin [resource, grid_row, grid_col]" in plan
